@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from junctura.llm.common import small_batches
 
-MAX_TRAIN = 6000
-MAX_BYTES = 32 << 20
+MAX_TRAIN = 4000
+MAX_BYTES = 20 << 20
 FOLDS, HELD_OUT = 5, 0
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6, 7)
@@ -125,46 +126,46 @@ def fit(texts: list[str], gold: list[int], prior: float) -> Model:
     y = np.array(gold)
     if not len(y) or y.min() == y.max():
         return Model(math.log(max(prior, 1e-6) / max(1 - prior, 1e-6)), {})
-    docs = [words(t) for t in texts]
-    sketches = [_sketch(d) for d in docs]
+    # Texts are split anew for each pass, so that no pass holds more than the
+    # features that the next one needs.
+    sketches = [_sketch(words(t)) for t in texts]
     seen = [Counter(column) for column in zip(*sketches)]
     weight = np.array([1 / sorted(c[s] for c, s in zip(seen, sketch))[1] for sketch in sketches])
 
-    counts = []
-    for d in docs:
-        own: dict[str, int] = defaultdict(int)
-        for w, n in Counter(d).items():
-            for f in parts(w):
-                own[f] += n
-        counts.append(own)
-    toxic, clean = defaultdict(float), defaultdict(float)
-    for own, w in ((counts[i], weight[i]) for i in np.flatnonzero(y == 1)):
-        for f in own:
-            toxic[f] += w
-    for own, w in ((counts[i], weight[i]) for i in np.flatnonzero(y == 0)):
-        for f in own:
-            if f in toxic:
-                clean[f] += w
+    def features(i: int) -> set[str]:
+        return {f for w in set(words(texts[i])) for f in parts(w)}
+
     n1, n0 = weight[y == 1].sum(), weight[y == 0].sum()
+    toxic, clean = defaultdict(float), defaultdict(float)
+    for i in np.flatnonzero(y == 1):
+        for f in features(i):
+            toxic[f] += weight[i]
+    toxic = {f: a for f, a in toxic.items() if a >= min(LEAST_DOCS, n1 / 4)}
+    for i in np.flatnonzero(y == 0):
+        for f in features(i) & toxic.keys():
+            clean[f] += weight[i]
     lean = {}
     for f, a in toxic.items():
         ratio = ((a + 0.1) / (n1 + 0.2)) / ((clean[f] + 0.1) / (n0 + 0.2))
-        if a >= min(LEAST_DOCS, n1 / 4) and ratio > 2:
+        if ratio > 2:
             lean[f] = a * math.log(ratio)
     chosen = sorted(lean, key=lambda f: (-lean[f], f))[:FEATURES]
     at = {f: i for i, f in enumerate(chosen)}
 
-    rows, cols, values = [], [], []
-    for i, (own, d) in enumerate(zip(counts, docs)):
-        for f, n in own.items():
-            if (j := at.get(f)) is not None:
-                rows.append(i)
-                cols.append(j)
-                values.append(min(1.0, DENSE * n / len(d)))
+    rows, cols, values = array("i"), array("i"), array("d")
+    for i, text in enumerate(texts):
+        own, held = words(text), defaultdict(int)
+        for w, n in Counter(own).items():
+            for f in parts(w):
+                if (j := at.get(f)) is not None:
+                    held[j] += n
+        rows.extend([i] * len(held))
+        cols.extend(held.keys())
+        values.extend(min(1.0, DENSE * n / len(own)) for n in held.values())
     rows, cols, values = np.array(rows, int), np.array(cols, int), np.array(values, float)
 
     own = cols < VOTERS
-    votes = np.zeros((len(docs), min(VOTERS, len(chosen)) + 3))
+    votes = np.zeros((len(texts), min(VOTERS, len(chosen)) + 3))
     votes[rows[own], cols[own]] = values[own] >= 0.3
     votes[:, -3:] = [_patterns(t or "") for t in texts]
     q = label_model(votes, y, weight, prior)
@@ -175,7 +176,7 @@ def fit(texts: list[str], gold: list[int], prior: float) -> Model:
     w, bias = np.zeros(len(chosen)), math.log(prior / (1 - prior))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, 301):
-        z = bias + np.bincount(rows, values * w[cols], len(docs))
+        z = bias + np.bincount(rows, values * w[cols], len(texts))
         wrong = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - q)
         g, gb = np.bincount(cols, values * wrong[rows], len(w)) + 1e-6 * w, wrong.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
