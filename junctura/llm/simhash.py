@@ -39,7 +39,8 @@ SEED = 42
 CHUNK = 1 << 14  # shingles whose bits are counted at once
 PIVOTS = 8
 LIMIT = 8192  # rows of a bucket that one task compares
-BLOCK = 256
+BLOCK = 64  # rows compared at once with the rest of their bucket
+PAIRS = 1 << 16  # pairs verified at once
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -148,13 +149,17 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
         for i in range(0, m, BLOCK):
             j = min(i + BLOCK, m)
             end = int(till[j - 1])
-            near = np.ones((j - i, end - i), bool)
+            # Rows that are joined already need no further look at each other.
+            part = label[order + s]
+            near = part[i:j, None] != part[None, i:end]
             for c in range(PIVOTS):
                 near &= np.abs(table[i:j, c, None] - table[None, i:end, c]) <= radius
             a, b = np.nonzero(near)
             a, b = a[a < b] + i, b[a < b] + i
-            close = np.bitwise_count(own[a] ^ own[b]).sum(axis=1, dtype=np.int64) <= radius
-            _merge(label, order[a[close]] + s, order[b[close]] + s)
+            for k in range(0, len(a), PAIRS):
+                x, y = a[k : k + PAIRS], b[k : k + PAIRS]
+                close = np.bitwise_count(own[x] ^ own[y]).sum(axis=1, dtype=np.int64) <= radius
+                _merge(label, order[x[close]] + s, order[y[close]] + s)
     return label
 
 
