@@ -39,7 +39,7 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6, 7)
 VOTERS, FEATURES = 300, 20_000
 DENSE = 100.0  # a feature is fully on at one word in so many
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 LEAST_DOCS = 3.0
 
 
@@ -80,7 +80,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, prior:
     together within the classes are correlated, and each weighs one over its sum
     of correlations. The gold label is a voter whose accuracy is estimated too.
     """
-    q = np.where(gold == 1, 0.97, 0.03)
+    q = np.where(gold == 1, 0.8, 0.2)
     for _ in range(rounds):
         a, b = weight * q, weight * (1 - q)
         one = (a @ votes + 0.5) / (a.sum() + 1)
@@ -104,7 +104,7 @@ class Model:
 
     def __init__(self, bias: float, weights: dict[str, float]) -> None:
         self.bias, self.weights = bias, weights
-        self.known: dict[str, list[str]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
     def score(self, text: str | None) -> float:
         own = words(text)
@@ -114,7 +114,7 @@ class Model:
         for w, n in Counter(own).items():
             found = self.known.get(w)
             if found is None:
-                found = self.known[w] = [f for f in parts(w) if f in self.weights]
+                found = self.known[w] = tuple(f for f in parts(w) if f in self.weights)
             for f in found:
                 counts[f] += n
         logit = self.bias + sum(self.weights[f] * min(1.0, DENSE * n / len(own)) for f, n in counts.items())
