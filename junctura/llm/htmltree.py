@@ -136,6 +136,13 @@ def _holds(node: Node, tags: frozenset[str]) -> bool:
     return False
 
 
+def _within(node: Node, tags: frozenset[str]) -> bool:
+    above = node.parent
+    while above is not None and above.tag not in tags:
+        above = above.parent
+    return above is not None
+
+
 MAIN = frozenset(("article", "main"))
 
 
@@ -144,10 +151,7 @@ def _unwanted(node: Node, total: int) -> bool:
         return True
     if node.tag in ("html", "body", "article", "main"):
         return False
-    above = node.parent
-    while above is not None and above.tag not in MAIN:
-        above = above.parent
-    if node.tag == "footer" or node.tag == "header" and above is None:
+    if node.tag == "footer" or node.tag == "header" and not _within(node, MAIN):
         return not _holds(node, MAIN)
     named = node.named()
     if not named:
@@ -214,7 +218,8 @@ def extract(page: str | None) -> str:
     for holder, text in _blocks([root]):
         points = 1 + text.count(",") + len(text) / 100
         node, level = holder.parent if holder.tag in ENDS_P - {"div", "section", "article", "main"} else holder, 1
-        while node is not None and node.tag != "#root":
+        # Beyond forty levels less than a billionth of the points is left.
+        while node is not None and node.tag != "#root" and level < 1 << 40:
             node.score += points / level
             scored[id(node)] = node
             node, level = node.parent, level * 2 if level > 1 else 2
