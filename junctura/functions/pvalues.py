@@ -45,4 +45,4 @@ def cauchy(p: Column, weight: Column | None = None) -> Column:
         mean = F.avg(statistic)
     else:
         mean = F.sum(weight * statistic) / F.sum(F.when(valid(p).isNotNull(), weight))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.5) - F.atan(mean) / F.pi()))
+    return F.when(mean.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.5) - F.atan(mean) / F.pi())))

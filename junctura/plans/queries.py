@@ -372,7 +372,8 @@ def delta_filter_fdr(spark, d):
 _FISHER = {
     "sums": """SELECT contrast, cluster, count(*) FILTER (WHERE "PValue" > 0 AND "PValue" <= 1) AS m, abs(sum(ln("PValue")) FILTER (WHERE "PValue" > 0 AND "PValue" <= 1)) AS h FROM result GROUP BY 1, 2""",
 }
-_CAUCHY = 'greatest(0.0, least(1.0, 0.5 - atan(avg(tan((0.5 - "PValue") * pi())) FILTER (WHERE "PValue" > 0 AND "PValue" <= 1)) / pi()))'
+_VALID = '"PValue" > 0 AND "PValue" <= 1'
+_CAUCHY = f'CASE WHEN count(*) FILTER (WHERE {_VALID}) > 0 THEN greatest(0.0, least(1.0, 0.5 - atan(avg(tan((0.5 - "PValue") * pi())) FILTER (WHERE {_VALID})) / pi())) END'
 
 
 @query(
@@ -389,7 +390,7 @@ def cauchy_by_cluster(spark, d):
 
 
 @query(
-    """SELECT contrast, cluster, round(greatest(0.0, least(1.0, 0.5 - atan(sum(s * tan((0.5 - "PValue") * pi())) FILTER (WHERE "PValue" > 0) / sum(s) FILTER (WHERE "PValue" > 0)) / pi())), 9) AS cluster_pvalue
+    """SELECT contrast, cluster, CASE WHEN count("PValue") > 0 THEN round(greatest(0.0, least(1.0, 0.5 - atan(sum(s * tan((0.5 - "PValue") * pi())) FILTER (WHERE "PValue" > 0) / sum(s) FILTER (WHERE "PValue" > 0)) / pi())), 9) END AS cluster_pvalue
     FROM result GROUP BY 1, 2"""
 )
 def cauchy_weighted(spark, d):
