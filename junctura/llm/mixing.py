@@ -33,7 +33,7 @@ REPEATS = 3  # times its size that a source gives at most
 SEED = 42
 BLOCK = 256  # words of a block at most
 SHARD = 100_000  # words of a shard at least
-MAX_SHARDS = 50_000
+MAX_SHARDS = 200_000
 
 
 def targets(sizes: list[int], weights: list[float], repeats: int = REPEATS) -> list[float]:
