@@ -115,7 +115,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], size: int, axes: np.ndarray, least
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    eps = math.sqrt(max(0.0, 2 - 2 * cosine))
+    eps = math.sqrt(max(1e-12, 2 - 2 * cosine))
     raw = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     common = raw.where("size(v) > 0").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     size = common.n if common else 1
