@@ -1,37 +1,104 @@
-"""Command line: ``python -m junctura --matrix ... --samples ... --output_dir ...``."""
+"""Command line: ``python -m junctura {run,count,matrix,aggregate,integrate} ...``; without a command, run."""
 
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from junctura.operators import clusterstats, counts, integrate
 from junctura.operators.samples import listed
 from junctura.plans.pipeline import Parameters, run_files
+from junctura.sources import annotation, bam, readers, writers
+from junctura.operators import annotate as notes
 
+COMMANDS = ("run", "count", "matrix", "aggregate", "integrate")
 
-def main(argv: list[str] | None = None) -> None:
+
+def _parser() -> argparse.ArgumentParser:
     told = argparse.ArgumentParser(prog="junctura", description=__doc__)
+    sub = told.add_subparsers(dest="command", required=True)
+
+    run = sub.add_parser("run", help="matrix and samples to results")
     for name in ("matrix", "samples", "output_dir"):
-        told.add_argument(f"--{name}", required=True)
-    told.add_argument("--gtf")
+        run.add_argument(f"--{name}", required=True)
+    run.add_argument("--gtf")
     base = Parameters()
     for name in ("min_intron_count", "min_intron_samples", "min_cluster_count", "min_cluster_samples"):
-        told.add_argument(f"--{name}", type=int, default=getattr(base, name))
-    told.add_argument("--keep_noncanonical", action="store_true")
-    told.add_argument("--cluster_type", choices=("donor", "acceptor", "both"), default=base.cluster_type)
-    told.add_argument("--group_col", default=base.group_col)
-    told.add_argument("--batch_col")
-    told.add_argument("--contrast")
-    told.add_argument("--control_groups", help="names parted by commas")
-    told.add_argument("--fdr_threshold", type=float, default=base.fdr_threshold)
-    told.add_argument("--min_logFC", type=float, default=base.min_logFC)
-    told.add_argument("--min_delta_psi", type=float)
-    told.add_argument("--force_rerun", action="store_true")
-    a = vars(told.parse_args(argv))
-    matrix, meta, output, gtf, force = (a.pop(k) for k in ("matrix", "samples", "output_dir", "gtf", "force_rerun"))
-    a["control_groups"] = tuple(listed(a["control_groups"]))
-    run_files(SparkSession.builder.getOrCreate(), matrix, meta, output, gtf, Parameters(**a), force)
+        run.add_argument(f"--{name}", type=int, default=getattr(base, name))
+    run.add_argument("--keep_noncanonical", action="store_true")
+    run.add_argument("--cluster_type", choices=("donor", "acceptor", "both"), default=base.cluster_type)
+    run.add_argument("--group_col", default=base.group_col)
+    run.add_argument("--batch_col")
+    run.add_argument("--contrast")
+    run.add_argument("--control_groups", help="names parted by commas")
+    run.add_argument("--fdr_threshold", type=float, default=base.fdr_threshold)
+    run.add_argument("--min_logFC", type=float, default=base.min_logFC)
+    run.add_argument("--min_delta_psi", type=float)
+    run.add_argument("--compat", action="store_true")
+    run.add_argument("--force_rerun", action="store_true")
+
+    count = sub.add_parser("count", help="BAM or SAM files to junction files")
+    count.add_argument("--genome_fa", required=True)
+    count.add_argument("--alignments", nargs="+", required=True)
+    count.add_argument("--output", required=True)
+
+    matrix = sub.add_parser("matrix", help="junction files to a wide matrix")
+    matrix.add_argument("--intron_files", nargs="+", required=True)
+    matrix.add_argument("--output", required=True)
+
+    aggregate = sub.add_parser("aggregate", help="intron results to clusters")
+    aggregate.add_argument("--results", required=True)
+    aggregate.add_argument("--output", required=True)
+    aggregate.add_argument("--cluster_col", default="cluster")
+    aggregate.add_argument("--method", choices=tuple(clusterstats.METHODS), default="cauchy")
+
+    both = sub.add_parser("integrate", help="donor and acceptor results side by side")
+    both.add_argument("--donor", required=True)
+    both.add_argument("--acceptor", required=True)
+    both.add_argument("--output", required=True)
+    both.add_argument("--gtf")
+    return told
+
+
+def main(argv: list[str] | None = None) -> None:
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if not argv or argv[0] not in COMMANDS and argv[0] not in ("-h", "--help"):
+        argv.insert(0, "run")
+    a = vars(_parser().parse_args(argv))
+    spark, command = SparkSession.builder.getOrCreate(), a.pop("command")
+    if command == "run":
+        matrix, meta, output, gtf, force = (a.pop(k) for k in ("matrix", "samples", "output_dir", "gtf", "force_rerun"))
+        a["control_groups"] = tuple(listed(a["control_groups"]))
+        run_files(spark, matrix, meta, output, gtf, Parameters(**a), force)
+    elif command == "count":
+        files = a["alignments"]
+        parts = [f(spark, own) for f, own in ((bam.read_bam, [p for p in files if p.endswith(".bam")]), (readers.read_sam, [p for p in files if not p.endswith(".bam")])) if own]
+        reads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        named = counts.name_junctions(counts.count_junctions(reads), readers.read_fasta(spark, a["genome_fa"]))
+        named.orderBy("sample_id", "intron").write.mode("overwrite").partitionBy("sample_id").option("sep", "\t").option("header", True).option("compression", "gzip").csv(a["output"])
+    elif command == "matrix":
+        cells = counts.sum_junctions(readers.read_junctions(spark, a["intron_files"]))
+        writers.write_tsv(counts.pivot_matrix(cells, counts.sample_names(cells)), a["output"])
+    elif command == "aggregate":
+        results = readers.read_results(spark, a["results"])
+        found = clusterstats.aggregate_clusters(results, a["method"], a["cluster_col"])
+        writers.write_tsv(found.orderBy(F.asc_nulls_last("cluster_pvalue")), f"{a['output']}.clusters")
+        hits = clusterstats.significant_cluster_introns(results, found, a["cluster_col"])
+        writers.write_tsv(hits.orderBy("cluster_FDR", "PValue"), f"{a['output']}.significant_cluster_introns")
+        writers.write_tsv(clusterstats.cluster_summary(found), f"{a['output']}.summary")
+    else:
+        found = integrate.integrate(readers.read_results(spark, a["donor"]), readers.read_results(spark, a["acceptor"]))
+        if a["gtf"]:
+            found = notes.annotate(found, *annotation.load(spark, a["gtf"]))
+        order = [c for c in ("contrast", "best_FDR") if c in found.columns]
+        writers.write_tsv(found.orderBy(*order), f"{a['output']}.integrated")
+        hits = integrate.significant(found)
+        if not hits.isEmpty():
+            writers.write_tsv(hits.orderBy(*order), f"{a['output']}.significant")
+            writers.write_tsv(integrate.summary(found), f"{a['output']}.summary")
 
 
 if __name__ == "__main__":

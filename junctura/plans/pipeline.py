@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from junctura.operators import annotate, clusters, counts, fdr, filters, glm, psi, samples
-from junctura.sources import readers, writers
+from junctura.sources import annotation, readers, writers
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ class SpliceEngine:
         found = writers.saved_stage(self.spark, self.folder, name)
         return found if found is not None else writers.save_stage(make(), self.folder, name)
 
-    def clustered(self, cells: DataFrame, metadata: DataFrame, gtf: DataFrame | None = None) -> DataFrame:
+    def clustered(self, cells: DataFrame, metadata: DataFrame, annotation: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
         """Dense, clustered counts of the samples that both sides name, with shared totals and annotation.
 
         Totals are those of the whole matrix, before any filter.
@@ -63,11 +63,8 @@ class SpliceEngine:
         if not names:
             raise ValueError("matrix and metadata share no sample")
         found = clusters.add_totals(clusters.assign_clusters(counts.densify(kept, names)))
-        if gtf is not None:
-            rows = annotate.features(gtf)
-            exon = annotate.exons(rows)
-            index = annotate.gene_index(annotate.gene_map(rows), annotate.transcript_spans(exon))
-            found = annotate.annotate(found, annotate.intron_genes(annotate.exon_introns(exon)), index)
+        if annotation is not None:
+            found = annotate.annotate(found, *annotation)
         return found
 
     def filtered(self, clustered: DataFrame) -> DataFrame:
@@ -78,11 +75,11 @@ class SpliceEngine:
         names = [r.group for r in samples.groups(metadata, self.parameters.group_col).collect()]
         return samples.contrasts(names, self.parameters.contrast, list(self.parameters.control_groups))
 
-    def run(self, cells: DataFrame, metadata: DataFrame, gtf: DataFrame | None = None, key: str = "") -> dict[str, DataFrame]:
+    def run(self, cells: DataFrame, metadata: DataFrame, annotation: tuple[DataFrame, DataFrame] | None = None, key: str = "") -> dict[str, DataFrame]:
         """clustered, filtered, psi, results and, with min_delta_psi, psi_filtered."""
         p = self.parameters
         metadata = samples.valid_samples(metadata).withColumn("group", F.col(p.group_col).cast("string"))
-        clustered = self._stage("clustered", key, lambda: self.clustered(cells, metadata, gtf))
+        clustered = self._stage("clustered", key, lambda: self.clustered(cells, metadata, annotation))
         filtered = self._stage("filtered", key, lambda: self.filtered(clustered))
         present = metadata.join(filtered.select("sample_id").distinct(), "sample_id", "left_semi")
         local = present.toPandas()  # a row per sample
@@ -114,11 +111,19 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     cells = counts.unpivot_matrix(readers.read_matrix(spark, matrix))
     meta = readers.read_metadata(spark, metadata)
     engine = SpliceEngine(spark, parameters, None if force else f"{output}/stages")
-    found = engine.run(cells, meta, readers.read_gtf(spark, gtf) if gtf else None, f"{matrix} {metadata} {gtf}")
+    notes = annotation.load(spark, gtf, None if force else f"{output}/annotation") if gtf else None
+    found = engine.run(cells, meta, notes, f"{matrix} {metadata} {gtf}")
     writers.write_results(found["results"], f"{output}/results")
     names = counts.sample_names(found["filtered"])
-    writers.write_tsv(counts.pivot_matrix(found["filtered"], names), f"{output}/introns_filtered")
+    kept = found["filtered"]
+    wide = lambda column: kept.groupBy("intron_id").pivot("sample_id", names).agg(F.first(column))
+    writers.write_tsv(wide("count"), f"{output}/model_counts")
+    writers.write_tsv(wide("shared_total"), f"{output}/shared_offsets")
+    writers.write_tsv(kept.withColumn("o", clusters.log_offset()).groupBy("intron_id").pivot("sample_id", names).agg(F.first("o")), f"{output}/model_offsets")
+    noted = [c for c in ("chrom", "start", "end", "strand", "splice_pair", "flag", "donor_cluster", "acceptor_cluster", "gene_name", "intron_status", "overlapping_genes") if c in kept.columns]
+    writers.write_tsv(kept.select("intron_id", *noted).distinct(), f"{output}/model_annotations")
     writers.write_tsv(found["psi"].groupBy("intron_id").pivot("sample_id", names).agg(F.first("psi")), f"{output}/psi_values")
     if "psi_filtered" in found:
         writers.write_tsv(found["psi_filtered"], f"{output}/psi_filtered")
+    writers.write_tsv(fdr.volcano(found["results"]), f"{output}/diagnostics_volcano")
     return found

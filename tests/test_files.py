@@ -74,3 +74,71 @@ def test_pipeline_resumes(spark, tmp_path):
     key = f"{tmp_path}/m.tsv {tmp_path}/s.tsv None"
     engine._stage("psi", key, lambda: pytest.fail("the stage was there"))
     assert cells.count() == 360
+
+
+def bam_bytes() -> bytes:
+    """A small BAM: two references; a spliced read, a secondary one and an unmapped one."""
+    import struct
+
+    def record(ref: int, pos: int, mapq: int, flag: int, ops: list[tuple[int, str]]) -> bytes:
+        packed = b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(k)) for n, k in ops)
+        body = struct.pack("<iiBBHHHiiii", ref, pos, 3, mapq, 0, len(ops), flag, 4, -1, -1, 0) + b"r1\0" + packed + b"\0\0" + b"\0" * 4
+        return struct.pack("<i", len(body)) + body
+
+    names = b"".join(struct.pack("<i", len(n) + 1) + n + b"\0" + struct.pack("<i", 100) for n in (b"chr1", b"chr2"))
+    spliced = [(2, "M"), (6, "N"), (2, "M")]
+    return b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 2) + names + record(0, 2, 60, 0, spliced) + record(0, 2, 60, 256, spliced) + record(-1, -1, 0, 4, [])
+
+
+def test_bam_is_read_like_sam(spark, tmp_path):
+    from junctura.sources import bam
+
+    with gzip.open(tmp_path / "s1.bam", "wb") as f:
+        f.write(bam_bytes())
+    reads = bam.read_bam(spark, [str(tmp_path / "s1.bam"), f"file://{tmp_path}/s1.bam"])
+    assert sorted({tuple(r) for r in reads.collect()}) == [("s1", 0, "chr1", 3, 60, "2M6N2M"), ("s1", 4, "*", 0, 0, "*"), ("s1", 256, "chr1", 3, 60, "2M6N2M")]
+    assert [(r.chrom, r.start, r.end, r["count"]) for r in counts.count_junctions(reads).collect()] == [("chr1", 5, 10, 2)]
+    with gzip.open(tmp_path / "bad.bam", "wb") as f:
+        f.write(bam_bytes()[:-3])
+    with pytest.raises(Exception, match="cut short"):
+        bam.read_bam(spark, [str(tmp_path / "bad.bam")]).collect()
+
+
+def test_annotation_tables_are_kept(spark, tmp_path):
+    from junctura.sources import annotation
+
+    gtf = tmp_path / "a.gtf"
+    line = 'chr1\tx\texon\t{}\t{}\t.\t+\t.\tgene_id "{}"; transcript_id "t1";\n'
+    gtf.write_text(line.format(1, 9, "g1") + line.format(20, 30, "g1"))
+    first = annotation.load(spark, str(gtf), str(tmp_path / "cache"))
+    assert [(r.start, r.end, r.genes) for r in first[0].collect()] == [(10, 19, ["g1"])]
+    gtf.write_text(line.format(1, 9, "g2") + line.format(20, 30, "g2"))
+    import os
+    import time
+
+    os.utime(gtf, (1, 1))  # older than the tables, so they are used
+    assert annotation.load(spark, str(gtf), str(tmp_path / "cache"))[0].first().genes == ["g1"]
+    os.utime(gtf, (time.time() + 99, time.time() + 99))
+    assert annotation.load(spark, str(gtf), str(tmp_path / "cache"))[0].first().genes == ["g2"]
+
+
+def test_commands(spark, tmp_path):
+    from junctura.__main__ import main
+
+    with gzip.open(tmp_path / "s1.bam", "wb") as f:
+        f.write(bam_bytes())
+    (tmp_path / "g.fa").write_text(">chr1\nACACGTAAAGGG\n>chr2\nACGT\n")
+    main(["count", "--genome_fa", str(tmp_path / "g.fa"), "--alignments", str(tmp_path / "s1.bam"), "--output", str(tmp_path / "counted")])
+    assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/counted", sep="\t", header=True).collect()] == [("chr1:5-10", "GT--AG", "OK", "1", "s1")]
+    (tmp_path / "x1.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t3\n")
+    main(["matrix", "--intron_files", str(tmp_path / "x1.tsv"), "--output", str(tmp_path / "wide")])
+    assert [tuple(r) for r in readers.read_matrix(spark, str(tmp_path / "wide")).collect()] == [("chr1:5-9^GT--AG^OK", 3)]
+    rows = [("i1", "c1", 1.5, 1e-6, 1e-5, True), ("i2", "c1", -1.0, 0.5, 0.6, False), ("i3", "c2", 0.5, 0.9, 0.9, False)]
+    results = spark.createDataFrame(rows, "intron_id string, cluster string, logFC double, PValue double, FDR double, significant boolean")
+    writers.write_tsv(results, str(tmp_path / "r"))
+    main(["aggregate", "--results", str(tmp_path / "r"), "--output", str(tmp_path / "agg"), "--method", "fisher"])
+    assert readers.read_results(spark, f"{tmp_path}/agg.clusters").count() == 2
+    assert readers.read_results(spark, f"{tmp_path}/agg.significant_cluster_introns").count() == 2
+    main(["integrate", "--donor", str(tmp_path / "r"), "--acceptor", str(tmp_path / "r"), "--output", str(tmp_path / "int")])
+    assert readers.read_results(spark, f"{tmp_path}/int.significant").count() == 1
+    assert readers.read_results(spark, f"{tmp_path}/int.summary").first().tested_both == 3
