@@ -1,12 +1,13 @@
 """Negative-binomial test of usage with offsets, in Arrow batches.
 
-log mu = X beta + log(total + 0.5). Two distributed passes with a small step on
-the driver between them:
+log mu = X beta + log(total + 0.5). Three distributed passes over a table of one
+row per intron, with a small step on the driver between them:
 
 1. per intron, the adjusted profile likelihood (Cox-Reid) over a grid of
    dispersions; its sums by abundance give the common and trended dispersion;
-2. per intron, the fit at the trended dispersion, a quasi-likelihood dispersion
-   that is squeezed towards the prior, and an F test of every contrast.
+2. per intron, the quasi-likelihood dispersion at the trend; sums give its prior;
+3. per intron, the dispersion squeezed towards the prior and an F test of every
+   contrast.
 
 The fit does not depend on the contrast, so all contrasts share one pass. The
 driver gets sums over introns by abundance bin alone. Parity with other
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from junctura.checkpoints import checkpointed
 from junctura.functions.special import digamma, f_tail, lgamma, trigamma, trigamma_inverse
 from junctura.operators.fdr import bh_fdr, flag_significant
 from junctura.operators.samples import contrast_label, parse_contrast, valid_name
@@ -76,13 +78,13 @@ def contrast_vector(plan: Design, contrast: str) -> np.ndarray:
     return vector
 
 
-def fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, phi: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+def fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, phi: np.ndarray, rounds: int = 40, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients and means of all rows by weighted least squares, halved where the deviance would rise."""
     phi = np.asarray(phi, float)[:, None]
-    start = np.log((y + 0.5) / np.exp(offset))
-    beta = np.linalg.lstsq(x, start.T, rcond=None)[0].T
+    if beta is None:
+        beta = np.linalg.lstsq(x, np.log((y + 0.5) / np.exp(offset)).T, rcond=None)[0].T
     mean = lambda b: np.exp(np.clip(b @ x.T + offset, -30, 30))
-    mu, last = mean(beta), None
+    mu = mean(beta)
     last = deviance(y, mu, phi)
     for _ in range(rounds):
         w = mu / (1 + phi * mu)
@@ -115,9 +117,9 @@ def deviance(y: np.ndarray, mu: np.ndarray, phi: np.ndarray) -> np.ndarray:
 
 def profile(y: np.ndarray, offset: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Adjusted profile log likelihood of every row at every dispersion of the grid."""
-    out = np.empty((len(y), len(GRID)))
+    out, beta = np.empty((len(y), len(GRID))), None
     for k, phi in enumerate(GRID):
-        _, mu = fit(y, offset, x, np.full(len(y), phi), 12)
+        beta, mu = fit(y, offset, x, np.full(len(y), phi), 12, beta)  # from the last dispersion's fit
         size = 1 / phi
         logl = lgamma(y + size) - lgamma(np.array(size)) - lgamma(y + 1.0) + size * np.log(size / (size + mu)) + y * np.log(mu / (size + mu))
         w = mu / (1 + phi * mu)
@@ -149,7 +151,10 @@ def model_input(cells: DataFrame, plan: Design) -> DataFrame:
     """
     order = F.create_map(*[c for i, s in enumerate(plan.samples) for c in (F.lit(s), F.lit(i))])
     known = cells.where(F.col("sample_id").isin(plan.samples)).withColumn("__i", F.element_at(order, F.col("sample_id")))
-    packed = known.groupBy("intron_id").agg(F.array_sort(F.collect_list(F.struct("__i", F.col("count").cast("double").alias("c"), F.log(F.col("shared_total") + 0.5).alias("o")))).alias("all"))
+    # The fit is heavy on processors while its rows are few bytes, so rows go to
+    # all cores rather than to partitions of a given size.
+    parts = max(2 * cells.sparkSession.sparkContext.defaultParallelism, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    packed = known.repartition(parts, "intron_id").groupBy("intron_id").agg(F.array_sort(F.collect_list(F.struct("__i", F.col("count").cast("double").alias("c"), F.log(F.col("shared_total") + 0.5).alias("o")))).alias("all"))
     whole = F.assert_true(F.size("all") == len(plan.samples), F.lit("an intron lacks samples of the design"))
     return packed.select("intron_id", F.when(whole.isNull(), F.col("all.c")).alias("counts"), F.col("all.o").alias("offsets"))
 
@@ -158,34 +163,105 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(pdf["counts"].to_numpy()), np.stack(pdf["offsets"].to_numpy())
 
 
-def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
-    """logFC, logCPM, F, PValue, FDR (within the contrast) and significant of each intron and contrast.
-
-    ``cells`` are the long counts with shared_total; they are read twice, so a
-    caller with a costly plan writes them out first.
-    """
+@dataclass
+class Fitted:
+    """What the passes over all introns have found; per-intron values are made from it on demand."""
+
+    rows: DataFrame
+    plan: Design
+    library: np.ndarray
+    common: float
+    trend: np.ndarray
+    df: int
+    prior_df: float
+    prior_scale: float
+
+    def abundance(self, y: np.ndarray) -> np.ndarray:
+        return _abundance(y, self.library)
+
+    def fitted(self, y: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Level, dispersion, coefficients, means, deviance and squeezed quasi-likelihood dispersion."""
+        level = self.abundance(y)
+        phi = self.trend[_bin_of(level)]
+        beta, mu = fit(y, offset, self.plan.matrix, phi)
+        dev = deviance(y, mu, phi[:, None])
+        return level, phi, beta, mu, dev, (self.prior_df * self.prior_scale + dev) / (self.prior_df + self.df)
+
+    def parameters(self) -> DataFrame:
+        """Per intron: logCPM, dispersion, quasi-likelihood dispersions before and after squeezing, and coefficients in the order of the design."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                y, offset = _arrays(pdf)
+                level, phi, beta, _, dev, s2 = self_.fitted(y, offset)
+                yield pd.DataFrame({"intron_id": pdf["intron_id"], "logCPM": level, "dispersion": phi, "ql_raw": dev / self_.df, "ql_squeezed": s2, "coefficients": list(beta)})
+
+        self_ = self._local()
+        return self.rows.mapInPandas(run, "intron_id string, logCPM double, dispersion double, ql_raw double, ql_squeezed double, coefficients array<double>")
+
+    def diagnostics(self) -> DataFrame:
+        """Points of the dispersion plots: logCPM against the roots of the dispersions."""
+        root = lambda c: F.sqrt(c)
+        return self.parameters().select("intron_id", "logCPM", root("dispersion").alias("bcv"), root("ql_raw").alias("root_ql_raw"), root("ql_squeezed").alias("root_ql_squeezed"))
+
+    def _local(self) -> Fitted:
+        """Itself without the DataFrame, to send to workers."""
+        return replace(self, rows=None)
+
+    def test(self, contrasts: list[str], fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
+        """logFC, logCPM, F, PValue, FDR (within the contrast) and significant of each intron and contrast, in one pass."""
+        x, vectors = self.plan.matrix, {contrast_label(c): contrast_vector(self.plan, c) for c in contrasts}
+        self_ = self._local()
+
+        def tests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                y, offset = _arrays(pdf)
+                level, phi, _, mu, full, s2 = self_.fitted(y, offset)
+                # Fold changes of introns without reads in a group stay finite.
+                more = PRIOR_COUNT * self_.library / self_.library.mean()
+                steady, _ = fit(y + more, np.log(np.exp(offset) + 2 * more), x, phi)
+                for name, c in vectors.items():
+                    # The null model keeps the directions that the contrast doesn't see.
+                    free = np.linalg.svd(c[None, :])[2][1:].T
+                    _, mu0 = fit(y, offset, x @ free, phi) if free.shape[1] else (None, np.exp(offset))
+                    f = np.maximum(deviance(y, mu0, phi[:, None]) - full, 0) / s2
+                    p = f_tail(f, 1, np.full(len(f), self_.prior_df + self_.df))
+                    # Where the variance falls below that of counts themselves,
+                    # the test may not be surer than one with Poisson variance.
+                    low = np.flatnonzero((s2[:, None] * (1 + phi[:, None] * mu)).min(axis=1) < 1)
+                    if len(low):
+                        p[low] = np.maximum(p[low], _poisson_p(y[low], offset[low], x, free))
+                    yield pd.DataFrame({"intron_id": pdf["intron_id"], "contrast": name, "logFC": steady @ c / np.log(2), "logCPM": level, "F": f, "PValue": p})
+
+        return flag_significant(bh_fdr(self.rows.mapInPandas(tests, RESULT), "PValue", ("contrast",)), fdr, min_log_fc)
+
+
+def _abundance(y: np.ndarray, library: np.ndarray) -> np.ndarray:
+    return np.log2(((y + 0.5) / (library + 1) * 1e6).mean(axis=1))
+
+
+def _bin_of(level: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(level + 4), 0, BINS - 1).astype(int)
+
+
+def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", batch: str | None = None) -> Fitted:
+    """Dispersions and their prior from long counts with shared_total, in two passes over a table of one row per intron."""
     plan = design(metadata, group, batch)
-    x, vectors = plan.matrix, {contrast_label(c): contrast_vector(plan, c) for c in contrasts}
-    rows = model_input(cells, plan)
-    sizes = {r.sample_id: float(r.n) for r in cells.groupBy("sample_id").agg(F.sum("count").alias("n")).collect()}
-    library = np.array([max(sizes.get(s, 0.0), 1.0) for s in plan.samples])
-    df = x.shape[0] - x.shape[1]
+    x, df = plan.matrix, plan.matrix.shape[0] - plan.matrix.shape[1]
     if df < 1:
         raise ValueError("no residual degrees of freedom")
-
-    def abundance(y: np.ndarray) -> np.ndarray:
-        return np.log2(((y + 0.5) / (library + 1) * 1e6).mean(axis=1))
-
-    def bin_of(level: np.ndarray) -> np.ndarray:
-        return np.clip(np.floor(level + 4), 0, BINS - 1).astype(int)
+    rows = checkpointed(model_input(cells, plan))
+    sums = rows.select(F.posexplode("counts").alias("i", "c")).groupBy("i").agg(F.sum("c").alias("n")).collect()
+    sizes = {r.i: float(r.n) for r in sums}
+    library = np.array([max(sizes.get(i, 0.0), 1.0) for i in range(len(plan.samples))])
 
     def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
+        held: dict[int, np.ndarray] = {}
         for pdf in batches:
             y, offset = _arrays(pdf)
-            for b, row in zip(bin_of(abundance(y)), np.c_[profile(y, offset, x), np.ones(len(y))]):
-                sums[b] = sums.get(b, 0) + row
-        yield pd.DataFrame({"bin": list(sums), "sums": [list(v) for v in sums.values()]})
+            for b, row in zip(_bin_of(_abundance(y, library)), np.c_[profile(y, offset, x), np.ones(len(y))]):
+                held[b] = held.get(b, 0) + row
+        yield pd.DataFrame({"bin": list(held), "sums": [list(v) for v in held.values()]})
 
     # A row per task and bin; the driver gets BINS rows.
     total = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(len(GRID) + 1)]
@@ -201,41 +277,18 @@ def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group:
     def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             y, offset = _arrays(pdf)
-            phi = trend[bin_of(abundance(y))]
+            phi = trend[_bin_of(_abundance(y, library))]
             _, mu = fit(y, offset, x, phi)
-            s2 = np.maximum(deviance(y, mu, phi[:, None]) / df, 1e-6)
-            e = np.log(s2) - digamma(df / 2) + np.log(df / 2)
+            e = np.log(np.maximum(deviance(y, mu, phi[:, None]) / df, 1e-6)) - digamma(df / 2) + np.log(df / 2)
             yield pd.DataFrame({"n": [float(len(e))], "e": [e.sum()], "ee": [(e * e).sum()]})
 
     n, e, ee = rows.mapInPandas(squares, "n double, e double, ee double").agg(F.sum("n"), F.sum("e"), F.sum("ee")).first()
     n, mean = n or 0.0, (e or 0.0) / max(n or 1.0, 1.0)
-    spread = (ee / n - mean * mean) * n / (n - 1) - trigamma(df / 2) if n and n > 2 else 0.0
-    df0 = 2 * trigamma_inverse(spread) if spread > 1e-8 else 1e6
-    df0 = min(df0, 1e6)
-    s0 = float(np.exp(mean + digamma(df0 / 2) - np.log(df0 / 2)))
+    spread = (ee / n - mean * mean) * n / (n - 1) - trigamma(df / 2) if n > 2 else 0.0
+    prior_df = min(2 * trigamma_inverse(spread), 1e6) if spread > 1e-8 else 1e6
+    return Fitted(rows, plan, library, common, trend, df, prior_df, float(np.exp(mean + digamma(prior_df / 2) - np.log(prior_df / 2))))
 
-    def tests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            y, offset = _arrays(pdf)
-            level = abundance(y)
-            phi = trend[bin_of(level)]
-            _, mu = fit(y, offset, x, phi)
-            full = deviance(y, mu, phi[:, None])
-            s2 = (df0 * s0 + full) / (df0 + df)
-            # Fold changes of introns without reads in a group stay finite.
-            more = PRIOR_COUNT * library / library.mean()
-            steady, _ = fit(y + more, np.log(np.exp(offset) + 2 * more), x, phi)
-            for name, c in vectors.items():
-                # The null model keeps the directions that the contrast doesn't see.
-                free = np.linalg.svd(c[None, :])[2][1:].T
-                _, mu0 = fit(y, offset, x @ free, phi) if free.shape[1] else (None, np.exp(offset))
-                f = np.maximum(deviance(y, mu0, phi[:, None]) - full, 0) / s2
-                p = f_tail(f, 1, np.full(len(f), df0 + df))
-                # Where the variance falls below that of counts themselves, the
-                # test may not be surer than one with Poisson variance.
-                low = np.flatnonzero((s2[:, None] * (1 + phi[:, None] * mu)).min(axis=1) < 1)
-                if len(low):
-                    p[low] = np.maximum(p[low], _poisson_p(y[low], offset[low], x, free))
-                yield pd.DataFrame({"intron_id": pdf["intron_id"], "contrast": name, "logFC": steady @ c / np.log(2), "logCPM": level, "F": f, "PValue": p})
-
-    return flag_significant(bh_fdr(rows.mapInPandas(tests, RESULT), "PValue", ("contrast",)), fdr, min_log_fc)
+
+def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
+    """Estimate once and test all contrasts."""
+    return estimate(cells, metadata, group, batch).test(contrasts, fdr, min_log_fc)

@@ -85,7 +85,15 @@ class SpliceEngine:
         local = present.toPandas()  # a row per sample
         wanted = self.contrasts(present)
         values = self._stage("psi", key, lambda: psi.psi_values(filtered))
-        tested = self._stage("tested", key, lambda: glm.test(filtered, local, wanted, "group", p.batch_col, p.fdr_threshold, p.min_logFC))
+        fitted: list[glm.Fitted] = []
+
+        def estimate() -> glm.Fitted:
+            if not fitted:
+                fitted.append(glm.estimate(filtered, local, "group", p.batch_col))
+            return fitted[0]
+
+        tested = self._stage("tested", key, lambda: estimate().test(wanted, p.fdr_threshold, p.min_logFC))
+        fits = self._stage("fits", key, lambda: estimate().parameters())
 
         named = [c for c in ("gene_name", "intron_status", "overlapping_genes") if c in filtered.columns]
         if named:
@@ -100,7 +108,7 @@ class SpliceEngine:
                 delta = psi.delta_psi(values, present, first, others)
                 part = tested.where(F.col("contrast") == samples.contrast_label(contrast)).join(delta, "intron_id", "left")
                 results = part if results is None else results.unionByName(part)
-        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "results": results}
+        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "results": results, "fits": fits}
         if p.min_delta_psi and "delta_psi" in results.columns:
             out["psi_filtered"] = fdr.refilter(results, p.min_delta_psi)
         return out
@@ -126,4 +134,6 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     if "psi_filtered" in found:
         writers.write_tsv(found["psi_filtered"], f"{output}/psi_filtered")
     writers.write_tsv(fdr.volcano(found["results"]), f"{output}/diagnostics_volcano")
+    if (fits := found.get("fits")) is not None:
+        fits.write.mode("overwrite").parquet(f"{output}/fits")
     return found

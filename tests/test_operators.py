@@ -185,5 +185,7 @@ def test_model_on_simulated_counts(spark):
     null, real = got.iloc[60:], got.iloc[:60]
     assert 0.35 < null["PValue"].mean() < 0.65 and null["significant"].mean() < 0.03
     assert real["significant"].mean() > 0.5 and (real["logFC"] > 0).mean() > 0.95
+    table = glm.estimate(cells, meta).parameters().toPandas()
+    assert len(table) == n and (table["dispersion"] > 0).all() and all(len(c) == 2 for c in table["coefficients"])
     with pytest.raises(ValueError):
         glm.design(meta.assign(batch=groups), "group", "batch")
