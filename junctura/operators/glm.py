@@ -78,6 +78,12 @@ def contrast_vector(plan: Design, contrast: str) -> np.ndarray:
     return vector
 
 
+def _information(w: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """X' W X of every row of weights, kept invertible."""
+    k = x.shape[1]
+    return (w @ (x[:, :, None] * x[:, None, :]).reshape(len(x), k * k)).reshape(-1, k, k) + 1e-9 * np.eye(k)
+
+
 def fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, phi: np.ndarray, rounds: int = 40, beta: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients and means of all rows by weighted least squares, halved where the deviance would rise."""
     phi = np.asarray(phi, float)[:, None]
@@ -88,8 +94,7 @@ def fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, phi: np.ndarray, round
     last = deviance(y, mu, phi)
     for _ in range(rounds):
         w = mu / (1 + phi * mu)
-        lhs = np.einsum("mi,ia,ib->mab", w, x, x) + 1e-9 * np.eye(x.shape[1])
-        step = np.linalg.solve(lhs, np.einsum("mi,ia->ma", w * (y - mu) / mu, x)[..., None])[..., 0]
+        step = np.linalg.solve(_information(w, x), ((w * (y - mu) / mu) @ x)[..., None])[..., 0]
         step = np.clip(step, -5, 5)
         for _ in range(6):
             now = mean(beta + step)
@@ -123,7 +128,7 @@ def profile(y: np.ndarray, offset: np.ndarray, x: np.ndarray) -> np.ndarray:
         size = 1 / phi
         logl = lgamma(y + size) - lgamma(np.array(size)) - lgamma(y + 1.0) + size * np.log(size / (size + mu)) + y * np.log(mu / (size + mu))
         w = mu / (1 + phi * mu)
-        out[:, k] = logl.sum(axis=1) - 0.5 * np.linalg.slogdet(np.einsum("mi,ia,ib->mab", w, x, x) + 1e-9 * np.eye(x.shape[1]))[1]
+        out[:, k] = logl.sum(axis=1) - 0.5 * np.linalg.slogdet(_information(w, x))[1]
     return out
 
 
