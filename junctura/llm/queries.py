@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,8 +104,32 @@ def _url_sql() -> str:
         FROM split"""
 
 
+def _license_sql() -> str:
+    """Every window of every size, with the containment of each template in it."""
+    from itertools import chain
+
+    def rows(name: str, text: str) -> list[tuple[str, int, str, int]]:
+        words = [w for w in re.split("[^a-z0-9]+", text.lower()) if w]
+        own = {" ".join(words[i : i + licences.SHINGLE]) for i in range(len(words) - licences.SHINGLE + 1)}
+        return [(name, licences.window_of(len(own)), shingle, len(own)) for shingle in sorted(own)]
+
+    values = ", ".join(str(r) for r in chain.from_iterable(rows(*t) for t in sorted(licences.TEMPLATES.items())))
+    last = licences.SHINGLE - 1
+    return f"""
+        WITH need(license, size, shingle, n) AS (VALUES {values}),
+        word AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
+        place AS (SELECT doc_id, unnest(range(0, len(w) - {last})) AS p, unnest(list_transform(range(1, len(w) - {last} + 1), lambda i: array_to_string(w[i:i + {last}], ' '))) AS shingle
+            FROM word WHERE len(w) > {last}),
+        hit AS (SELECT doc_id, license, size, n, shingle, p, unnest([p // (size // 2), p // (size // 2) - 1]) AS number FROM place JOIN need USING (shingle)),
+        held AS (SELECT doc_id, license, number, count(DISTINCT shingle) / CAST(any_value(n) AS DOUBLE) AS containment, min(p) AS start_word, max(p) + {licences.SHINGLE} AS end_word
+            FROM hit WHERE number >= 0 GROUP BY doc_id, license, number HAVING containment >= {licences.CONTAINED}),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DESC, start_word, end_word DESC) AS rank FROM held)
+        SELECT doc_id, license, containment, start_word, end_word FROM ranked WHERE rank = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op10_licenses": _license_sql(),
         "op4_url_filter": _url_sql(),
         "op5_exact_dedup": f"""
             WITH plain AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS body FROM documents)
