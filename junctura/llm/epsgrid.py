@@ -41,16 +41,19 @@ LEAST, MOST = 1024, 32_768  # vectors of an interval
 SLACK = 1e-6
 
 
-def unit(vector: list | None, size: int) -> bytes | None:
-    """The vector over its norm in double precision, or None if it can't link."""
+def clean(vector: list | None, size: int, kind: str) -> bytes | None:
+    """The vector's bytes, or None if it can't link."""
     if vector is None or len(vector) != size or any(x is None for x in vector):
         return None
-    v = np.array(vector, np.float64)
-    top = np.abs(v).max(initial=0.0)
-    if not np.isfinite(top) or top == 0:
-        return None
-    v = v / top
-    return (v / np.sqrt(v @ v) + 0.0).tobytes()
+    v = np.array(vector, kind) + 0
+    return v.tobytes() if np.isfinite(v).all() and v.any() else None
+
+
+def units(raw: list[bytes] | bytes, size: int, kind: str) -> np.ndarray:
+    """Vectors over their norms, in double precision."""
+    v = np.frombuffer(raw if isinstance(raw, bytes) else b"".join(raw), kind).reshape(-1, size).astype(np.float64)
+    v /= np.abs(v).max(axis=1, initial=1e-300)[:, None]
+    return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
 def _box(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,20 +90,16 @@ def _join(x: np.ndarray, y: np.ndarray, a: tuple[int, int], b: tuple[int, int],
         yield from _join(x, y, a, (h, b[1]), least, eps)
 
 
-def _floats(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, size)
-
-
-def _pairs(batches: Iterator[pa.RecordBatch], size: int, axes: np.ndarray, least: float, eps: float) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch], size: int, kind: str, axes: np.ndarray, least: float, eps: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
-            own = [batch.column(c)[k].as_py() for c in ("nodes1", "units1", "counts1")]
+            own = [batch.column(c)[k].as_py() for c in ("nodes1", "raws1", "counts1")]
             if same := batch.column("i")[k].as_py() == batch.column("j")[k].as_py():
-                nodes, units, counts = own
+                nodes, raws, counts = own
             else:
-                nodes, units, counts = (p + batch.column(c)[k].as_py() for p, c in zip(own, ("nodes2", "units2", "counts2")))
+                nodes, raws, counts = (p + batch.column(c)[k].as_py() for p, c in zip(own, ("nodes2", "raws2", "counts2")))
             nodes = np.frombuffer(nodes, np.uint8).reshape(-1, 16)
-            x, counts = np.frombuffer(units, np.float64).reshape(-1, size), np.frombuffer(counts, np.int64)
+            x, counts = units(raws, size, kind), np.frombuffer(counts, np.int64)
             y, m = x @ axes, len(own[0]) // 16
             label, links = np.arange(len(x)), np.zeros(len(x), np.int64)
             for a, b in _join(x, y, (0, m), (0, m) if same else (m, len(x)), least, eps):
@@ -116,30 +115,32 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     eps = math.sqrt(max(1e-12, 2 - 2 * cosine))
-    raw = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
+    single = vectors.select(F.col(f"`{vector_col}`")).dtypes[0][1] == "array<float>"
+    kind = "<f4" if single else "<f8"  # vectors travel as they are
+    raw = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<float>" if single else "array<double>").alias("v"))
     common = raw.where("size(v) > 0").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     size = common.n if common else 1
 
-    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([unit(v, size) for v in batch.column(1).to_pylist()], pa.binary())], ["vec_id", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([clean(v, size, kind) for v in batch.column(1).to_pylist()], pa.binary())], ["vec_id", "raw"])
 
-    rows = raw.mapInArrow(units, "vec_id long, unit binary").withColumn("node", F.unhex(F.md5("unit")))
+    rows = raw.mapInArrow(cleaned, "vec_id long, raw binary").withColumn("node", F.unhex(F.md5("raw")))
     rows = checkpointed(rows)
-    nodes = rows.where("unit is not null").groupBy("node").agg(F.first("unit").alias("unit"), F.count("*").alias("n"), F.min("vec_id").alias("first"))
+    nodes = rows.where("raw is not null").groupBy("node").agg(F.first("raw").alias("raw"), F.count("*").alias("n"), F.min("vec_id").alias("first"))
     nodes = checkpointed(nodes)
     total = nodes.count()
     interval = min(MOST, max(LEAST, -(-total // INTERVALS)))
-    sample = np.array([np.frombuffer(r.unit, np.float64) for r in nodes.orderBy("node").limit(SAMPLE).select("unit").collect()]).reshape(-1, size)
+    sample = units([bytes(r.raw) for r in nodes.orderBy("node").limit(SAMPLE).select("raw").collect()], size, kind)
     centred = sample - sample.mean(axis=0) if len(sample) else np.zeros((1, size))
     axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, : min(AXES, size)].copy()
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            y = _floats(batch.column(1), size) @ axes
+            y = units(batch.column(1).to_pylist(), size, kind) @ axes
             cells = np.floor(y[:, :CELLS] / max(eps, 1e-9)).clip(-120, 120) + 128
             fine = ((y[:, :CELLS].clip(-1, 1) + 1) * 127).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([*batch.columns, _binary(np.c_[cells.astype(np.uint8), fine])], ["node", "unit", "n", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _binary(np.c_[cells.astype(np.uint8), fine])], ["node", "raw", "n", "cell"])
 
     def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, []
@@ -147,15 +148,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         def cut(k: int, number: int) -> pa.RecordBatch:
             nonlocal held
             now, held = held[:k], held[k:]
-            y = np.frombuffer(b"".join(r[1] for r in now), np.float64).reshape(-1, size) @ axes
+            y = units([r[1] for r in now], size, kind) @ axes
             low, high = _box(y)
             row = (number, low.tolist(), high.tolist(), b"".join(r[0] for r in now), b"".join(r[1] for r in now), np.array([r[2] for r in now], np.int64).tobytes())
-            names = ["i", "low", "high", "nodes", "units", "counts"]
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names)
+            names = ["i", "low", "high", "nodes", "raws", "counts"]
+            types = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
         for batch in batches:
-            held += zip(batch.column("node").to_pylist(), batch.column("unit").to_pylist(), batch.column("n").to_pylist())
+            held += zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist(), batch.column("n").to_pylist())
             while len(held) >= interval:
                 yield cut(interval, number)
                 number += 1
@@ -163,10 +164,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             yield cut(len(held), number)
 
     order = ["cell", "node"]
-    keyed = nodes.select("node", "unit", "n").mapInArrow(ordered, "node binary, unit binary, n long, cell binary")
+    keyed = nodes.select("node", "raw", "n").mapInArrow(ordered, "node binary, raw binary, n long, cell binary")
     parts = max(1, -(-total // interval))
     blocks = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    blocks = checkpointed(blocks.mapInArrow(intervals, "i long, low array<double>, high array<double>, nodes binary, units binary, counts binary"))
+    blocks = checkpointed(blocks.mapInArrow(intervals, "i long, low array<double>, high array<double>, nodes binary, raws binary, counts binary"))
 
     # Intervals meet in the cells along the first axis that both reach; the pair
     # is formed in the first of them only.
@@ -177,14 +178,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     met = left.alias("l").join(right.alias("r"), F.expr("l.cell = r.cell and l.i <= r.i and l.cell = greatest(l.c1, r.c1)"))
     met = met.where(gap <= (eps + SLACK) ** 2).select(F.col("l.i").alias("i"), F.col("r.i").alias("j"))
     met = checkpointed(met)
-    own = ["nodes", "units", "counts"]
+    own = ["nodes", "raws", "counts"]
     met = met.join(blocks.select("i", *(F.col(c).alias(c + "1") for c in own)), "i")
     met = met.join(blocks.select(F.col("i").alias("j"), *(F.when(F.lit(True), F.col(c)).alias(c + "2") for c in own)), "j")
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, "2")  # each row holds two intervals
     try:
-        found = checkpointed(met.repartition("i", "j").mapInArrow(lambda b: _pairs(b, size, axes, cosine, eps), "a binary, b binary, links long"))
+        found = checkpointed(met.repartition("i", "j").mapInArrow(lambda b: _pairs(b, size, kind, axes, cosine, eps), "a binary, b binary, links long"))
     finally:
         spark.conf.set(key, before)
 
@@ -197,5 +198,5 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     ))
     return rows.join(named, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("unit").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("raw").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
