@@ -23,8 +23,9 @@ identifier unless the whole component has none; repeated rows are repeated.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,13 @@ from junctura.llm.common import checkpointed, components, small_batches
 from junctura.llm.contentsort import LOWER
 
 SEED = 42
-CHUNK = 1 << 14  # shingles whose bits are counted at once
+CHUNK = 1 << 12  # shingles whose bits are counted at once
 PIVOTS = 8
-LIMIT = 8192  # rows of a bucket that one task compares
+BUCKET = 4096  # rows of a bucket on average at most, in sampled tables
+LIMIT = 16384  # rows of a bucket that one task compares
 BLOCK = 64  # rows compared at once with the rest of their bucket
 PAIRS = 1 << 16  # pairs verified at once
+COARSE = 4  # words of 64 bits that are compared first
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -49,11 +52,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def fingerprint(text: bytes, shingle: int = 3, bits: int = 64) -> bytes:
+def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool = False) -> bytes:
     """Fingerprint of a text in UTF-8, most significant bit first.
 
     The first 64 bits come from XXH64 with seed 42 itself; further lanes are
-    mixed from it.
+    mixed from it. Repeated shingles count as often as they occur unless
+    ``distinct``.
     """
     words = text.translate(LOWER).split()
     if not words:
@@ -63,16 +67,18 @@ def fingerprint(text: bytes, shingle: int = 3, bits: int = 64) -> bytes:
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = [0, *(ends[: n - 1] + 1).tolist()]
     ends = ends[min(shingle, len(words)) - 1 :].tolist()
-    hashed, counts = map(xxhash.xxh64_intdigest, (body[a:b] for a, b in zip(starts, ends)), [SEED] * n), np.zeros(bits, np.int64)
-    while part := list(islice(hashed, CHUNK)):
-        h = np.array(part, np.uint64)
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, (body[a:b] for a, b in zip(starts, ends)), repeat(SEED)), np.uint64, n)
+    hashed = np.unique(hashed) if distinct else hashed
+    counts = np.zeros(bits, np.int64)
+    for i in range(0, len(hashed), CHUNK):
+        h = hashed[i : i + CHUNK]
         lanes = np.empty((len(h), bits // 64), ">u8")
         lanes[:, 0] = h
         with np.errstate(over="ignore"):
             for k in range(1, bits // 64):
                 lanes[:, k] = _mix(h + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1)))
         counts += np.unpackbits(lanes.view(np.uint8).reshape(len(h), -1), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > n).tobytes()
+    return np.packbits(2 * counts > len(hashed)).tobytes()
 
 
 def exact_tables(bits: int = 64, radius: int = 3) -> list[list[int]]:
@@ -88,10 +94,22 @@ def exact_tables(bits: int = 64, radius: int = 3) -> list[list[int]]:
     return out
 
 
-def sampled_tables(bits: int, width: int, seed: int = SEED) -> list[list[int]]:
-    """Disjoint random sets of ``width`` positions."""
-    order = np.random.default_rng(seed).permutation(bits)
-    return [order[i : i + width].tolist() for i in range(0, bits - width + 1, width)]
+def sampled_tables(bits: int, differ: float, count: int, missed: float = 0.03, seed: int = SEED) -> list[list[int]]:
+    """Random sets of positions, so many that a pair with a share ``differ`` of its bits apart agrees on none with probability ``missed``.
+
+    Sets are so wide that a bucket of ``count`` fingerprints' table has
+    ``BUCKET`` rows or fewer on average, 12 positions at least; they are disjoint
+    while the positions last.
+    """
+    width = max(12, math.ceil(math.log2(max(count, 1) / BUCKET)))
+    tables = math.ceil(math.log(missed) / math.log1p(-((1 - differ) ** width)))
+    rng, order, out = np.random.default_rng(seed), np.empty(0, int), []
+    while len(out) < tables:
+        if len(order) < width:
+            order = rng.permutation(bits)
+        out.append(order[:width].tolist())
+        order = order[width:]
+    return out
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -129,8 +147,18 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     count = np.diff(np.r_[start, n])
 
-    def far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64) > radius
+    # The first words alone rule out most pairs of long fingerprints: what they
+    # may differ in is the radius' share and four deviations more.
+    first = min(COARSE, words.shape[1])
+    share = radius / (64 * words.shape[1])
+    coarse = radius if first == words.shape[1] else 64 * first * share + 4 * (64 * first * share * (1 - share)) ** 0.5
+
+    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = np.bitwise_count(words[a, :first] ^ words[b, :first]).sum(axis=1, dtype=np.int64) <= coarse
+        if first < words.shape[1]:
+            some = np.flatnonzero(near)
+            near[some] = np.bitwise_count(words[a[some]] ^ words[b[some]]).sum(axis=1, dtype=np.int64) <= radius
+        return near
 
     # Small buckets together: every row against the one d places on.
     small = np.repeat(count <= 32, count)
@@ -138,7 +166,7 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
         a = np.flatnonzero(small[:-d] & (key[d:] == key[:-d]))
         if not len(a):
             break
-        a = a[~far(a, a + d)]
+        a = a[close(a, a + d)]
         _merge(label, a, a + d)
     for s, m in zip(start[count > 32], count[count > 32]):
         own = words[s : s + m]
@@ -154,12 +182,15 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             near = part[i:j, None] != part[None, i:end]
             for c in range(PIVOTS):
                 near &= np.abs(table[i:j, c, None] - table[None, i:end, c]) <= radius
-            a, b = np.nonzero(near)
-            a, b = a[a < b] + i, b[a < b] + i
+            apart = np.zeros(near.shape, np.uint16)
+            for c in range(first):
+                apart += np.bitwise_count(own[i:j, None, c] ^ own[None, i:end, c])
+            a, b = np.nonzero(near & (apart <= coarse))
+            a, b = order[a[a < b] + i] + s, order[b[a < b] + i] + s
             for k in range(0, len(a), PAIRS):
                 x, y = a[k : k + PAIRS], b[k : k + PAIRS]
-                close = np.bitwise_count(own[x] ^ own[y]).sum(axis=1, dtype=np.int64) <= radius
-                _merge(label, order[x[close]] + s, order[y[close]] + s)
+                linked = close(x, y)
+                _merge(label, x[linked], y[linked])
     return label
 
 
@@ -198,11 +229,11 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch], width: int, radius: int,
         yield found
 
 
-def _fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int) -> DataFrame:
+def _fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, bits: int, distinct: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(1).cast(pa.binary())
-            prints = [fingerprint(t.as_py() or b"", shingle, bits) for t in text]
+            prints = [fingerprint(t.as_py() or b"", shingle, bits, distinct) for t in text]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], ["doc_id", "print"])
 
     pair = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -243,18 +274,19 @@ def links(prints: DataFrame, bits: int, radius: int, tables: list[list[int]], li
 
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 64, radius: int = 3,
-    tables: list[list[int]] | None = None, limit: int = LIMIT,
+    distinct: bool = False, exact: bool = True, limit: int = LIMIT,
 ) -> DataFrame:
     """One row per document: doc_id, print (binary), component_id.
 
     component_id is the smallest doc_id reachable over links of fingerprints that
-    differ in at most ``radius`` bits. ``tables`` defaults to the exact cover of
-    the radius.
+    differ in at most ``radius`` bits. Not ``exact``, the tables are sampled and a
+    pair at the radius is missed with probability 0.03.
     """
     small_batches(docs.sparkSession)
-    prints = checkpointed(_fingerprints(docs, id_col, text_col, shingle, bits))
+    prints = checkpointed(_fingerprints(docs, id_col, text_col, shingle, bits, distinct))
     nodes = checkpointed(prints.groupBy("print").agg(F.min("doc_id").alias("first")))
-    parts = components(links(nodes.select("print"), bits, radius, tables or exact_tables(bits, radius), limit))
+    tables = exact_tables(bits, radius) if exact else sampled_tables(bits, radius / bits, nodes.count())
+    parts = components(links(nodes.select("print"), bits, radius, tables, limit))
     parts = parts.select(F.col("node").alias("print"), "label").join(nodes, "print")
     parts = checkpointed(parts)
     least = checkpointed(parts.groupBy("label").agg(F.min("first").alias("component_id")))
@@ -265,10 +297,11 @@ def simhash_groups(
     return prints.join(named, "print").select("doc_id", "print", "component_id")
 
 
-#: Similarity of 0.8 on five-word shingles: two sets of equal size with Jaccard
-#: 0.8 have cosine 0.889, an angle of 0.152 half turns, 39 of 256 bits.
-NEAR = {"shingle": 5, "bits": 256, "radius": 39}
-NEAR_WIDTH = 12
+#: Similarity of 0.8 on the sets of five-word shingles: two sets of equal size
+#: with Jaccard 0.8 have cosine 0.889, an angle of 0.152 half turns, 156 of 1024
+#: bits with a deviation of 11. The radius is the mean at 0.78, so that few pairs
+#: at 0.8 are missed.
+NEAR = {"shingle": 5, "bits": 1024, "radius": 164, "distinct": True}
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,6 +309,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows that share a doc_id count as one document; a null doc_id stays.
     """
-    found = simhash_groups(docs, id_col, text_col, tables=sampled_tables(NEAR["bits"], NEAR_WIDTH), **NEAR)
+    found = simhash_groups(docs, id_col, text_col, exact=False, **NEAR)
     gone = checkpointed(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
