@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def canonical(cells: DataFrame, keep_noncanonical: bool = False) -> DataFrame:
@@ -11,29 +12,39 @@ def canonical(cells: DataFrame, keep_noncanonical: bool = False) -> DataFrame:
 
 
 def low_count(cells: DataFrame, min_total: int = 10, min_samples: int = 2) -> DataFrame:
-    """Introns with enough reads in all and enough samples with any."""
-    passing = cells.groupBy("intron_id").agg(F.sum("count").alias("n"), F.count_if(F.col("count") > 0).alias("k"))
-    return cells.join(passing.where((F.col("n") >= min_total) & (F.col("k") >= min_samples)).select("intron_id"), "intron_id", "left_semi")
+    """Introns with enough reads in all and enough samples with any.
 
+    A window per intron; cells that come dealt by intron aren't moved for it.
+    """
+    intron = Window.partitionBy("intron_id")
+    flagged = cells.withColumn("__n", F.sum("count").over(intron)).withColumn("__k", F.count_if(F.col("count") > 0).over(intron))
+    return flagged.where((F.col("__n") >= min_total) & (F.col("__k") >= min_samples)).drop("__n", "__k")
 
-def passing_clusters(cells: DataFrame, cluster: str, min_count: int = 20, min_samples: int = 3) -> DataFrame:
-    """Clusters whose total reaches ``min_count`` in enough samples."""
-    totals = cells.groupBy(cluster, "sample_id").agg(F.sum("count").alias("n"))
-    return totals.groupBy(cluster).agg(F.count_if(F.col("n") >= min_count).alias("k")).where(F.col("k") >= min_samples).select(cluster)
+
+def passing(cells: DataFrame, cluster: str, out: str, min_count: int = 20, min_samples: int = 3) -> DataFrame:
+    """Cells with ``out``: whether their cluster's total reaches ``min_count`` in enough samples.
+
+    Rows are dealt by cluster once. The total of a sample is the sum over the
+    cluster's rows of that sample, counted at the first of them.
+    """
+    by_sample = Window.partitionBy(cluster).orderBy("sample_id")
+    total = F.sum("count").over(by_sample.rangeBetween(Window.currentRow, Window.currentRow))
+    once = F.row_number().over(by_sample) == F.rank().over(by_sample)
+    enough = cells.withColumn("__enough", once & (total >= min_count))
+    return enough.withColumn(out, F.count_if("__enough").over(Window.partitionBy(cluster)) >= min_samples).drop("__enough")
 
 
 def single_cluster(cells: DataFrame, cluster: str, min_count: int = 20, min_samples: int = 3) -> DataFrame:
     """Members of passing clusters of one kind; without that column all cells stay."""
     if cluster not in cells.columns:
         return cells
-    return cells.join(passing_clusters(cells, cluster, min_count, min_samples), cluster, "left_semi")
+    return passing(cells, cluster, "__passes", min_count, min_samples).where("__passes").drop("__passes")
 
 
 def cluster_flags(cells: DataFrame, min_count: int = 20, min_samples: int = 3) -> DataFrame:
     """Cells with donor_passes and acceptor_passes."""
     for kind in ("donor", "acceptor"):
-        ok = passing_clusters(cells, f"{kind}_cluster", min_count, min_samples).withColumn(f"{kind}_passes", F.lit(True))
-        cells = cells.join(ok, f"{kind}_cluster", "left").withColumn(f"{kind}_passes", F.coalesce(f"{kind}_passes", F.lit(False)))
+        cells = passing(cells, f"{kind}_cluster", f"{kind}_passes", min_count, min_samples)
     return cells
 
 
