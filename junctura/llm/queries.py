@@ -63,7 +63,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
-        "doc_id", (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
