@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Characters that part words: space and U+0009 to U+000D.
 WORD = r"[^ \t-\r]+"
+BATCH_BYTES = 8 << 20
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -24,10 +25,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of whole texts small, unless they are smaller already."""
+    """Keep Arrow batches of whole texts small in rows and bytes, unless they are smaller already."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) not in range(1, rows + 1):
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    told = spark.conf.get(key).removesuffix("b")
+    if not told.isdigit() or int(told) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def word_count(text) -> F.Column:
