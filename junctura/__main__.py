@@ -8,11 +8,12 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from junctura.operators import annotate as notes
 from junctura.operators import clusterstats, counts, integrate
 from junctura.operators.samples import listed
 from junctura.plans.pipeline import Parameters, run_files
+from junctura.shipping import ship
 from junctura.sources import annotation, bam, readers, writers
-from junctura.operators import annotate as notes
 
 COMMANDS = ("run", "count", "matrix", "aggregate", "integrate")
 
@@ -69,6 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         argv.insert(0, "run")
     a = vars(_parser().parse_args(argv))
     spark, command = SparkSession.builder.getOrCreate(), a.pop("command")
+    ship(spark)
     if command == "run":
         matrix, meta, output, gtf, force = (a.pop(k) for k in ("matrix", "samples", "output_dir", "gtf", "force_rerun"))
         a["control_groups"] = tuple(listed(a["control_groups"]))
