@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 # Characters that part words: space and U+0009 to U+000D.
 WORD = r"[^ \t-\r]+"
 BATCH_BYTES = 8 << 20
+ROWS_A_FILE = 50_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and continue from there.
 
     The folder is the session's own (spark.checkpoint.dir); a temporary one is
-    chosen only where the session names none, as in local tests.
+    chosen only where the session names none, as in local tests. Where a bound on
+    the number of rows is known, few files are written for few rows.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="junctura-checkpoint-"))
+    if rows is not None:
+        df = df.coalesce(1 + rows // ROWS_A_FILE)
     return df.checkpoint(eager=True)
 
 
@@ -40,13 +44,13 @@ def word_count(text) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     """One step of the star contraction on edges (u, v) with u > v."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     # Written out, both inputs of the join are plain exchanges, which adaptive
     # execution can split where a node has very many neighbours.
-    least = checkpointed(least)
+    least = checkpointed(least, rows)
     if large:
         moved = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -68,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == before or now[0] == 0:
             break
-        edges, before = checkpointed(_star(_star(edges, True), False)), now
+        edges, before = checkpointed(_star(_star(edges, True, now[0]), False, now[0]), now[0]), now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

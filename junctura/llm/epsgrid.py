@@ -189,13 +189,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     finally:
         spark.conf.set(key, before)
 
-    links = checkpointed(found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")))
-    parts_of = checkpointed(components(found.select("a", "b")).join(nodes.select("node", "first"), "node"))
-    least = checkpointed(parts_of.groupBy("label").agg(F.min("first").alias("component_id")))
+    links = checkpointed(found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), total)
+    parts_of = checkpointed(components(found.select("a", "b")).join(nodes.select("node", "first"), "node"), total)
+    least = checkpointed(parts_of.groupBy("label").agg(F.min("first").alias("component_id")), total)
     named = parts_of.join(least, "label").select("node", "component_id")
     named = checkpointed(nodes.join(links, "node", "left").join(named, "node", "left").select(
         "node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "first").alias("component_id")
-    ))
+    ), total)
     return rows.join(named, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("raw").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),

@@ -285,15 +285,14 @@ def simhash_groups(
     small_batches(docs.sparkSession)
     prints = checkpointed(_fingerprints(docs, id_col, text_col, shingle, bits, distinct))
     nodes = checkpointed(prints.groupBy("print").agg(F.min("doc_id").alias("first")))
-    tables = exact_tables(bits, radius) if exact else sampled_tables(bits, radius / bits, nodes.count())
+    n = nodes.count()
+    tables = exact_tables(bits, radius) if exact else sampled_tables(bits, radius / bits, n)
     parts = components(links(nodes.select("print"), bits, radius, tables, limit))
     parts = parts.select(F.col("node").alias("print"), "label").join(nodes, "print")
-    parts = checkpointed(parts)
-    least = checkpointed(parts.groupBy("label").agg(F.min("first").alias("component_id")))
-    linked = checkpointed(parts.join(least, "label").select("print", "component_id"))
-    named = checkpointed(
-        nodes.join(linked, "print", "left").select("print", F.coalesce("component_id", "first").alias("component_id"))
-    )
+    parts = checkpointed(parts, n)
+    least = checkpointed(parts.groupBy("label").agg(F.min("first").alias("component_id")), n)
+    linked = checkpointed(parts.join(least, "label").select("print", "component_id"), n)
+    named = checkpointed(nodes.join(linked, "print", "left").select("print", F.coalesce("component_id", "first").alias("component_id")), n)
     return prints.join(named, "print").select("doc_id", "print", "component_id")
 
 
