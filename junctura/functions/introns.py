@@ -11,8 +11,7 @@ MINUS = ("CT--AC", "CT--GC", "GT--AT")
 CANONICAL = PLUS + MINUS
 
 STRICT = r"^([^:^-]+):(\d+)-(\d+)\^([^^]+)\^([^^]+)$"
-BY_STRAND = r"^([^:]+):(\d+)-(\d+):([+-])$"
-BY_MOTIF = r"^([^:]+):(\d+)-(\d+)\^([ACGT]{2})--([ACGT]{2})\^"
+LENIENT = r"^([^:]+):(\d+)-(\d+)(?::([+-])$|\^([ACGT]{2})--([ACGT]{2})\^)"
 
 
 def strand_of(motif: Column) -> Column:
@@ -50,14 +49,11 @@ def parse_strict(intron_id: Column) -> Column:
 
 def parse_lenient(intron_id: Column) -> Column:
     """Struct chrom, start, end, strand for annotation; null where neither form fits."""
-    first = lambda k: F.regexp_extract(intron_id, BY_STRAND, k)
-    other = lambda k: F.regexp_extract(intron_id, BY_MOTIF, k)
-    shape = lambda part, strand: F.struct(
+    part = lambda k: F.regexp_extract(intron_id, LENIENT, k)
+    strand = F.when(part(4) != "", part(4)).otherwise(annotation_strand(part(5), part(6)))
+    return F.when(intron_id.rlike(LENIENT), F.struct(
         part(1).alias("chrom"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), strand.alias("strand")
-    )
-    return F.when(intron_id.rlike(BY_STRAND), shape(first, first(4))).when(
-        intron_id.rlike(BY_MOTIF), shape(other, annotation_strand(other(4), other(5)))
-    )
+    ))
 
 
 def cluster(chrom: Column, position: Column, strand: Column) -> Column:

@@ -93,7 +93,8 @@ def annotate(introns: DataFrame, annotated: DataFrame, index: DataFrame) -> Data
     if "intron_status" in introns.columns:
         return introns
     names = introns.select("intron_id").distinct().withColumn("__p", I.parse_lenient(F.col("intron_id"))).select("intron_id", "__p.*")
-    names = names.join(annotated.withColumn("__known", F.lit(True)), PLACE, "left")
+    # Dealt as the join needs it, identifiers are parsed once.
+    names = names.repartition(*PLACE).join(annotated.withColumn("__known", F.lit(True)), PLACE, "left")
     open_ones = names.where("__known is null and chrom is not null").select("intron_id", *PLACE)
     over = interval_join(open_ones, index, ["chrom", "strand"]).groupBy("intron_id").agg(F.array_sort(F.collect_set("gene_name")).alias("__over"))
     names = names.join(over, "intron_id", "left").withColumn("__all", F.coalesce("genes", "__over", F.array().cast("array<string>")))

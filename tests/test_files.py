@@ -142,3 +142,20 @@ def test_commands(spark, tmp_path):
     main(["integrate", "--donor", str(tmp_path / "r"), "--acceptor", str(tmp_path / "r"), "--output", str(tmp_path / "int")])
     assert readers.read_results(spark, f"{tmp_path}/int.significant").count() == 1
     assert readers.read_results(spark, f"{tmp_path}/int.summary").first().tested_both == 3
+
+
+def test_package_is_shipped_once(spark, monkeypatch):
+    from junctura import shipping
+
+    monkeypatch.setattr(shipping, "_SENT", set())
+    shipping.ship(spark)
+    assert not shipping._SENT  # PYTHONPATH names the folder
+    monkeypatch.setenv("PYTHONPATH", "")
+    sent = []
+    monkeypatch.setattr(spark.sparkContext, "addPyFile", sent.append)
+    shipping.ship(spark)
+    shipping.ship(spark)
+    assert len(sent) == 1 and sent[0].endswith(".zip")
+    import zipfile
+
+    assert "junctura/operators/glm.py" in zipfile.ZipFile(sent[0]).namelist()
