@@ -52,6 +52,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hashed_shingles(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of a text's word shingles in order; a text under ``shingle`` words is one."""
+    words = text.translate(LOWER).split()
+    if not words:
+        return np.empty(0, np.uint64)
+    body = b" ".join(words)
+    n = max(1, len(words) - shingle + 1)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = [0, *(ends[: n - 1] + 1).tolist()]
+    ends = ends[min(shingle, len(words)) - 1 :].tolist()
+    return np.fromiter(map(xxhash.xxh64_intdigest, (body[a:b] for a, b in zip(starts, ends)), repeat(SEED)), np.uint64, n)
+
+
 def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool = False) -> bytes:
     """Fingerprint of a text in UTF-8, most significant bit first.
 
@@ -59,15 +72,9 @@ def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool =
     mixed from it. Repeated shingles count as often as they occur unless
     ``distinct``.
     """
-    words = text.translate(LOWER).split()
-    if not words:
+    hashed = hashed_shingles(text, shingle)
+    if not len(hashed):
         return bytes(bits // 8)
-    body = b" ".join(words)
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = [0, *(ends[: n - 1] + 1).tolist()]
-    ends = ends[min(shingle, len(words)) - 1 :].tolist()
-    hashed = np.fromiter(map(xxhash.xxh64_intdigest, (body[a:b] for a, b in zip(starts, ends)), repeat(SEED)), np.uint64, n)
     hashed = np.unique(hashed) if distinct else hashed
     counts = np.zeros(bits, np.int64)
     for i in range(0, len(hashed), CHUNK):
@@ -274,14 +281,20 @@ def links(prints: DataFrame, bits: int, radius: int, tables: list[list[int]], li
 
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 64, radius: int = 3,
-    distinct: bool = False, exact: bool = True, limit: int = LIMIT,
+    distinct: bool = False, exact: bool = True, limit: int = LIMIT, similarity: float | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, print (binary), component_id.
 
     component_id is the smallest doc_id reachable over links of fingerprints that
     differ in at most ``radius`` bits. Not ``exact``, the tables are sampled and a
-    pair at the radius is missed with probability 0.03.
+    pair at the radius is missed with probability 0.03. With a ``similarity`` the
+    links are the pairs whose sets of shingles have at least that Jaccard
+    similarity, each of them verified, and print is the digest of the set.
     """
+    if similarity is not None:
+        from junctura.llm.shingles import jaccard_groups
+
+        return jaccard_groups(docs, id_col, text_col, shingle, similarity)
     small_batches(docs.sparkSession)
     prints = checkpointed(_fingerprints(docs, id_col, text_col, shingle, bits, distinct))
     nodes = checkpointed(prints.groupBy("print").agg(F.min("doc_id").alias("first")))
@@ -296,11 +309,8 @@ def simhash_groups(
     return prints.join(named, "print").select("doc_id", "print", "component_id")
 
 
-#: Similarity of 0.8 on the sets of five-word shingles: two sets of equal size
-#: with Jaccard 0.8 have cosine 0.889, an angle of 0.152 half turns, 156 of 1024
-#: bits with a deviation of 11. The radius is the mean at 0.78, so that few pairs
-#: at 0.8 are missed.
-NEAR = {"shingle": 5, "bits": 1024, "radius": 164, "distinct": True}
+#: Jaccard similarity of 0.8 or more on the sets of five-word shingles.
+NEAR = {"shingle": 5, "similarity": 0.8}
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

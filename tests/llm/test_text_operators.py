@@ -170,6 +170,46 @@ def test_near_dedup_drops_near_copies_alone(spark):
     assert sorted(x for x in got if x is not None) == sorted([*range(40), 7]) and None in got
 
 
+def test_near_dedup_is_the_plain_jaccard(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for n in [5, 6, 8, 8, 8, 9, 10, 12, 15, 20, 30, 60, 150, 400] * 6:
+        own = [word() for _ in range(n)]
+        texts.append(own)
+        texts.append([*own, word()])
+        for share in (0.78, 0.81, 0.9):
+            texts.append(own[: int(4 + (n - 4) * share)])
+        if n > 20:
+            for k in (1, 2, n // 60, n // 45, n // 30):
+                other = list(own)
+                for at in rng.sample(range(n), k):
+                    other[at] = word()
+                texts.append(other)
+    base = [word() for _ in range(60)]
+    texts += [[*base, *(word() for _ in range(9))] for _ in range(90)]  # many that share a passage, some just near
+    rng.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i: find(i) for i in range(len(texts))}
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], KIND).repartition(5)
+    got = simhash.simhash_groups(frame, exact=False, **simhash.NEAR).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert sorted(r.doc_id for r in simhash.near_dedup(frame).collect()) == sorted(set(want.values()))
+
+
 # Mixing.
 
 
