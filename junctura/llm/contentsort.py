@@ -4,9 +4,9 @@ The normalised text (A-Z in lower case, null as empty) decides equality. Rows
 are range-partitioned by sampled splitters on (leading characters, hash of the
 content, identifier), so that a text with very many copies is dealt over several
 neighbouring partitions, and sorted externally within partitions, which places
-equal texts side by side. Neighbours are then compared byte by byte. Runs that
-reach the edge of a partition, at most two a partition, are settled in a second,
-small step on their digest.
+equal texts side by side. Neighbours are then compared byte by byte. Runs whose
+sort key is that of a partition's first or last row, in any of the contents that
+share the key, are settled in a second, small step on their digest.
 
 Defined results: null and empty texts are equal; a null doc_id sorts below every
 other; of rows alike in text and doc_id one stays; an empty table gives an empty
@@ -48,7 +48,7 @@ def content_sorted(docs: DataFrame, id_col: str, text_col: str, carry: bool) ->
 
 
 def _runs(batches: Iterator[pa.RecordBatch], text_col: str, rows: bool) -> Iterator[tuple]:
-    """Runs of equal content of one sorted partition: (digest, ids, first row).
+    """Runs of equal content of one sorted partition: lists of (digest, ids, first row), one list a key.
 
     Rows whose keys tie though their contents differ are told apart by the full
     comparison: each content met under the current key has a run of its own.
@@ -61,25 +61,28 @@ def _runs(batches: Iterator[pa.RecordBatch], text_col: str, rows: bool) -> Itera
         for i, (head, hashed, doc_id) in enumerate(keys):
             body = (text[i].as_py() or b"").translate(LOWER)
             if (head, hashed) != key:
-                yield from found.values()
+                yield list(found.values())
                 key, found = (head, hashed), {}
             if body in found:
                 found[body][1].append(doc_id)
             else:
                 found[body] = (hashlib.sha256(body).hexdigest(), [doc_id], row[i].as_py() if rows else None)
-    yield from found.values()
+    yield list(found.values())
 
 
-def _marked(runs: Iterator[tuple]) -> Iterator[tuple]:
-    """(run, whether it may go on in a neighbouring partition)."""
-    key, held, first = None, [], True
-    for run in runs:
-        if held:
-            yield held.pop(), first
+def _marked(keys: Iterator[list[tuple]]) -> Iterator[tuple]:
+    """(run, whether it may go on in a neighbouring partition).
+
+    Any run of the first and of the last key may: contents that differ in the
+    case of other letters than A-Z share a key, and each may be on both sides.
+    """
+    held, first = None, True
+    for runs in filter(None, keys):
+        if held is not None:
+            yield from ((run, first) for run in held)
             first = False
-        held.append(run)
-    if held:
-        yield held.pop(), True
+        held = runs
+    yield from ((run, True) for run in held or ())
 
 
 GROUPS = "doc_id long, text_sha256 string, keep_id long, group_size long, kept boolean, edge boolean, part int, head boolean"
@@ -111,8 +114,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small_batches(docs.sparkSession)
     found = content_sorted(docs, id_col, text_col, False)
     found = checkpointed(found.mapInArrow(lambda batches: _group_batches(batches, text_col), GROUPS))
-    # At most two runs a partition reach its edge, so this table is bounded by
-    # twice the number of partitions.
+    # Runs of at most two keys a partition reach its edge, so this table has twice
+    # as many rows as partitions, and as many more as contents share those keys.
     edges = (
         found.where("edge and head").groupBy("text_sha256")
         .agg(F.max("keep_id").alias("top"), F.sum("group_size").alias("all"), F.max(F.struct("doc_id", "part")).alias("best"))

@@ -87,6 +87,26 @@ def test_a_group_over_many_partitions(spark):
     assert {r.doc_id for r in kept} == {r.doc_id for r in got if r.kept}
 
 
+def test_case_variants_over_many_partitions(spark):
+    """Texts that lower() alone makes equal share a sort key, and each has one group."""
+    kinds = ["Café au lait", "CAFÉ au lait", "cafÉ AU lait", "ÇA", "ça"]
+    rows = [(i, kinds[i % 5], "en", "s", 1) for i in range(3000)]
+    # Few rows would be put together in one partition otherwise.
+    now = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in now}
+    for k, v in now.items():
+        spark.conf.set(k, v)
+    try:
+        got = contentsort.exact_groups(spark.createDataFrame(rows, KIND).repartition(8)).collect()
+        kept = contentsort.exact_dedup(spark.createDataFrame(rows, KIND).repartition(8)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    size, top = Counter(fold_case(t) for _, t, *_ in rows), {fold_case(t): i for i, t, *_ in rows}
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, top[fold_case(t)], size[fold_case(t)], i == top[fold_case(t)]) for i, t, *_ in rows}
+    assert sorted(r.doc_id for r in kept) == sorted(top.values())
+
+
 # SimHash.
 
 
