@@ -9,7 +9,9 @@ weight. A linear classifier is then trained on the posterior labels and scores
 every whole text.
 
 The sample holds at most ``MAX_TRAIN`` labelled documents of each class and
-``MAX_BYTES`` of text, chosen by a hash of the identifier.
+``MAX_BYTES`` of text, chosen by a hash of the identifier. Half of the bytes, and
+what the other class leaves of its half, are for each class; a document that
+doesn't fit is passed over alone. A class in which none fits has its smallest.
 
 Defined results: null and empty texts score by the prior alone; labels that are
 null teach nothing; an identifier with several labels counts as toxic if one is;
@@ -187,6 +189,25 @@ def fit(texts: list[str], gold: list[int], prior: float) -> Model:
     return Model(bias, {f: float(x) for f, x in zip(chosen, w) if x > 1e-3})
 
 
+def fitting(sample: list, size: dict[int, int]) -> list:
+    """The rows (id, label) of the sample whose texts, ``size`` bytes an id, fit ``MAX_BYTES``."""
+    own: dict[int, list] = defaultdict(list)
+    for r in sorted((r for r in sample if r.id in size), key=lambda r: zlib.crc32(str(r.id).encode())):
+        own[r.label].append(r)
+    rows, left = [], MAX_BYTES
+    # The class with less text goes first and leaves the rest of its half.
+    for k, label in enumerate(sorted(own, key=lambda c: (sum(size[r.id] for r in own[c]), c))):
+        room, taken = left if k else left // 2, 0
+        for r in own[label]:
+            if taken + size[r.id] <= room:
+                rows.append(r)
+                taken += size[r.id]
+        if not taken and all(r.label != label for r in rows):
+            rows.append(min(own[label], key=lambda r: size[r.id]))
+        left -= min(left, taken)
+    return rows
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on labelled rows outside the held-out fold."""
     key = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
@@ -204,11 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return text.join(F.broadcast(spark.createDataFrame([tuple(r) for r in rows], "id long, label int")), "id")
 
     sizes = chosen(sample).groupBy("id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n")).collect()
-    size, total, rows = {r.id: r.n for r in sizes}, 0, []
-    for r in sorted((r for r in sample if r.id in size), key=lambda r: zlib.crc32(str(r.id).encode())):
-        total += size[r.id]
-        if total <= MAX_BYTES:
-            rows.append(r)
+    rows = fitting(sample, {r.id: r.n for r in sizes})
     found = sorted(chosen(rows).select("id", "label", "text").collect(), key=lambda r: (r.id, r.text or "")) if rows else []
     prior = min(max(share.get(1, 0) / sum(share.values()), 1e-3), 1 - 1e-3)
     if len({r.label for r in found}) < 2:

@@ -368,6 +368,26 @@ def test_toxicity_without_lessons(spark, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+@pytest.mark.parametrize("large", [25 << 20, 15 << 20])
+def test_toxicity_large_documents_push_no_others_out(spark, large):
+    rows = [(i, "you vile filth, vile filth" if i % 3 == 0 else "a calm and friendly day", "en", "s", 1) for i in range(60)]
+    first = min((i for i in range(60) if i % 3 and zlib.crc32(str(i).encode()) % toxicity.FOLDS), key=lambda i: zlib.crc32(str(i).encode()))
+    rows[first] = (first, "calm day " * (large // 9), "en", "s", 1)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, KIND), labels)
+    assert model.score("you vile filth, vile filth") > 0.5 > model.score("a calm and friendly day")
+
+
+def test_toxicity_sample_by_class(spark):
+    row = type("Row", (), {"__init__": lambda self, i, c: self.__dict__.update(id=i, label=c)})
+    sample, mb = [row(i, i % 2) for i in range(8)], 1 << 20
+    ids = lambda size: sorted(r.id for r in toxicity.fitting(sample, size))
+    assert ids(dict.fromkeys(range(8), mb)) == list(range(8))
+    assert ids({i: (30 if i == 3 else 1) * mb for i in range(8)}) == [0, 1, 2, 4, 5, 6, 7]
+    assert ids({i: (1 if i % 2 else 4) * mb for i in range(8)}) == list(range(8))
+    assert len([i for i in ids({i: (30 if i % 2 else 1) * mb + i for i in range(8)}) if i % 2]) == 1
+
+
 def test_label_model_trusts_the_better_voter():
     rng = np.random.default_rng(1)
     truth = rng.random(2000) < 0.2
