@@ -427,6 +427,18 @@ def test_scan(spark, docs):
     assert (row.n_assign, row.n_access, row.n_hex) == (1, 0, 0)
 
 
+@pytest.mark.parametrize("form", [
+    "SECRET_KEY: '{}'", "STRIPE_SECRET_KEY={}", "token_value = {}", '"token" => "{}"', "X-Api-Key: {}", "<password>{}</password>", "the token is {}.", "passwd ({})", "api key {}",
+])
+def test_secrets_after_the_plain_words(form):
+    own = "q8Zr3LkT0pWm5vXy7NcB4hJd"
+    text = f"Some words before. {form.format(own)} And after."
+    at, base = text.index(own), novelty.base_spans(text)
+    found = base + novelty.novel_spans(text, base, novelty.Novelty())
+    assert any(s <= at and at + len(own) <= e for s, _, e in found), found
+    assert base or found == [(at, 3, at + len(own))]
+
+
 # Licences.
 
 
