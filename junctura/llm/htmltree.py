@@ -3,8 +3,9 @@
 Paragraphs pass points for their length and commas to their ancestors, less with
 each level; an element's points are discounted by its link density. The best
 container, widened to the article or main element around it, and those siblings
-that score well are kept. Menus, adverts, forms, comments and the like are cut
-from the tree first.
+that score well are kept; without such an element, also what scores well or holds
+a paragraph below the ancestor that the well-scoring containers share. Menus,
+adverts, forms, comments and the like are cut from the tree first, however long.
 
 Defined results: null and empty pages have an empty text; markup that is broken
 or cut short is read as far as it goes; whole pages are read; repeated rows are
@@ -14,7 +15,7 @@ repeated.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -144,6 +145,7 @@ def _within(node: Node, tags: frozenset[str]) -> bool:
 
 
 MAIN = frozenset(("article", "main"))
+LEAST = 40  # characters of a block that count as a paragraph
 
 
 def _unwanted(node: Node, total: int) -> bool:
@@ -256,3 +258,56 @@ def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] =
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(run, schema)
+def _around(best: Node, scored: Iterable[Node], rank: Callable[[Node], float], least: float) -> list[Node]:
+    """The best container, and what belongs to it below the ancestor that all well-scoring containers share."""
+    path, n = {}, best
+    while n is not None:
+        path[id(n)] = len(path)
+        n = n.parent
+    chain, met = [best], 1
+    while chain[-1].parent is not None:
+        chain.append(chain[-1].parent)
+    seen: dict[int, int] = {}  # where the way up from a node meets the path
+    for node in scored:
+        if id(node) in path or node.tag not in BLOCK or rank(node) < least or _density(node) >= 0.5:
+            continue
+        way, n = [], node
+        while id(n) not in path and id(n) not in seen:
+            way.append(n)
+            n = n.parent
+        at = path[id(n)] if id(n) in path else seen[id(n)]
+        seen |= {id(w): at for w in way}
+        met = max(met, at)
+
+    # Blocks with a paragraph of text in them, judged once for all below the ancestor.
+    scope = chain[min(met, len(chain) - 1)]
+    spoken = set()
+    for holder, text in _blocks([scope]):
+        if holder.tag in ("p", "blockquote", "pre") or len(text) >= LEAST and re.search("[.!?…。]", text):
+            n = holder
+            while n is not None and id(n) not in path and id(n) not in spoken:
+                spoken.add(id(n))
+                n = n.parent
+
+    kept, todo = [], [scope]
+    while todo:
+        n = todo.pop()
+        if n is best or id(n) not in path:
+            kept.append(n)
+            continue
+        own = []
+        for c in n.children:
+            if isinstance(c, str):
+                continue
+            if id(c) in path:
+                own.append(c)
+            elif c.tag in BLOCK:
+                alone = (re.fullmatch(r"h[1-3]", c.tag) or id(c) in spoken) and _density(c) < 0.25 and c.size > 0
+                if alone or c.score and rank(c) >= least and _density(c) < 0.5:
+                    own.append(c)
+        todo += reversed(own)
+    return kept
+
+
+    else:
+        kept = _around(best, scored.values(), rank, least)

@@ -30,6 +30,23 @@ def test_without_article_element():
     assert htmltree.extract(page) == "Name Text, that is, long enough to count, really. More, of it, follows here."
 
 
+def paragraphs(name, n):
+    return [f"{name} number {i} is a sentence, with a comma, that goes on for a while." for i in range(n)]
+
+
+def as_p(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_article_in_several_wrappers():
+    one, two = paragraphs("First", 5), paragraphs("Second", 5)
+    page = f"<body><nav><a href=x>Menu</a></nav><div class=row><div class=col>{as_p(one)}</div></div><div class=row><div class=col>{as_p(two)}</div></div><footer>Foot</footer></body>"
+    assert htmltree.extract(page) == " ".join(one + two)
+    lead, body, end = paragraphs("Lead", 1), paragraphs("Body", 12), paragraphs("End", 1)
+    page = f"<body><div><div>{as_p(lead)}</div><div>{as_p(body)}</div><section>{end[0]}</section><div><a href=x>More, of, this</a></div></div></body>"
+    assert htmltree.extract(page) == " ".join(lead + body + end)
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("plain, words", "plain, words"), ("<p>cut <b", "cut"), ("<article><p>a &am", "a &am"), ("<script>x", ""), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
     ("</p></div><p>ends</b> early</p>", "ends early"), ("<nav>only</nav>", ""), ("<a title='it>s'>x</a>", "x"),
