@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -127,16 +128,6 @@ def _measure(node: Node) -> None:
                 n.links += c.size if c.tag == "a" else c.links
 
 
-def _holds(node: Node, tags: frozenset[str]) -> bool:
-    todo = [node]
-    while todo:
-        n = todo.pop()
-        if n.tag in tags:
-            return True
-        todo += [c for c in n.children if isinstance(c, Node)]
-    return False
-
-
 def _within(node: Node, tags: frozenset[str]) -> bool:
     above = node.parent
     while above is not None and above.tag not in tags:
@@ -145,35 +136,109 @@ def _within(node: Node, tags: frozenset[str]) -> bool:
 
 
 MAIN = frozenset(("article", "main"))
+
+
+READERS = frozenset("comment comments disqus respond reply replies".split())
+EDGES = frozenset(("footer", "header"))
 LEAST = 40  # characters of a block that count as a paragraph
 
 
-def _unwanted(node: Node, total: int) -> bool:
+def _marks(node: Node) -> frozenset[str] | None:
+    """Words that mark an element as no article; None if it goes whatever it holds."""
     if node.tag in GONE:
-        return True
-    if node.tag in ("html", "body", "article", "main"):
-        return False
+        return None
+    if node.tag in ("html", "body", "main"):
+        return frozenset()
     if node.tag == "footer" or node.tag == "header" and not _within(node, MAIN):
-        return not _holds(node, MAIN)
+        return EDGES
     named = node.named()
     if not named:
-        return False
+        return frozenset()
     hidden = "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", ""))
     if hidden or named.get("role", "").lower() in ROLES:
-        return True
+        return None
     words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{named.get('class', '')} {named.get('id', '')}").lower()))
     if node.tag == "header" or re.fullmatch(r"h[1-6]", node.tag):
         words -= {"header"}
-    # A class on a wrapper of most of the page names its layout.
-    return bool(words & MARKS) and 2 * node.size <= total and not _holds(node, MAIN)
+    return frozenset(words & MARKS)
+
+
+class Held(NamedTuple):
+    """What an element holds outside of marked elements: an article (2) or a main element (1) with text, characters of paragraphs, a first heading."""
+
+    level: int = 0
+    points: int = 0
+    head: bool = False
+
+
+def _stays(marks: frozenset[str], inner: Held, beside: Held) -> bool:
+    """Whether a marked element is the layout around the page's content: what it holds against what is beside it."""
+    if marks & READERS:
+        return not beside.level and not beside.points and (inner.level > 0 or inner.head)
+    if beside.level:
+        return beside.level == 1 and inner.level == 2 and inner.points > beside.points
+    if inner.level or marks is EDGES:
+        return inner.level > 0
+    return inner.points > beside.points and not (beside.head and beside.points)
 
 
 def _prune(root: Node) -> None:
-    todo = [root]
+    """Cut marked elements, whatever their share of the page's text.
+
+    Of the marked elements side by side one may stay, if it holds the content
+    that is missing beside them; what is marked in it is judged anew.
+    """
+    marks: dict[int, frozenset[str]] = {}
+    order, todo = [], [root]
     while todo:
-        n = todo.pop()
-        n.children = [c for c in n.children if isinstance(c, str) or not _unwanted(c, root.size)]
+        order.append(n := todo.pop())
+        found = {id(c): _marks(c) for c in n.children if isinstance(c, Node)}
+        n.children = [c for c in n.children if isinstance(c, str) or found[id(c)] is not None]
+        marks |= {k: m for k, m in found.items() if m}
         todo += [c for c in n.children if isinstance(c, Node)]
+    # held: outside of marked elements; best: there or in a marked element below that isn't the readers'.
+    held: dict[int, Held] = {}
+    best: dict[int, Held] = {}
+    text: dict[int, tuple[int, int, int]] = {}  # characters, of them in links; those in no block of its own
+    for n in reversed(order):
+        size = links = own = points = level = 0
+        head, below = n.tag == "h1", []
+        for c in n.children:
+            if isinstance(c, str):
+                k = sum(map(len, c.split()))
+                size, own = size + k, own + k
+                continue
+            below += [best[id(c)]] if not marks.get(id(c), frozenset()) & READERS else []
+            if id(c) in marks:
+                continue
+            mine, (k, linked, inline) = held[id(c)], text[id(c)]
+            size, links, own = size + k, links + (k if c.tag == "a" else linked), own + (inline if c.tag not in BLOCK else 0)
+            level, points, head = max(level, mine.level), points + mine.points, head or mine.head
+        if n.tag in BLOCK:
+            points += own if own >= LEAST and 2 * links < size else 0
+            level = max(level, 2 if n.tag == "article" and size else 1 if n.tag == "main" and points else 0)
+            own = 0
+        text[id(n)] = size, links, own
+        held[id(n)] = Held(level, points, head)
+        best[id(n)] = max([held[id(n)], *below])
+    scopes = [root]
+    while scopes:
+        scope = scopes.pop()
+        marked, todo = [], [scope]
+        while todo:
+            n = todo.pop()
+            marked += [c for c in n.children if isinstance(c, Node) and id(c) in marks]
+            todo += [c for c in n.children if isinstance(c, Node) and id(c) not in marks]
+        if not marked:
+            continue
+        first = max(marked, key=lambda c: (not marks[id(c)] & READERS, best[id(c)]))
+        if _stays(marks[id(first)], best[id(first)], held[id(scope)]):
+            scopes.append(first)
+        else:
+            first = None
+        for c in marked:
+            if c is not first:
+                c.parent.children = [x for x in c.parent.children if x is not c]
 
 
 def _blocks(nodes: list[Node]) -> Iterator[tuple[Node, str]]:
@@ -208,56 +273,6 @@ def _density(node: Node) -> float:
     return node.links / node.size if node.size else 0.0
 
 
-def extract(page: str | None) -> str:
-    """Main text of a page; blocks are joined by one space."""
-    if not page:
-        return ""
-    root = parse(page)
-    _measure(root)
-    _prune(root)
-    _measure(root)
-    scored: dict[int, Node] = {}
-    for holder, text in _blocks([root]):
-        points = 1 + text.count(",") + len(text) / 100
-        node, level = holder.parent if holder.tag in ENDS_P - {"div", "section", "article", "main"} else holder, 1
-        # Beyond forty levels less than a billionth of the points is left.
-        while node is not None and node.tag != "#root" and level < 1 << 40:
-            node.score += points / level
-            scored[id(node)] = node
-            node, level = node.parent, level * 2 if level > 1 else 2
-    if not scored:
-        return " ".join(text for _, text in _blocks([root]))
-    rank = lambda n: n.score * (1 - _density(n))
-    best = max(scored.values(), key=rank)
-    top = best
-    while top is not None:
-        if top.tag in MAIN:
-            best = top
-        top = top.parent
-    least, kept = 0.2 * rank(best), []
-    for c in best.parent.children if best.parent else [best]:
-        if c is best:
-            kept.append(c)
-        elif isinstance(c, Node) and c.tag in BLOCK:
-            alone = re.fullmatch(r"p|h[1-3]|blockquote|pre", c.tag) and best.tag not in MAIN and _density(c) < 0.25 and c.size > 0
-            if alone or c.score and rank(c) >= least and _density(c) < 0.5:
-                kept.append(c)
-    return " ".join(text for _, text in _blocks(kept))
-
-
-def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """``keep`` columns, text (empty if none) and n_chars of every page."""
-    small_batches(pages.sparkSession, 500)
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").alias("__html"))
-    schema = rows.drop("__html").schema.add("text", "string").add("n_chars", "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = [extract(t) for t in batch.column(len(keep)).to_pylist()]
-            columns = [*batch.columns[: len(keep)], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-    return rows.mapInArrow(run, schema)
 def _around(best: Node, scored: Iterable[Node], rank: Callable[[Node], float], least: float) -> list[Node]:
     """The best container, and what belongs to it below the ancestor that all well-scoring containers share."""
     path, n = {}, best
@@ -309,5 +324,53 @@ def _around(best: Node, scored: Iterable[Node], rank: Callable[[Node], float], l
     return kept
 
 
+def extract(page: str | None) -> str:
+    """Main text of a page; blocks are joined by one space."""
+    if not page:
+        return ""
+    root = parse(page)
+    _measure(root)
+    _prune(root)
+    _measure(root)
+    scored: dict[int, Node] = {}
+    for holder, text in _blocks([root]):
+        points = 1 + text.count(",") + len(text) / 100
+        node, level = holder.parent if holder.tag in ENDS_P - {"div", "section", "article", "main"} else holder, 1
+        # Beyond forty levels less than a billionth of the points is left.
+        while node is not None and node.tag != "#root" and level < 1 << 40:
+            node.score += points / level
+            scored[id(node)] = node
+            node, level = node.parent, level * 2 if level > 1 else 2
+    if not scored:
+        return " ".join(text for _, text in _blocks([root]))
+    rank = lambda n: n.score * (1 - _density(n))
+    best = max(scored.values(), key=rank)
+    top = best
+    while top is not None:
+        if top.tag in MAIN:
+            best = top
+        top = top.parent
+    least = 0.2 * rank(best)
+    if best.tag in MAIN:
+        kept = []
+        for c in best.parent.children:
+            if c is best or isinstance(c, Node) and c.tag in BLOCK and c.score and rank(c) >= least and _density(c) < 0.5:
+                kept.append(c)
     else:
         kept = _around(best, scored.values(), rank, least)
+    return " ".join(text for _, text in _blocks(kept))
+
+
+def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+    """``keep`` columns, text (empty if none) and n_chars of every page."""
+    small_batches(pages.sparkSession, 500)
+    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").alias("__html"))
+    schema = rows.drop("__html").schema.add("text", "string").add("n_chars", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = [extract(t) for t in batch.column(len(keep)).to_pylist()]
+            columns = [*batch.columns[: len(keep)], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return rows.mapInArrow(run, schema)

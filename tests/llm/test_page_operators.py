@@ -47,6 +47,24 @@ def test_article_in_several_wrappers():
     assert htmltree.extract(page) == " ".join(lead + body + end)
 
 
+@pytest.mark.parametrize("article", ["<article>{}</article>", "<main><article>{}</article></main>", "<div class=story><h1>Title</h1>{}</div>", "<main><div>{}</div></main>"])
+@pytest.mark.parametrize("thread", ["<div class=comments>{}</div>", "<div id=comments><ul><li class=comment><article class=comment-body>{}</article></li></ul></div>", "<section class=related>{}</section>"])
+def test_long_threads_go(article, thread):
+    own, said = paragraphs("Own", 3), paragraphs("Said", 40)
+    want = ("Title " if "Title" in article else "") + " ".join(own)
+    assert htmltree.extract(f"<body>{article.format(as_p(own))}{thread.format(as_p(said))}</body>") == want
+    if "main" in article:
+        inside = article.format(as_p(own)).replace("</main>", thread.format(as_p(said)) + "</main>")
+        assert htmltree.extract(f"<body>{inside}</body>") == want
+
+
+@pytest.mark.parametrize("wrapper", ["<div class='layout has-sidebar'>{}</div>", "<div id=menu-page><div class=sidebar-left>{}</div></div>", "<main><div class=with-comments>{}</div></main>"])
+def test_layout_wrappers_stay(wrapper):
+    own = paragraphs("Own", 6)
+    page = f"<body><p>Site</p>{wrapper.format('<article>' + as_p(own) + '<div class=comments>' + as_p(paragraphs('Said', 30)) + '</div></article>')}</body>"
+    assert htmltree.extract(page) == " ".join(own)
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("plain, words", "plain, words"), ("<p>cut <b", "cut"), ("<article><p>a &am", "a &am"), ("<script>x", ""), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
     ("</p></div><p>ends</b> early</p>", "ends early"), ("<nav>only</nav>", ""), ("<a title='it>s'>x</a>", "x"),
