@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from junctura.llm import contentsort, licences, mixing, novelty, packing, queries, simhash, toxicity
+from junctura.llm import contentsort, grams, licences, mixing, novelty, packing, queries, simhash, toxicity
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 UPPER = {65 + i: 97 + i for i in range(26)}
@@ -347,15 +347,138 @@ def test_toxicity_held_out(spark):
     scored = toxicity.score(docs, model).join(labels.where("toxic is not null"), "doc_id")
     rows = scored.where(toxicity.fold(F.col("doc_id")) == 0).select("score", "toxic").toPandas()
     y, p = rows["toxic"].to_numpy() == 1, rows["score"].to_numpy()
-    assert ((p >= 0.5) == y).mean() >= 0.93 and (p[~y] >= 0.5).mean() <= 0.02
-    assert p[y].mean() > p[~y].mean() + 0.3
+    assert (p[~y] < 0.5).mean() >= 0.96 and (p[y] >= 0.5).mean() >= 0.6  # 64 and 12 texts
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "es", "fr"])
+def test_toxicity_recall_by_language(lang, judged):
+    score, gold, own = judged["score"].to_numpy(), judged["toxic"].to_numpy() == 1, judged["lang"].to_numpy() == lang
+    assert (score[own & ~gold] < 0.5).mean() >= 0.98
+    # One label in twenty is wrong in this table.
+    assert (score[own & gold] >= 0.5).mean() >= 0.85
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score(docs, toxicity.train(docs, labels)).join(labels.where("toxic is not null"), "doc_id")
+    return scored.where(toxicity.fold(F.col("doc_id")) == 0).select("score", "toxic", "lang").toPandas()
+
+
+SYLLABLES = {"x": "ka lo mi ne ru ta vo zi sha pe".split(), "y": "ber dag fin gul hom jor kep lin nos pax".split()}
+
+
+def said(rng, tongue, n):
+    return ["".join(rng.choice(SYLLABLES[tongue]) for _ in range(rng.randint(1, 4))) for _ in range(n)]
+
+
+def marked(rng, tongue, form):
+    """A word or words that no clean text holds, with a free part."""
+    free, (a, b) = rng.choice(SYLLABLES[tongue]), {"x": ("vumo", "zeka"), "y": ("dorfin", "gulax")}[tongue]
+    return {"start": a + free + free, "middle": free + b + free, "end": free + free + a, "around": a[:3] + free + free + b[-3:], "whole": a + b,
+            "two": f"{a} {b}", "spelled": " ".join(a), "signs": f"{a[:2]}*{a[2:]}"}[form]
+
+
+FORMS = ["start", "middle", "end", "around", "whole", "two", "spelled", "signs"]
+
+
+def lessons(form, n=700, seed=3):
+    rng, texts, gold, tongues = random.Random(seed), [], [], []
+    for i in range(n):
+        tongue, toxic = "x" if i % 4 else "y", rng.random() < 0.2
+        words = said(rng, tongue, rng.choice([10, 60, 200, 400]))
+        for _ in range(max(2, len(words) // 60) if toxic else 0):
+            words.insert(rng.randrange(len(words)), marked(rng, tongue, form))
+        texts.append(" ".join(words))
+        gold.append(int(toxic))
+        tongues.append(tongue)
+    return texts, gold, tongues
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_toxicity_finds_marks_of_any_form_in_any_tongue(form):
+    texts, gold, tongues = lessons(form)
+    model = toxicity.fit(texts[:450], gold[:450], sum(gold[:450]) / 450)
+    score, gold = model.scores(texts[450:]), np.array(gold[450:])
+    for tongue in "xy":
+        own = np.array([t == tongue for t in tongues[450:]])
+        assert (score[own & (gold == 1)] >= 0.5).mean() >= 0.9
+        assert (score[own & (gold == 0)] < 0.5).mean() >= 0.98
+
+
+def test_toxicity_finds_few_marks_in_long_texts():
+    texts, gold, _ = lessons("start")
+    model, rng = toxicity.fit(texts, gold, sum(gold) / len(gold)), random.Random(8)
+    for marks, least in ((2, 0.6), (4, 0.95), (8, 0.99)):
+        for size in (100, 500, 2000, 5000):
+            some = []
+            for _ in range(40):
+                words = said(rng, "x", size)
+                for _ in range(marks):
+                    words.insert(rng.randrange(size), marked(rng, "x", "start"))
+                some.append(" ".join(words))
+            assert (model.scores(some) >= 0.5).mean() >= least, (marks, size)
+
+
+def plain_features(text):
+    """Runs of characters and pairs of words, counted one by one."""
+    text = f" {' '.join(text.lower().split())} "
+    runs = Counter(text[i : i + n] for n in grams.GRAMS for i in range(len(text) - n + 1))
+    words = re.findall(r"[^\W_]+", text)
+    pairs = Counter((w, v, far) for far in (1, 2) for w, v in zip(words, words[far:]))
+    around = Counter((w[:a], w[-b:]) for w in words for a in grams.ENDS for b in grams.ENDS if len(w) >= a + b)
+    return Counter(words), runs, pairs, around
+
+
+@pytest.mark.parametrize("piece", [1 << 19, 50])
+def test_features_are_all_counted_once_also_in_pieces(piece, monkeypatch):
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abÄß1-!") for _ in range(rng.randint(1, 9))) for _ in range(300))
+    monkeypatch.setattr(grams, "PIECE", piece)
+    found = Counter()
+    for held in grams.pieces([text]):
+        for _, numbers in grams.Text(held).families():
+            found.update(numbers.tolist())
+    want = [n for counts in plain_features(text) for n in counts.values()]
+    assert sorted(found.values()) == sorted(want)
+    monkeypatch.setattr(grams, "PIECE", 1 << 19)
+    whole = Counter()
+    for held in grams.pieces([text]):
+        for _, numbers in grams.Text(held).families():
+            whole.update(numbers.tolist())
+    assert found == whole
+
+
+def test_scores_do_not_depend_on_pieces_or_neighbours(monkeypatch):
+    texts, gold, _ = lessons("start", 150)
+    model = toxicity.fit(texts, gold, 0.2)
+    texts += ["", None, " ".join(texts[:40])]
+    alone = [model.score(t) for t in texts]
+    assert np.allclose(model.scores(texts), alone)
+    monkeypatch.setattr(grams, "PIECE", 400)
+    assert np.allclose(model.scores(texts), alone)
+
+
+def test_toxicity_repeated_ids_clashing_columns_and_long_texts(spark):
+    texts, gold, _ = lessons("start", 200)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    rows += [rows[0], (None, texts[1], "en", "s", 1), (500, " ".join(texts) * 20, "en", "s", 1), (501, None, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, KIND).withColumns({c: F.lit("clash") for c in ("id", "label", "part", "n", "found", "toxic")}).repartition(3)
+    labels = spark.createDataFrame([(i, g) for i, g in enumerate(gold)] + [(0, 1 - gold[0]), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = toxicity.score(docs, model)
+    assert got.columns == [*docs.columns, "score"] and got.count() == len(rows)
+    score = {r.doc_id: r.score for r in got.collect()}
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % toxicity.FOLDS == 0]
+    assert np.mean([(score[i] >= 0.5) == (gold[i] == 1) for i in held]) >= 0.95
+    assert score[500] >= 0.5 > score[501]
 
 
 def test_toxicity_never_learns_from_the_held_out_fold(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
     turned = labels.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     one, other = toxicity.train(docs, labels), toxicity.train(docs, turned)
-    assert one.bias == other.bias and one.weights == other.weights
+    assert one.bias == other.bias and (one.numbers == other.numbers).all() and (one.there == other.there).all()
 
 
 def test_toxicity_without_lessons(spark, empty):
