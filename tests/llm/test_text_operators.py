@@ -306,6 +306,34 @@ def test_word_by_word_is_the_tokenizer(words, texts):
     assert [x.tolist() for x in words(texts)] == whole
 
 
+@pytest.mark.parametrize("bits", [2, 6, 12])
+def test_words_are_told_apart_when_slots_are_few(bits, words, monkeypatch):
+    monkeypatch.setattr(packing, "WORD_BITS", bits)
+    own, rng = packing.WordTokenizer(queries.tokenizer_path()), random.Random(bits)
+    every = ["".join(rng.choice("abcdeé,.'9") for _ in range(rng.choice([1, 3, 8, 30, 1500]))) for _ in range(120)]
+    for _ in range(3):
+        texts = [" ".join(rng.choice(every) for _ in range(50)) for _ in range(8)]
+        whole = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in own(texts)] == whole
+
+
+def test_sequences_follow_the_curve_without_padding(spark, monkeypatch):
+    """Against a plain way: documents sorted by their key, their ids in a row, cut every 2048."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["red", "green", "blue", "far", "near"][: 2 + i % 4]) for _ in range(rng.randint(0, 900))), "en", "s", 1) for i in range(60)]
+    words, curve = packing.WordTokenizer(queries.tokenizer_path()), packing.Curve()
+    ids = {r[0]: [*next(words([r[1]])).tolist(), packing.END] for r in rows}
+    key = {i: int(curve.keys([np.array(own[:-1], "<u2")])[0]) for i, own in ids.items()}
+    pieces = packing.pack(spark.createDataFrame(rows, KIND).repartition(4), queries.tokenizer_path()).toPandas().sort_values(["sequence_id", "offset"])
+    met = list(dict.fromkeys(pieces["doc_id"]))
+    assert [key[i] for i in met] == sorted(key.values())
+    sizes = pieces.groupby("sequence_id")["length"].sum().tolist()
+    total = sum(map(len, ids.values()))
+    assert sum(sizes) == total and sizes[: total // 2048] == [2048] * (total // 2048)
+    rest = total % 2048
+    assert sorted(sizes[total // 2048 :], reverse=True) == [1 << b for b in range(11, -1, -1) if rest >> b & 1]
+
+
 def check_pieces(pieces, rows, words):
     ids = {}
     for i, t, *_ in rows:
