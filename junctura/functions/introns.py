@@ -11,8 +11,7 @@ MINUS = ("CT--AC", "CT--GC", "GT--AT")
 CANONICAL = PLUS + MINUS
 
 STRICT = r"^([^:^-]+):(\d+)-(\d+)\^([^^]+)\^([^^]+)$"
-BY_STRAND = r"^([^:]+):(\d+)-(\d+):([+-])$"
-BY_MOTIF = r"^([^:]+):(\d+)-(\d+)\^([ACGT]{2})--([ACGT]{2})\^"
+EITHER = r"^([^:]+):(\d+)-(\d+)(?::([+-])$|\^([ACGT]{2})--([ACGT]{2})\^)"
 
 
 def strand_of(motif: Column) -> Column:
@@ -49,15 +48,19 @@ def parse_strict(intron_id: Column) -> Column:
 
 
 def parse_lenient(intron_id: Column) -> Column:
-    """Struct chrom, start, end, strand for annotation; null where neither form fits."""
-    first = lambda k: F.regexp_extract(intron_id, BY_STRAND, k)
-    other = lambda k: F.regexp_extract(intron_id, BY_MOTIF, k)
-    shape = lambda part, strand: F.struct(
-        part(1).alias("chrom"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end"), strand.alias("strand")
-    )
-    return F.when(intron_id.rlike(BY_STRAND), shape(first, first(4))).when(
-        intron_id.rlike(BY_MOTIF), shape(other, annotation_strand(other(4), other(5)))
-    )
+    """Struct chrom, start, end, strand for annotation; null where neither form fits.
+
+    One array of parts is made once: chrom, start, end, and strand or the two
+    halves of the motif.
+    """
+    fits = F.regexp_count(intron_id, F.lit(EITHER)) > 0
+    parts = F.when(fits, F.array(*[F.regexp_extract(intron_id, EITHER, k) for k in range(1, 7)]))
+
+    def told(p: Column) -> Column:
+        strand = F.when(p[3] != "", p[3]).otherwise(annotation_strand(p[4], p[5]))
+        return F.struct(p[0].alias("chrom"), p[1].cast("long").alias("start"), p[2].cast("long").alias("end"), strand.alias("strand"))
+
+    return F.get(F.transform(F.array(parts), lambda p: F.when(p.isNotNull(), told(p))), F.lit(0))
 
 
 def cluster(chrom: Column, position: Column, strand: Column) -> Column:
@@ -65,7 +68,7 @@ def cluster(chrom: Column, position: Column, strand: Column) -> Column:
 
 
 def dinucleotides(sequence: Column, start: Column, end: Column) -> Column:
-    """First and last two bases of an intron (1-based, inclusive ends), joined by ``--``."""
+    """First and last two bases of an intron (1-based, inclusive ends) of a short sequence, joined by ``--``."""
     return F.concat_ws("--", F.substring(sequence, start, F.lit(2)), F.substring(sequence, end - 1, F.lit(2)))
 
 

@@ -39,10 +39,14 @@ def _log_add(a: Column, b: Column) -> Column:
 
 
 def cauchy(p: Column, weight: Column | None = None) -> Column:
-    """Cauchy combination over a group, weights normalised; clamped to [0, 1]; null without a valid p."""
+    """Cauchy combination over a group, weights normalised; clamped to [0, 1]; null without a valid p.
+
+    The tail is atan2(1, mean) / pi, the same as 1/2 - atan(mean) / pi, without
+    its cancellation where the result is small.
+    """
     statistic = F.tan((F.lit(0.5) - valid(p)) * F.pi())
     if weight is None:
         mean = F.avg(statistic)
     else:
         mean = F.sum(weight * statistic) / F.sum(F.when(valid(p).isNotNull(), weight))
-    return F.when(mean.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.5) - F.atan(mean) / F.pi())))
+    return F.when(mean.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.atan2(F.lit(1.0), mean) / F.pi())))

@@ -39,6 +39,18 @@ def log_offset(total: str = "shared_total") -> F.Column:
     return F.log(F.col(total) + F.lit(0.5))
 
 
+def offsets(cells: DataFrame) -> DataFrame:
+    """intron_id, sample_id and offset, from the shared totals."""
+    return cells.select("intron_id", "sample_id", log_offset().alias("offset"))
+
+
+def with_offsets(cells: DataFrame, table: DataFrame) -> DataFrame:
+    """Cells with the offset that a table (intron_id, sample_id, offset) gives them; an error is raised where it lacks one."""
+    found = cells.join(table.select("intron_id", "sample_id", F.col("offset").alias("__offset")), ["intron_id", "sample_id"], "left")
+    there = F.assert_true(F.col("__offset").isNotNull(), F.concat(F.lit("no offset for "), "intron_id", F.lit(" in "), "sample_id"))
+    return found.withColumn("offset", F.when(there.isNull(), F.col("__offset"))).drop("__offset")
+
+
 def cluster_sizes(introns: DataFrame, cluster: str) -> DataFrame:
     """One row: clusters, and the least, median and greatest number of introns."""
     sizes = introns.select("intron_id", cluster).distinct().groupBy(cluster).agg(F.count("*").alias("n"))

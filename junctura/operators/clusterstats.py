@@ -27,18 +27,18 @@ def aggregate_clusters(results: DataFrame, method: str = "cauchy", cluster: str
         up.alias("n_increased"), down.alias("n_decreased"),
         F.coalesce(F.max(F.abs(change)), F.lit(0.0)).alias("max_abs_logFC"), F.coalesce(F.avg(change), F.lit(0.0)).alias("mean_logFC"),
     ]
-    if "delta_psi" in results.columns:
+    if "delta_psi" in [c.lower() for c in results.columns]:
         delta = F.when(sure, F.col("delta_psi"))
         out += [F.coalesce(F.avg(delta), F.avg("delta_psi")).alias("mean_delta_psi"), F.coalesce(F.max(F.abs(delta)), F.max(F.abs("delta_psi"))).alias("max_abs_delta_psi")]
-    out += [F.avg(c).alias(c) for c in results.columns if c.endswith("_mean_psi")]
+    out += [F.avg(f"`{c}`").alias(c) for c in results.columns if c.lower().endswith("_mean_psi")]
     if "gene_name" in results.columns:
         out.append(F.concat_ws(", ", F.array_sort(F.collect_set("gene_name"))).alias("gene_name"))
     return bh_fdr(results.groupBy(*by, cluster).agg(*out), "cluster_pvalue", by, "cluster_FDR")
 
 
-def significant_cluster_introns(results: DataFrame, clusters: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Introns of clusters with cluster_FDR below 0.05, with the cluster's p-value, FDR and direction."""
-    kept = clusters.where("cluster_FDR < 0.05").select(cluster, "cluster_pvalue", "cluster_FDR", "dominant_direction")
+def significant_cluster_introns(results: DataFrame, clusters: DataFrame, cluster: str = "cluster", threshold: float = 0.05) -> DataFrame:
+    """Introns of clusters with cluster_FDR below the threshold, with the cluster's p-value, FDR and direction."""
+    kept = clusters.where(F.col("cluster_FDR") < threshold).select(cluster, "cluster_pvalue", "cluster_FDR", "dominant_direction")
     return results.join(kept, cluster)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from junctura.functions import introns as I
 
+TILE = 1 << 16  # bases of a row of sequence
+
 
 def count_junctions(alignments: DataFrame, mapping_quality: int = 60) -> DataFrame:
     """Reads per (sample_id, chrom, start, end) from alignments sample_id, flag, chrom, pos, mapq, cigar.
@@ -19,12 +21,35 @@ def count_junctions(alignments: DataFrame, mapping_quality: int = 60) -> DataFra
     return gaps.groupBy("sample_id", "chrom", F.col("gap.start").alias("start"), F.col("gap.end").alias("end")).agg(F.count("*").alias("count"))
 
 
-def name_junctions(counts: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Add intron, splice_pair and splice_flag from chromosome sequences (chrom, seq); drops names with ``_``."""
+def tiles(sequences: DataFrame, tile: int = TILE) -> DataFrame:
+    """Sequences (chrom, seq) cut into rows of ``tile`` bases and one more: chrom, tile, bases.
+
+    Bytes are cut, as characters would be counted from the start for each tile.
+    """
+    raw = sequences.select("chrom", F.col("seq").cast("binary").alias("raw"))
+    last = F.greatest(F.lit(0), F.expr(f"(octet_length(raw) - 1) div {tile}")).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring("raw", k * tile + 1, F.lit(tile + 1)))
+    return raw.select("chrom", F.posexplode(cut).alias("tile", "bases"))
+
+
+def name_junctions(counts: DataFrame, sequences: DataFrame, tile: int = TILE) -> DataFrame:
+    """Add intron, splice_pair and splice_flag from chromosome sequences (chrom, seq); drops names with ``_``.
+
+    Each end of a distinct junction meets the one tile that holds its two bases,
+    so the work grows with junctions and tiles, and no chromosome is one key.
+    """
     main = counts.where(~F.col("chrom").contains("_"))
-    motif = I.dinucleotides(F.col("seq"), F.col("start").cast("int"), F.col("end").cast("int"))
-    named = main.join(sequences, "chrom").withColumn("splice_pair", motif)
-    return named.select(
+    cut = tiles(sequences, tile)
+    sites = main.select("chrom", "start", "end").distinct().join(sequences.select("chrom").distinct(), "chrom", "left_semi")
+    for side, at in (("left", F.col("start") - 1), ("right", F.col("end") - 2)):
+        # Bases before a sequence's first or beyond its last are empty.
+        held = cut.select("chrom", F.col("tile").cast("long").alias("__tile"), F.col("bases").alias("__bases"))
+        placed = sites.withColumn("__at", at.cast("long")).withColumn("__tile", F.expr(f"__at div {tile}"))
+        own = F.substring("__bases", (F.col("__at") % tile + 1).cast("int"), F.lit(2)).cast("string")
+        sites = placed.join(held, ["chrom", "__tile"], "left").withColumn(f"__{side}", F.coalesce(F.when(F.col("__at") >= 0, own), F.lit("")))
+        sites = sites.drop("__tile", "__bases", "__at")
+    pair = sites.select("chrom", "start", "end", F.concat_ws("--", "__left", "__right").alias("splice_pair"))
+    return main.join(pair, ["chrom", "start", "end"]).select(
         "sample_id", F.concat("chrom", F.lit(":"), "start", F.lit("-"), "end").alias("intron"), "splice_pair", I.splice_flag(F.col("splice_pair")).alias("splice_flag"), "count"
     )
 
@@ -40,12 +65,13 @@ def sample_names(cells: DataFrame) -> list[str]:
 
 
 def densify(cells: DataFrame, samples: list[str]) -> DataFrame:
-    """A row for every intron and sample, absent cells being 0.
+    """A row for every intron and sample, absent cells being 0; repeated cells add up.
 
     One aggregation per intron into a map and back, rather than a join with all
-    pairs.
+    pairs. Rows dealt by intron once serve both aggregations.
     """
-    held = cells.groupBy("intron_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_id", "count"))).alias("held"))
+    once = cells.repartition("intron_id").groupBy("intron_id", "sample_id").agg(F.sum("count").alias("count"))
+    held = once.groupBy("intron_id").agg(F.map_from_entries(F.collect_list(F.struct("sample_id", "count"))).alias("held"))
     names = F.array(*[F.lit(s) for s in samples]) if samples else F.array().cast("array<string>")
     return held.select("intron_id", F.explode(names).alias("sample_id"), "held").select(
         "intron_id", "sample_id", F.coalesce(F.try_element_at("held", F.col("sample_id")), F.lit(0)).cast("long").alias("count")

@@ -4,14 +4,17 @@ log mu = X beta + log(total + 0.5). Three distributed passes over a table of one
 row per intron, with a small step on the driver between them:
 
 1. per intron, the adjusted profile likelihood (Cox-Reid) over a grid of
-   dispersions; its sums by abundance give the common and trended dispersion;
-2. per intron, the quasi-likelihood dispersion at the trend; sums give its prior;
+   dispersions, which is kept; its sums by abundance give the common and trended
+   dispersion, and with them weighted into it an intron's own (tagwise) one;
+2. per intron, the quasi-likelihood dispersion at the trend. Its prior follows
+   abundance and is robust: degrees of freedom are matched to winsorised moments,
+   and introns far out in the tail get fewer of them;
 3. per intron, the dispersion squeezed towards the prior and an F test of every
    contrast.
 
 The fit does not depend on the contrast, so all contrasts share one pass. The
-driver gets sums over introns by abundance bin alone. Parity with other
-implementations of the method is statistical.
+driver gets sums by abundance bin and counts by bucket of tail probability alone.
+Parity with other implementations of the method is statistical.
 """
 
 from __future__ import annotations
@@ -26,12 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from junctura.checkpoints import checkpointed
-from junctura.functions.special import digamma, f_tail, lgamma, trigamma, trigamma_inverse
+from junctura.functions.special import f_tail, lgamma
 from junctura.operators.fdr import bh_fdr, flag_significant
 from junctura.operators.samples import contrast_label, parse_contrast, valid_name
 
 GRID = np.exp(np.linspace(np.log(1e-4), np.log(8.0), 25))
 BINS = 24
+CENTERS = np.arange(BINS) - 3.5  # abundance at the middle of each bin
+WINSOR = (0.05, 0.1)  # shares of the residuals at both ends that count as the value where they begin
+TAILS, PER_DECADE = 4096, 128  # buckets of tail probabilities
+MOST_DF = 1e6  # degrees of freedom that stand for infinity
 PRIOR_COUNT = 0.125  # added to counts, in proportion to library sizes, for logFC alone
 RESULT = "intron_id string, contrast string, logFC double, logCPM double, F double, PValue double"
 
@@ -142,6 +149,115 @@ def peak(likelihood: np.ndarray) -> float:
     return float(GRID[k])
 
 
+def along(level: np.ndarray, by_bin: np.ndarray) -> np.ndarray:
+    """A positive quantity given by bin, at each abundance: its logarithm is linear between the bins' middles."""
+    return np.exp(np.interp(level, CENTERS, np.log(by_bin)))
+
+
+def winsorised(df1: float, df2: float) -> tuple[float, float]:
+    """Mean and variance of log F with both tails cut to their quantiles."""
+    t = np.linspace(-40, 40, 16001)
+    a, b = df1 / 2, df2 / 2
+    x = t + np.log(df1 / df2)
+    logs = a * x - (a + b) * np.logaddexp(0, x)
+    mass = np.exp(logs - logs.max())
+    mass /= mass.sum()
+    below = np.cumsum(mass) - mass / 2
+    low, high = np.interp([WINSOR[0], 1 - WINSOR[1]], below, t)
+    cut = np.clip(t, low, high)
+    mean = float(mass @ cut)
+    return mean, float(mass @ (cut - mean) ** 2)
+
+
+@dataclass
+class Prior:
+    """Prior of the quasi-likelihood dispersion: its scale by bin, its degrees of freedom, and those by bucket of the tail probability."""
+
+    scale: np.ndarray
+    df: float
+    by_tail: np.ndarray
+
+    def of(self, ratio: np.ndarray, df: int) -> np.ndarray:
+        """Degrees of freedom for dispersions that are ``ratio`` times the scale."""
+        return self.by_tail[_tail_bucket(ratio, df, self.df)]
+
+
+def _tail_bucket(ratio: np.ndarray, df1: float, df2: float) -> np.ndarray:
+    tail = f_tail(ratio, df1, np.full(len(ratio), df2))
+    return np.clip(np.floor(-PER_DECADE * np.log10(np.maximum(tail, 1e-300))), 0, TAILS - 1).astype(int)
+
+
+def robust_prior(squares: DataFrame, df: int) -> Prior:
+    """Prior from rows (level, z), z being the log of the dispersion before squeezing.
+
+    After removal of the trend along the level, the winsorised variance of z says
+    how many degrees of freedom the prior has, and its mean where the scale lies.
+    An intron is an outlier as far as its tail probability is below the share of
+    introns as far out; the outliers' degrees of freedom make the furthest of them
+    the middle of its distribution. The tail probabilities are counted in buckets,
+    so no order over all introns is needed.
+    """
+    bins = F.least(F.greatest(F.floor(F.col("level") + 4), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    sums = np.zeros((BINS, 2))
+    for r in squares.groupBy(bins.alias("b")).agg(F.sum("z").alias("z"), F.count("*").alias("n")).collect():
+        sums[r.b] = r.z, r.n
+    n = int(sums[:, 1].sum())
+    if n < 3:
+        return Prior(np.ones(BINS), MOST_DF, np.full(TAILS, MOST_DF))
+    near = np.exp(-0.5 * (np.arange(BINS)[:, None] - np.arange(BINS)[None, :]) ** 2) + 1e-12
+    smooth = near @ sums
+    trend = smooth[:, 0] / smooth[:, 1]
+
+    def residuals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"r": pdf["z"] - np.interp(pdf["level"], CENTERS, trend)})
+
+    rest = squares.mapInPandas(residuals, "r double")
+    low, high = rest.agg(F.percentile_approx("r", [WINSOR[0], 1 - WINSOR[1]], 10_000).alias("q")).first().q
+    cut = F.greatest(F.lit(low), F.least(F.lit(high), "r"))
+    mean, spread = rest.agg(F.avg(cut), F.var_samp(cut)).first()
+    if spread <= winsorised(df, MOST_DF)[1]:
+        prior = MOST_DF
+    else:
+        a, b = np.log(0.05), np.log(MOST_DF)
+        for _ in range(50):
+            middle = (a + b) / 2
+            a, b = (middle, b) if winsorised(df, float(np.exp(middle)))[1] > spread else (a, middle)
+        prior = float(np.exp((a + b) / 2))
+    shift = mean - winsorised(df, prior)[0]
+    scale = np.exp(trend + shift)
+
+    def tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            bucket = _tail_bucket(np.exp(pdf["r"].to_numpy() - shift), df, prior)
+            yield pdf.assign(b=bucket)
+
+    counted = rest.mapInPandas(tails, "r double, b int").groupBy("b").agg(F.count("*").alias("n"), F.max("r").alias("r")).collect()
+    by_tail = np.full(TAILS, prior)
+    order = sorted(counted, key=lambda r: -r.b)
+    size = np.array([r.n for r in order], float)
+    beyond = (np.cumsum(size) - size / 2) / n
+    tail = 10 ** (-(np.array([r.b for r in order]) + 0.5) / PER_DECADE)
+    steady = np.minimum(1.0, tail / beyond)
+    if (steady < 1).any():
+        if prior >= MOST_DF:
+            own = np.where(steady < 1, steady * n * df, MOST_DF)
+        else:
+            top = np.exp(max(r.r for r in order) - shift)
+            outlier = prior
+            for _ in range(2):
+                p = float(f_tail(np.array([top]), df, np.array([outlier]))[0])
+                outlier *= math.log(0.5) / math.log(min(max(p, 1e-300), 0.5))
+            own = steady * prior + (1 - steady) * outlier
+        # Degrees of freedom don't fall from the furthest inwards.
+        running = np.cumsum(own * size) / np.cumsum(size)
+        first = int(np.argmin(running))
+        own[: first + 1] = running[first]
+        own = np.maximum.accumulate(own)
+        by_tail = np.interp(np.arange(TAILS), [r.b for r in reversed(order)], own[::-1])
+    return Prior(scale, prior, by_tail)
+
+
 def _poisson_p(y: np.ndarray, offset: np.ndarray, x: np.ndarray, free: np.ndarray) -> np.ndarray:
     """Likelihood-ratio test of one direction with Poisson variance."""
     none = np.full(len(y), 1e-8)
@@ -152,14 +268,16 @@ def _poisson_p(y: np.ndarray, offset: np.ndarray, x: np.ndarray, free: np.ndarra
 def model_input(cells: DataFrame, plan: Design) -> DataFrame:
     """One row per intron: counts and log offsets as arrays in the order of the design's samples.
 
-    An error is raised where an intron lacks a sample.
+    Offsets are those of a column ``offset`` if there is one, else of the shared
+    totals. An error is raised where an intron lacks a sample.
     """
+    offset = F.col("offset") if "offset" in cells.columns else F.log(F.col("shared_total") + 0.5)
     order = F.create_map(*[c for i, s in enumerate(plan.samples) for c in (F.lit(s), F.lit(i))])
     known = cells.where(F.col("sample_id").isin(plan.samples)).withColumn("__i", F.element_at(order, F.col("sample_id")))
     # The fit is heavy on processors while its rows are few bytes, so rows go to
     # all cores rather than to partitions of a given size.
     parts = max(2 * cells.sparkSession.sparkContext.defaultParallelism, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    packed = known.repartition(parts, "intron_id").groupBy("intron_id").agg(F.array_sort(F.collect_list(F.struct("__i", F.col("count").cast("double").alias("c"), F.log(F.col("shared_total") + 0.5).alias("o")))).alias("all"))
+    packed = known.repartition(parts, "intron_id").groupBy("intron_id").agg(F.array_sort(F.collect_list(F.struct("__i", F.col("count").cast("double").alias("c"), offset.alias("o")))).alias("all"))
     whole = F.assert_true(F.size("all") == len(plan.samples), F.lit("an intron lacks samples of the design"))
     return packed.select("intron_id", F.when(whole.isNull(), F.col("all.c")).alias("counts"), F.col("all.o").alias("offsets"))
 
@@ -176,38 +294,46 @@ class Fitted:
     plan: Design
     library: np.ndarray
     common: float
-    trend: np.ndarray
+    trend: np.ndarray  # dispersion by bin
+    shared: np.ndarray  # mean log likelihood over the grid by bin
     df: int
-    prior_df: float
-    prior_scale: float
+    prior: Prior
 
     def abundance(self, y: np.ndarray) -> np.ndarray:
         return _abundance(y, self.library)
 
     def fitted(self, y: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Level, dispersion, coefficients, means, deviance and squeezed quasi-likelihood dispersion."""
+        """Level, trended dispersion, coefficients, means, deviance, prior degrees of freedom and squeezed quasi-likelihood dispersion."""
         level = self.abundance(y)
-        phi = self.trend[_bin_of(level)]
+        phi = along(level, self.trend)
         beta, mu = fit(y, offset, self.plan.matrix, phi)
         dev = deviance(y, mu, phi[:, None])
-        return level, phi, beta, mu, dev, (self.prior_df * self.prior_scale + dev) / (self.prior_df + self.df)
+        scale = along(level, self.prior.scale)
+        more = self.prior.of(dev / self.df / scale, self.df)
+        return level, phi, beta, mu, dev, more, (more * scale + dev) / (more + self.df)
+
+    def tagwise(self, level: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """An intron's own dispersion: the top of its log likelihood and the shared one, which weighs as the prior's degrees of freedom."""
+        low = np.clip(np.floor(level - CENTERS[0]), 0, BINS - 2).astype(int)
+        part = np.clip(level - CENTERS[low], 0, 1)[:, None]
+        shared = (1 - part) * self.shared[low] + part * self.shared[low + 1]
+        return np.array([peak(row) for row in own + self.prior.df / self.df * shared])
 
     def parameters(self) -> DataFrame:
-        """Per intron: logCPM, dispersion, quasi-likelihood dispersions before and after squeezing, and coefficients in the order of the design."""
+        """Per intron: logCPM, trended and tagwise dispersion, quasi-likelihood dispersions before and after squeezing, the prior's degrees of freedom, and coefficients in the order of the design."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 y, offset = _arrays(pdf)
-                level, phi, beta, _, dev, s2 = self_.fitted(y, offset)
-                yield pd.DataFrame({"intron_id": pdf["intron_id"], "logCPM": level, "dispersion": phi, "ql_raw": dev / self_.df, "ql_squeezed": s2, "coefficients": list(beta)})
+                level, phi, beta, _, dev, more, s2 = self_.fitted(y, offset)
+                own = self_.tagwise(level, np.stack(pdf["profile"].to_numpy()))
+                yield pd.DataFrame({"intron_id": pdf["intron_id"], "logCPM": level, "trend": phi, "dispersion": own, "ql_raw": dev / self_.df, "ql_squeezed": s2, "prior_df": more, "coefficients": list(beta)})
 
         self_ = self._local()
-        return self.rows.mapInPandas(run, "intron_id string, logCPM double, dispersion double, ql_raw double, ql_squeezed double, coefficients array<double>")
+        return self.rows.mapInPandas(run, "intron_id string, logCPM double, trend double, dispersion double, ql_raw double, ql_squeezed double, prior_df double, coefficients array<double>")
 
     def diagnostics(self) -> DataFrame:
-        """Points of the dispersion plots: logCPM against the roots of the dispersions."""
-        root = lambda c: F.sqrt(c)
-        return self.parameters().select("intron_id", "logCPM", root("dispersion").alias("bcv"), root("ql_raw").alias("root_ql_raw"), root("ql_squeezed").alias("root_ql_squeezed"))
+        return dispersion_points(self.parameters())
 
     def _local(self) -> Fitted:
         """Itself without the DataFrame, to send to workers."""
@@ -221,7 +347,7 @@ class Fitted:
         def tests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 y, offset = _arrays(pdf)
-                level, phi, _, mu, full, s2 = self_.fitted(y, offset)
+                level, phi, _, mu, full, prior, s2 = self_.fitted(y, offset)
                 # Fold changes of introns without reads in a group stay finite.
                 more = PRIOR_COUNT * self_.library / self_.library.mean()
                 steady, _ = fit(y + more, np.log(np.exp(offset) + 2 * more), x, phi)
@@ -230,7 +356,7 @@ class Fitted:
                     free = np.linalg.svd(c[None, :])[2][1:].T
                     _, mu0 = fit(y, offset, x @ free, phi) if free.shape[1] else (None, np.exp(offset))
                     f = np.maximum(deviance(y, mu0, phi[:, None]) - full, 0) / s2
-                    p = f_tail(f, 1, np.full(len(f), self_.prior_df + self_.df))
+                    p = f_tail(f, 1, prior + self_.df)
                     # Where the variance falls below that of counts themselves,
                     # the test may not be surer than one with Poisson variance.
                     low = np.flatnonzero((s2[:, None] * (1 + phi[:, None] * mu)).min(axis=1) < 1)
@@ -238,7 +364,14 @@ class Fitted:
                         p[low] = np.maximum(p[low], _poisson_p(y[low], offset[low], x, free))
                     yield pd.DataFrame({"intron_id": pdf["intron_id"], "contrast": name, "logFC": steady @ c / np.log(2), "logCPM": level, "F": f, "PValue": p})
 
-        return flag_significant(bh_fdr(self.rows.mapInPandas(tests, RESULT), "PValue", ("contrast",)), fdr, min_log_fc)
+        return flag_significant(bh_fdr(self.rows.drop("profile").mapInPandas(tests, RESULT), "PValue", ("contrast",)), fdr, min_log_fc)
+
+
+def dispersion_points(parameters: DataFrame) -> DataFrame:
+    """Points of the dispersion plots: logCPM against the roots of the dispersions."""
+    return parameters.select(
+        "intron_id", "logCPM", F.sqrt("dispersion").alias("bcv"), F.sqrt("trend").alias("trended_bcv"), F.sqrt("ql_raw").alias("root_ql_raw"), F.sqrt("ql_squeezed").alias("root_ql_squeezed")
+    )
 
 
 def _abundance(y: np.ndarray, library: np.ndarray) -> np.ndarray:
@@ -261,16 +394,14 @@ def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", bat
     library = np.array([max(sizes.get(i, 0.0), 1.0) for i in range(len(plan.samples))])
 
     def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, np.ndarray] = {}
         for pdf in batches:
             y, offset = _arrays(pdf)
-            for b, row in zip(_bin_of(_abundance(y, library)), np.c_[profile(y, offset, x), np.ones(len(y))]):
-                held[b] = held.get(b, 0) + row
-        yield pd.DataFrame({"bin": list(held), "sums": [list(v) for v in held.values()]})
+            yield pdf.assign(bin=_bin_of(_abundance(y, library)), profile=list(profile(y, offset, x)))
 
-    # A row per task and bin; the driver gets BINS rows.
-    total = [F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(len(GRID) + 1)]
-    found = rows.mapInPandas(profiles, "bin int, sums array<double>").groupBy("bin").agg(*total).collect()
+    rows = checkpointed(rows.mapInPandas(profiles, "intron_id string, counts array<double>, offsets array<double>, bin int, profile array<double>"))
+    # The driver gets BINS rows.
+    total = [F.sum(F.col("profile")[k]).alias(f"s{k}") for k in range(len(GRID))]
+    found = rows.groupBy("bin").agg(*total, F.count("*").alias("n")).collect()
     by_bin = np.zeros((BINS, len(GRID) + 1))
     for r in found:
         by_bin[r.bin] = list(r)[1:]
@@ -278,20 +409,18 @@ def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", bat
     smooth = near @ by_bin
     common = peak(by_bin[:, :-1].sum(axis=0)) if len(found) else 0.1
     trend = np.array([peak(s[:-1]) if s[-1] > 0.5 else common for s in smooth])
+    shared = smooth[:, :-1] / np.maximum(smooth[:, -1:], 1e-9)
 
     def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             y, offset = _arrays(pdf)
-            phi = trend[_bin_of(_abundance(y, library))]
+            level = _abundance(y, library)
+            phi = along(level, trend)
             _, mu = fit(y, offset, x, phi)
-            e = np.log(np.maximum(deviance(y, mu, phi[:, None]) / df, 1e-6)) - digamma(df / 2) + np.log(df / 2)
-            yield pd.DataFrame({"n": [float(len(e))], "e": [e.sum()], "ee": [(e * e).sum()]})
-
-    n, e, ee = rows.mapInPandas(squares, "n double, e double, ee double").agg(F.sum("n"), F.sum("e"), F.sum("ee")).first()
-    n, mean = n or 0.0, (e or 0.0) / max(n or 1.0, 1.0)
-    spread = (ee / n - mean * mean) * n / (n - 1) - trigamma(df / 2) if n > 2 else 0.0
-    prior_df = min(2 * trigamma_inverse(spread), 1e6) if spread > 1e-8 else 1e6
-    return Fitted(rows, plan, library, common, trend, df, prior_df, float(np.exp(mean + digamma(prior_df / 2) - np.log(prior_df / 2))))
+            yield pd.DataFrame({"level": level, "z": np.log(np.maximum(deviance(y, mu, phi[:, None]) / df, 1e-6))})
+
+    prior = robust_prior(checkpointed(rows.drop("profile").mapInPandas(squares, "level double, z double")), df)
+    return Fitted(rows, plan, library, common, trend, shared, df, prior)
 
 
 def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:

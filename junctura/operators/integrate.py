@@ -40,7 +40,7 @@ def best(merged: DataFrame) -> DataFrame:
     take = lambda c: F.when(donor, F.col(f"donor_{c}")).otherwise(F.col(f"acceptor_{c}"))
     out = merged.withColumn("best_FDR", F.least("donor_FDR", "acceptor_FDR")).withColumn("best_analysis", F.when(donor, "donor").otherwise("acceptor"))
     out = out.withColumn("best_logFC", take("logFC"))
-    return out.withColumn("best_delta_psi", take("delta_psi")) if {"donor_delta_psi", "acceptor_delta_psi"} <= set(merged.columns) else out
+    return out.withColumn("best_delta_psi", take("delta_psi")) if {"donor_delta_psi", "acceptor_delta_psi"} <= {c.lower() for c in merged.columns} else out
 
 
 def integrate(donor: DataFrame, acceptor: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,20 @@ def excluded_samples(cells: DataFrame, metadata: DataFrame) -> DataFrame:
     return cells.select("sample_id").distinct().join(valid_samples(metadata).select("sample_id"), "sample_id", "left_anti")
 
 
+def told(names: DataFrame, what: str, most: int = 5) -> str | None:
+    """Number of samples and the first of them in order, or None if there are none."""
+    n = names.count()
+    first = [r.sample_id for r in names.orderBy("sample_id").limit(most).collect()]
+    return f"{n} {what}: {', '.join(first)}{'...' if n > most else ''}" if n else None
+
+
+def warn_dropped(cells: DataFrame, metadata: DataFrame) -> None:
+    """Warn of samples that one side alone has."""
+    for names, what in ((missing_samples(cells, metadata), "samples of the metadata aren't in the matrix"), (excluded_samples(cells, metadata), "samples of the matrix aren't in the metadata")):
+        if said := told(names, what):
+            warnings.warn(said, stacklevel=3)
+
+
 def groups(metadata: DataFrame, column: str = "group") -> DataFrame:
     return metadata.select(F.col(f"`{column}`").cast("string").alias("group")).where("`group` is not null").distinct()
 
@@ -82,4 +97,5 @@ def contrast_label(contrast: str) -> str:
 
 
 def contrast_file(contrast: str) -> str:
+    """The contrast as part of a file's name."""
     return contrast.replace("-", "_vs_")

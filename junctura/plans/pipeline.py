@@ -58,6 +58,7 @@ class SpliceEngine:
 
         Totals are those of the whole matrix, before any filter.
         """
+        samples.warn_dropped(cells, metadata)
         kept = samples.keep_samples(cells, metadata)
         names = counts.sample_names(kept)
         if not names:
@@ -102,13 +103,11 @@ class SpliceEngine:
             delta = psi.compatible_delta(values, present, p.contrast)
             results = tested.join(delta, "intron_id", "left") if delta is not None else tested
         else:
-            results = None
-            for contrast in wanted:
-                first, others = samples.parse_contrast(contrast, sorted(local["group"].unique()))
-                delta = psi.delta_psi(values, present, first, others)
-                part = tested.where(F.col("contrast") == samples.contrast_label(contrast)).join(delta, "intron_id", "left")
-                results = part if results is None else results.unionByName(part)
-        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "results": results, "fits": fits}
+            names = sorted(local["group"].unique())
+            sides = {samples.contrast_label(c): samples.parse_contrast(c, names) for c in wanted}
+            results = tested.join(psi.contrast_deltas(values, present, sides), ["intron_id", "contrast"], "left")
+        table = psi.psi_table(values, present, sorted(local["sample_id"]), p.contrast)
+        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "psi_table": table, "results": results, "fits": fits}
         if p.min_delta_psi and "delta_psi" in results.columns:
             out["psi_filtered"] = fdr.refilter(results, p.min_delta_psi)
         return out
@@ -121,19 +120,52 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     engine = SpliceEngine(spark, parameters, None if force else f"{output}/stages")
     notes = annotation.load(spark, gtf, None if force else f"{output}/annotation") if gtf else None
     found = engine.run(cells, meta, notes, f"{matrix} {metadata} {gtf}")
-    writers.write_results(found["results"], f"{output}/results")
-    names = counts.sample_names(found["filtered"])
-    kept = found["filtered"]
-    wide = lambda column: kept.groupBy("intron_id").pivot("sample_id", names).agg(F.first(column))
-    writers.write_tsv(wide("count"), f"{output}/model_counts")
-    writers.write_tsv(wide("shared_total"), f"{output}/shared_offsets")
-    writers.write_tsv(kept.withColumn("o", clusters.log_offset()).groupBy("intron_id").pivot("sample_id", names).agg(F.first("o")), f"{output}/model_offsets")
-    noted = [c for c in ("chrom", "start", "end", "strand", "splice_pair", "flag", "donor_cluster", "acceptor_cluster", "gene_name", "intron_status", "overlapping_genes") if c in kept.columns]
-    writers.write_tsv(kept.select("intron_id", *noted).distinct(), f"{output}/model_annotations")
-    writers.write_tsv(found["psi"].groupBy("intron_id").pivot("sample_id", names).agg(F.first("psi")), f"{output}/psi_values")
+    results, table = found["results"], found["psi_table"]
+    writers.write_results(results, f"{output}/results")
+    writers.write_results(psi.with_psi(results, table), f"{output}/results_with_psi")
+    writers.write_by_contrast(results, f"{output}/results_by_contrast")
+    kept, whole = found["filtered"], found["clustered"]
+    names = counts.sample_names(whole)
+    writers.write_tsv(wide_matrix(whole, names), f"{output}/clustered_matrix")
+    writers.write_tsv(wide_matrix(kept, names), f"{output}/filtered_matrix")
+    # Offsets of all introns, also of those that the filters drop.
+    writers.write_tsv(wide(whole.withColumn("offset", clusters.log_offset()), "offset", names), f"{output}/shared_offsets")
+    write_model_input(kept.withColumn("offset", clusters.log_offset()), names, f"{output}/model")
+    writers.write_tsv(table, f"{output}/psi_values")
     if "psi_filtered" in found:
-        writers.write_tsv(found["psi_filtered"], f"{output}/psi_filtered")
-    writers.write_tsv(fdr.volcano(found["results"]), f"{output}/diagnostics_volcano")
-    if (fits := found.get("fits")) is not None:
-        fits.write.mode("overwrite").parquet(f"{output}/fits")
+        writers.write_tsv(psi.with_psi(found["psi_filtered"], table), f"{output}/psi_filtered")
+    writers.write_tsv(fdr.volcano(results), f"{output}/diagnostics_volcano")
+    writers.write_tsv(results.select("intron_id", "contrast", "logCPM", "logFC", "significant"), f"{output}/diagnostics_mean_difference")
+    writers.write_tsv(glm.dispersion_points(found["fits"]), f"{output}/diagnostics_dispersion")
+    found["fits"].write.mode("overwrite").parquet(f"{output}/fits")
     return found
+
+
+NOTES = ("donor_cluster", "acceptor_cluster", "gene_name", "intron_status", "overlapping_genes")
+
+
+def wide(cells: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """One row per intron and a column for each sample."""
+    return cells.groupBy("intron_id").pivot("sample_id", names).agg(F.first(column))
+
+
+def wide_matrix(cells: DataFrame, names: list[str]) -> DataFrame:
+    """Wide counts with clusters and annotation behind the samples."""
+    noted = [c for c in NOTES if c in cells.columns]
+    rows = cells.groupBy("intron_id", *noted).pivot("sample_id", names).agg(F.first("count"))
+    return rows.select("intron_id", *[f"`{n}`" for n in names], *noted)
+
+
+def unmatrix(rows: DataFrame) -> DataFrame:
+    """Cells of such a matrix, clustered anew where it has no clusters."""
+    noted = tuple(c for c in NOTES if c in rows.columns)
+    cells = counts.unpivot_matrix(rows, other=noted)
+    return clusters.assign_clusters(cells.drop("donor_cluster", "acceptor_cluster"))
+
+
+def write_model_input(cells: DataFrame, names: list[str], prefix: str) -> None:
+    """Counts, offsets and annotations of the introns that are tested."""
+    writers.write_tsv(wide(cells, "count", names), f"{prefix}_counts")
+    writers.write_tsv(wide(cells, "offset", names), f"{prefix}_offsets")
+    noted = [c for c in ("chrom", "start", "end", "strand", "splice_pair", "flag", *NOTES) if c in cells.columns]
+    writers.write_tsv(cells.select("intron_id", *noted).distinct(), f"{prefix}_annotations")

@@ -110,6 +110,28 @@ def sam_introns(spark, d):
     return counts.count_junctions(reads).where(~F.col("chrom").contains("_"))
 
 
+_GENOME = """SELECT 'chr' || p_size % 7 AS chrom, string_agg(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTGTAG'), '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1"""
+_SITE = """SELECT 'S' || l_linenumber AS sample_id, 'chr' || l_suppkey % 8 || CASE WHEN l_partkey % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1 + l_partkey * 31 % 9000 AS "start",
+    1 + l_partkey * 31 % 9000 + 20 + l_suppkey * 13 % 700 AS "end", CAST(sum(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2, 3, 4"""
+
+
+@query(
+    f"""SELECT sample_id, chrom || ':' || "start" || '-' || "end" AS intron, pair AS splice_pair, CASE WHEN pair IN {I.CANONICAL} THEN 'OK' ELSE 'NON' END AS splice_flag, count
+    FROM (SELECT s.*, substr(seq, "start", 2) || '--' || substr(seq, "end" - 1, 2) AS pair FROM site s JOIN genome USING (chrom) WHERE chrom NOT LIKE '%\\_%' ESCAPE '\\')""",
+    genome=_GENOME, site=_SITE,
+)
+def junction_naming(spark, d):
+    base = F.translate(F.md5(F.col("p_name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTGTAG")
+    part = A.table(spark, d, "part").select(F.concat(F.lit("chr"), F.col("p_size") % 7).alias("chrom"), F.struct("p_partkey", base.alias("bases")).alias("one"))
+    genome = part.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("one")), lambda x: x.bases), "").alias("seq"))
+    start = 1 + F.col("l_partkey") * 31 % 9000
+    site = A.table(spark, d, "lineitem").groupBy(
+        F.concat(F.lit("S"), "l_linenumber").alias("sample_id"), F.concat(F.lit("chr"), F.col("l_suppkey") % 8, F.when(F.col("l_partkey") % 11 == 0, "_alt").otherwise("")).alias("chrom"),
+        start.alias("start"), (start + 20 + F.col("l_suppkey") * 13 % 700).alias("end"),
+    ).agg(F.sum("l_quantity").cast("long").alias("count"))
+    return counts.name_junctions(site, genome, tile=512)
+
+
 # Clusters and offsets.
 
 
@@ -367,42 +389,47 @@ def delta_filter_fdr(spark, d):
     return kept.select("intron_id", "contrast", "delta_psi", F.round("FDR_original", 12).alias("FDR_original"), F.round("FDR", 12).alias("FDR"), "significant")
 
 
-# Clusters of results.
+# Clusters of results. Logarithms of p-values are compared, so that small ones count.
+
+
+def log10p(p: Column) -> Column:
+    return F.round(F.log10(p), 8)
+
 
 _FISHER = {
     "sums": """SELECT contrast, cluster, count(*) FILTER (WHERE "PValue" > 0 AND "PValue" <= 1) AS m, abs(sum(ln("PValue")) FILTER (WHERE "PValue" > 0 AND "PValue" <= 1)) AS h FROM result GROUP BY 1, 2""",
 }
 _VALID = '"PValue" > 0 AND "PValue" <= 1'
-_CAUCHY = f'CASE WHEN count(*) FILTER (WHERE {_VALID}) > 0 THEN greatest(0.0, least(1.0, 0.5 - atan(avg(tan((0.5 - "PValue") * pi())) FILTER (WHERE {_VALID})) / pi())) END'
+_CAUCHY = f'CASE WHEN count(*) FILTER (WHERE {_VALID}) > 0 THEN greatest(0.0, least(1.0, atan2(1.0::DOUBLE, avg(tan((0.5 - "PValue") * pi())) FILTER (WHERE {_VALID})) / pi())) END'
 
 
 @query(
-    """SELECT contrast, cluster, round(CASE WHEN m > 0 THEN least(1.0, (SELECT sum(exp(j * ln(h) - lgamma(j + 1) - h)) FROM range(0, m) AS r(j))) END, 9) AS cluster_pvalue FROM sums""",
+    """SELECT contrast, cluster, round(log10(CASE WHEN m > 0 THEN least(1.0, (SELECT sum(exp(j * ln(h) - lgamma(j + 1) - h)) FROM range(0, m) AS r(j))) END), 8) AS log10_p FROM sums""",
     **_FISHER,
 )
 def fisher_by_cluster(spark, d):
-    return A.results(spark, d).groupBy("contrast", "cluster").agg(r9(pvalues.fisher(F.col("PValue"))).alias("cluster_pvalue"))
+    return A.results(spark, d).groupBy("contrast", "cluster").agg(log10p(pvalues.fisher(F.col("PValue"))).alias("log10_p"))
 
 
-@query(f"SELECT contrast, cluster, round({_CAUCHY}, 9) AS cluster_pvalue FROM result GROUP BY 1, 2")
+@query(f"SELECT contrast, cluster, round(log10({_CAUCHY}), 8) AS log10_p FROM result GROUP BY 1, 2")
 def cauchy_by_cluster(spark, d):
-    return A.results(spark, d).groupBy("contrast", "cluster").agg(r9(pvalues.cauchy(F.col("PValue"))).alias("cluster_pvalue"))
+    return A.results(spark, d).groupBy("contrast", "cluster").agg(log10p(pvalues.cauchy(F.col("PValue"))).alias("log10_p"))
 
 
 @query(
-    """SELECT contrast, cluster, CASE WHEN count("PValue") > 0 THEN round(greatest(0.0, least(1.0, 0.5 - atan(sum(s * tan((0.5 - "PValue") * pi())) FILTER (WHERE "PValue" > 0) / sum(s) FILTER (WHERE "PValue" > 0)) / pi())), 9) END AS cluster_pvalue
+    """SELECT contrast, cluster, CASE WHEN count("PValue") > 0 THEN round(log10(greatest(0.0, least(1.0, atan2(1.0::DOUBLE, sum(s * tan((0.5 - "PValue") * pi())) FILTER (WHERE "PValue" > 0) / sum(s) FILTER (WHERE "PValue" > 0)) / pi()))), 8) END AS log10_p
     FROM result GROUP BY 1, 2"""
 )
 def cauchy_weighted(spark, d):
     weight = F.col("s").cast("double")
-    return A.results(spark, d).groupBy("contrast", "cluster").agg(r9(pvalues.cauchy(F.col("PValue"), weight)).alias("cluster_pvalue"))
+    return A.results(spark, d).groupBy("contrast", "cluster").agg(log10p(pvalues.cauchy(F.col("PValue"), weight)).alias("log10_p"))
 
 
 _SURE = "coalesce(significant, FALSE)"
 _AGG = _FLAG | {
-    "clustered": f"""SELECT contrast, cluster, count(*) AS n_introns, count(*) FILTER (WHERE {_SURE}) AS n_significant_introns, round({_CAUCHY}, 9) AS cluster_pvalue,
+    "clustered": f"""SELECT contrast, cluster, count(*) AS n_introns, count(*) FILTER (WHERE {_SURE}) AS n_significant_introns, {_CAUCHY} AS cluster_pvalue,
         count(*) FILTER (WHERE {_SURE} AND "logFC" > 0) AS n_increased, count(*) FILTER (WHERE {_SURE} AND "logFC" < 0) AS n_decreased,
-        coalesce(max(abs("logFC")) FILTER (WHERE {_SURE}), 0.0::DOUBLE) AS "max_abs_logFC", round(coalesce(avg("logFC") FILTER (WHERE {_SURE}), 0.0::DOUBLE), 9) AS "mean_logFC" FROM tested GROUP BY 1, 2""",
+        coalesce(max(abs("logFC")) FILTER (WHERE {_SURE}), 0.0::DOUBLE) AS "max_abs_logFC", coalesce(avg("logFC") FILTER (WHERE {_SURE}), 0.0::DOUBLE) AS "mean_logFC" FROM tested GROUP BY 1, 2""",
     "directed": """SELECT *, CASE WHEN n_significant_introns = 0 THEN 'none' WHEN n_increased > n_decreased THEN 'increased' WHEN n_decreased > n_increased THEN 'decreased' ELSE 'mixed' END AS dominant_direction FROM clustered""",
     **_bh("with_fdr", "directed", "contrast", "cluster_pvalue"),
 }
@@ -411,12 +438,13 @@ _AGG = _FLAG | {
 def _aggregated(spark, d):
     rows = _tested(spark, d).drop("gene_name")
     found = clusterstats.aggregate_clusters(rows, "cauchy", by=("contrast",)).drop("cluster_FDR")
-    return fdr.bh_fdr(found.withColumn("cluster_pvalue", r9("cluster_pvalue")).withColumn("mean_logFC", r9("mean_logFC")), "cluster_pvalue", ("contrast",), "cluster_FDR")
+    return fdr.bh_fdr(found, "cluster_pvalue", ("contrast",), "cluster_FDR")
 
 
-@query('SELECT * EXCLUDE (fdr), round(fdr, 9) AS "cluster_FDR" FROM with_fdr', **_AGG)
+@query('SELECT * EXCLUDE (fdr, cluster_pvalue, "mean_logFC"), round(log10(cluster_pvalue), 8) AS log10_p, round("mean_logFC", 9) AS "mean_logFC", round(log10(fdr), 8) AS log10_fdr FROM with_fdr', **_AGG)
 def cluster_aggregate(spark, d):
-    return _aggregated(spark, d).withColumn("cluster_FDR", r9("cluster_FDR"))
+    rows = _aggregated(spark, d).withColumn("log10_p", log10p(F.col("cluster_pvalue"))).withColumn("log10_fdr", log10p(F.col("cluster_FDR")))
+    return rows.withColumn("mean_logFC", r9("mean_logFC")).drop("cluster_pvalue", "cluster_FDR")
 
 
 @query(
@@ -436,13 +464,13 @@ def cluster_genes(spark, d):
 
 
 @query(
-    'SELECT t.intron_id, t.contrast, t.cluster, c.cluster_pvalue, c.dominant_direction FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE round(c.fdr, 9) < 0.05',
+    'SELECT t.intron_id, t.contrast, t.cluster, round(log10(c.cluster_pvalue), 8) AS log10_p, c.dominant_direction FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE round(c.fdr, 9) < 0.05',
     **_AGG,
 )
 def sig_cluster_introns(spark, d):
     rows = _tested(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
     found = _aggregated(spark, d).withColumn("cluster_FDR", r9("cluster_FDR")).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
-    return clusterstats.significant_cluster_introns(rows, found, "key").select("intron_id", "contrast", "cluster", "cluster_pvalue", "dominant_direction")
+    return clusterstats.significant_cluster_introns(rows, found, "key").select("intron_id", "contrast", "cluster", log10p(F.col("cluster_pvalue")).alias("log10_p"), "dominant_direction")
 
 
 @query("SELECT dominant_direction, count(*) AS n_clusters FROM with_fdr WHERE round(fdr, 9) < 0.05 GROUP BY 1", **_AGG)
@@ -581,7 +609,7 @@ def significant_integrated(spark, d):
     SELECT intron_id, sum(count) FILTER (WHERE grp = 'A') AS a, sum(shared_total) FILTER (WHERE grp = 'A') AS ta, sum(count) FILTER (WHERE grp = 'B') AS b, sum(shared_total) FILTER (WHERE grp = 'B') AS tb FROM total GROUP BY 1)"""
 )
 def usage_log_ratio(spark, d):
-    rows = A.totals(spark, d).join(F.broadcast(A.metadata(spark)), "sample_id")
+    rows = A.totals(spark, d).join(A.metadata(spark), "sample_id")
     add = lambda c, g: F.sum(F.when(F.col("group") == g, F.col(c))) + F.lit(0.5)
     ratio = F.log(add("count", "A") / add("shared_total", "A")) - F.log(add("count", "B") / add("shared_total", "B"))
     return rows.groupBy("intron_id").agg(r9(ratio).alias("usage_log_ratio"))

@@ -20,6 +20,12 @@ def write_results(results: DataFrame, path: str) -> None:
         write_tsv(hits, f"{path}.significant_introns")
 
 
+def write_by_contrast(results: DataFrame, path: str) -> None:
+    """Results dealt by contrast in one pass: a folder ``file=A_vs_B`` for each, by p-value within."""
+    named = results.withColumn("file", F.col("contrast")).repartition("contrast").sortWithinPartitions("file", F.asc_nulls_last("PValue"))
+    named.write.mode("overwrite").partitionBy("file").option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path)
+
+
 def save_stage(rows: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a stage as parquet and read it again."""
     rows.write.mode("overwrite").parquet(f"{folder}/{name}")

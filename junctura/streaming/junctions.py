@@ -8,6 +8,7 @@ keyed by intron and sample.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from junctura.operators.counts import sum_junctions
@@ -24,9 +25,21 @@ def cell_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_cells(cells: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the whole matrix anew after each batch of files; ends when no files are left."""
+    """Write the cells that each batch of files changed, to a folder of its own; ends when no files are left.
 
-    def put(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    A batch that is run again writes the same folder again, so nothing is lost or
+    counted twice, and no batch touches what others wrote. ``read_cells`` has the
+    matrix as it stands.
+    """
 
-    return cells.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return cells.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Matrix cells: of each intron and sample what the last batch that changed it wrote."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("intron_id", "sample_id").agg(F.max_by("count", "batch").alias("count"))
+    return last.select("intron_id", "sample_id", "count")

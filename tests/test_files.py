@@ -32,7 +32,13 @@ def test_junction_files(spark, folder):
 def test_junction_stream(spark, folder):
     query = junctions.write_cells(junctions.cell_stream(spark, str(folder / "j")), str(folder / "out"), str(folder / "check"))
     query.awaitTermination(120)
-    assert {tuple(r) for r in spark.read.parquet(str(folder / "out")).collect()} == CELLS
+    assert {tuple(r) for r in junctions.read_cells(spark, str(folder / "out")).collect()} == CELLS
+    # More files later: only the cells that they change are written.
+    (folder / "j/s1.more.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t10\n")
+    junctions.write_cells(junctions.cell_stream(spark, str(folder / "j")), str(folder / "out"), str(folder / "check")).awaitTermination(120)
+    later = {tuple(r) for r in junctions.read_cells(spark, str(folder / "out")).collect()}
+    assert later == CELLS - {("chr1:5-9^GT--AG^OK", "s1", 7)} | {("chr1:5-9^GT--AG^OK", "s1", 17)}
+    assert spark.read.parquet(str(folder / "out/batch=1")).count() == 1
 
 
 def test_metadata_comments_cut_lines(spark, tmp_path):
@@ -67,6 +73,12 @@ def test_pipeline_resumes(spark, tmp_path):
     (tmp_path / "s.tsv").write_text("sample_id\tgroup\n" + "".join(f"{g}{k}\t{g}\n" for g in "AB" for k in (1, 2, 3)) + "C1\tC\n")
     found = run_files(spark, str(tmp_path / "m.tsv"), str(tmp_path / "s.tsv"), str(tmp_path / "out"), parameters=Parameters(min_delta_psi=0.05))
     results = found["results"].toPandas()
+    read = lambda name: readers.read_results(spark, str(tmp_path / "out" / name))
+    assert read("clustered_matrix").columns == ["intron_id", "A1", "A2", "A3", "B1", "B2", "B3", "donor_cluster", "acceptor_cluster"]
+    assert read("shared_offsets").count() == read("clustered_matrix").count() == 60 and read("model_counts").count() == read("filtered_matrix").count()
+    assert {"A_mean_PSI", "B_std_PSI", "delta_PSI", "A1_PSI"} <= set(read("psi_values").columns) and "A_median_PSI" in read("results_with_psi.intron_results").columns
+    assert read("results_by_contrast/file=A_vs_B").count() == 60 and "bcv" in read("diagnostics_dispersion").columns
+    assert read("diagnostics_mean_difference").count() == 60
     assert len(results) == 60 and set(results["contrast"]) == {"A_vs_B"}
     assert (found["psi_filtered"].toPandas()["delta_psi"].abs() >= 0.05).all()
     engine = SpliceEngine(spark, Parameters(min_delta_psi=0.05), f"{tmp_path}/out/stages")
@@ -159,3 +171,48 @@ def test_package_is_shipped_once(spark, monkeypatch):
     import zipfile
 
     assert "junctura/operators/glm.py" in zipfile.ZipFile(sent[0]).namelist()
+
+
+def test_commands_one_after_another(spark, tmp_path, monkeypatch):
+    from junctura import __main__ as command
+
+    monkeypatch.setattr(command, "ship", lambda spark: None)
+    at = lambda name: str(tmp_path / name)
+    lines = ["\tA1\tA2\tB1\tB2\tX"] + [f"chr1:{100 + 1000 * i}-{900 + 1000 * i + 100 * k}^{'GT--AG^OK' if i else 'AA--TT^NON'}\t{20 + i}\t{30 + k}\t{25 + i * k}\t40\t1" for i in range(5) for k in (0, 1)]
+    (tmp_path / "m.tsv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "s.tsv").write_text("sample_id\tgroup\nA1\ta\nA2\ta\nB1\tb\nB2\tb\nZ\tb\n")
+    with pytest.warns(UserWarning, match="1 samples of the (metadata|matrix) aren't"):
+        command.main(["cluster", "--matrix", at("m.tsv"), "--samples", at("s.tsv"), "--output", at("clustered")])
+    assert readers.read_matrix(spark, at("clustered")).columns == ["intron_id", "A1", "A2", "B1", "B2", "donor_cluster", "acceptor_cluster"]
+    command.main(["filter", "--matrix", at("clustered"), "--output", at("filtered"), "--min_cluster_count", "10"])
+    assert readers.read_matrix(spark, at("filtered")).count() == 8
+    command.main(["offsets", "--matrix", at("clustered"), "--compute_offsets_only", "--output", at("offsets")])
+    command.main(["offsets", "--matrix", at("filtered"), "--shared_offsets", at("offsets"), "--output_prefix", at("shared")])
+    command.main(["offsets", "--matrix", at("filtered"), "--cluster_type", "donor", "--samples", at("s.tsv"), "--output_prefix", at("own")])
+    shared, own = (readers.read_matrix(spark, at(f"{k}_offsets")).orderBy("intron_id").toPandas() for k in ("shared", "own"))
+    assert len(shared) == len(own) == 8 and (shared["A1"] >= own["A1"] - 1e-9).all()
+    counts_ = readers.read_matrix(spark, at("shared_counts"))
+    counts_.selectExpr("intron_id", "0.01 as PValue", "0.02 as FDR", "1.5 as logFC", "true as significant", "'a_vs_b' as contrast").coalesce(1).write.csv(at("results"), sep="\t", header=True)
+    command.main(["psi", "--counts", at("shared_counts"), "--annotations", at("shared_annotations"), "--samples", at("s.tsv"), "--results", at("results"), "--output", at("psi")])
+    got = readers.read_results(spark, at("psi"))
+    assert {"a_mean_PSI", "b_median_PSI", "delta_PSI"} <= set(got.columns) and "A1_PSI" not in got.columns and got.count() == 8
+    assert got.where("abs(delta_PSI - (a_mean_PSI - b_mean_PSI)) > 1e-9").count() == 0
+    with pytest.raises(SystemExit):
+        command.main(["offsets", "--matrix", at("filtered"), "--output_prefix", at("x")])
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from junctura import checkpoints
+
+    class Context:
+        master, folder = "spark://host:7077", None
+        getCheckpointDir = lambda self: self.folder
+        setCheckpointDir = lambda self, folder: setattr(self, "folder", folder)
+
+    class Session:
+        def __init__(self, told):
+            self.sparkContext, self.conf = Context(), {"spark.checkpoint.dir": told} if told else {}
+
+    with pytest.raises(RuntimeError):
+        checkpoints.checkpoint_folder(Session(None))
+    assert checkpoints.checkpoint_folder(Session("hdfs://x/y")) == "hdfs://x/y"

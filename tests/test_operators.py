@@ -189,3 +189,111 @@ def test_model_on_simulated_counts(spark):
     assert len(table) == n and (table["dispersion"] > 0).all() and all(len(c) == 2 for c in table["coefficients"])
     with pytest.raises(ValueError):
         glm.design(meta.assign(batch=groups), "group", "batch")
+
+
+def plain_fit(y, offset, x, phi):
+    """Coefficients and deviance of one intron by Newton's steps on the likelihood itself."""
+    beta = np.linalg.lstsq(x, np.log((y + 0.5) / np.exp(offset)), rcond=None)[0]
+    for _ in range(200):
+        mu = np.exp(x @ beta + offset)
+        score = x.T @ ((y - mu) / (1 + phi * mu))
+        step = np.linalg.solve(x.T @ (x * (mu * (1 + phi * y) / (1 + phi * mu) ** 2)[:, None]), score)
+        beta = beta + np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-13:
+            break
+    mu = np.exp(x @ beta + offset)
+    first = np.where(y > 0, y * np.log(np.maximum(y, 1e-300) / mu), 0)
+    return beta, 2 * (first - (y + 1 / phi) * np.log((y + 1 / phi) / (mu + 1 / phi))).sum()
+
+
+@pytest.mark.parametrize("kind", ["pooled", "batch"])
+def test_model_against_a_plain_fit(spark, kind):
+    rng = np.random.default_rng(5)
+    groups = ["a"] * 3 + ["b"] * 3 + ["c"] * 3
+    meta = pd.DataFrame({"sample_id": [f"S{k}" for k in range(9)], "group": groups, "batch": ["p", "q", "r"] * 3})
+    rows, counts_, offsets = [], [], []
+    for i in range(60):
+        total = rng.integers(150, 400, 9)
+        y = rng.negative_binomial(15, 15 / (15 + total * rng.uniform(0.2, 0.6)))
+        counts_.append(y.astype(float))
+        offsets.append(np.log(total + 0.5))
+        rows += [(f"i{i:02d}", f"S{k}", int(y[k]), int(total[k])) for k in range(9)]
+    cells = spark.createDataFrame(rows, "intron_id string, sample_id string, count long, shared_total long")
+    fitted = glm.estimate(cells, meta, batch="batch" if kind == "batch" else None)
+    contrast = "a-b,c" if kind == "pooled" else "a-b"
+    got = fitted.test([contrast]).toPandas().set_index("intron_id").sort_index()
+    table = fitted.parameters().toPandas().set_index("intron_id").sort_index()
+    x = np.array([[g == h for h in "abc"] + ([b == h for h in "qr"] if kind == "batch" else []) for g, b in zip(groups, meta["batch"])], float)
+    c = np.array([1, -0.5, -0.5] if kind == "pooled" else [1, -1, 0, 0, 0])
+    null = x @ np.linalg.svd(c[None])[2][1:].T
+    for i in range(60):
+        own = table.iloc[i]
+        beta, dev = plain_fit(counts_[i], offsets[i], x, own["trend"])
+        assert np.allclose(own["coefficients"], beta, atol=1e-5) and math.isclose(own["ql_raw"] * (9 - x.shape[1]), dev, rel_tol=1e-6)
+        f = (plain_fit(counts_[i], offsets[i], null, own["trend"])[1] - dev) / own["ql_squeezed"]
+        assert math.isclose(got.iloc[i]["F"], max(f, 0), rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_robust_prior_sets_outliers_apart(spark):
+    rng = np.random.default_rng(2)
+    level, df, prior = rng.uniform(0, 12, 4000), 6, 12.0
+    scale = np.exp(0.1 * level)
+    s2 = scale * (rng.chisquare(df, 4000) / df) / (rng.chisquare(prior, 4000) / prior)
+    s2[:40] *= 60
+    found = glm.robust_prior(spark.createDataFrame(pd.DataFrame({"level": level, "z": np.log(s2)})), df)
+    assert 8 < found.df < 18
+    assert np.allclose(glm.along(np.array([2.0, 6.0, 10.0]), found.scale), np.exp([0.2, 0.6, 1.0]), rtol=0.15)
+    own = found.of(s2 / glm.along(level, found.scale), df)
+    assert np.median(own[:40]) < 0.5 * found.df and np.median(own[40:]) > 0.9 * found.df
+    mean, spread = glm.winsorised(df, prior)
+    z = np.log((rng.chisquare(df, 200_000) / df) / (rng.chisquare(prior, 200_000) / prior))
+    z = np.clip(z, *np.quantile(z, [0.05, 0.9]))
+    assert abs(z.mean() - mean) < 0.01 and abs(z.var() - spread) < 0.01
+
+
+def test_tagwise_lies_between_its_own_and_the_trend(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(200):
+        size = 2 if i < 20 else 40
+        rows += [(f"i{i:03d}", f"S{k}", int(rng.negative_binomial(size, size / (size + 100))), 250) for k in range(8)]
+    cells = spark.createDataFrame(rows, "intron_id string, sample_id string, count long, shared_total long")
+    meta = pd.DataFrame({"sample_id": [f"S{k}" for k in range(8)], "group": ["a"] * 4 + ["b"] * 4})
+    table = glm.estimate(cells, meta).parameters().toPandas().set_index("intron_id").sort_index()
+    assert table["dispersion"][:20].median() > 2 * table["dispersion"][20:].median() and (table["dispersion"] > 0).all()
+
+
+def test_repeated_cells_add_up(spark):
+    rows = [("i1", "S1", 2), ("i1", "S1", 3), ("i2", "S2", 1)]
+    got = counts.densify(spark.createDataFrame(rows, "intron_id string, sample_id string, count long"), ["S1", "S2"]).collect()
+    assert {tuple(r) for r in got} == {("i1", "S1", 5), ("i1", "S2", 0), ("i2", "S1", 0), ("i2", "S2", 1)}
+
+
+def test_junctions_are_named_across_tiles(spark):
+    rng = np.random.default_rng(1)
+    seq = {"c1": "".join(rng.choice(list("ACGT"), 1000)), "c2": "ACGTA", "c3": ""}
+    sites = [("c1", int(a), int(a + w)) for a, w in zip(rng.integers(1, 1010, 300), rng.integers(1, 90, 300))] + [("c2", 1, 5), ("c2", 5, 6), ("c3", 1, 4), ("zz", 1, 4), ("c1_alt", 3, 9)]
+    rows = [("S", c, a, b, 1) for c, a, b in sites]
+    got = counts.name_junctions(spark.createDataFrame(rows, "sample_id string, chrom string, start long, end long, count long"), spark.createDataFrame(list(seq.items()), "chrom string, seq string"), tile=64)
+    want = [(f"{c}:{a}-{b}", f"{seq[c][a - 1 : a + 1]}--{seq[c][b - 2 : b]}") for c, a, b in sites if c in seq]
+    assert sorted((r.intron, r.splice_pair) for r in got.collect()) == sorted(want)
+
+
+def test_offsets_table_must_be_whole(spark):
+    cells = spark.createDataFrame([("i1", "S1", 2, 9), ("i1", "S2", 3, 9)], "intron_id string, sample_id string, count long, shared_total long")
+    table = clusters.offsets(cells)
+    assert [round(r.offset, 6) for r in clusters.with_offsets(cells, table).collect()] == [round(math.log(9.5), 6)] * 2
+    with pytest.raises(Exception, match="no offset for i1 in S2"):
+        clusters.with_offsets(cells, table.where("sample_id = 'S1'")).collect()
+
+
+def test_psi_table(spark):
+    cells = spark.createDataFrame([("i1", s, p) for s, p in (("S1", 0.2), ("S2", 0.4), ("S3", 0.9), ("S9", 0.5))], "intron_id string, sample_id string, psi double")
+    meta = spark.createDataFrame([("S1", "a"), ("S2", "a"), ("S3", "b")], "sample_id string, `group` string")
+    row = psi.psi_table(cells, meta, ["S1", "S2", "S3", "S9"]).first()
+    assert (row["S9_PSI"], round(row["a_mean_PSI"], 9), round(row["a_median_PSI"], 9), row["b_std_PSI"]) == (0.5, 0.3, 0.3, None)
+    assert math.isclose(row["a_std_PSI"], 0.02**0.5) and math.isclose(row["delta_PSI"], -0.6)
+    both = psi.with_psi(spark.createDataFrame([("i1", 1.0)], "intron_id string, logFC double"), psi.psi_table(cells, meta, ["S1"], "b-a"))
+    assert both.columns == ["intron_id", "logFC", "a_mean_PSI", "a_median_PSI", "a_std_PSI", "b_mean_PSI", "b_median_PSI", "b_std_PSI", "delta_PSI"]
+    every = {r.contrast: r.delta_psi for r in psi.contrast_deltas(cells, meta, {"a_vs_b": ("a", ["b"]), "b_vs_a": ("b", ["a"])}).collect()}
+    assert math.isclose(every["a_vs_b"], -0.6) and math.isclose(every["b_vs_a"], 0.6)
