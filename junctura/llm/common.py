@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from junctura.checkpoints import checkpoint_folder
+
 # Characters that part words: space and U+0009 to U+000D.
 WORD = r"[^ \t-\r]+"
 BATCH_BYTES = 8 << 20
@@ -14,17 +14,14 @@ ROWS_A_FILE = 50_000
 
 
 def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and continue from there.
+    """Write ``df`` to the session's checkpoint folder once and continue from there.
 
-    The folder is the session's own (spark.checkpoint.dir); a temporary one is
-    chosen only where the session names none, as in local tests. Where a bound on
-    the number of rows is known, few files are written for few rows.
+    Where a bound on the number of rows is known, few files are written for few
+    rows; an exchange deals them, so that the work before it keeps its tasks.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="junctura-checkpoint-"))
+    checkpoint_folder(df.sparkSession)
     if rows is not None:
-        df = df.coalesce(1 + rows // ROWS_A_FILE)
+        df = df.repartition(1 + rows // ROWS_A_FILE)
     return df.checkpoint(eager=True)
 
 

@@ -1,12 +1,14 @@
 """Exact deduplication by sorting contents.
 
-The normalised text (A-Z in lower case, null as empty) decides equality. Rows
-are range-partitioned by sampled splitters on (leading characters, hash of the
-content, identifier), so that a text with very many copies is dealt over several
-neighbouring partitions, and sorted externally within partitions, which places
-equal texts side by side. Neighbours are then compared byte by byte. Runs whose
-sort key is that of a partition's first or last row, in any of the contents that
-share the key, are settled in a second, small step on their digest.
+The normalised text (A-Z in lower case, null as empty) decides equality. Sampled
+splitters on (leading characters, hash of the whole, identifier) range-partition
+the rows; the hash stands for the bytes past the leading ones, so that splitters
+stay small, and the identifier deals a text with very many copies over several
+neighbouring partitions. Within partitions an external sort on leading
+characters, hash and then all normalised bytes places equal texts side by side,
+and each row is compared whole with the one before it. Runs whose sort key is that
+of a partition's first or last row are settled in a second, small step on their
+digest.
 
 Defined results: null and empty texts are equal; a null doc_id sorts below every
 other; of rows alike in text and doc_id one stays; an empty table gives an empty
@@ -20,40 +22,41 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from junctura.llm.common import checkpointed, small_batches
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-PREFIX = 32  # characters of the content that lead the sort key
+PREFIX = 64  # characters of the content that lead the sort key
 
 
-def content_sorted(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """Rows so that equal contents are adjacent; ``row`` holds all columns if ``carry``.
+def _body(text: Column) -> Column:
+    """The normalised text."""
+    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-    The sort key is a function of the normalised content alone, as lower() maps
-    texts that differ in the case of A-Z to one value.
-    """
+
+def content_sorted(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """Rows so that equal contents are adjacent; ``row`` holds all columns if ``carry``."""
     name = "`" + text_col.replace("`", "``") + "`"
-    lowered = F.lower(F.coalesce(F.col(name), F.lit("")))
-    body = F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns]) if carry else F.struct(F.col(name).alias(text_col))
+    body = _body(F.col(name))
+    row = F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns]) if carry else F.struct(F.col(name).alias(text_col))
     keyed = docs.select(
-        body.alias("row"), F.col("`" + id_col.replace("`", "``") + "`").cast("long").alias("id"),
-        F.left(lowered, F.lit(PREFIX)).alias("head"), F.xxhash64(lowered).alias("hash"),
+        row.alias("row"), F.col("`" + id_col.replace("`", "``") + "`").cast("long").alias("id"),
+        F.left(body, F.lit(PREFIX)).alias("head"), F.xxhash64(body).alias("hash"),
     )
-    order = [F.col("head"), F.col("hash"), F.col("id").desc_nulls_last()]
-    return keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    key, last = [F.col("head"), F.col("hash")], F.col("id").desc_nulls_last()
+    # The bytes themselves are looked at where head and hash tie.
+    return keyed.repartitionByRange(*key, last).sortWithinPartitions(*key, _body(F.col("row")[text_col]), last)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], text_col: str, rows: bool) -> Iterator[tuple]:
     """Runs of equal content of one sorted partition: lists of (digest, ids, first row), one list a key.
 
-    Rows whose keys tie though their contents differ are told apart by the full
-    comparison: each content met under the current key has a run of its own.
+    A row belongs to the run of the one before it if both are equal byte by byte.
     """
-    key, found = None, {}
+    key, last, found = None, None, []
     for batch in batches:
         row = batch.column("row")
         text = row.field(text_col).cast(pa.binary())
@@ -61,20 +64,20 @@ def _runs(batches: Iterator[pa.RecordBatch], text_col: str, rows: bool) -> Itera
         for i, (head, hashed, doc_id) in enumerate(keys):
             body = (text[i].as_py() or b"").translate(LOWER)
             if (head, hashed) != key:
-                yield list(found.values())
-                key, found = (head, hashed), {}
-            if body in found:
-                found[body][1].append(doc_id)
+                yield found
+                key, last, found = (head, hashed), None, []
+            if body == last:
+                found[-1][1].append(doc_id)
             else:
-                found[body] = (hashlib.sha256(body).hexdigest(), [doc_id], row[i].as_py() if rows else None)
-    yield list(found.values())
+                found.append((hashlib.sha256(body).hexdigest(), [doc_id], row[i].as_py() if rows else None))
+                last = body
+    yield found
 
 
 def _marked(keys: Iterator[list[tuple]]) -> Iterator[tuple]:
     """(run, whether it may go on in a neighbouring partition).
 
-    Any run of the first and of the last key may: contents that differ in the
-    case of other letters than A-Z share a key, and each may be on both sides.
+    Any run of the first and of the last key may, should contents share a key.
     """
     held, first = None, True
     for runs in filter(None, keys):

@@ -21,7 +21,7 @@ import numpy as np
 
 GRAMS = (3, 4, 5, 6, 8)
 ENDS = (2, 3, 4)
-PIECE = 1 << 19  # characters read at once
+PIECE = 1 << 18  # characters read at once
 OVERLAP = 1 << 12
 DOCS = 1 << 12  # texts read at once
 BITS = 52

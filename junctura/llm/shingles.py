@@ -6,14 +6,16 @@
 2. Bands of ``ROWS`` minima deal the nodes into buckets. Two sets with similarity
    0.8 share none of the 24 buckets with probability 3 in a million, whatever
    their sizes; more similar ones are missed less.
-3. First each node of a bucket is paired with the next one alone, which joins
-   large groups of near copies by few pairs. Then all pairs of a bucket follow
-   whose nodes aren't in one part yet.
-4. A pair is compared if its sketches don't rule it out: the sizes, and fewer
+3. A pair is compared if its sketches don't rule it out: the sizes, and fewer
    than ``AGREE`` equal minima, which has a probability of 2 in 10 million at 0.8.
-5. The sets of all pairs that are left are compared whole; a pair is a link if the
-   shared part of its union reaches the similarity, and not otherwise. Star
-   contraction joins the links.
+4. First each node of a bucket is paired with the next one alone, which joins
+   large groups of near copies by few pairs.
+5. In buckets that still hold several parts, all pairs follow whose nodes aren't
+   in one part yet, each in the first bucket that it shares. Their sets come to
+   the bucket once a node, so that no table has a row for each pair; a bucket over
+   ``CELL_ROWS`` rows or ``CELL_BYTES`` of sets is dealt in pairs of chunks.
+6. Sets are compared whole; a pair is a link if the shared part of its union
+   reaches the similarity, and not otherwise. Star contraction joins the links.
 
 Sketches only say what is compared, never what is linked. Texts of fewer words
 than a shingle are one shingle; those without words are all equal.
@@ -37,6 +39,8 @@ AGREE = 54  # of BANDS * ROWS minima, for a similarity of 0.8
 CHUNK = 512  # shingles whose minima are taken at once
 NEXT = 64  # rows of a bucket whose pairs are looked through in the first pass
 BLOCK = 1 << 13  # pairs of sketches compared at once
+CELL_ROWS, CELL_BYTES = 1 << 13, 32 << 20
+FEW = 200_000  # nodes that are broadcast, of 16 bytes each, to pick texts without moving all of them
 _ODD = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -76,11 +80,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Re
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row a band: key, node."""
+    """One row a band: key, whose last five bits are the band's number, and node."""
     for batch in batches:
-        keys = _matrix(batch.column("bands"), 8 * BANDS).view(np.int64).reshape(-1, BANDS)
+        keys = _matrix(batch.column("bands"), 8 * BANDS).view(np.int64).reshape(-1, BANDS) & -32 | np.arange(BANDS)
         for k in range(BANDS):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[:, k]), batch.column("node")], ["key", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column("node")], ["key", "node"])
 
 
 def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,15 +95,15 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.filter(pa.array(np.r_[False, same] | np.r_[same, False])).combine_chunks().to_batches()
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables that hold whole buckets of rows sorted by key."""
+def _buckets(batches: Iterator[pa.RecordBatch], by: str = "key") -> Iterator[pa.Table]:
+    """Tables that hold whole buckets of rows sorted by their key."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        key = batch.column("key").to_numpy(zero_copy_only=False)
+        key = batch.column(by).to_numpy(zero_copy_only=False)
         at = int(np.searchsorted(key, key[-1]))
-        if held and key[-1] != held[-1].column("key")[-1].as_py():
+        if held and key[-1] != held[-1].column(by)[-1].as_py():
             yield pa.Table.from_batches([*held, batch.slice(0, at)])
             held = [batch.slice(at)]
         elif held or at == 0:
@@ -129,6 +133,7 @@ class Sketches:
 
 
 ROW = "key long, node binary, other binary, sketch binary"
+CELL = "cell long, key long, node binary, label binary, sketch binary"
 
 
 def _first(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -157,21 +162,79 @@ def _first(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
                 yield pa.RecordBatch.from_arrays([b.column("key"), b.column("node"), pa.nulls(b.num_rows, pa.binary()), b.column("sketch")], ["key", "node", "other", "sketch"])
 
 
-def _rest(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs (node, other) of each bucket whose labels differ."""
-    for table in _buckets(batches):
-        key, label = table.column("key").to_numpy(), table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sketches, node = None, table.column("node")
-        for s, e in zip(start, np.r_[start[1:], len(key)]):
-            if (label[s:e] == label[s]).all():
+class Cell:
+    """Rows of one bucket, or of two chunks of one, that may hold links between parts."""
+
+    def __init__(self, table: pa.Table, similarity: float) -> None:
+        self.sketches = Sketches(table.column("sketch"), similarity)
+        self.band = int(table.column("key")[0].as_py()) & 31
+        self.label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy().copy()
+        self.part = np.arange(int(self.label.max()) + 1)
+
+    def near(self, i: int) -> np.ndarray:
+        """Later rows of other parts that the sketches don't rule out, if this is the first bucket that the pair shares."""
+        own = self.part[self.label]
+        b = np.flatnonzero(own[i + 1 :] != own[i]) + i + 1
+        b = b[self.sketches.near(np.full(len(b), i), b)]
+        if len(b) and self.band:
+            bits = self.sketches.bits
+            shared = (bits[b, : 4 * self.band] == bits[i, : 4 * self.band]).reshape(len(b), self.band, ROWS).all(axis=2).any(axis=1)
+            b = b[~shared]
+        return b
+
+    def join(self, i: int, b: np.ndarray) -> None:
+        for j in b:
+            x, y = self.part[self.label[i]], self.part[self.label[j]]
+            self.part[self.part == max(x, y)] = min(x, y)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    for table in _buckets(batches, "cell"):
+        cell = table.column("cell").to_numpy()
+        start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        for s, e in zip(start.tolist(), [*start[1:].tolist(), len(cell)]):
+            yield table.slice(s, e - s)
+
+
+def _open(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Rows that have a pair to compare."""
+    for table in _cells(batches):
+        cell = Cell(table, similarity)
+        kept = np.zeros(table.num_rows, bool)
+        for i in range(table.num_rows - 1):
+            if len(b := cell.near(i)):
+                kept[i] = True
+                kept[b] = True
+        if kept.any():
+            yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
+
+
+def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Labels (a, b) of the parts that links join."""
+    for table in _cells(batches):
+        cell, label = Cell(table, similarity), table.column("label").combine_chunks()
+        raw = table.column("own").to_pylist()
+        size = np.array([len(r) // 8 for r in raw], np.int64)
+        number = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)[1]
+        end = np.cumsum(size)
+        held = np.zeros(int(number.max()) + 1 if len(number) else 1, np.int64)
+        a, b = [], []
+        for i in range(len(raw) - 1):
+            near = cell.near(i)
+            if not len(near):
                 continue
-            sketches = sketches or Sketches(table.column("sketch"), similarity)
-            for i in range(s, e - 1):
-                b = np.flatnonzero(label[i + 1 : e] != label[i]) + i + 1
-                b = b[sketches.near(np.full(len(b), i), b)]
-                if len(b):
-                    yield pa.RecordBatch.from_arrays([node.take(np.full(len(b), i)).combine_chunks(), node.take(b).combine_chunks()], ["node", "other"])
+            own = number[end[i] - size[i] : end[i]]
+            held[own] = 1
+            n = size[near]
+            begin = np.cumsum(n) - n
+            shared = np.add.reduceat(held[number[np.repeat(end[near] - n - begin, n) + np.arange(int(n.sum()))]], begin)
+            held[own] = 0
+            near = near[shared / (size[i] + n - shared) >= similarity]
+            cell.join(i, near)
+            a += [i] * len(near)
+            b += near.tolist()
+        if a:
+            yield pa.RecordBatch.from_arrays([label.take(pa.array(a)), label.take(pa.array(b))], ["a", "b"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -185,6 +248,12 @@ def _linked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _size(sketch: F.Column) -> F.Column:
+    """Shingles of a set, from the first four bytes of its sketch, the lowest first."""
+    byte = lambda i: F.conv(F.hex(F.substring(sketch, i, 1)), 16, 10).cast("long")
+    return byte(1) + 256 * (byte(2) + 256 * (byte(3) + 256 * byte(4)))
+
+
 def _digest(text) -> F.Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
@@ -204,17 +273,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nodes = checkpointed(nodes.select("node", "first", "one.*"))
     n = nodes.count()
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        found = rows.join(ends.join(nodes, "node").select("digest"), "digest", "left_semi").select("text")
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = [shingle_set(t.as_py() or b"", shingle) for t in batch.column(0).cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], ["node", "own"])
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingle_set(t.as_py() or b"", shingle) for t in batch.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())], ["node", "own"])
 
+    def sets_of(some: DataFrame) -> DataFrame:
+        """node and own, its set, of the nodes in ``some``."""
+        wanted = checkpointed(some.join(nodes, "node").select("digest"), n)
+        # Few are broadcast; for many the texts are dealt by digest.
+        found = rows.join(F.broadcast(wanted) if wanted.count() <= FEW else wanted.hint("merge"), "digest", "left_semi").select("text")
         # Rows alike in text give the same set several times.
-        held = checkpointed(found.mapInArrow(sets, "node binary, own binary").groupBy("node").agg(F.first("own").alias("own")))
+        return checkpointed(found.mapInArrow(sets, "node binary, own binary").groupBy("node").agg(F.first("own").alias("own")))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        held = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
         both = pairs.join(held.select(F.col("node").alias("a"), "own"), "a").join(held.select(F.col("node").alias("b"), F.col("own").alias("its")), "b")
         return checkpointed(both.select("a", "b", "own", "its").mapInArrow(lambda b: _linked(b, similarity), "a binary, b binary"))
 
@@ -227,16 +300,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tried = checkpointed(dealt.where("other is not null").select(*ordered).distinct())
     edges = verified(tried)
     label = components(edges)
-    rest = dealt.where("other is null").select("key", "node", "sketch").join(label, "node", "left")
-    rest = rest.select("key", "node", "sketch", F.coalesce("label", "node").alias("label")).repartition("key").sortWithinPartitions("key", "node")
-    rest = rest.mapInArrow(lambda b: _rest(b, similarity), "node binary, other binary")
-    rest = checkpointed(rest.select(*ordered).distinct().join(tried, ["a", "b"], "left_anti"))
+    # Labels of the first pass are the nodes of the second.
+    label = checkpointed(nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), n)
+    rest = dealt.where("other is null").select("key", "node", "sketch").join(label, "node")
+    rest = checkpointed(rest.withColumn("bytes", 8 * _size(F.col("sketch"))))
+    cells = F.ceil(F.greatest(F.count("*") / F.lit(CELL_ROWS), F.sum("bytes") / F.lit(CELL_BYTES))).cast("int")
+    mixed = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), cells.alias("n"))
+    rest = rest.join(mixed.where("low <> high").select("key", "n"), "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n")))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    cell = F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("cell")
+    rest = rest.select(cell, "key", "node", "label", "sketch").repartition("cell").sortWithinPartitions("cell", "node")
+    rest = checkpointed(rest.mapInArrow(lambda b: _open(b, similarity), CELL))
     if not rest.isEmpty():
-        # Labels of the first pass are the nodes of the second.
-        label = checkpointed(nodes.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), n)
-        ends = [label.select(F.col("node").alias(c), F.col("label").alias("label_" + c)) for c in "ab"]
-        more = verified(rest).join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        more = components(more).select(F.col("node").alias("label"), F.col("label").alias("joined"))
+        both = rest.join(sets_of(rest.select("node").distinct()), "node").select("cell", "key", "node", "label", "sketch", "own")
+        more = both.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(lambda b: _compared(b, similarity), "a binary, b binary")
+        more = components(checkpointed(more)).select(F.col("node").alias("label"), F.col("label").alias("joined"))
         label = label.join(more, "label", "left").select("node", F.coalesce("joined", "label").alias("label"))
     parts = checkpointed(label.join(nodes.select("node", "first"), "node"), n)
     least = checkpointed(parts.groupBy("label").agg(F.min("first").alias("component_id")), n)

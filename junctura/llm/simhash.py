@@ -2,20 +2,23 @@
 
 1. Every text becomes a fingerprint: a bit is 1 if it is set in over half of the
    hashes of its word shingles. Equal fingerprints fold into one node.
-2. Each table of bit positions deals the fingerprints into buckets. A table's key
-   tells the distances to the reference fingerprints that are zero outside its
-   positions (the zero pattern and the single bits): equal keys are equal
-   distances to all of those references. ``exact_tables`` covers every pair
-   within the radius; ``sampled_tables`` finds pairs at larger radii with high
-   probability.
-3. Within a bucket a pivot distance table holds the Hamming distances to further
-   reference fingerprints. Rows are ordered by the first coordinate; pairs whose
-   coordinates differ by more than the radius anywhere can't be links (triangle
-   inequality) and are discarded; the others are verified by their distance.
+2. Blocks of bit positions deal the fingerprints into buckets: ``exact_tables``
+   covers every pair within the radius by the pigeonhole principle twice,
+   ``sampled_tables`` finds pairs at larger radii with high probability.
+3. Within every bucket a pivot distance table holds the Hamming distances to
+   ``PIVOTS`` reference fingerprints. Pairs whose coordinates differ by more than
+   the radius anywhere can't be links (triangle inequality) and are discarded, in
+   buckets of over 32 rows by order of the first coordinate; the others are
+   verified by their distance.
 4. A bucket reports a spanning star of each of its connected parts, never all
    pairs. A bucket over ``LIMIT`` rows is dealt again, in pairs of chunks.
 5. Star contraction joins the parts; nothing of the corpus reaches the driver.
 
+Step 2 stands before the pivots since their coordinates alone don't index 64-bit
+fingerprints: distances to a reference crowd around 32 +- 4, so 46 % of all
+unrelated pairs pass a coordinate at radius 3 and 0.2 % pass all eight, a number
+that grows with the square of the corpus.
+
 Defined results: null and empty texts, and texts without words, have the zero
 fingerprint and link like any other; a null doc_id never becomes a component's
 identifier unless the whole component has none; repeated rows are repeated.
@@ -167,20 +170,21 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             near[some] = np.bitwise_count(words[a[some]] ^ words[b[some]]).sum(axis=1, dtype=np.int64) <= radius
         return near
 
+    table = np.stack([np.bitwise_count(words ^ p).sum(axis=1, dtype=np.int16) for p in pivots], axis=1)
+
     # Small buckets together: every row against the one d places on.
     small = np.repeat(count <= 32, count)
     for d in range(1, int(min(32, count.max(initial=0)))):
         a = np.flatnonzero(small[:-d] & (key[d:] == key[:-d]))
         if not len(a):
             break
+        a = a[(np.abs(table[a] - table[a + d]) <= radius).all(axis=1)]
         a = a[close(a, a + d)]
         _merge(label, a, a + d)
     for s, m in zip(start[count > 32], count[count > 32]):
-        own = words[s : s + m]
-        table = np.stack([np.bitwise_count(own ^ p).sum(axis=1, dtype=np.int16) for p in pivots], axis=1)
-        order = np.argsort(table[:, 0], kind="stable")
-        own, table = own[order], table[order]
-        till = np.searchsorted(table[:, 0], table[:, 0] + radius, "right")
+        order = np.argsort(table[s : s + m, 0], kind="stable")
+        own, place = words[s + order], table[s + order]
+        till = np.searchsorted(place[:, 0], place[:, 0] + radius, "right")
         for i in range(0, m, BLOCK):
             j = min(i + BLOCK, m)
             end = int(till[j - 1])
@@ -188,7 +192,7 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             part = label[order + s]
             near = part[i:j, None] != part[None, i:end]
             for c in range(PIVOTS):
-                near &= np.abs(table[i:j, c, None] - table[None, i:end, c]) <= radius
+                near &= np.abs(place[i:j, c, None] - place[None, i:end, c]) <= radius
             apart = np.zeros(near.shape, np.uint16)
             for c in range(first):
                 apart += np.bitwise_count(own[i:j, None, c] ^ own[None, i:end, c])
@@ -320,4 +324,4 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     found = simhash_groups(docs, id_col, text_col, exact=False, **NEAR)
     gone = checkpointed(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_col}`").cast("long") == F.col("g.__gone"), "left_anti")

@@ -58,7 +58,7 @@ BUCKETS = 24  # bits of the buckets that rule out features
 _SHIFT = np.uint64(grams.BITS - BUCKETS)
 PATTERNS = 3
 SILENCE = 0.0  # voters abstain where they don't vote: a text in one tongue is silent to those of all others
-STEPS = 400
+STEPS = 300
 RIDGE = 1e-5
 PARTS = 3  # of the sample; each is left out by one of the classifiers
 CARE = 0.3  # weight of the toxic class where the threshold is set
@@ -102,7 +102,9 @@ def _sketched(texts: list[str], weight: np.ndarray) -> None:
         text = grams.Text(some)
         for at, numbers in text.families():
             bucket = (numbers >> _SHIFT).astype(np.int64) << 12 | text.doc[at] & 4095
-            np.add.at(weight, grams.unique(bucket) >> 12, 1)
+            bucket = grams.unique(bucket) >> 12
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else bucket
+            weight[bucket[first]] += np.diff(np.r_[first, len(bucket)]).astype(np.uint16)
 
 
 def _supported(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +117,9 @@ def _supported(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, np.ndarr
     _sketched(toxic, a)
     _sketched(clean, b)
     open_ = a >= least
-    open_ &= a.astype(np.float32) * (len(clean) + 1) > 1.5 * len(toxic) * b.astype(np.float32)
-    del a, b
+    some = np.flatnonzero(open_)
+    open_[some] = a[some].astype(float) * (len(clean) + 1) > 1.5 * len(toxic) * b[some]
+    del a, b, some
     held = [np.empty(0, np.uint64)]
     for some in grams.pieces(toxic):
         text = grams.Text(some)
@@ -131,13 +134,22 @@ def _supported(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, np.ndarr
 def _rows(texts: list[str], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, count) and the number of words of each text."""
     members, words = grams.Members(numbers), np.zeros(len(texts))
-    parts = [(np.empty(0, np.int64),) * 3]
+    parts = [(np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.float32))]
     for doc, feature, count, first, n in grams.counted(texts, members):
         words[first : first + len(n)] += n
-        parts.append((doc + first, feature, count))
-    doc, feature, count = (np.concatenate(x) for x in zip(*parts))
-    pair, place = np.unique(doc * max(1, len(numbers)) + feature, return_inverse=True)
-    return pair // max(1, len(numbers)), pair % max(1, len(numbers)), np.bincount(place, count, len(pair)), words
+        parts.append(((doc + first).astype(np.int32), feature.astype(np.int32), count.astype(np.float32)))
+    return *_summed(*(np.concatenate(x) for x in zip(*parts)), len(numbers)), words
+
+
+def _summed(doc: np.ndarray, feature: np.ndarray, count: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows by text and feature, those of one text and feature added up."""
+    pair = doc.astype(np.int64) * max(1, many) + feature
+    if (pair[1:] > pair[:-1]).all():
+        return doc, feature, count
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+    return doc[order][first], feature[order][first], np.add.reduceat(count[order], first)
 
 
 def _leaning(toxic: list[str], clean: list[str]) -> np.ndarray:
@@ -217,9 +229,7 @@ class Model:
             late[first].append((doc + first, feature, count, first + len(n)))
         for parts in late.values():
             doc, feature, count = (np.concatenate([p[k] for p in parts]) for k in range(3))
-            if len(parts) > 1:  # one text in several pieces
-                pair, place = np.unique(doc * max(1, len(self.numbers)) + feature, return_inverse=True)
-                doc, feature, count = pair // max(1, len(self.numbers)), pair % max(1, len(self.numbers)), np.bincount(place, count, len(pair))
+            doc, feature, count = _summed(doc, feature, count, len(self.numbers))  # a text may come in several pieces
             there, dense = _values(count, words[doc])
             total += np.bincount(doc, there * self.there[feature] + dense * self.dense[feature], len(texts))
         return self.bias + self.length * _long(words) + total
@@ -256,8 +266,7 @@ def _diluted(doc: np.ndarray, feature: np.ndarray, count: np.ndarray, words: np.
     parts = [rows(w) for w in (own, *other)]
     new = np.concatenate([p[0] for p in parts])
     at = np.concatenate([p[1] for p in parts])
-    pair, place = np.unique(new * many + feature[at], return_inverse=True)
-    return pair // many, pair % many, np.bincount(place, count[at], len(pair)), words[own] + words[other[0]] + words[other[1]], own
+    return *_summed(new.astype(np.int32), feature[at], count[at], many), words[own] + words[other[0]] + words[other[1]], own
 
 
 def _trained(texts: list[str], y: np.ndarray, prior: float) -> Model:
@@ -283,27 +292,37 @@ def _trained(texts: list[str], y: np.ndarray, prior: float) -> Model:
     del votes
 
     more = _diluted(doc, feature, count, words, y == 1, many)
-    doc, feature, count = (np.concatenate([x, m]) for x, m in zip((doc, feature, count), (more[0] + n, more[1], more[2])))
+    doc, feature, count = (np.concatenate([x, m]) for x, m in zip((doc, feature, count), (more[0] + np.int32(n), more[1], more[2])))
     words = np.r_[words, more[3]]
     # A toxic text and its diluted form share their weight.
     balance = np.where(y == 1, share / 2, share)
     balance, q = np.r_[balance, balance[more[4]]], np.r_[q, q[more[4]]]
-    there, dense = _values(count, words[doc])
+    there, dense = (x.astype(np.float32) for x in _values(count, words[doc]))
+    del count
     long = _long(words)
+    # Rows lie by text for the logits, and once more by feature for the slopes.
+    order = np.argsort(feature, kind="stable")
+    by_text, by_feature = (np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) for x in (doc, feature[order]))
+    texts_met, met = doc[by_text], feature[order][by_feature]
+    doc, there_f, dense_f = doc[order], there[order], dense[order]
     # Weights stay positive, as each feature leans to toxic texts.
-    w, bias = np.zeros(2 * many), np.array([math.log(prior / (1 - prior)), 0.0])
+    w, bias = np.zeros(2 * many, np.float32), np.array([math.log(prior / (1 - prior)), 0.0])
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), np.zeros(2), np.zeros(2)
+    g = np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = bias[0] + bias[1] * long + np.bincount(doc, there * w[feature] + dense * w[many + feature], len(words))
+        z = bias[0] + bias[1] * long
+        z[texts_met] += np.add.reduceat(there * w[:many][feature] + dense * w[many:][feature], by_text)
         wrong = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - q)
-        back = wrong[doc]
-        g = np.r_[np.bincount(feature, there * back, many), np.bincount(feature, dense * back, many)] + RIDGE * w
+        back = wrong.astype(np.float32)[doc]
+        g[met], g[many + met] = np.add.reduceat(there_f * back, by_feature), np.add.reduceat(dense_f * back, by_feature)
+        g += np.float32(RIDGE) * w
         gb = np.array([wrong.sum(), wrong @ long])
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        m, v = np.float32(0.9) * m + np.float32(0.1) * g, np.float32(0.99) * v + np.float32(0.01) * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix = 0.05 * math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-        w = np.maximum(0, w - fix * m / (np.sqrt(v) + 1e-8))
+        w = np.maximum(np.float32(0), w - np.float32(fix) * m / (np.sqrt(v) + np.float32(1e-8)))
         bias = bias - 2 * fix * mb / (np.sqrt(vb) + 1e-8)
+    w = w.astype(float)
     used = np.flatnonzero(w[:many] + w[many:] > 1e-4)
     return Model(float(bias[0]), numbers[used], w[used], w[many + used], float(bias[1]))
 

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from junctura.llm import contentsort, grams, licences, mixing, novelty, packing, queries, simhash, toxicity
+from junctura.llm import contentsort, grams, licences, mixing, novelty, packing, queries, shingles, simhash, toxicity
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 UPPER = {65 + i: 97 + i for i in range(26)}
@@ -230,6 +230,48 @@ def test_near_dedup_is_the_plain_jaccard(spark):
     assert sorted(r.doc_id for r in simhash.near_dedup(frame).collect()) == sorted(set(want.values()))
 
 
+def test_near_dedup_of_a_large_loose_group_in_small_cells(spark, monkeypatch):
+    """Copies of one text with few to many changes: some link, many are just off; buckets are dealt in chunks."""
+    monkeypatch.setattr(shingles, "CELL_ROWS", 16)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(120)], []
+    for _ in range(260):
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5, 6, 8])):
+            own[at] = word()
+        texts.append(own)
+    texts += [[word() for _ in range(40)] for _ in range(20)]
+    grams = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i: find(i) for i in range(len(texts))}
+    frame = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)], KIND).repartition(3)
+    for few in (0, 200_000):
+        monkeypatch.setattr(shingles, "FEW", few)
+        assert {r.doc_id: r.component_id for r in simhash.simhash_groups(frame, exact=False, **simhash.NEAR).collect()} == want
+
+
+def test_near_dedup_of_odd_texts(spark):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, None), (2, ""), (3, " \t"), (4, "one two"), (5, "one two"), (6, "ONE two"), (7, long), (8, long + " more"), (None, "one two"), (9, "x")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], KIND).withColumns({c: F.lit("clash") for c in ("node", "key", "label", "cell", "a", "__gone")})
+    got = simhash.near_dedup(frame)
+    assert got.columns == frame.columns
+    assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 1, 4, 7, 9]
+    assert simhash.near_dedup(frame.where("false")).count() == 0
+
+
 # Mixing.
 
 
