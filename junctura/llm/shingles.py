@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from junctura.llm.common import checkpointed, components, small_batches
+from junctura.llm.common import checkpointed, components, frugal, small_batches
 from junctura.llm.simhash import SEED, _binary, _matrix, _mix, hashed_shingles
 
 BANDS, ROWS = 24, 4
@@ -61,6 +61,7 @@ def _node(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
+@frugal
 def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     step = np.arange(BANDS, dtype=np.uint64)[None]
     for batch in batches:
@@ -87,6 +88,7 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column("node")], ["key", "node"])
 
 
+@frugal
 def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of the buckets that hold two or more, sorted by key."""
     for table in _buckets(batches):
@@ -136,6 +138,7 @@ ROW = "key long, node binary, other binary, sketch binary"
 CELL = "cell long, key long, node binary, label binary, sketch binary"
 
 
+@frugal
 def _first(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs (null, node, other, null) of neighbours, and rows (key, node, null, sketch) that have more to compare."""
     for table in _buckets(batches):
@@ -196,6 +199,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             yield table.slice(s, e - s)
 
 
+@frugal
 def _open(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Rows that have a pair to compare."""
     for table in _cells(batches):
@@ -209,6 +213,7 @@ def _open(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.R
             yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
 
 
+@frugal
 def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Labels (a, b) of the parts that links join."""
     for table in _cells(batches):
@@ -237,6 +242,7 @@ def _compared(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
             yield pa.RecordBatch.from_arrays([label.take(pa.array(a)), label.take(pa.array(b))], ["a", "b"])
 
 
+@frugal
 def _linked(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets reach the similarity."""
     for batch in batches:
@@ -273,6 +279,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nodes = checkpointed(nodes.select("node", "first", "one.*"))
     n = nodes.count()
 
+    @frugal
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [shingle_set(t.as_py() or b"", shingle) for t in batch.column(0).cast(pa.binary())]

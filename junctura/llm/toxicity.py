@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from junctura.llm import grams
-from junctura.llm.common import small_batches
+from junctura.llm.common import frugal, give_back, small_batches
 
 MAX_TRAIN = 4000
 MAX_BYTES = 20 << 20
@@ -414,6 +414,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(-30.0 if not share.get(1) else 30.0 if not share.get(0) else math.log(prior / (1 - prior)))
     small_batches(spark)
 
+    @frugal
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = defaultdict(list)
         for batch in batches:
@@ -437,6 +438,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.scores(text.tolist()))
+        scores = pd.Series(sent.value.scores(text.tolist()))
+        give_back()
+        return scores
 
     return docs.withColumn(out, scored(F.col(f"`{text_col}`")))
