@@ -146,7 +146,7 @@ def main(argv: list[str] | None = None) -> None:
         parts = [f(spark, own) for f, own in ((bam.read_bam, [p for p in files if p.endswith(".bam")]), (readers.read_sam, [p for p in files if not p.endswith(".bam")])) if own]
         reads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         named = counts.name_junctions(counts.count_junctions(reads), readers.read_fasta(spark, a["genome_fa"]))
-        named.orderBy("sample_id", "intron").write.mode("overwrite").partitionBy("sample_id").option("sep", "\t").option("header", True).option("compression", "gzip").csv(a["output"])
+        writers.write_junctions(named, a["output"])
     elif command == "matrix":
         cells = counts.sum_junctions(readers.read_junctions(spark, a["intron_files"]))
         writers.write_tsv(counts.pivot_matrix(cells, counts.sample_names(cells)), a["output"])

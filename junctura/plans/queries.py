@@ -89,47 +89,55 @@ def splice_flag(spark, d):
     return A.table(spark, d, "part").select("p_partkey", motif.alias("splice_pair"), I.splice_flag(motif).alias("splice_flag"))
 
 
-_CIGAR = """SELECT k, 'S' || (k % 3 + 1) AS sample_id, 'chr' || (k % 5) || CASE WHEN k % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1000 + k * 13 % 5000 AS pos,
+CIGAR = """SELECT k, 'S' || (k % 3 + 1) AS sample_id, 'chr' || (k % 5) || CASE WHEN k % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1000 + k * 13 % 5000 AS pos,
     k % 50 + 1 AS a, k % 300 + 20 AS n, 20 + k % 7 AS b, 100 + k % 90 AS n2 FROM (SELECT p_partkey AS k FROM part) WHERE k % 4 <> 0 AND k % 5 <> 0"""
 
 
-@query(
-    'SELECT sample_id, chrom, "start", "end", count(*) AS count FROM gap WHERE NOT contains(chrom, \'_\') GROUP BY ALL',
-    read=_CIGAR,
-    gap="""SELECT k, sample_id, chrom, pos + a AS "start", pos + a + n - 1 AS "end" FROM "read" UNION
+SAM = {
+    "read": CIGAR,
+    "gap": """SELECT k, sample_id, chrom, pos + a AS "start", pos + a + n - 1 AS "end" FROM "read" UNION
         SELECT k, sample_id, chrom, pos + a + n + b + 5, pos + a + n + b + 5 + n2 - 1 FROM "read" WHERE k % 3 = 0""",
-)
-def sam_introns(spark, d):
+}
+
+
+def alignments(spark, d):
     k = F.col("p_partkey")
     tail = F.when(k % 3 == 0, F.concat(F.lit("5D"), 100 + k % 90, F.lit("N10M2S"))).otherwise("")
-    reads = A.table(spark, d, "part").select(
+    return A.table(spark, d, "part").select(
         F.concat(F.lit("S"), k % 3 + 1).alias("sample_id"), F.when(k % 5 == 0, 256).otherwise(0).alias("flag"),
         F.concat(F.lit("chr"), k % 5, F.when(k % 11 == 0, "_alt").otherwise("")).alias("chrom"), (1000 + k * 13 % 5000).alias("pos"), F.when(k % 4 == 0, 20).otherwise(60).alias("mapq"),
         F.concat(k % 50 + 1, F.lit("M"), k % 300 + 20, F.lit("N"), 20 + k % 7, F.lit("M"), tail).alias("cigar"),
     )
-    return counts.count_junctions(reads).where(~F.col("chrom").contains("_"))
 
 
-_GENOME = """SELECT 'chr' || p_size % 7 AS chrom, string_agg(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTGTAG'), '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1"""
+@query('SELECT sample_id, chrom, "start", "end", count(*) AS count FROM gap WHERE NOT contains(chrom, \'_\') GROUP BY ALL', **SAM)
+def sam_introns(spark, d):
+    return counts.count_junctions(alignments(spark, d)).where(~F.col("chrom").contains("_"))
+
+
+GENOME = """SELECT 'chr' || p_size % 7 AS chrom, string_agg(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTGTAG'), '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1"""
 _SITE = """SELECT 'S' || l_linenumber AS sample_id, 'chr' || l_suppkey % 8 || CASE WHEN l_partkey % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1 + l_partkey * 31 % 9000 AS "start",
     1 + l_partkey * 31 % 9000 + 20 + l_suppkey * 13 % 700 AS "end", CAST(sum(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2, 3, 4"""
 
 
+def genome(spark, d):
+    base = F.translate(F.md5(F.col("p_name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTGTAG")
+    part = A.table(spark, d, "part").select(F.concat(F.lit("chr"), F.col("p_size") % 7).alias("chrom"), F.struct("p_partkey", base.alias("bases")).alias("one"))
+    return part.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("one")), lambda x: x.bases), "").alias("seq"))
+
+
 @query(
     f"""SELECT sample_id, chrom || ':' || "start" || '-' || "end" AS intron, pair AS splice_pair, CASE WHEN pair IN {I.CANONICAL} THEN 'OK' ELSE 'NON' END AS splice_flag, count
     FROM (SELECT s.*, substr(seq, "start", 2) || '--' || substr(seq, "end" - 1, 2) AS pair FROM site s JOIN genome USING (chrom) WHERE chrom NOT LIKE '%\\_%' ESCAPE '\\')""",
-    genome=_GENOME, site=_SITE,
+    genome=GENOME, site=_SITE,
 )
 def junction_naming(spark, d):
-    base = F.translate(F.md5(F.col("p_name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTGTAG")
-    part = A.table(spark, d, "part").select(F.concat(F.lit("chr"), F.col("p_size") % 7).alias("chrom"), F.struct("p_partkey", base.alias("bases")).alias("one"))
-    genome = part.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("one")), lambda x: x.bases), "").alias("seq"))
     start = 1 + F.col("l_partkey") * 31 % 9000
     site = A.table(spark, d, "lineitem").groupBy(
         F.concat(F.lit("S"), "l_linenumber").alias("sample_id"), F.concat(F.lit("chr"), F.col("l_suppkey") % 8, F.when(F.col("l_partkey") % 11 == 0, "_alt").otherwise("")).alias("chrom"),
         start.alias("start"), (start + 20 + F.col("l_suppkey") * 13 % 700).alias("end"),
     ).agg(F.sum("l_quantity").cast("long").alias("count"))
-    return counts.name_junctions(site, genome, tile=512)
+    return counts.name_junctions(site, genome(spark, d), tile=512)
 
 
 # Clusters and offsets.

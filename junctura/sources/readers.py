@@ -11,14 +11,17 @@ RESULTS = "logFC double, logCPM double, F double, PValue double, FDR double, int
 
 
 def sample_of_file() -> F.Column:
-    """The file's name up to its first dot."""
-    return F.split_part(F.element_at(F.split(F.input_file_name(), "/"), -1), F.lit("."), F.lit(1))
+    """The folder ``sample_id=NAME`` that a file is in, as ``write_junctions`` deals them, else the file's name up to its first dot."""
+    decoded = lambda name: F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))  # noqa: E731  of a path in the form of a URI
+    folder = F.regexp_extract(F.input_file_name(), "/sample_id=([^/]*)/[^/]*$", 1)
+    file = F.split_part(F.element_at(F.split(F.input_file_name(), "/"), -1), F.lit("."), F.lit(1))
+    return F.when(folder != "", decoded(decoded(folder))).otherwise(decoded(file))
 
 
 def read_junctions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Junction files, plain or gzip, one sample each: sample_id, intron, splice_pair, splice_flag, count."""
     rows = spark.read.csv(paths, sep="\t", header=True, schema=JUNCTION, enforceSchema=False)
-    return rows.select(sample_of_file().alias("sample_id"), "*")
+    return rows.select(sample_of_file().alias("sample_id"), "intron", "splice_pair", "splice_flag", "count")
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:

@@ -11,6 +11,11 @@ def write_tsv(rows: DataFrame, path: str, compression: str | None = None) -> Non
     (writer.option("compression", compression) if compression else writer).csv(path)
 
 
+def write_junctions(junctions: DataFrame, path: str) -> None:
+    """Junctions with sample_id as gzip TSV, a folder ``sample_id=NAME`` for each sample."""
+    junctions.orderBy("sample_id", "intron").write.mode("overwrite").partitionBy("sample_id").option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """All results by p-value, and the significant ones beside them if there are any."""
     ordered = results.orderBy(F.asc_nulls_last("PValue"))

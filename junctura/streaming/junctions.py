@@ -17,7 +17,7 @@ from junctura.sources.readers import JUNCTION, sample_of_file
 
 def junction_stream(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.readStream.schema(JUNCTION).option("sep", "\t").option("header", True).csv(folder)
-    return rows.select(sample_of_file().alias("sample_id"), "*")
+    return rows.select(sample_of_file().alias("sample_id"), "intron", "splice_pair", "splice_flag", "count")
 
 
 def cell_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -29,6 +29,15 @@ def test_junction_files(spark, folder):
     assert {tuple(r) for r in got} == CELLS
 
 
+@pytest.mark.parametrize("name", ["s 1", "a+b", "x%20y", "é=1", "007"])
+def test_names_of_samples_survive_files(spark, tmp_path, name):
+    (tmp_path / f"{name}.introns.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t3\n")
+    rows = readers.read_junctions(spark, str(tmp_path / "*.tsv"))
+    assert [tuple(r) for r in rows.collect()] == [(name, "chr1:5-9", "GT--AG", "OK", 3)]
+    writers.write_junctions(rows, str(tmp_path / "dealt"))
+    assert readers.read_junctions(spark, str(tmp_path / "dealt")).collect() == rows.collect()
+
+
 def test_junction_stream(spark, folder):
     query = junctions.write_cells(junctions.cell_stream(spark, str(folder / "j")), str(folder / "out"), str(folder / "check"))
     query.awaitTermination(120)
@@ -142,6 +151,10 @@ def test_commands(spark, tmp_path):
     (tmp_path / "g.fa").write_text(">chr1\nACACGTAAAGGG\n>chr2\nACGT\n")
     main(["count", "--genome_fa", str(tmp_path / "g.fa"), "--alignments", str(tmp_path / "s1.bam"), "--output", str(tmp_path / "counted")])
     assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/counted", sep="\t", header=True).collect()] == [("chr1:5-10", "GT--AG", "OK", "1", "s1")]
+    # The files that one command writes are what the next one reads, and keep their sample's name.
+    for k, files in enumerate(("counted", "counted/sample_id=s1")):
+        main(["matrix", "--intron_files", str(tmp_path / files), "--output", str(tmp_path / f"own{k}")])
+        assert readers.read_matrix(spark, str(tmp_path / f"own{k}")).columns == ["intron_id", "s1"]
     (tmp_path / "x1.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t3\n")
     main(["matrix", "--intron_files", str(tmp_path / "x1.tsv"), "--output", str(tmp_path / "wide")])
     assert [tuple(r) for r in readers.read_matrix(spark, str(tmp_path / "wide")).collect()] == [("chr1:5-9^GT--AG^OK", 3)]

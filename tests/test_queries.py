@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from junctura.plans import filequeries  # noqa: F401  registers its queries
 from junctura.plans import queries as engine
 
 TABLES = "/root/testdata/sf0.001"
