@@ -2,7 +2,7 @@
 
 Texts and templates are lower-cased, split at everything but a-z and 0-9, and
 hashed in five-word shingles. A template of L shingles belongs to windows of W
-shingles, W the least power of two that is 2 L or more (8 at least), laid at every W / 2, so
+shingles, W the least power of two that is 2 L or more, laid at every W / 2, so
 each run of L shingles lies whole in a window; a window that holds at least 0.8
 of a template has a Jaccard similarity of 0.19 or more with it, and one of
 ``BANDS`` bands of a single row agrees with probability 1 - 0.81^64 > 0.999998.
@@ -31,7 +31,7 @@ from junctura.llm.common import checkpointed
 SHINGLE = 5
 BANDS = 64
 CONTAINED = 0.8
-LEAST_WINDOW = 8
+LEAST_WINDOW = 2
 MAX_LIBRARY = 1 << 20  # characters of all templates together
 
 # Notices of public licences.

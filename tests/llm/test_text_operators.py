@@ -718,6 +718,20 @@ def test_license_matches(spark):
     assert all(0 <= r.start_word < r.end_word for r in got.values())
 
 
+def test_windows_guarantee_a_collision_whatever_a_templates_length():
+    for n in range(1, 400):
+        size, held = licences.window_of(n), -(-4 * n // 5)
+        assert size >= 2 * n and (1 - held / (size + n - held)) ** licences.BANDS < 2e-6
+
+
+def test_one_shingle_at_every_place_of_a_text(spark):
+    line = "Released under the MIT License."
+    rows = [(i, f"{'alpha beta gamma delta '[: 6 * (i % 4)]}{f'w{i} ' * (i % 9)}{line}{f' v{i} x{i}' * (i % 7)}", "en", "s", 1) for i in range(3000)]
+    got = licences.license_matches(spark.createDataFrame(rows, KIND)).where("license = 'mit-line'").collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows if (r[0], "mit-line") in plain_matches([r])}
+    assert len(got) > 2000
+
+
 def test_license_plan_is_native(spark):
     frame = licences.license_matches(spark.createDataFrame([(1, "Released under the MIT License.", "en", "s", 1)], KIND))
     plan = frame._jdf.queryExecution().executedPlan().toString()
