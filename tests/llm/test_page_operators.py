@@ -133,6 +133,23 @@ def test_rules_beyond_one_trie(spark):
     assert urltrie.judge(urls, []).where("__judged.verdict <> 'allow'").isEmpty()
 
 
+def test_urls_of_empty_tables_long_urls_and_clashing_names(spark):
+    kind = "page_id long, url string, __found0 string, __next0 string, __judged string, host string, verdict string"
+    assert urltrie.judge(spark.createDataFrame([], kind), queries.URL_RULES).collect() == []
+    rows = [(1, "http://" + "a." * 50_000 + "com/en/" + "x/" * 50_000, "f", "n", "j", "h", "v"), (None, "http://com/en/", None, None, None, None, None)] * 2
+    for most, chars in ((5, 1 << 20), (1, 1 << 20), (5, 1)):
+        got = urltrie.judge(spark.createDataFrame(rows, kind), queries.URL_RULES, max_rules=most, max_chars=chars)
+        assert got.columns == [c.split()[0] for c in kind.split(", ")]
+        assert sorted((r.page_id or 0, r["__found0"], r["__next0"], r["__judged"].rule, r["__judged"].verdict) for r in got.collect() if r.page_id) == [(1, "f", "n", "com/en/", "block")] * 2
+        assert got.where("__judged.rule = 'com/en/'").count() == 4
+
+
+def test_rules_are_cut_by_number_and_by_characters():
+    rules = [("block", "h" * n, "/p") for n in (1, 3, 3, 50, 1, 1, 1)]
+    assert [[len(h) for _, h, _ in part] for part in urltrie._parts(rules, 2, 10)] == [[1, 3], [3], [50], [1, 1], [1]]
+    assert urltrie._parts([], 2, 10) == [[]]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(6)
     base = rng.standard_normal((8, 16))
