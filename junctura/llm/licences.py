@@ -107,10 +107,15 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, id
     body = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), words(F.col(f"`{text_col}`")).alias("word"))
     body = body.withColumn("hash", F.transform(shingles(F.col("word")), lambda s: F.xxhash64(s)))
 
+    minima = {size: sorted({h for r in known if window_of(len(r.own)) == size for h in r.minima}) for size in classes}
+    # One look at all shingles finds the places of any minimum; few texts have some.
+    every = sorted({h for own in minima.values() for h in own})
+    met = F.filter(F.transform("hash", lambda h, i: F.when(h.isin(every), F.struct(h.alias("h"), i.alias("i")))), lambda x: x.isNotNull())
+    body = body.select("doc_id", "word", met.alias("met"))
+
     def wanted(size: int) -> Column:
         """(window size, number) of the windows of one size that hold a template's minimum."""
-        minima = sorted({h for r in known if window_of(len(r.own)) == size for h in r.minima})
-        at = F.filter(F.transform("hash", lambda h, i: F.when(h.isin(minima), i)), lambda i: i.isNotNull())
+        at = F.transform(F.filter("met", lambda x: x.h.isin(minima[size])), lambda x: x.i)
         numbers = F.flatten(F.transform(at, lambda i: F.array(F.floor(i / (size // 2)).cast("int"), (F.floor(i / (size // 2)) - 1).cast("int"))))
         numbers = F.filter(F.array_distinct(numbers), lambda k: k >= 0)
         return F.transform(numbers, lambda k: F.struct(F.lit(size).alias("size"), k.alias("number")))
