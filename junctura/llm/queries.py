@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctura.llm import contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, simhash, toxicity, urltrie
+from junctura.llm import alignment, contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, simhash, toxicity, urltrie
 
 TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # The rules that the URL query judges by.
 URL_RULES = [
@@ -22,10 +23,10 @@ URL_RULES = [
 ]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,9 +80,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.license_matches(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_mixing, op3_html, op4_url_filter, op5_exact_dedup, op6_packing, op7_toxicity, op8_embedding_dedup, op9_secrets, op10_licenses,
+        op11_alignment,
     )}
 
 
