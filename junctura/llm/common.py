@@ -30,6 +30,12 @@ def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more, in whatever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches of whole texts small in rows and bytes, unless they are smaller already."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctura.llm import alignment, contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, simhash, toxicity, urltrie
+from junctura.llm import alignment, contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, simhash, toxicity, urltrie, vectorcodes
 
 TOKENIZER = "word_bpe_49k.json"
 BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -84,10 +84,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.codes(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_mixing, op3_html, op4_url_filter, op5_exact_dedup, op6_packing, op7_toxicity, op8_embedding_dedup, op9_secrets, op10_licenses,
-        op11_alignment,
+        op11_alignment, op13_vector_codes,
     )}
 
 
@@ -133,9 +137,32 @@ def _license_sql() -> str:
         SELECT doc_id, license, containment, start_word, end_word FROM ranked WHERE rank = 1"""
 
 
+def _codes_sql() -> str:
+    """Lloyd rounds one after another, every entry compared each time."""
+    parts, entries, rounds = vectorcodes.PARTS, vectorcodes.ENTRIES, vectorcodes.ROUNDS
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""far{k} AS (SELECT r, p, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM part JOIN book{k} USING (p)),
+            near{k} AS MATERIALIZED (SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM far{k} GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""mean{k} AS (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM near{k} JOIN part USING (r, p), unnest(range(1, len(x) + 1)) AS u(i) GROUP BY ALL),
+            moved{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM mean{k} GROUP BY p, e),
+            book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN moved{k} m USING (p, e))""")
+    return f"""
+        WITH whole AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vectorcodes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS r
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        part AS MATERIALIZED (SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM whole, range({parts}) AS t(p)),
+        first AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM whole QUALIFY e < {entries}),
+        book0 AS MATERIALIZED (SELECT p, e, x AS c FROM first JOIN part USING (r)), {", ".join(steps)},
+        coded AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r),
+        told AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM whole JOIN coded USING (r), told"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op10_licenses": _license_sql(),
+        "op13_vector_codes": _codes_sql(),
         "op4_url_filter": _url_sql(),
         "op5_exact_dedup": f"""
             WITH plain AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS body FROM documents)

@@ -45,7 +45,7 @@ def test_empty_documents(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{TABLES}/{t}.parquet'")
     got, want = entry.queries()[name](spark, TABLES).toPandas(), con.sql(entry.oracle_sql()[name]).df()
     key = list(got.columns[:2])
