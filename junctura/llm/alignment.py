@@ -25,8 +25,8 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,9 @@ from junctura.llm.common import frugal, small_batches
 
 FREQUENT = 1 << 18  # pairs in the broadcast table
 EXPANDED = 1 << 21  # links held at once
-TOGETHER = 1 << 16  # bytes of words encoded at once
+TOGETHER = 1 << 15  # bytes of words encoded as one text
+AT_ONCE = 8  # texts whose encodings are held at once, as they are many times the size of their ids
+SLICE = 4 << 20  # characters of texts aligned at once
 LARGE = 1 << 16  # links of a group from which equal ids of it are counted first
 SPACE = "▁"
 
@@ -95,8 +97,12 @@ class Tokenizers:
 
     def encode(self, stretches: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """(ids one after another, how many each stretch has) of A and of B."""
-        a = [x.ids for x in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        return _flat(a), _flat(self.b.encode([s[1:] for s in stretches], num_threads=1))
+        a, b = [], []
+        for i in range(0, len(stretches), AT_ONCE):
+            own = stretches[i : i + AT_ONCE]
+            a += [_ids(x.ids) for x in self.a.encode_batch_fast(own, add_special_tokens=False)]
+            b += map(_ids, self.b.encode([s[1:] for s in own], num_threads=1))
+        return _flat(a), _flat(b)
 
     def encode_words(self, words: list[str], size: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """The same of words, a space before each and no white space in or behind it: many at once, parted again by their sizes in bytes."""
@@ -115,8 +121,12 @@ class Tokenizers:
         return found[0], found[1]
 
 
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+def _ids(found: list[int]) -> array:
+    return array("i", found)
+
+
+def _flat(ids: list[array]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), "i4").astype(np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 def _parting() -> np.ndarray:
@@ -349,10 +359,12 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
         tokenizers = None
         for batch in batches:
             tokenizers = tokenizers or kept.setdefault(byte_path, Tokenizers(byte_path, piece_path))
-            rows = pa.array(np.arange(number, number + batch.num_rows))
-            number += batch.num_rows
-            columns = aligned(batch.column(1).to_pylist(), tokenizers)
-            yield pa.RecordBatch.from_arrays([batch.column(0), rows, *columns], ["doc_id", "row", *(c.split()[0] for c in COLUMNS.split(", "))])
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for i, j in _runs(size, SLICE):
+                rows = pa.array(np.arange(number, number + j - i))
+                number += j - i
+                columns = aligned(batch.column(1).slice(i, j - i).to_pylist(), tokenizers)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), rows, *columns], ["doc_id", "row", *(c.split()[0] for c in COLUMNS.split(", "))])
 
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return own.mapInArrow(run, f"doc_id long, row long, {COLUMNS}")
