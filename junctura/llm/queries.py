@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctura.llm import alignment, contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, simhash, toxicity, urltrie, vectorcodes
+from junctura.llm import alignment, contentsort, epsgrid, htmltree, licences, mixing, novelty, packing, quality, simhash, toxicity, urltrie, vectorcodes
 
 TOKENIZER = "word_bpe_49k.json"
 BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -84,6 +84,15 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_counts(_table(spark, sf_dir, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    )
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.codes(_table(spark, sf_dir, "embeddings"))
 
@@ -91,7 +100,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_mixing, op3_html, op4_url_filter, op5_exact_dedup, op6_packing, op7_toxicity, op8_embedding_dedup, op9_secrets, op10_licenses,
-        op11_alignment, op13_vector_codes,
+        op11_alignment, op12_quality, op13_vector_codes,
     )}
 
 

@@ -54,4 +54,4 @@ def test_same_as_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in entry.queries()} and "pipeline" in entry.queries()
+    assert {f"op{i}" for i in range(1, 14)} <= {n.split("_")[0] for n in entry.queries()} and "pipeline" in entry.queries()
