@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from junctura.operators import annotate as notes
 from junctura.operators import clusters, clusterstats, counts, filters, integrate, psi, samples
-from junctura.plans.pipeline import NOTES, Parameters, run_files, unmatrix, wide, wide_matrix, write_model_input
+from junctura.plans.pipeline import Parameters, noted, read_clustered, run_files, write_model_input
 from junctura.shipping import ship
 from junctura.sources import annotation, bam, readers, writers
 
@@ -97,12 +97,12 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _offsets(spark: SparkSession, a: dict) -> None:
-    """Offsets alone from both kinds of cluster; or the model's input, with shared offsets or those of one kind of cluster."""
+    """Shared totals alone, from both kinds of cluster; or the model's input, with shared offsets or those of one kind of cluster."""
     if a["compute_offsets_only"] and not a["output"] or not a["compute_offsets_only"] and not a["output_prefix"]:
         raise SystemExit("offsets needs --output with --compute_offsets_only, else --output_prefix")
     if not (a["compute_offsets_only"] or a["shared_offsets"] or a["cluster_type"]):
         raise SystemExit("offsets needs --cluster_type unless --shared_offsets or --compute_offsets_only is given")
-    cells = unmatrix(readers.read_matrix(spark, a["matrix"]))
+    cells = read_clustered(spark, a["matrix"])
     if a["samples"]:
         metadata = readers.read_metadata(spark, a["samples"])
         samples.warn_dropped(cells, metadata)
@@ -111,20 +111,19 @@ def _offsets(spark: SparkSession, a: dict) -> None:
     if not names:
         raise ValueError("matrix and metadata share no sample")
     if a["shared_offsets"] and not a["compute_offsets_only"]:
-        table = counts.unpivot_matrix(readers.read_matrix(spark, a["shared_offsets"])).withColumnRenamed("count", "offset")
-        cells = clusters.with_offsets(cells, table)
+        cells = clusters.with_totals(cells, readers.read_cells(spark, a["shared_offsets"], value="shared_total", kind="double"))
     else:
         kinds = clusters.CLUSTERS if a["compute_offsets_only"] else (f"{a['cluster_type']}_cluster",)
-        cells = clusters.add_totals(cells, kinds).withColumn("offset", clusters.log_offset())
+        cells = clusters.add_totals(cells, kinds)
     if a["compute_offsets_only"]:
-        writers.write_tsv(wide(cells, "offset", names), a["output"])
+        writers.write_wide(cells, names, a["output"], "shared_total", absent="NA")
     else:
         write_model_input(cells, names, a["output_prefix"])
 
 
 def _psi(spark: SparkSession, a: dict) -> None:
-    notes_of = readers.read_matrix(spark, a["annotations"]).select("intron_id", F.col(f"`{a['cluster_col']}`").alias("cluster"))
-    cells = counts.unpivot_matrix(readers.read_matrix(spark, a["counts"])).join(notes_of, "intron_id")
+    notes_of = readers.read_table(spark, a["annotations"]).select("intron_id", F.col(f"`{a['cluster_col']}`").alias("cluster"))
+    cells = readers.read_cells(spark, a["counts"]).join(notes_of, "intron_id")
     metadata = samples.valid_samples(readers.read_metadata(spark, a["samples"])).withColumn("group", F.col(f"`{a['group_col']}`").cast("string"))
     table = psi.psi_table(psi.psi_legacy(cells, "cluster"), metadata, counts.sample_names(cells), a["contrast"])
     writers.write_tsv(psi.with_psi(readers.read_results(spark, a["results"]), table, a["keep_individual_samples"]), a["output"])
@@ -149,9 +148,9 @@ def main(argv: list[str] | None = None) -> None:
         writers.write_junctions(named, a["output"])
     elif command == "matrix":
         cells = counts.sum_junctions(readers.read_junctions(spark, a["intron_files"]))
-        writers.write_tsv(counts.pivot_matrix(cells, counts.sample_names(cells)), a["output"])
+        writers.write_wide(cells, counts.sample_names(cells), a["output"])
     elif command == "cluster":
-        cells = counts.unpivot_matrix(readers.read_matrix(spark, a["matrix"]))
+        cells = readers.read_cells(spark, a["matrix"])
         if a["samples"]:
             metadata = readers.read_metadata(spark, a["samples"])
             samples.warn_dropped(cells, metadata)
@@ -159,15 +158,12 @@ def main(argv: list[str] | None = None) -> None:
         names = counts.sample_names(cells)
         if not names:
             raise ValueError("matrix and metadata share no sample")
-        writers.write_tsv(wide_matrix(clusters.assign_clusters(counts.densify(cells, names)), names), a["output"])
+        found = clusters.assign_clusters(counts.densify(cells, names))
+        writers.write_wide(found, names, a["output"], noted=noted(found))
     elif command == "filter":
-        rows = readers.read_matrix(spark, a["matrix"])
-        noted = [c for c in NOTES[2:] if c in rows.columns]
         limits = [a[k] for k in ("min_intron_count", "min_intron_samples", "min_cluster_count", "min_cluster_samples", "keep_noncanonical", "cluster_type")]
-        cells = filters.chain(unmatrix(rows), *limits)
-        if noted:
-            cells = cells.drop(*noted).join(rows.select("intron_id", *noted), "intron_id")
-        writers.write_tsv(wide_matrix(cells, counts.sample_names(cells)), a["output"])
+        cells = filters.chain(read_clustered(spark, a["matrix"]), *limits)
+        writers.write_wide(cells, counts.sample_names(cells), a["output"], noted=noted(cells))
     elif command == "offsets":
         _offsets(spark, a)
     elif command == "psi":

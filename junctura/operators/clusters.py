@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from junctura.functions import introns as I
+from junctura.operators import ordered
 
 CLUSTERS = ("donor_cluster", "acceptor_cluster")
 
@@ -44,25 +45,27 @@ def offsets(cells: DataFrame) -> DataFrame:
     return cells.select("intron_id", "sample_id", log_offset().alias("offset"))
 
 
-def with_offsets(cells: DataFrame, table: DataFrame) -> DataFrame:
-    """Cells with the offset that a table (intron_id, sample_id, offset) gives them; an error is raised where it lacks one."""
-    found = cells.join(table.select("intron_id", "sample_id", F.col("offset").alias("__offset")), ["intron_id", "sample_id"], "left")
-    there = F.assert_true(F.col("__offset").isNotNull(), F.concat(F.lit("no offset for "), "intron_id", F.lit(" in "), "sample_id"))
-    return found.withColumn("offset", F.when(there.isNull(), F.col("__offset"))).drop("__offset")
+def with_totals(cells: DataFrame, table: DataFrame) -> DataFrame:
+    """Cells with the shared_total that a table (intron_id, sample_id, shared_total) gives them; an error is raised where it lacks one."""
+    found = cells.drop("shared_total").join(table.select("intron_id", "sample_id", F.col("shared_total").alias("__total")), ["intron_id", "sample_id"], "left")
+    there = F.assert_true(F.col("__total").isNotNull(), F.concat(F.lit("no shared total for "), "intron_id", F.lit(" in "), "sample_id"))
+    return found.withColumn("shared_total", F.when(there.isNull(), F.col("__total"))).drop("__total")
 
 
 def cluster_sizes(introns: DataFrame, cluster: str) -> DataFrame:
     """One row: clusters, and the least, median and greatest number of introns."""
     sizes = introns.select("intron_id", cluster).distinct().groupBy(cluster).agg(F.count("*").alias("n"))
-    return sizes.agg(F.count("*").alias("n_clusters"), F.min("n").alias("least"), F.median("n").alias("middle"), F.max("n").alias("most"))
+    told = sizes.agg(F.count("*").alias("n_clusters"), F.min("n").alias("least"), F.max("n").alias("most"))
+    return told.join(ordered.medians(sizes, "n", out="middle"), how="left").select("n_clusters", "least", "middle", "most")
 
 
 def offset_summary(cells: DataFrame) -> DataFrame:
     """Spread of positive shared totals, which cluster gave them, and how many are small or missing."""
     some = F.when(F.col("shared_total") > 0, F.col("shared_total"))
-    return cells.agg(
+    told = cells.agg(
         F.count("*").alias("n_cells"), F.count_if(F.col("shared_total") > 0).alias("n_positive"), F.min(some).alias("least"),
-        F.median(some).alias("middle"), F.max(some).alias("most"), (F.sum(some) / F.count(some)).alias("mean"),
+        F.max(some).alias("most"), (F.sum(some) / F.count(some)).alias("mean"),
         F.count_if(F.col("donor_total") >= F.col("acceptor_total")).alias("n_donor"), F.count_if(F.col("acceptor_total") > F.col("donor_total")).alias("n_acceptor"),
         F.count_if(F.col("shared_total") < 10).alias("n_small"), F.count_if(F.col("shared_total").isNull()).alias("n_missing"),
     )
+    return told.join(ordered.medians(cells, some, out="middle"), how="left")  # a row each

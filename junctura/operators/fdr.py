@@ -4,38 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-BUCKETS = 4096
+from junctura.operators import ordered
 
 
 def bh_fdr(rows: DataFrame, p: str = "PValue", by: tuple[str, ...] = (), out: str = "FDR") -> DataFrame:
-    """Adjusted p-values over all rows, or within each group of ``by``; null p-values stay null and count for nothing.
+    """Adjusted p-values over all rows, or within each group of ``by``; null p-values (and NaN) stay null and count for nothing.
 
-    A p-value's bucket grows with it, so ranks are the rank within the bucket
-    plus the sizes of the buckets below, and the running minimum from the top is
-    the one within the bucket and the least of the buckets above. Only the small
-    table of buckets is ever in one task's window.
+    Equal p-values are one row until the end: the adjusted value is that of the
+    last rank among them, and the least of it over all greater ones.
     """
-    keys = [f"__k{i}" for i in range(len(by))]
-    keyed = rows.withColumns({k: F.struct(F.col(f"`{c}`")) for k, c in zip(keys, by)})
-    keyed = keyed.withColumn("__p", F.when(~F.isnan(F.col(p)), F.col(p)))
-    keyed = keyed.withColumn("__b", F.floor(F.lit(BUCKETS) * F.sqrt(F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), "__p"))))))
-    place = [*keys, "__b"]
-    below = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.partitionBy(*keys).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = keyed.where("__p is not null").groupBy(*place).agg(F.count("*").alias("__c"))
-    sizes = sizes.withColumn("__below", F.coalesce(F.sum("__c").over(below), F.lit(0)))
-    sizes = sizes.withColumn("__n", F.sum("__c").over(Window.partitionBy(*keys))).drop("__c")
-    rank = F.row_number().over(Window.partitionBy(*place).orderBy("__p"))
-    ranked = keyed.join(sizes, place, "left").withColumn("__r", F.col("__below") + rank)
-    ranked = ranked.withColumn("__v", F.when(F.col("__p").isNotNull(), F.col("__p") * F.col("__n") / F.col("__r")))
-    lows = ranked.where("__p is not null").groupBy(*place).agg(F.min("__v").alias("__low"))
-    lows = lows.withColumn("__above", F.min("__low").over(above)).drop("__low")
-    inner = F.min("__v").over(Window.partitionBy(*place).orderBy(F.desc("__p")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    found = ranked.join(lows, place, "left").withColumn("__inner", inner)
-    found = found.withColumn(out, F.when(F.col("__p").isNotNull(), F.least(F.lit(1.0), "__inner", "__above")))
-    return found.drop("__p", "__b", "__below", "__n", "__r", "__v", "__above", "__inner", *keys)
+    told = F.when(~F.isnan(F.col(f"`{p}`")), F.col(f"`{p}`").cast("double"))
+    found = ordered.cumulated(rows, told, by).withColumn("__q", F.col("__v") * F.col("__n") / F.col("__upto"))
+    found = ordered.least_from(found, "__q", by, "__low").withColumn("__fdr", F.least(F.lit(1.0), "__low"))
+    return ordered.given_back(rows, told, by, found, {"__fdr": out})
 
 
 def flag_significant(results: DataFrame, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
@@ -58,10 +40,13 @@ def result_summary(results: DataFrame, by: tuple[str, ...] = ("contrast",)) -> D
     """Tested, significant, up and down, and the spread of logFC."""
     up = F.col("significant") & (F.col("logFC") > 0)
     down = F.col("significant") & (F.col("logFC") < 0)
-    return results.groupBy(*by).agg(
+    told = results.groupBy(*by).agg(
         F.count("*").alias("n_tested"), F.count_if("significant").alias("n_significant"), F.count_if(up).alias("n_up"), F.count_if(down).alias("n_down"),
-        F.min("logFC").alias("least_logFC"), F.median("logFC").alias("middle_logFC"), F.max("logFC").alias("most_logFC"),
+        F.min("logFC").alias("least_logFC"), F.max("logFC").alias("most_logFC"),
     )
+    middle = ordered.medians(results, "logFC", by, "middle_logFC").withColumnsRenamed({c: f"__{c}" for c in by})
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in by]
+    return told.join(middle, same, "left").select(*told.columns[:-1], "middle_logFC", "most_logFC")
 
 
 def volcano(results: DataFrame) -> DataFrame:

@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from junctura.checkpoints import checkpoint_folder
-from junctura.operators import annotate, clusters, counts, psi
+from junctura.operators import annotate, clusters, counts, filters, psi
 from junctura.plans import adapter as A
 from junctura.plans import queries as Q
-from junctura.plans.pipeline import wide
+from junctura.plans.pipeline import NOTES, noted, read_clustered, write_model_input
 from junctura.sources import annotation, readers, writers
 
 
@@ -26,9 +26,9 @@ def _lines(*parts: Column | str) -> Column:
     return F.concat_ws("\t", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _one_file(lines: DataFrame, path: str) -> str:
-    """Lines (ord, value) in one file in their order, as annotation and metadata come."""
-    lines.repartition(1).sortWithinPartitions("ord").select("value").write.text(path)
+def _text(lines: DataFrame, path: str) -> str:
+    """Lines (ord, value) in files one after another, in their order."""
+    lines.repartitionByRange("ord").sortWithinPartitions("ord").select("value").write.text(path)
     return path
 
 
@@ -42,8 +42,8 @@ def file_junctions(spark, d):
 @Q.query("SELECT intron_id, sample_id, count FROM dense")
 def file_matrix(spark, d):
     path = _place(spark, "matrix")
-    writers.write_tsv(counts.pivot_matrix(A.cells(spark, d), A.SAMPLES), path)
-    return counts.unpivot_matrix(readers.read_matrix(spark, path))
+    writers.write_wide(A.cells(spark, d), A.SAMPLES, path)
+    return readers.read_cells(spark, path)
 
 
 @Q.query('SELECT intron_id, contrast, "PValue", "logFC", gene_name, cluster FROM result')
@@ -80,7 +80,7 @@ def file_metadata(spark, d):
     full = F.concat_ws("\t", short, F.concat(F.lit("g"), "s_nationkey"), batch)
     line = F.concat(F.when(k % 4 == 0, short).otherwise(full), F.when(k % 5 == 0, " # left by hand").otherwise(""))
     rows = A.table(spark, d, "supplier").select(k.alias("ord"), line.alias("value"))
-    return readers.read_metadata(spark, _one_file(head.union(rows), _place(spark, "samples")))
+    return readers.read_metadata(spark, _text(head.union(rows), _place(spark, "samples")))
 
 
 def _gtf(spark: SparkSession, d: str) -> str:
@@ -93,7 +93,7 @@ def _gtf(spark: SparkSession, d: str) -> str:
     after = 1 << 40
     rows = exon.select(F.explode(F.array(*[F.struct((after + 2 * F.col("ord") + i).alias("ord"), kind(k).alias("value")) for i, k in enumerate(("exon", "CDS"))])).alias("r")).select("r.*")
     head = spark.createDataFrame([(-1, "#!made from tables")], "ord long, value string")
-    return _one_file(head.union(gene).union(rows), _place(spark, "genes.gtf"))
+    return _text(head.union(gene).union(rows), _place(spark, "genes.gtf"))
 
 
 @Q.query('SELECT chrom, "start", "end", strand, transcript_id, gene_name FROM exon_intron')
@@ -131,14 +131,58 @@ def file_fasta(spark, d):
     return readers.read_fasta(spark, path).select("chrom", F.length("seq").cast("long").alias("n_bases"), F.md5(F.col("seq").cast("binary")).alias("digest"))
 
 
-@Q.query("SELECT intron_id, sample_id, round(ln(shared_total + 0.5::DOUBLE), 9) AS \"offset\" FROM total WHERE flag = 'OK'")
-def file_offsets(spark, d):
-    """Offsets of all introns as a file, and given back to the cells that a filter leaves."""
+def _offsets(spark: SparkSession, d: str) -> str:
+    """Shared totals of all introns as a file."""
     path = _place(spark, "offsets")
-    cells = A.totals(spark, d)
-    writers.write_tsv(wide(cells.withColumn("offset", clusters.log_offset()), "offset", A.SAMPLES), path)
-    table = counts.unpivot_matrix(readers.read_matrix(spark, path)).withColumnRenamed("count", "offset")
-    return clusters.with_offsets(cells.where("flag = 'OK'"), table).select("intron_id", "sample_id", Q.r9("offset").alias("offset"))
+    writers.write_wide(A.totals(spark, d), A.SAMPLES, path, "shared_total", absent="NA")
+    return path
+
+
+@Q.query("SELECT intron_id, sample_id, CAST(shared_total AS DOUBLE) AS shared_total FROM total")
+def file_offsets(spark, d):
+    return readers.read_cells(spark, _offsets(spark, d), value="shared_total", kind="double")
+
+
+_MODEL = 'SELECT intron_id, sample_id, count, round(ln(shared_total + 0.5::DOUBLE), 9) AS "offset", chrom, "start", "end", strand, splice_pair, flag, donor_cluster, acceptor_cluster FROM total WHERE flag = \'OK\''
+
+
+@Q.query(_MODEL)
+def file_model_input(spark, d):
+    """Counts, log offsets and annotations of the cells that a filter leaves, the totals taken from the file."""
+    table = readers.read_cells(spark, _offsets(spark, d), value="shared_total", kind="double")
+    cells = clusters.with_totals(A.dense(spark, d).where("flag = 'OK'"), table)
+    path = _place(spark, "model")
+    write_model_input(cells, A.SAMPLES, path)
+    offset = readers.read_cells(spark, f"{path}_offsets", value="offset", kind="double")
+    found = readers.read_cells(spark, f"{path}_counts").join(offset, ["intron_id", "sample_id"]).join(readers.read_table(spark, f"{path}_annotations"), "intron_id")
+    places = [F.col(c).cast("long").alias(c) for c in ("start", "end")]
+    return found.select("intron_id", "sample_id", "count", Q.r9("offset").alias("offset"), "chrom", *places, "strand", "splice_pair", "flag", "donor_cluster", "acceptor_cluster")
+
+
+@Q.query("SELECT intron_id, sample_id, count, donor_cluster, acceptor_cluster FROM dense")
+def file_clustered_matrix(spark, d):
+    """A clustered matrix, read with the clusters that it holds."""
+    path = _place(spark, "clustered")
+    cells = A.dense(spark, d)
+    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    return readers.read_cells(spark, path, other=clusters.CLUSTERS).select("intron_id", "sample_id", "count", *clusters.CLUSTERS)
+
+
+@Q.query("SELECT intron_id, sample_id, count, donor_cluster, acceptor_cluster FROM kept")
+def file_filtered_matrix(spark, d):
+    path = _place(spark, "filtered")
+    cells = filters.chain(A.dense(spark, d), **A.LIMITS)
+    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    return read_clustered(spark, path).select("intron_id", "sample_id", "count", *clusters.CLUSTERS)
+
+
+@Q.query("SELECT intron_id, sample_id, count, gene_name, intron_status, overlapping_genes FROM dense JOIN annotated USING (intron_id)")
+def file_annotated_matrix(spark, d):
+    path = _place(spark, "annotated")
+    notes = Q.annotated(spark, d).select("intron_id", *NOTES[2:])
+    cells = A.dense(spark, d).join(notes, "intron_id")
+    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    return read_clustered(spark, path).select("intron_id", "sample_id", "count", *NOTES[2:])
 
 
 _VALUES = ", ".join(f"round(max(psi) FILTER (WHERE sample_id = '{s}'), 9) AS \"{s}_PSI\"" for s in A.SAMPLES)
@@ -151,5 +195,5 @@ _STATS = ", ".join(
 def file_psi_values(spark, d):
     path = _place(spark, "psi")
     writers.write_tsv(psi.psi_table(psi.psi_values(A.totals(spark, d)), A.metadata(spark), A.SAMPLES), path)
-    table = readers.read_matrix(spark, path)
+    table = readers.read_table(spark, path)
     return table.select("intron_id", *[Q.r9(c).alias(c) for c in table.columns[1:]])

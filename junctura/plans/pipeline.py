@@ -115,7 +115,7 @@ class SpliceEngine:
 
 def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf: str | None = None, parameters: Parameters | None = None, force: bool = False) -> dict[str, DataFrame]:
     """Read the files, run, and write the tables at the edges as TSV."""
-    cells = counts.unpivot_matrix(readers.read_matrix(spark, matrix))
+    cells = readers.read_cells(spark, matrix)
     meta = readers.read_metadata(spark, metadata)
     engine = SpliceEngine(spark, parameters, None if force else f"{output}/stages")
     notes = annotation.load(spark, gtf, None if force else f"{output}/annotation") if gtf else None
@@ -126,11 +126,11 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     writers.write_by_contrast(results, f"{output}/results_by_contrast")
     kept, whole = found["filtered"], found["clustered"]
     names = counts.sample_names(whole)
-    writers.write_tsv(wide_matrix(whole, names), f"{output}/clustered_matrix")
-    writers.write_tsv(wide_matrix(kept, names), f"{output}/filtered_matrix")
-    # Offsets of all introns, also of those that the filters drop.
-    writers.write_tsv(wide(whole.withColumn("offset", clusters.log_offset()), "offset", names), f"{output}/shared_offsets")
-    write_model_input(kept.withColumn("offset", clusters.log_offset()), names, f"{output}/model")
+    writers.write_wide(whole, names, f"{output}/clustered_matrix", noted=noted(whole))
+    writers.write_wide(kept, names, f"{output}/filtered_matrix", noted=noted(kept))
+    # Totals, not their logarithms, of all introns, also of those that the filters drop.
+    writers.write_wide(whole, names, f"{output}/shared_offsets", "shared_total", absent="NA")
+    write_model_input(kept, names, f"{output}/model")
     writers.write_tsv(table, f"{output}/psi_values")
     if "psi_filtered" in found:
         writers.write_tsv(psi.with_psi(found["psi_filtered"], table), f"{output}/psi_filtered")
@@ -144,28 +144,19 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
 NOTES = ("donor_cluster", "acceptor_cluster", "gene_name", "intron_status", "overlapping_genes")
 
 
-def wide(cells: DataFrame, column: str, names: list[str]) -> DataFrame:
-    """One row per intron and a column for each sample."""
-    return cells.groupBy("intron_id").pivot("sample_id", names).agg(F.first(column))
+def noted(cells: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in NOTES if c in cells.columns)
 
 
-def wide_matrix(cells: DataFrame, names: list[str]) -> DataFrame:
-    """Wide counts with clusters and annotation behind the samples."""
-    noted = [c for c in NOTES if c in cells.columns]
-    rows = cells.groupBy("intron_id", *noted).pivot("sample_id", names).agg(F.first("count"))
-    return rows.select("intron_id", *[f"`{n}`" for n in names], *noted)
-
-
-def unmatrix(rows: DataFrame) -> DataFrame:
-    """Cells of such a matrix, clustered anew where it has no clusters."""
-    noted = tuple(c for c in NOTES if c in rows.columns)
-    cells = counts.unpivot_matrix(rows, other=noted)
-    return clusters.assign_clusters(cells.drop("donor_cluster", "acceptor_cluster"))
+def read_clustered(spark: SparkSession, path: str, notes: tuple[str, ...] = NOTES[2:]) -> DataFrame:
+    """Cells of a matrix with or without clusters, clustered by their identifiers, with those ``notes`` that it has."""
+    cells = readers.read_cells(spark, path, other=NOTES)
+    return clusters.assign_clusters(cells.select("intron_id", "sample_id", "count", *[n for n in notes if n in cells.columns]))
 
 
 def write_model_input(cells: DataFrame, names: list[str], prefix: str) -> None:
-    """Counts, offsets and annotations of the introns that are tested."""
-    writers.write_tsv(wide(cells, "count", names), f"{prefix}_counts")
-    writers.write_tsv(wide(cells, "offset", names), f"{prefix}_offsets")
-    noted = [c for c in ("chrom", "start", "end", "strand", "splice_pair", "flag", *NOTES) if c in cells.columns]
-    writers.write_tsv(cells.select("intron_id", *noted).distinct(), f"{prefix}_annotations")
+    """Counts, log offsets and annotations of the introns that are tested."""
+    writers.write_wide(cells, names, f"{prefix}_counts")
+    writers.write_wide(cells.withColumn("offset", clusters.log_offset()), names, f"{prefix}_offsets", "offset", absent="NA")
+    told = [c for c in ("chrom", "start", "end", "strand", "splice_pair", "flag", *NOTES) if c in cells.columns]
+    writers.write_tsv(cells.select("intron_id", *told).distinct(), f"{prefix}_annotations")

@@ -509,7 +509,7 @@ def intron_gene_sets(spark, d):
     return annotate.intron_genes(annotate.exon_introns(A.exons(spark, d))).withColumn("genes", F.concat_ws(",", "genes"))
 
 
-def _annotated(spark, d):
+def annotated(spark, d):
     exon = A.exons(spark, d)
     index = annotate.gene_index(annotate.gene_map(A.genes(spark, d)), annotate.transcript_spans(exon))
     return annotate.annotate(A.cells(spark, d).select("intron_id").distinct(), annotate.intron_genes(annotate.exon_introns(exon)), index)
@@ -517,7 +517,7 @@ def _annotated(spark, d):
 
 @query("SELECT intron_id, intron_status FROM annotated")
 def known_novel(spark, d):
-    return _annotated(spark, d).select("intron_id", "intron_status")
+    return annotated(spark, d).select("intron_id", "intron_status")
 
 
 @query("SELECT intron_id, array_to_string(genes, ',') AS genes FROM over")
@@ -530,12 +530,12 @@ def overlap_genes(spark, d):
 
 @query("SELECT intron_id, gene_name, intron_status, overlapping_genes FROM annotated")
 def gene_assignment(spark, d):
-    return _annotated(spark, d).select("intron_id", "gene_name", "intron_status", "overlapping_genes")
+    return annotated(spark, d).select("intron_id", "gene_name", "intron_status", "overlapping_genes")
 
 
 @query("SELECT intron_status, count(*) AS n_introns, count(*) FILTER (WHERE gene_name <> '.') AS n_with_gene FROM annotated GROUP BY 1")
 def annotation_summary(spark, d):
-    return annotate.annotation_summary(_annotated(spark, d))
+    return annotate.annotation_summary(annotated(spark, d))
 
 
 @query("SELECT p_partkey, 'G' || (p_partkey % 60) AS gene_id, CASE WHEN p_partkey % 3 = 0 THEN 'N' || p_partkey END AS gene_name, 't' || (p_partkey % 7 + 1) AS tag FROM part")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-JUNCTION = "intron string, splice_pair string, splice_flag string, count int"
+JUNCTION = {"intron": "string", "splice_pair": "string", "splice_flag": "string", "count": "int"}
+HEADERS = 64  # different headers of junction files
 GTF = "chrom string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
 RESULTS = "logFC double, logCPM double, F double, PValue double, FDR double, intron_id string, contrast string, significant boolean"
 
@@ -19,34 +20,102 @@ def sample_of_file() -> F.Column:
 
 
 def read_junctions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Junction files, plain or gzip, one sample each: sample_id, intron, splice_pair, splice_flag, count."""
-    rows = spark.read.csv(paths, sep="\t", header=True, schema=JUNCTION, enforceSchema=False)
-    return rows.select(sample_of_file().alias("sample_id"), "intron", "splice_pair", "splice_flag", "count")
+    """Junction files, plain or gzip, one sample each: sample_id, intron, splice_pair, splice_flag, count.
+
+    Columns go by the names in each file's own header, in any order and with
+    others between; a file without one of them is an error.
+    """
+    rows = spark.read.text(paths).select("value", sample_of_file().alias("sample_id"), in_order().alias("ord"))
+    heads = rows.where("ord.start = 0").groupBy(F.col("ord.path").alias("path")).agg(F.min_by("value", "ord").alias("head"))
+    kinds = [r.head for r in heads.select("head").distinct().limit(HEADERS + 1).collect()]
+    if len(kinds) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different headers")
+    for kind in kinds:
+        if absent := [c for c in JUNCTION if c not in kind.split("\t")]:
+            raise ValueError(f"junction files without {', '.join(absent)}")
+    if len(kinds) > 1:
+        # A row a file; each file keeps its own header.
+        rows = rows.join(heads, F.col("ord.path") == F.col("path"))
+    else:
+        rows = rows.withColumn("head", F.lit(kinds[0] if kinds else "\t".join(JUNCTION)))
+    field, found = F.split("value", "\t", -1), F.lit(None).cast("struct<intron:string,splice_pair:string,splice_flag:string,count:int>")
+    for kind in kinds:
+        names = kind.split("\t")
+        own = F.struct(*[F.nullif(F.get(field, F.lit(names.index(c))), F.lit("")).cast(t).alias(c) for c, t in JUNCTION.items()])
+        found = F.when(F.col("head") == kind, own).otherwise(found)
+    return rows.where((F.col("value") != F.col("head")) & (F.col("value") != "")).select("sample_id", found.alias("j")).select("sample_id", "j.*")
+
+
+def in_order() -> F.Column:
+    """Place of a line among all lines of its files: path, begin of the split, and number within the task that reads it.
+
+    Lines of a split are read by one task, one after another, so the order is
+    that of the files however the splits are dealt.
+    """
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+
+
+def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of text files in order: ord, value."""
+    return spark.read.text(path).select(in_order().alias("ord"), "value")
+
+
+def header(rows: DataFrame) -> str | None:
+    """The first of ordered lines that isn't blank."""
+    found = rows.where("trim(value) <> ''").orderBy("ord").first()
+    return found.value if found else None
+
+
+def listed(values: list[str]) -> F.Column:
+    """An array of strings as one literal, however many there are."""
+    return F.split(F.lit("\t".join(values)), "\t") if values else F.array().cast("array<string>")
+
+
+def read_cells(spark: SparkSession, path: str, other: tuple[str, ...] = (), value: str = "count", kind: str = "long") -> DataFrame:
+    """A wide matrix in long form: intron_id, those of the columns ``other`` that are there, sample_id and the value.
+
+    The first column, whose header may be blank, is intron_id; all others are
+    samples. Lines are split into arrays and exploded, so a sample is neither a
+    column nor an expression; ``NA`` and absent fields are null. A file's header
+    may be repeated in others of a folder.
+    """
+    rows = lines(spark, path)
+    first = header(rows)
+    if first is None:
+        raise ValueError(f"no header in {path}")
+    names = first.split("\t")
+    places = {n: i for i, n in enumerate(names) if i and n in other}
+    samples = [(n, i) for i, n in enumerate(names) if i and n not in other]
+    part = F.split("value", "\t", -1)
+    told = rows.where((F.col("value") != first) & (F.trim("value") != "")).select(part.alias("__f"))
+    each = F.arrays_zip(listed([n for n, _ in samples]).alias("name"), listed([str(i) for _, i in samples]).cast("array<int>").alias("at"))
+    at = lambda i: F.nullif(F.get("__f", i), F.lit("NA"))
+    flat = told.select(F.get("__f", F.lit(0)).alias("intron_id"), *[at(F.lit(i)).alias(n) for n, i in places.items()], "__f", F.explode(each).alias("__e"))
+    number = at(F.col("__e.at")).cast("double")
+    return flat.select("intron_id", *[f"`{n}`" for n in places], F.col("__e.name").alias("sample_id"), number.cast(kind).alias(value))
 
 
-def read_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Wide count matrix; the first column, whose header may be blank, is intron_id."""
-    wide = spark.read.csv(path, sep="\t", header=True, inferSchema=True, nullValue="NA")
-    return wide.withColumnRenamed(wide.columns[0], "intron_id")
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of few columns with a header, whose first column may be unnamed and is intron_id; NA is null."""
+    rows = spark.read.csv(path, sep="\t", header=True, inferSchema=True, nullValue="NA")
+    return rows.withColumnRenamed(rows.columns[0], "intron_id")
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Sample table: ``#`` cuts a line anywhere, blank lines are skipped, short rows are padded with null."""
-    lines = spark.read.text(path, wholetext=False)
-    lines = lines.select(F.rtrim(F.regexp_replace("value", "#.*$", "")).alias("value")).where("value <> ''")
-    header = lines.first()
-    if header is None:
+    rows = lines(spark, path).select("ord", F.rtrim(F.regexp_replace("value", "#.*$", "")).alias("value")).where("value <> ''")
+    first = header(rows)
+    if first is None:
         raise ValueError(f"no header in {path}")
-    names = header.value.split("\t")
     fields = F.split("value", "\t")
     value = lambda i: F.when(F.size(fields) > i, F.trim(F.get(fields, F.lit(i))))
-    return lines.where(F.col("value") != header.value).select(*[F.when(value(i) != "NA", value(i)).alias(n.strip()) for i, n in enumerate(names)])
+    return rows.where(F.col("value") != first).select(*[F.when(value(i) != "NA", value(i)).alias(n.strip()) for i, n in enumerate(first.split("\t"))])
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """GTF rows with nine fields, quotes of attributes kept; ord follows the order of rows."""
+    """GTF rows with nine fields, quotes of attributes kept; ord is their place in the files."""
     rows = spark.read.csv(path, sep="\t", comment="#", quote="", schema=GTF)
-    return rows.where("attributes is not null").withColumn("ord", F.monotonically_increasing_id())
+    return rows.select("*", in_order().alias("ord")).where("attributes is not null")
 
 
 def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:

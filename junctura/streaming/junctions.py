@@ -16,7 +16,7 @@ from junctura.sources.readers import JUNCTION, sample_of_file
 
 
 def junction_stream(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.readStream.schema(JUNCTION).option("sep", "\t").option("header", True).csv(folder)
+    rows = spark.readStream.schema(", ".join(f"{c} {t}" for c, t in JUNCTION.items())).option("sep", "\t").option("header", True).csv(folder)
     return rows.select(sample_of_file().alias("sample_id"), "intron", "splice_pair", "splice_flag", "count")
 
 
@@ -38,6 +38,27 @@ def write_cells(cells: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return cells.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def compact(spark: SparkSession, path: str) -> None:
+    """Put what all batches but the last wrote into the folder of the one before it, so that reading doesn't grow with the number of batches.
+
+    For use between streams, as a stream that runs a batch again writes its folder.
+    """
+    rows = spark.read.parquet(path)
+    last = rows.agg(F.max("batch")).first()[0]
+    if last is None or last < 2:
+        return
+    kept = rows.where(F.col("batch") < last).groupBy("intron_id", "sample_id").agg(F.max_by("count", "batch").alias("count"))
+    # Written beside the batches first; a name with a dot in front is not read.
+    kept.write.mode("overwrite").parquet(f"{path}/.compacted")
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    system = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in system.listStatus(place(path)) if s.getPath().getName().startswith("batch=") and int(s.getPath().getName()[6:]) < last - 1]
+    system.delete(place(f"{path}/batch={last - 1}"), True)
+    system.rename(place(f"{path}/.compacted"), place(f"{path}/batch={last - 1}"))
+    for folder in old:
+        system.delete(folder, True)
+
+
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
     """Matrix cells: of each intron and sample what the last batch that changed it wrote."""
     rows = spark.read.parquet(path)

@@ -2,6 +2,7 @@
 
 import gzip
 
+import numpy as np
 import pytest
 
 from junctura.operators import counts
@@ -38,6 +39,36 @@ def test_names_of_samples_survive_files(spark, tmp_path, name):
     assert readers.read_junctions(spark, str(tmp_path / "dealt")).collect() == rows.collect()
 
 
+def test_junction_files_go_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "s1.tsv").write_text("count\tnote\tsplice_flag\tintron\tsplice_pair\n7\tx\tOK\tchr1:5-9\tGT--AG\n")
+    (tmp_path / "s2.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t1\n")
+    got = counts.sum_junctions(readers.read_junctions(spark, str(tmp_path / "*.tsv"))).collect()
+    assert {tuple(r) for r in got} == {("chr1:5-9^GT--AG^OK", "s1", 7), ("chr1:5-9^GT--AG^OK", "s2", 1)}
+    (tmp_path / "s3.tsv").write_text("intron\tcount\nchr1:5-9\t1\n")
+    with pytest.raises(ValueError, match="without splice_pair, splice_flag"):
+        readers.read_junctions(spark, str(tmp_path / "*.tsv"))
+
+
+def test_matrix_of_many_samples(spark, tmp_path):
+    names = [f"s.{i}-x" for i in range(20_000)]
+    rows = [(f"chr1:{k}-9^GT--AG^OK", names[i], k * i) for k in range(1, 4) for i in range(0, 20_000, k)]
+    cells = spark.createDataFrame(rows, "intron_id string, sample_id string, count long")
+    writers.write_wide(cells, names, str(tmp_path / "wide"))
+    got = readers.read_cells(spark, str(tmp_path / "wide"))
+    assert got.count() == 60_000
+    assert sorted(tuple(r) for r in got.where("count > 0").collect()) == sorted(r for r in rows if r[2])
+
+
+def test_wide_lines_have_gaps_nulls_and_notes(spark, tmp_path):
+    rows = [("i1", "b", 2, "x"), ("i1", "d", None, "x"), ("i2", "a", 1, None), ("i2", "a", 1, None), ("i3", "d", 4, "y z")]
+    cells = spark.createDataFrame(rows, "intron_id string, sample_id string, count long, note string")
+    writers.write_wide(cells, ["a", "b", "c", "d"], str(tmp_path / "w"), noted=("note",))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "w")).distinct().collect())
+    assert lines == ["i1\t0\t2\t0\tNA\tx", "i2\t1\t0\t0\t0\tNA", "i3\t0\t0\t0\t4\ty z", "intron_id\ta\tb\tc\td\tnote"]
+    got = readers.read_cells(spark, str(tmp_path / "w"), other=("note",)).where("sample_id = 'd'").orderBy("intron_id").collect()
+    assert [tuple(r) for r in got] == [("i1", "x", "d", None), ("i2", None, "d", 0), ("i3", "y z", "d", 4)]
+
+
 def test_junction_stream(spark, folder):
     query = junctions.write_cells(junctions.cell_stream(spark, str(folder / "j")), str(folder / "out"), str(folder / "check"))
     query.awaitTermination(120)
@@ -48,6 +79,11 @@ def test_junction_stream(spark, folder):
     later = {tuple(r) for r in junctions.read_cells(spark, str(folder / "out")).collect()}
     assert later == CELLS - {("chr1:5-9^GT--AG^OK", "s1", 7)} | {("chr1:5-9^GT--AG^OK", "s1", 17)}
     assert spark.read.parquet(str(folder / "out/batch=1")).count() == 1
+    (folder / "j/s3.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t5\n")
+    junctions.write_cells(junctions.cell_stream(spark, str(folder / "j")), str(folder / "out"), str(folder / "check")).awaitTermination(120)
+    junctions.compact(spark, str(folder / "out"))
+    assert {tuple(r) for r in junctions.read_cells(spark, str(folder / "out")).collect()} == later | {("chr1:5-9^GT--AG^OK", "s3", 5)}
+    assert sorted(p.name for p in (folder / "out").iterdir() if p.name.startswith("batch")) == ["batch=1", "batch=2"]
 
 
 def test_metadata_comments_cut_lines(spark, tmp_path):
@@ -91,7 +127,7 @@ def test_pipeline_resumes(spark, tmp_path):
     assert len(results) == 60 and set(results["contrast"]) == {"A_vs_B"}
     assert (found["psi_filtered"].toPandas()["delta_psi"].abs() >= 0.05).all()
     engine = SpliceEngine(spark, Parameters(min_delta_psi=0.05), f"{tmp_path}/out/stages")
-    cells = counts.unpivot_matrix(readers.read_matrix(spark, str(tmp_path / "m.tsv")))
+    cells = readers.read_cells(spark, str(tmp_path / "m.tsv"))
     key = f"{tmp_path}/m.tsv {tmp_path}/s.tsv None"
     engine._stage("psi", key, lambda: pytest.fail("the stage was there"))
     assert cells.count() == 360
@@ -154,10 +190,10 @@ def test_commands(spark, tmp_path):
     # The files that one command writes are what the next one reads, and keep their sample's name.
     for k, files in enumerate(("counted", "counted/sample_id=s1")):
         main(["matrix", "--intron_files", str(tmp_path / files), "--output", str(tmp_path / f"own{k}")])
-        assert readers.read_matrix(spark, str(tmp_path / f"own{k}")).columns == ["intron_id", "s1"]
+        assert readers.read_table(spark, str(tmp_path / f"own{k}")).columns == ["intron_id", "s1"]
     (tmp_path / "x1.tsv").write_text(f"{HEAD}chr1:5-9\tGT--AG\tOK\t3\n")
     main(["matrix", "--intron_files", str(tmp_path / "x1.tsv"), "--output", str(tmp_path / "wide")])
-    assert [tuple(r) for r in readers.read_matrix(spark, str(tmp_path / "wide")).collect()] == [("chr1:5-9^GT--AG^OK", 3)]
+    assert [tuple(r) for r in readers.read_table(spark, str(tmp_path / "wide")).collect()] == [("chr1:5-9^GT--AG^OK", 3)]
     rows = [("i1", "c1", 1.5, 1e-6, 1e-5, True), ("i2", "c1", -1.0, 0.5, 0.6, False), ("i3", "c2", 0.5, 0.9, 0.9, False)]
     results = spark.createDataFrame(rows, "intron_id string, cluster string, logFC double, PValue double, FDR double, significant boolean")
     writers.write_tsv(results, str(tmp_path / "r"))
@@ -196,15 +232,18 @@ def test_commands_one_after_another(spark, tmp_path, monkeypatch):
     (tmp_path / "s.tsv").write_text("sample_id\tgroup\nA1\ta\nA2\ta\nB1\tb\nB2\tb\nZ\tb\n")
     with pytest.warns(UserWarning, match="1 samples of the (metadata|matrix) aren't"):
         command.main(["cluster", "--matrix", at("m.tsv"), "--samples", at("s.tsv"), "--output", at("clustered")])
-    assert readers.read_matrix(spark, at("clustered")).columns == ["intron_id", "A1", "A2", "B1", "B2", "donor_cluster", "acceptor_cluster"]
+    assert readers.read_table(spark, at("clustered")).columns == ["intron_id", "A1", "A2", "B1", "B2", "donor_cluster", "acceptor_cluster"]
     command.main(["filter", "--matrix", at("clustered"), "--output", at("filtered"), "--min_cluster_count", "10"])
-    assert readers.read_matrix(spark, at("filtered")).count() == 8
+    assert readers.read_table(spark, at("filtered")).count() == 8
     command.main(["offsets", "--matrix", at("clustered"), "--compute_offsets_only", "--output", at("offsets")])
     command.main(["offsets", "--matrix", at("filtered"), "--shared_offsets", at("offsets"), "--output_prefix", at("shared")])
     command.main(["offsets", "--matrix", at("filtered"), "--cluster_type", "donor", "--samples", at("s.tsv"), "--output_prefix", at("own")])
-    shared, own = (readers.read_matrix(spark, at(f"{k}_offsets")).orderBy("intron_id").toPandas() for k in ("shared", "own"))
+    totals = readers.read_table(spark, at("offsets")).toPandas().set_index("intron_id")
+    assert (totals >= 20).all(axis=None) and float(totals.loc["chr1:1100-1900^GT--AG^OK", "A1"]) == 42  # raw, not logarithms
+    shared, own = (readers.read_table(spark, at(f"{k}_offsets")).orderBy("intron_id").toPandas() for k in ("shared", "own"))
+    assert np.allclose(shared["A1"], np.log(totals["A1"].loc[shared["intron_id"]].to_numpy() + 0.5))
     assert len(shared) == len(own) == 8 and (shared["A1"] >= own["A1"] - 1e-9).all()
-    counts_ = readers.read_matrix(spark, at("shared_counts"))
+    counts_ = readers.read_table(spark, at("shared_counts"))
     counts_.selectExpr("intron_id", "0.01 as PValue", "0.02 as FDR", "1.5 as logFC", "true as significant", "'a_vs_b' as contrast").coalesce(1).write.csv(at("results"), sep="\t", header=True)
     command.main(["psi", "--counts", at("shared_counts"), "--annotations", at("shared_annotations"), "--samples", at("s.tsv"), "--results", at("results"), "--output", at("psi")])
     got = readers.read_results(spark, at("psi"))

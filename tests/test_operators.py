@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from junctura.functions import introns as I
 from junctura.functions import pvalues, special
-from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, psi, samples
+from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, ordered, psi, samples
 
 IDS = [
     ("chr1:100-900^GT--AG^OK", [5, 0, 7]), ("chr1:100-800^GT--AG^OK", [1, 0, 3]), ("chr1:100-700^AA--TT^NON", [9, 9, 9]),
@@ -279,12 +279,48 @@ def test_junctions_are_named_across_tiles(spark):
     assert sorted((r.intron, r.splice_pair) for r in got.collect()) == sorted(want)
 
 
-def test_offsets_table_must_be_whole(spark):
-    cells = spark.createDataFrame([("i1", "S1", 2, 9), ("i1", "S2", 3, 9)], "intron_id string, sample_id string, count long, shared_total long")
-    table = clusters.offsets(cells)
-    assert [round(r.offset, 6) for r in clusters.with_offsets(cells, table).collect()] == [round(math.log(9.5), 6)] * 2
-    with pytest.raises(Exception, match="no offset for i1 in S2"):
-        clusters.with_offsets(cells, table.where("sample_id = 'S1'")).collect()
+def test_totals_table_must_be_whole(spark):
+    cells = spark.createDataFrame([("i1", "S1", 2), ("i1", "S2", 3)], "intron_id string, sample_id string, count long")
+    table = spark.createDataFrame([("i1", "S1", 1000.0), ("i1", "S2", 9.0)], "intron_id string, sample_id string, shared_total double")
+    found = clusters.offsets(clusters.with_totals(cells, table)).collect()
+    assert sorted(round(r.offset, 6) for r in found) == [round(math.log(9.5), 6), round(math.log(1000.5), 6)]
+    with pytest.raises(Exception, match="no shared total for i1 in S2"):
+        clusters.with_totals(cells, table.where("sample_id = 'S1'")).collect()
+
+
+def test_bh_of_many_ties_and_nulls_in_groups(spark):
+    rng = np.random.default_rng(7)
+    rows = [(g, None if k == 0 else 1.0 if k == 1 else float(rng.random() ** 2)) for g in ("a", None) for k in rng.integers(0, 4, 2000)] + [("b", None)] * 3
+    got = fdr.bh_fdr(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, g string, p double"), "p", ("g",)).orderBy("i").toPandas()
+    assert len(got) == len(rows) and got.columns.tolist() == ["i", "g", "p", "FDR"]
+    for g in ("a", None):
+        own = [i for i, r in enumerate(rows) if r[0] == g and r[1] is not None]
+        assert np.allclose(got["FDR"][own], reference_bh([rows[i][1] for i in own]), rtol=1e-12)
+    assert got["FDR"].isna().sum() == sum(r[1] is None for r in rows)
+
+
+def test_ties_and_nulls_are_spread(spark):
+    """Half of the rows without a value and a third of one value: no task gets a large share of them."""
+    rows = spark.range(200_000).selectExpr("id", "case when id % 2 = 0 then null when id % 6 < 3 then 1.0D else (id % 99991) / 1e5 end as p")
+    told = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in told}
+    try:
+        for k, v in told.items():
+            spark.conf.set(k, v)
+        got = fdr.bh_fdr(rows, "p")
+        sizes = got.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        assert sizes.sum() == 200_000 and sizes.max() < 2 * 200_000 / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_medians_by_group(spark):
+    rng = np.random.default_rng(8)
+    rows = [(g, None if rng.random() < 0.1 else float(rng.integers(0, 50))) for g in ("a", "b", None) for _ in range(int(rng.integers(1, 400)))] + [("c", None), ("d", 4.0), ("d", 5.0)]
+    got = {r.g: r.m for r in ordered.medians(spark.createDataFrame(rows, "g string, v double").repartition(3), "v", ("g",), "m").collect()}
+    assert got == {g: float(np.median([v for h, v in rows if h == g and v is not None])) for g in ("a", "b", None, "d")}
+    assert [r.median for r in ordered.medians(spark.createDataFrame([], "v long"), "v").collect()] == [None]
 
 
 def test_psi_table(spark):
