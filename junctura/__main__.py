@@ -142,9 +142,11 @@ def main(argv: list[str] | None = None) -> None:
         run_files(spark, matrix, meta, output, gtf, Parameters(**a), force)
     elif command == "count":
         files = a["alignments"]
-        parts = [f(spark, own) for f, own in ((bam.read_bam, [p for p in files if p.endswith(".bam")]), (readers.read_sam, [p for p in files if not p.endswith(".bam")])) if own]
+        bams, sams = [p for p in files if p.endswith(".bam")], [p for p in files if not p.endswith(".bam")]
+        parts = [bam.read_bam(spark, bams, counts.MAPPING_QUALITY, counts.LEFT_OUT, gapped=True)] if bams else []
+        parts += [readers.read_sam(spark, sams)] if sams else []
         reads = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        named = counts.name_junctions(counts.count_junctions(reads), readers.read_fasta(spark, a["genome_fa"]))
+        named = counts.name_junctions(counts.count_junctions(reads), readers.read_tiles(spark, a["genome_fa"]))
         writers.write_junctions(named, a["output"])
     elif command == "matrix":
         cells = counts.sum_junctions(readers.read_junctions(spark, a["intron_files"]))

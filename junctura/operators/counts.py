@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from junctura.functions import introns as I
 
 TILE = 1 << 16  # bases of a row of sequence
+MAPPING_QUALITY, LEFT_OUT = 60, 256 | 4  # least quality; flags of secondary and of unmapped reads
 
 
-def count_junctions(alignments: DataFrame, mapping_quality: int = 60) -> DataFrame:
+def count_junctions(alignments: DataFrame, mapping_quality: int = MAPPING_QUALITY) -> DataFrame:
     """Reads per (sample_id, chrom, start, end) from alignments sample_id, flag, chrom, pos, mapq, cigar.
 
     Keeps mapped primary reads of the quality; a read counts once for each of
     its distinct gaps.
     """
-    kept = alignments.where((F.col("mapq") >= mapping_quality) & (F.expr("flag & 260") == 0) & F.col("cigar").contains("N"))
+    kept = alignments.where((F.col("mapq") >= mapping_quality) & (F.col("flag").bitwiseAND(LEFT_OUT) == 0) & F.col("cigar").contains("N"))
     gaps = kept.select("sample_id", "chrom", F.explode(I.cigar_introns(F.col("pos"), F.col("cigar"))).alias("gap"))
     return gaps.groupBy("sample_id", "chrom", F.col("gap.start").alias("start"), F.col("gap.end").alias("end")).agg(F.count("*").alias("count"))
 
@@ -33,22 +34,23 @@ def tiles(sequences: DataFrame, tile: int = TILE) -> DataFrame:
 
 
 def name_junctions(counts: DataFrame, sequences: DataFrame, tile: int = TILE) -> DataFrame:
-    """Add intron, splice_pair and splice_flag from chromosome sequences (chrom, seq); drops names with ``_``.
+    """Add intron, splice_pair and splice_flag from chromosome sequences (chrom, seq), or tiles of them; drops names with ``_``.
 
-    Each end of a distinct junction meets the one tile that holds its two bases,
-    so the work grows with junctions and tiles, and no chromosome is one key.
+    Each end of a distinct junction is a row and meets the one tile that holds
+    its two bases, so tiles are read once, the work grows with junctions and
+    tiles, and no chromosome is one key.
     """
     main = counts.where(~F.col("chrom").contains("_"))
-    cut = tiles(sequences, tile)
-    sites = main.select("chrom", "start", "end").distinct().join(sequences.select("chrom").distinct(), "chrom", "left_semi")
-    for side, at in (("left", F.col("start") - 1), ("right", F.col("end") - 2)):
-        # Bases before a sequence's first or beyond its last are empty.
-        held = cut.select("chrom", F.col("tile").cast("long").alias("__tile"), F.col("bases").alias("__bases"))
-        placed = sites.withColumn("__at", at.cast("long")).withColumn("__tile", F.expr(f"__at div {tile}"))
-        own = F.substring("__bases", (F.col("__at") % tile + 1).cast("int"), F.lit(2)).cast("string")
-        sites = placed.join(held, ["chrom", "__tile"], "left").withColumn(f"__{side}", F.coalesce(F.when(F.col("__at") >= 0, own), F.lit("")))
-        sites = sites.drop("__tile", "__bases", "__at")
-    pair = sites.select("chrom", "start", "end", F.concat_ws("--", "__left", "__right").alias("splice_pair"))
+    cut = sequences if "bases" in sequences.columns else tiles(sequences, tile)
+    sites = main.select("chrom", "start", "end").distinct().join(cut.select("chrom").distinct(), "chrom", "left_semi")
+    ends = F.array(*[F.struct(F.lit(k).alias("__side"), (F.col(c) - n).cast("long").alias("__at")) for k, c, n in ((0, "start", 1), (1, "end", 2))])
+    placed = sites.select("*", F.inline(ends)).withColumn("__tile", F.expr(f"__at div {tile}"))
+    # Bases before a sequence's first or beyond its last are empty.
+    held = cut.select("chrom", F.col("tile").cast("long").alias("__tile"), F.col("bases").alias("__bases"))
+    own = F.substring("__bases", (F.col("__at") % tile + 1).cast("int"), F.lit(2)).cast("string")
+    told = placed.join(held, ["chrom", "__tile"], "left").select("chrom", "start", "end", "__side", F.coalesce(F.when(F.col("__at") >= 0, own), F.lit("")).alias("__own"))
+    side = lambda k: F.max(F.when(F.col("__side") == k, F.col("__own")))
+    pair = told.groupBy("chrom", "start", "end").agg(F.concat_ws("--", side(0), side(1)).alias("splice_pair"))
     return main.join(pair, ["chrom", "start", "end"]).select(
         "sample_id", F.concat("chrom", F.lit(":"), "start", F.lit("-"), "end").alias("intron"), "splice_pair", I.splice_flag(F.col("splice_pair")).alias("splice_flag"), "count"
     )

@@ -15,7 +15,7 @@ from junctura.operators import annotate, clusters, counts, filters, psi
 from junctura.plans import adapter as A
 from junctura.plans import queries as Q
 from junctura.plans.pipeline import NOTES, noted, read_clustered, write_model_input
-from junctura.sources import annotation, readers, writers
+from junctura.sources import annotation, bam, readers, writers
 
 
 def _place(spark: SparkSession, name: str) -> str:
@@ -122,13 +122,34 @@ def file_sam(spark, d):
     return counts.count_junctions(readers.read_sam(spark, path))
 
 
-@Q.query("SELECT chrom, length(seq) AS n_bases, md5(seq) AS digest FROM genome", genome=Q.GENOME)
-def file_fasta(spark, d):
+@Q.query(
+    'SELECT sample_id, chrom, "start", "end", count(*) AS count FROM gap GROUP BY ALL',
+    **Q.SAM,
+)
+def file_bam(spark, d):
+    """BAM files of many tasks, each read by as many as it has parts."""
+    path = _place(spark, "bam")
+    bam.write_bam(Q.alignments(spark, d), path, {f"chr{i}{alt}": 1 << 20 for i in range(5) for alt in ("", "_alt")})
+    return counts.count_junctions(bam.read_bam(spark, [path], counts.MAPPING_QUALITY, counts.LEFT_OUT, gapped=True, part=1 << 12))
+
+
+def _fasta(spark: SparkSession, d: str) -> str:
+    """The genome in lines of 60 bases, none of them a row of more."""
     path = _place(spark, "genome.fa")
-    folded = F.regexp_replace("seq", "(.{60})", "$1\n")
-    rows = Q.genome(spark, d).select(F.concat(F.lit(">"), "chrom", F.lit(" made of parts\n"), folded).alias("value"))
-    rows.write.text(path)
-    return readers.read_fasta(spark, path).select("chrom", F.length("seq").cast("long").alias("n_bases"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+    Q.genome_lines(spark, d).write.text(path)
+    return path
+
+
+@Q.query("SELECT chrom, k AS tile, md5(substr(seq, k * 4096 + 1, 4097)) AS digest FROM genome, unnest(range(0, (length(seq) + 4095) // 4096)) AS t(k)", genome=Q.GENOME)
+def file_fasta(spark, d):
+    cut = readers.read_tiles(spark, _fasta(spark, d), 4096)
+    return cut.select("chrom", F.col("tile").cast("long").alias("tile"), F.md5("bases").alias("digest"))
+
+
+@Q.query(Q.NAMING, genome=Q.GENOME, site=Q.SITE)
+def file_junction_naming(spark, d):
+    """Junctions named from a file of sequences."""
+    return counts.name_junctions(Q.sites(spark, d), readers.read_tiles(spark, _fasta(spark, d), 4096), tile=4096)
 
 
 def _offsets(spark: SparkSession, d: str) -> str:

@@ -116,28 +116,41 @@ def sam_introns(spark, d):
 
 
 GENOME = """SELECT 'chr' || p_size % 7 AS chrom, string_agg(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTGTAG'), '' ORDER BY p_partkey) AS seq FROM part GROUP BY 1"""
-_SITE = """SELECT 'S' || l_linenumber AS sample_id, 'chr' || l_suppkey % 8 || CASE WHEN l_partkey % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1 + l_partkey * 31 % 9000 AS "start",
+SITE = """SELECT 'S' || l_linenumber AS sample_id, 'chr' || l_suppkey % 8 || CASE WHEN l_partkey % 11 = 0 THEN '_alt' ELSE '' END AS chrom, 1 + l_partkey * 31 % 9000 AS "start",
     1 + l_partkey * 31 % 9000 + 20 + l_suppkey * 13 % 700 AS "end", CAST(sum(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY 1, 2, 3, 4"""
 
 
+def _bases():
+    return F.translate(F.md5(F.col("p_name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTGTAG")
+
+
 def genome(spark, d):
-    base = F.translate(F.md5(F.col("p_name").cast("binary")), "0123456789abcdef", "ACGTACGTACGTGTAG")
-    part = A.table(spark, d, "part").select(F.concat(F.lit("chr"), F.col("p_size") % 7).alias("chrom"), F.struct("p_partkey", base.alias("bases")).alias("one"))
+    part = A.table(spark, d, "part").select(F.concat(F.lit("chr"), F.col("p_size") % 7).alias("chrom"), F.struct("p_partkey", _bases().alias("bases")).alias("one"))
     return part.groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list("one")), lambda x: x.bases), "").alias("seq"))
 
 
-@query(
-    f"""SELECT sample_id, chrom || ':' || "start" || '-' || "end" AS intron, pair AS splice_pair, CASE WHEN pair IN {I.CANONICAL} THEN 'OK' ELSE 'NON' END AS splice_flag, count
-    FROM (SELECT s.*, substr(seq, "start", 2) || '--' || substr(seq, "end" - 1, 2) AS pair FROM site s JOIN genome USING (chrom) WHERE chrom NOT LIKE '%\\_%' ESCAPE '\\')""",
-    genome=GENOME, site=_SITE,
-)
-def junction_naming(spark, d):
+def genome_lines(spark, d):
+    """FASTA of the same sequences: a header and a line for each part, in order."""
+    part = A.table(spark, d, "part").select((F.col("p_size") % 7).alias("c"), F.col("p_partkey").alias("k"), _bases().alias("value"))
+    heads = part.groupBy("c").agg(F.lit(-1).cast(dict(part.dtypes)["k"]).alias("k")).withColumn("value", F.concat(F.lit(">chr"), "c", F.lit(" made of parts")))
+    return part.unionByName(heads).orderBy("c", "k").select("value")
+
+
+NAMING = f"""SELECT sample_id, chrom || ':' || "start" || '-' || "end" AS intron, pair AS splice_pair, CASE WHEN pair IN {I.CANONICAL} THEN 'OK' ELSE 'NON' END AS splice_flag, count
+    FROM (SELECT s.*, substr(seq, "start", 2) || '--' || substr(seq, "end" - 1, 2) AS pair FROM site s JOIN genome USING (chrom) WHERE chrom NOT LIKE '%\\_%' ESCAPE '\\')"""
+
+
+def sites(spark, d):
     start = 1 + F.col("l_partkey") * 31 % 9000
-    site = A.table(spark, d, "lineitem").groupBy(
+    return A.table(spark, d, "lineitem").groupBy(
         F.concat(F.lit("S"), "l_linenumber").alias("sample_id"), F.concat(F.lit("chr"), F.col("l_suppkey") % 8, F.when(F.col("l_partkey") % 11 == 0, "_alt").otherwise("")).alias("chrom"),
         start.alias("start"), (start + 20 + F.col("l_suppkey") * 13 % 700).alias("end"),
     ).agg(F.sum("l_quantity").cast("long").alias("count"))
-    return counts.name_junctions(site, genome(spark, d), tile=512)
+
+
+@query(NAMING, genome=GENOME, site=SITE)
+def junction_naming(spark, d):
+    return counts.name_junctions(sites(spark, d), genome(spark, d), tile=512)
 
 
 # Clusters and offsets.

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from junctura.checkpoints import checkpointed
+from junctura.operators.counts import TILE
 
 JUNCTION = {"intron": "string", "splice_pair": "string", "splice_flag": "string", "count": "int"}
+RUN = 1 << 15  # bases of a row of a split
+_RUN_NAMES = ["path", "start", "number", "name", "place", "bases"]
+_RUN_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string()]
 HEADERS = 64  # different headers of junction files
 GTF = "chrom string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
 RESULTS = "logFC double, logCPM double, F double, PValue double, FDR double, intron_id string, contrast string, significant boolean"
@@ -126,11 +136,83 @@ def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.select(sample_of_file().alias("sample_id"), at(1).cast("int").alias("flag"), at(2).alias("chrom"), at(3).cast("long").alias("pos"), at(4).cast("int").alias("mapq"), at(5).alias("cigar"))
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Sequences by name, one row each: chrom, seq."""
-    rows = spark.read.text(path, lineSep=">").where("trim(value) <> ''")
-    first = F.split_part("value", F.lit("\n"), F.lit(1))
-    return rows.select(F.element_at(F.split(first, r"\s+"), 1).alias("chrom"), F.regexp_replace(F.expr(r"substring(value, instr(value, '\n'))"), r"\s", "").alias("seq"))
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of FASTA (path, start, value) as runs of bases.
+
+    A row has the split that it is from, the number of the sequence within the
+    split (0 for the one begun before it) with its name, if it begins there, the
+    place of its bases in that sequence as far as the split has it, and at most
+    ``RUN`` bases. A sequence that begins has a row, also without bases.
+    """
+    split, number, name, place = None, 0, None, 0
+    held: list[str] = []
+    out: list[tuple] = []
+    size = 0
+
+    def put() -> None:
+        nonlocal held, size, place
+        text = "".join(held)
+        for i in range(0, len(text), RUN):
+            out.append((*split, number, name, place + i, text[i : i + RUN]))
+        place += len(text)
+        held, size = [], 0
+
+    for batch in batches:
+        for path, start, value in zip(*(c.to_pylist() for c in batch.columns)):
+            if (path, start) != split:
+                if split:
+                    put()
+                split, number, name, place = (path, start), 0, None, 0
+                out.append((path, start, 0, None, 0, ""))
+            if value.startswith(">"):
+                put()
+                number, name, place = number + 1, (value[1:].split() or [""])[0], 0
+                out.append((path, start, number, name, 0, ""))
+            elif own := "".join(value.split()):
+                held.append(own)
+                size += len(own)
+                if size >= RUN:
+                    put()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _RUN_TYPES)], _RUN_NAMES)
+            out = []
+    if split:
+        put()
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _RUN_TYPES)], _RUN_NAMES)
+
+
+def read_tiles(spark: SparkSession, path: str | list[str], tile: int = TILE) -> DataFrame:
+    """Sequences of FASTA as rows of ``tile`` bases and one more: chrom, tile, bases.
+
+    No row has more than that. Each split counts the bases of its sequences; a
+    small table, of a row for each split, says where it takes up a sequence that
+    began before, in the same file or, in a folder, in one before it. Names have
+    to be distinct. A line is a row of the scan, so bases have to be folded.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    runs = checkpointed(rows.mapInArrow(_runs, "path string, start long, number int, name string, place long, bases string"))
+    n = F.length("bases")
+    met = runs.groupBy("path", "start", "number").agg(F.max("name").alias("name"), F.sum(n).alias("n"))
+    splits = met.groupBy("path", "start").agg(F.max_by(F.struct("name", "n"), "number").alias("last"), F.max("number").alias("heads"), F.max(F.when(F.col("number") == 0, F.col("n"))).alias("n0"))
+    # A row a split, in one window: where a split begins lies what the one before it left open.
+    order = Window.orderBy("path", "start")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("upto", F.coalesce(F.sum(F.when(F.col("heads") > 0, F.col("last.n")).otherwise(F.col("n0"))).over(before), F.lit(0)))
+    opened = lambda c: F.last(F.when(F.col("heads") > 0, F.col(c)), ignorenulls=True).over(before)
+    splits = splits.select("path", "start", F.lit(0).alias("number"), opened("last.name").alias("open"), (F.col("upto") - opened("upto")).alias("before"))
+    found = runs.join(splits, ["path", "start", "number"], "left").withColumn("chrom", F.coalesce("name", "open")).where("chrom is not null")
+    found = found.withColumn("at", F.col("place") + F.coalesce("before", F.lit(0)))
+    last = F.greatest(F.col("at"), F.col("at") + F.length("bases") - 1)
+    first_tile = F.greatest(F.lit(0), F.expr(f"(at - 1) div {tile}"))
+    spread = found.select("chrom", "at", "bases", F.explode(F.sequence(first_tile, F.floor(last / tile).cast("long"))).alias("tile"))
+    begin = F.greatest(F.lit(0), F.col("tile") * tile - F.col("at"))
+    piece = F.substring("bases", (begin + 1).cast("int"), ((F.col("tile") + 1) * tile + 1 - F.col("at") - begin).cast("int"))
+    pieces = spread.select("chrom", "tile", F.struct((F.col("at") + begin).alias("at"), piece.alias("piece")).alias("p"), F.length("bases").alias("n"))
+    # A sequence of no bases has its first tile; other tiles have some.
+    pieces = pieces.where((F.length("p.piece") > 0) | (F.col("tile") == 0))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x.piece), "")
+    return pieces.groupBy("chrom", F.col("tile").cast("int").alias("tile")).agg(whole.cast("binary").alias("bases"))
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

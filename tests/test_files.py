@@ -1,13 +1,14 @@
 """Readers, writers, the stream, and the pipeline on files."""
 
 import gzip
+import struct
 
 import numpy as np
 import pytest
 
 from junctura.operators import counts
 from junctura.plans.pipeline import Parameters, SpliceEngine, run_files
-from junctura.sources import readers, writers
+from junctura.sources import bam, readers, writers
 from junctura.streaming import junctions
 
 HEAD = "intron\tsplice_pair\tsplice_flag\tcount\n"
@@ -97,7 +98,7 @@ def test_sam_and_fasta(spark, tmp_path):
     (tmp_path / "s1.sam").write_text("@HD\tVN\nr1\t0\tchr1\t3\t60\t2M6N2M\t*\nr2\t256\tchr1\t3\t60\t2M6N2M\t*\nr3\t0\tchr1\t3\t20\t2M6N2M\t*\n")
     (tmp_path / "g.fa").write_text(">chr1 first\nACACGTAA\nAGGG\n>chr2\nAC\n")
     sam = counts.count_junctions(readers.read_sam(spark, str(tmp_path / "s1.sam")))
-    named = counts.name_junctions(sam, readers.read_fasta(spark, str(tmp_path / "g.fa"))).collect()
+    named = counts.name_junctions(sam, readers.read_tiles(spark, str(tmp_path / "g.fa"))).collect()
     assert [tuple(r) for r in named] == [("s1", "chr1:5-10", "GT--AG", "OK", 1)]
 
 
@@ -135,8 +136,6 @@ def test_pipeline_resumes(spark, tmp_path):
 
 def bam_bytes() -> bytes:
     """A small BAM: two references; a spliced read, a secondary one and an unmapped one."""
-    import struct
-
     def record(ref: int, pos: int, mapq: int, flag: int, ops: list[tuple[int, str]]) -> bytes:
         packed = b"".join(struct.pack("<I", n << 4 | "MIDNSHP=X".index(k)) for n, k in ops)
         body = struct.pack("<iiBBHHHiiii", ref, pos, 3, mapq, 0, len(ops), flag, 4, -1, -1, 0) + b"r1\0" + packed + b"\0\0" + b"\0" * 4
@@ -147,18 +146,76 @@ def bam_bytes() -> bytes:
     return b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 2) + names + record(0, 2, 60, 0, spliced) + record(0, 2, 60, 256, spliced) + record(-1, -1, 0, 4, [])
 
 
-def test_bam_is_read_like_sam(spark, tmp_path):
-    from junctura.sources import bam
+def put_bam(path, data: bytes) -> None:
+    path.write_bytes(bam._compressed(data) + bam._END)
 
-    with gzip.open(tmp_path / "s1.bam", "wb") as f:
-        f.write(bam_bytes())
+
+def test_bam_is_read_like_sam(spark, tmp_path):
+    put_bam(tmp_path / "s1.bam", bam_bytes())
     reads = bam.read_bam(spark, [str(tmp_path / "s1.bam"), f"file://{tmp_path}/s1.bam"])
     assert sorted({tuple(r) for r in reads.collect()}) == [("s1", 0, "chr1", 3, 60, "2M6N2M"), ("s1", 4, "*", 0, 0, "*"), ("s1", 256, "chr1", 3, 60, "2M6N2M")]
     assert [(r.chrom, r.start, r.end, r["count"]) for r in counts.count_junctions(reads).collect()] == [("chr1", 5, 10, 2)]
-    with gzip.open(tmp_path / "bad.bam", "wb") as f:
-        f.write(bam_bytes()[:-3])
+    kept = bam.read_bam(spark, [str(tmp_path)], mapq=60, without=256 | 4, gapped=True)
+    assert [tuple(r) for r in kept.collect()] == [("s1", 0, "chr1", 3, 60, "2M6N2M")]
+    put_bam(tmp_path / "bad.bam", bam_bytes()[:-3])
     with pytest.raises(Exception, match="cut short"):
         bam.read_bam(spark, [str(tmp_path / "bad.bam")]).collect()
+    (tmp_path / "other.bam").write_bytes(b"something else")
+    with pytest.raises(Exception, match="not a BAM file"):
+        bam.read_bam(spark, [str(tmp_path / "other.bam")]).collect()
+
+
+def invented_reads(seed, n):
+    """Records of all lengths, some much longer than a block, with bases that look like anything."""
+    rng = np.random.default_rng(seed)
+    out, told = [], []
+    for i in range(n):
+        ref = int(rng.integers(-1, 2))
+        pos, mapq, flag = int(rng.integers(-1, 900)), int(rng.integers(0, 70)), int(rng.choice([0, 4, 16, 256, 1024]))
+        ops = [(int(rng.integers(1, 500)), "MIDNSHP=X"[int(rng.integers(0, 9))]) for _ in range(int(rng.integers(0, 6)))]
+        bases = int(rng.choice([0, 5, 150, 150, 150, 9000, 200_000], p=[0.1, 0.1, 0.3, 0.2, 0.2, 0.09, 0.01]))
+        own = f"read/{i}".encode() + b"\0"
+        packed = b"".join(struct.pack("<I", k << 4 | "MIDNSHP=X".index(c)) for k, c in ops)
+        body = struct.pack("<iiBBHHHiiii", ref, pos, len(own), mapq, 0, len(ops), flag, bases, -1, -1, 0) + own + packed + rng.integers(0, 256, (bases + 1) // 2 + bases, np.uint8).tobytes()
+        out.append(struct.pack("<i", len(body)) + body)
+        told.append((flag, ("chrA", "chrB", "*")[ref], pos + 1, mapq, "".join(f"{k}{c}" for k, c in ops) or "*"))
+    return bam.bam_header({"chrA": 1000, "chrB": 2000}) + b"".join(out), told
+
+
+@pytest.mark.parametrize("part", [900, 30_000, 100_000, 1 << 30])
+@pytest.mark.parametrize("window", [1 << 12, 1 << 20])
+def test_parts_of_a_bam_hold_every_record_once(tmp_path, part, window, monkeypatch):
+    monkeypatch.setattr(bam, "WINDOW", window)
+    data, told = invented_reads(window % 97, 700)
+    put_bam(tmp_path / "s.bam", data)
+    size = (tmp_path / "s.bam").stat().st_size
+    got = [tuple(r.values())[1:] for at in range(0, size, part) for b in bam.alignments(str(tmp_path / "s.bam"), at, min(size, at + part)) for r in b.to_pylist()]
+    assert got == told
+
+
+def test_bam_of_many_tasks(spark, tmp_path):
+    data, told = invented_reads(5, 300)
+    put_bam(tmp_path / "s.bam", data)
+    reads = bam.read_bam(spark, [str(tmp_path / "s.bam")], part=20_000)
+    assert reads.rdd.getNumPartitions() > 10
+    assert sorted(tuple(r)[1:] for r in reads.collect()) == sorted(told)
+    bam.write_bam(reads.where("chrom <> '*'"), str(tmp_path / "again"), {"chrB": 2000, "chrA": 1000})
+    assert sorted(tuple(r)[1:] for r in bam.read_bam(spark, [str(tmp_path / "again")]).collect()) == sorted(t for t in told if t[1] != "*")
+
+
+@pytest.mark.parametrize("split", [64, 300, 1 << 20])
+def test_fasta_in_tiles(spark, tmp_path, split):
+    rng = np.random.default_rng(9)
+    seqs = {f"c{i}": "".join(rng.choice(list("ACGTN"), n)) for i, n in enumerate((0, 1, 130, 64, 65, 129, 2000, 0, 700))}
+    text = "".join(f">{name} about it\n" + "".join(seq[i : i + 60] + "\n" for i in range(0, len(seq), 60)) for name, seq in seqs.items())
+    (tmp_path / "g.fa").write_text("lost\n" + text)
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set(key, str(split))
+        got = {(r.chrom, r.tile): bytes(r.bases).decode() for r in readers.read_tiles(spark, str(tmp_path / "g.fa"), 64).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {(n, k): s[64 * k : 64 * k + 65] for n, s in seqs.items() for k in range(max(1, -(-len(s) // 64)))}
 
 
 def test_annotation_tables_are_kept(spark, tmp_path):
@@ -182,8 +239,7 @@ def test_annotation_tables_are_kept(spark, tmp_path):
 def test_commands(spark, tmp_path):
     from junctura.__main__ import main
 
-    with gzip.open(tmp_path / "s1.bam", "wb") as f:
-        f.write(bam_bytes())
+    put_bam(tmp_path / "s1.bam", bam_bytes())
     (tmp_path / "g.fa").write_text(">chr1\nACACGTAAAGGG\n>chr2\nACGT\n")
     main(["count", "--genome_fa", str(tmp_path / "g.fa"), "--alignments", str(tmp_path / "s1.bam"), "--output", str(tmp_path / "counted")])
     assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/counted", sep="\t", header=True).collect()] == [("chr1:5-10", "GT--AG", "OK", "1", "s1")]
