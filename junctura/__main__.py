@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("matrix", "samples", "output_dir"):
         run.add_argument(f"--{name}", required=True)
     run.add_argument("--gtf")
+    run.add_argument("--gtf_cache", help="annotation as one text of two sections, made from the GTF where it is absent or older")
     base = Parameters()
     _thresholds(run, base)
     run.add_argument("--group_col", default=base.group_col)
@@ -137,9 +138,9 @@ def main(argv: list[str] | None = None) -> None:
     spark, command = SparkSession.builder.getOrCreate(), a.pop("command")
     ship(spark)
     if command == "run":
-        matrix, meta, output, gtf, force = (a.pop(k) for k in ("matrix", "samples", "output_dir", "gtf", "force_rerun"))
+        matrix, meta, output, gtf, cache, force = (a.pop(k) for k in ("matrix", "samples", "output_dir", "gtf", "gtf_cache", "force_rerun"))
         a["control_groups"] = tuple(samples.listed(a["control_groups"]))
-        run_files(spark, matrix, meta, output, gtf, Parameters(**a), force)
+        run_files(spark, matrix, meta, output, gtf, Parameters(**a), force, cache)
     elif command == "count":
         files = a["alignments"]
         bams, sams = [p for p in files if p.endswith(".bam")], [p for p in files if not p.endswith(".bam")]

@@ -50,17 +50,14 @@ def parse_strict(intron_id: Column) -> Column:
 def parse_lenient(intron_id: Column) -> Column:
     """Struct chrom, start, end, strand for annotation; null where neither form fits.
 
-    One array of parts is made once: chrom, start, end, and strand or the two
-    halves of the motif.
+    One pattern says whether it fits; parts are then cut at the signs between them.
     """
-    fits = F.regexp_count(intron_id, F.lit(EITHER)) > 0
-    parts = F.when(fits, F.array(*[F.regexp_extract(intron_id, EITHER, k) for k in range(1, 7)]))
-
-    def told(p: Column) -> Column:
-        strand = F.when(p[3] != "", p[3]).otherwise(annotation_strand(p[4], p[5]))
-        return F.struct(p[0].alias("chrom"), p[1].cast("long").alias("start"), p[2].cast("long").alias("end"), strand.alias("strand"))
-
-    return F.get(F.transform(F.array(parts), lambda p: F.when(p.isNotNull(), told(p))), F.lit(0))
+    cut = lambda text, sign, k: F.split_part(text, F.lit(sign), F.lit(k))
+    place = cut(cut(intron_id, ":", 2), "^", 1)
+    told, motif = cut(cut(intron_id, "^", 1), ":", 3), cut(intron_id, "^", 2)
+    strand = F.when(told != "", told).otherwise(annotation_strand(F.substring(motif, 1, 2), F.substring(motif, 5, 2)))
+    number = lambda k: cut(place, "-", k).try_cast("long")
+    return F.when(intron_id.rlike(EITHER), F.struct(cut(intron_id, ":", 1).alias("chrom"), number(1).alias("start"), number(2).alias("end"), strand.alias("strand")))
 
 
 def cluster(chrom: Column, position: Column, strand: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from junctura.functions import introns as I
 
-BIN = 1 << 17
+LEAST_BIN, STEP, LEVELS = 14, 2, 10  # bins of 2^14 bases, four times as many at each level; beyond 2^32 bases there is one for all
 PLACE = ["chrom", "start", "end", "strand"]
 
 
@@ -69,19 +69,41 @@ def gene_index(genes: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     return (genes.select(columns).union(spans.select(columns)) if spans is not None else genes.select(columns)).distinct()
 
 
-def interval_join(left: DataFrame, right: DataFrame, on: list[str], width: int = BIN) -> DataFrame:
+def bin_of(start: Column, end: Column) -> Column:
+    """The smallest bin that holds an interval whole, as struct (level, bin)."""
+    found = F.struct(F.lit(LEVELS).alias("level"), F.lit(0).cast("long").alias("bin"))
+    for k in reversed(range(LEVELS)):
+        shift = LEAST_BIN + STEP * k
+        low, high = F.shiftright(start.cast("long"), shift), F.shiftright(end.cast("long"), shift)
+        found = F.when(low == high, F.struct(F.lit(k).alias("level"), low.alias("bin"))).otherwise(found)
+    return found
+
+
+def _upwards(own: Column, with_own: bool) -> Column:
+    """A bin's ancestors, with itself or without."""
+    steps = F.sequence(F.lit(0), F.lit(LEVELS)) if with_own else F.sequence(F.lit(1), F.lit(LEVELS))
+    above = F.filter(steps, lambda k: own["level"] + k <= LEVELS)
+    shifted = lambda k: F.call_function("shiftright", own["bin"], STEP * k)
+    return F.transform(above, lambda k: F.struct((own["level"] + k).alias("level"), F.when(own["level"] + k == LEVELS, F.lit(0).cast("long")).otherwise(shifted(k)).alias("bin")))
+
+
+def interval_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Pairs of rows that agree on ``on`` and whose inclusive ranges start..end overlap.
 
-    Both sides are dealt over bins of their range, and a pair is kept in the bin
-    where the later of the starts lies, so pairs come once and a crowded
-    chromosome is spread. The right side's range comes as other_start, other_end.
+    An interval lies in the smallest bin that holds it whole, of bins four times
+    as wide at each level, and in that alone, however long it is. Bins are
+    nested, so of two intervals that overlap the bin of one is the other's or an
+    ancestor of it: each side is looked up once in the bins above its own, a row
+    a level. A pair comes once. The right side's range comes as other_start,
+    other_end.
     """
-    bins = lambda: F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width)))
-    a = left.where("start <= end").withColumn("__bin", bins())
-    b = right.where("start <= end").withColumn("__bin", bins()).withColumnsRenamed({"start": "other_start", "end": "other_end"})
-    met = a.join(b, [*on, "__bin"])
-    met = met.where((F.col("start") <= F.col("other_end")) & (F.col("end") >= F.col("other_start")))
-    return met.where(F.col("__bin") == F.floor(F.greatest("start", "other_start") / width)).drop("__bin")
+    a = left.where("start <= end").withColumn("__own", bin_of(F.col("start"), F.col("end")))
+    b = right.where("start <= end").withColumn("__own", bin_of(F.col("start"), F.col("end"))).withColumnsRenamed({"start": "other_start", "end": "other_end"})
+    at = lambda rows, places: rows.withColumn("__bin", places).drop("__own")
+    overlap = (F.col("start") <= F.col("other_end")) & (F.col("end") >= F.col("other_start"))
+    low = at(a, F.explode(_upwards(F.col("__own"), True))).join(at(b, F.col("__own")), [*on, "__bin"]).where(overlap)
+    high = at(a, F.col("__own")).join(at(b, F.explode(_upwards(F.col("__own"), False))), [*on, "__bin"]).where(overlap)
+    return low.unionByName(high).drop("__bin")
 
 
 def annotate(introns: DataFrame, annotated: DataFrame, index: DataFrame) -> DataFrame:

@@ -110,6 +110,17 @@ def file_annotation_cache(spark, d):
     return found.select("intron_id", "gene_name", "intron_status", "overlapping_genes")
 
 
+@Q.query("""SELECT 'intron' AS kind, chrom, "start", "end", strand, array_to_string(genes, ',') AS told FROM intron_gene
+    UNION ALL SELECT 'gene', chrom, "start", "end", strand, gene_name || '/' || gene_name FROM gene_at""")
+def file_annotation_text(spark, d):
+    """The cache as one text of two sections, made from a GTF."""
+    cache = _place(spark, "genes.intron_cache.tsv")
+    annotation.load_text(spark, _gtf(spark, d), cache)
+    introns, genes = annotation.read_cache(spark, cache)
+    one = introns.select(F.lit("intron").alias("kind"), *annotate.PLACE, F.concat_ws(",", "genes").alias("told"))
+    return one.union(genes.select(F.lit("gene"), *annotate.PLACE, F.concat("gene_id", F.lit("/"), "gene_name")))
+
+
 @Q.query(
     'SELECT sample_id, chrom, "start", "end", count(*) AS count FROM gap GROUP BY ALL',
     **Q.SAM,

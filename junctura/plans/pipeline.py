@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from junctura.operators import annotate, clusters, counts, fdr, filters, glm, psi, samples
-from junctura.sources import annotation, readers, writers
+from junctura.sources import annotation, files, readers, writers
 
 
 @dataclass(frozen=True)
@@ -40,17 +40,18 @@ class SpliceEngine:
     """Runs the analysis; stages are written to ``folder`` if one is given, and found again by a later run.
 
     A stage's name holds a digest of inputs and parameters, so a run with other
-    settings doesn't take over what doesn't fit.
+    settings doesn't take over what doesn't fit. With ``force`` every stage is
+    made and written anew.
     """
 
-    def __init__(self, spark: SparkSession, parameters: Parameters | None = None, folder: str | None = None) -> None:
-        self.spark, self.parameters, self.folder = spark, parameters or Parameters(), folder
+    def __init__(self, spark: SparkSession, parameters: Parameters | None = None, folder: str | None = None, force: bool = False) -> None:
+        self.spark, self.parameters, self.folder, self.force = spark, parameters or Parameters(), folder, force
 
     def _stage(self, name: str, key: str, make) -> DataFrame:
         if not self.folder:
             return make()
         name = f"{name}-{hashlib.sha256(f'{key} {sorted(asdict(self.parameters).items())}'.encode()).hexdigest()[:16]}"
-        found = writers.saved_stage(self.spark, self.folder, name)
+        found = None if self.force else writers.saved_stage(self.spark, self.folder, name)
         return found if found is not None else writers.save_stage(make(), self.folder, name)
 
     def clustered(self, cells: DataFrame, metadata: DataFrame, annotation: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -113,13 +114,21 @@ class SpliceEngine:
         return out
 
 
-def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf: str | None = None, parameters: Parameters | None = None, force: bool = False) -> dict[str, DataFrame]:
+def input_key(spark: SparkSession, *paths: str | None) -> str:
+    """Paths with the length and the time of change of their files, so that a file written anew is another input."""
+    return " ".join(f"{p} {files.stamp(spark, p)}" if p else "-" for p in paths)
+
+
+def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf: str | None = None, parameters: Parameters | None = None, force: bool = False, gtf_cache: str | None = None) -> dict[str, DataFrame]:
     """Read the files, run, and write the tables at the edges as TSV."""
     cells = readers.read_cells(spark, matrix)
     meta = readers.read_metadata(spark, metadata)
-    engine = SpliceEngine(spark, parameters, None if force else f"{output}/stages")
-    notes = annotation.load(spark, gtf, None if force else f"{output}/annotation") if gtf else None
-    found = engine.run(cells, meta, notes, f"{matrix} {metadata} {gtf}")
+    engine = SpliceEngine(spark, parameters, f"{output}/stages", force)
+    if gtf and gtf_cache:
+        notes = annotation.load_text(spark, gtf, gtf_cache, force)
+    else:
+        notes = annotation.load(spark, gtf, f"{output}/annotation", force=force) if gtf else None
+    found = engine.run(cells, meta, notes, input_key(spark, matrix, metadata, gtf, gtf_cache))
     results, table = found["results"], found["psi_table"]
     writers.write_results(results, f"{output}/results")
     writers.write_results(psi.with_psi(results, table), f"{output}/results_with_psi")

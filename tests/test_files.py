@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 
 from junctura.operators import counts
-from junctura.plans.pipeline import Parameters, SpliceEngine, run_files
-from junctura.sources import bam, readers, writers
+from junctura.plans.pipeline import Parameters, SpliceEngine, input_key, run_files
+from junctura.sources import annotation, bam, readers, writers
 from junctura.streaming import junctions
 
 HEAD = "intron\tsplice_pair\tsplice_flag\tcount\n"
@@ -129,11 +129,60 @@ def test_pipeline_resumes(spark, tmp_path):
     assert (found["psi_filtered"].toPandas()["delta_psi"].abs() >= 0.05).all()
     engine = SpliceEngine(spark, Parameters(min_delta_psi=0.05), f"{tmp_path}/out/stages")
     cells = readers.read_cells(spark, str(tmp_path / "m.tsv"))
-    key = f"{tmp_path}/m.tsv {tmp_path}/s.tsv None"
+    key = input_key(spark, f"{tmp_path}/m.tsv", f"{tmp_path}/s.tsv", None, None)
     engine._stage("psi", key, lambda: pytest.fail("the stage was there"))
+    (tmp_path / "m.tsv").write_text("\n".join(lines) + "\n\n")  # written anew, so nothing of it is taken over
+    with pytest.raises(RuntimeError, match="made again"):
+        engine._stage("psi", input_key(spark, f"{tmp_path}/m.tsv", f"{tmp_path}/s.tsv", None, None), again)
+    with pytest.raises(RuntimeError, match="made again"):
+        SpliceEngine(spark, Parameters(min_delta_psi=0.05), f"{tmp_path}/out/stages", force=True)._stage("psi", key, again)
     assert cells.count() == 360
 
 
+def again():
+    raise RuntimeError("made again")
+
+
+@pytest.mark.parametrize("split", [40, 1 << 20])
+def test_annotation_text(spark, tmp_path, split):
+    introns = spark.createDataFrame([("chr2", 5, 9, "-", ["g2", "g1"]), ("chr1", 100, 200, "+", []), ("chr1", 20, 30, "+", ["g1"])], "chrom string, start long, end long, strand string, genes array<string>")
+    genes = spark.createDataFrame([("chr1", 10, 300, "+", "ENS1", "g1"), ("chr1", 9, 300, "+", "ENS2", "g2")], "chrom string, start long, end long, strand string, gene_id string, gene_name string")
+    annotation.write_cache(introns, genes, str(tmp_path / "cache.tsv"))
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "cache.tsv").glob("part-*"))).splitlines()
+    assert [x for x in lines if not x.startswith("##")] == [
+        "chr\tstart\tend\tstrand\tgene_names", "chr1\t20\t30\t+\tg1", "chr1\t100\t200\t+\t.", "chr2\t5\t9\t-\tg1,g2",
+        "chr\tstart\tend\tstrand\tgene_id\tgene_name", "chr1\t9\t300\t+\tENS2\tg2", "chr1\t10\t300\t+\tENS1\tg1",
+    ]
+    (tmp_path / "one.tsv").write_text("\n".join(lines) + "\n")
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set(key, str(split))
+        for path in ("cache.tsv", "one.tsv"):
+            one, two = annotation.read_cache(spark, str(tmp_path / path))
+            assert sorted((r.chrom, r.start, r.end, r.strand, sorted(r.genes)) for r in one.collect()) == sorted((r.chrom, r.start, r.end, r.strand, sorted(r.genes)) for r in introns.collect())
+            assert sorted(map(tuple, two.collect())) == sorted(map(tuple, genes.collect()))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_gene_names_do_not_depend_on_how_files_are_split(spark, tmp_path):
+    from junctura.operators import annotate
+
+    rows = [f'chr1\tx\tgene\t{10 * (i % 7) + 1}\t{10 * (i % 7) + 9}\t.\t+\t.\tgene_id "g{i}";' for i in range(200)]
+    (tmp_path / "genes.gtf").mkdir()
+    for k in range(4):
+        (tmp_path / f"genes.gtf/part-{k}.gtf").write_text("\n".join(rows[50 * k : 50 * k + 50]) + "\n")
+    want = {10 * (i % 7) + 1: f"g{i}" for i in range(200)}
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (500, 1 << 20):
+            spark.conf.set(key, str(split))
+            found = annotate.gene_map(annotate.features(readers.read_gtf(spark, str(tmp_path / "genes.gtf"))))
+            assert {r.start: r.gene_name for r in found.collect()} == want
+    finally:
+        spark.conf.set(key, before)
+
+
 def bam_bytes() -> bytes:
     """A small BAM: two references; a spliced read, a secondary one and an unmapped one."""
     def record(ref: int, pos: int, mapq: int, flag: int, ops: list[tuple[int, str]]) -> bytes:

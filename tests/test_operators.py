@@ -123,6 +123,15 @@ def test_interval_join_is_the_plain_one(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_long_intervals_are_a_row_a_level(spark):
+    rows = [(0, 1, 10**9), (1, 5, 5), (2, 3 * 10**8, 5 * 10**8), (3, 16383, 16384), (4, 2**33, 2**34), (5, 10**9, 2**33), (6, 9, 3)]
+    side = spark.createDataFrame([("c", a, b, i) for i, a, b in rows], "chrom string, start long, end long, i long")
+    got = annotate.interval_join(side, side.withColumnRenamed("i", "j"), ["chrom"])
+    assert sorted((r.i, r.j) for r in got.collect()) == sorted((i, j) for i, a, b in rows for j, c, d in rows if a <= b and c <= d and a <= d and b >= c)
+    steps = side.where("start <= end").select(F.size(annotate._upwards(annotate.bin_of(F.col("start"), F.col("end")), True)).alias("n"))
+    assert max(r.n for r in steps.collect()) <= annotate.LEVELS + 1
+
+
 def test_annotation_prefers_exact_and_drops_short_gaps(spark):
     exon = spark.createDataFrame(
         [("chr1", 1, 99, "+", "t1", "gB", 0), ("chr1", 901, 950, "+", "t1", "gB", 1), ("chr1", 952, 990, "+", "t1", "gB", 2)],
@@ -131,9 +140,9 @@ def test_annotation_prefers_exact_and_drops_short_gaps(spark):
     known = annotate.intron_genes(annotate.exon_introns(exon))
     assert [(r.start, r.end) for r in known.collect()] == [(100, 900)]
     genes = spark.createDataFrame([("chr1", 800, 2000, "+", "gA", 0)], "chrom string, start long, end long, strand string, gene_name string, ord long")
-    ids = spark.createDataFrame([("chr1:100-900^GT--AG^OK",), ("chr1:150-800^GT--AG^OK",), ("chr1:150-800^CT--AC^OK",), ("odd",)], "intron_id string")
+    ids = spark.createDataFrame([("chr1:100-900^GT--AG^OK",), ("chr1:150-800^GT--AG^OK",), ("chr1:150-800^CT--AC^OK",), ("odd",), ("chr1:150-800:+",), ("chr1:150-800:?",), ("chr1:1-9^gt--ag^OK",)], "intron_id string")
     got = {r.intron_id: (r.gene_name, r.intron_status) for r in annotate.annotate(ids, known, annotate.gene_index(annotate.gene_map(genes))).collect()}
-    assert got == {"chr1:100-900^GT--AG^OK": ("gB", "known"), "chr1:150-800^GT--AG^OK": ("gA", "novel"), "chr1:150-800^CT--AC^OK": (".", "novel"), "odd": (".", "unknown")}
+    assert got == {"chr1:100-900^GT--AG^OK": ("gB", "known"), "chr1:150-800^GT--AG^OK": ("gA", "novel"), "chr1:150-800^CT--AC^OK": (".", "novel"), "odd": (".", "unknown"), "chr1:150-800:+": ("gA", "novel"), "chr1:150-800:?": (".", "unknown"), "chr1:1-9^gt--ag^OK": (".", "unknown")}
 
 
 def test_outer_join_matches_null_keys(spark):
