@@ -5,7 +5,12 @@ each level; an element's points are discounted by its link density. The best
 container, widened to the article or main element around it, and those siblings
 that score well are kept; without such an element, also what scores well or holds
 a paragraph below the ancestor that the well-scoring containers share. Menus,
-adverts, forms, comments and the like are cut from the tree first, however long.
+adverts, forms, notices, comments and the like are cut from the tree first, however
+long: by their elements, by words of classes and identifiers, also at the front of
+longer words, and comments by their structure too, as three like-shaped elements or
+more after some of the page's text, nearly all of which name somebody and have a
+date or a way to reply. Inline elements that say they are for sharing and the like
+stay if they hold prose. Notices and related articles go wherever they are.
 
 Defined results: null and empty pages have an empty text; markup that is broken
 or cut short is read as far as it goes; whole pages are read; repeated rows are
@@ -40,8 +45,15 @@ FENCE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
     "popup modal overlay newsletter subscribe signup paywall sidebar widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager "
-    "footer header masthead comment comments disqus respond reply replies share sharing social related recommended recommendations toolbar login search".split()
+    "footer header masthead comment comments disqus respond reply replies discussion discussions reviews feedback guestbook share sharing social related recommended recommendations toolbar login search".split()
 )
+# Words that also mark as the front or the end of a longer word; those of inline elements that may hold prose; those of what readers wrote.
+COMPOUND = tuple("comment cookie consent advert sponsor newsletter sidebar breadcrumb paginat subscri disqus recommend masthead discussion".split())
+SOFT = frozenset("share sharing social related recommended recommendations notice promo promotion login search signup subscribe".split())
+NAMES = frozenset("author user username avatar commenter poster reviewer nick nickname says by vcard".split())
+DATES = re.compile(r"\b(?:\d{4}-\d\d?-\d\d?|\d{1,2}[./]\d{1,2}[./]\d{2,4}|\d{1,2}:\d\d|(?:minutes?|hours?|days?|weeks?|months?|years?) ago|vor \d+|hace \d+|il y a \d+)\b", re.I)
+REPLY = re.compile(r"\b(?:reply|respond|antworten|responder|répondre|likes?|upvote)\b", re.I)
+ALIKE = 3  # elements of one shape that make a thread
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
 CUT = re.compile(r"</?[A-Za-z][^<>]*\Z")
@@ -138,7 +150,7 @@ def _within(node: Node, tags: frozenset[str]) -> bool:
 MAIN = frozenset(("article", "main"))
 
 
-READERS = frozenset("comment comments disqus respond reply replies".split())
+READERS = frozenset("comment comments disqus respond reply replies discussion discussions reviews feedback guestbook".split())
 EDGES = frozenset(("footer", "header"))
 LEAST = 40  # characters of a block that count as a paragraph
 
@@ -157,12 +169,48 @@ def _marks(node: Node) -> frozenset[str] | None:
     hidden = "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", named.get("style", ""))
     if hidden or named.get("role", "").lower() in ROLES:
         return None
-    words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{named.get('class', '')} {named.get('id', '')}").lower()))
+    words = _words(named)
+    words |= {"comment" if c in ("comment", "disqus", "discussion") else "ad" for w in words - MARKS for c in COMPOUND if w.startswith(c) or w.endswith((c, c + "s"))}
     if node.tag == "header" or re.fullmatch(r"h[1-6]", node.tag):
         words -= {"header"}
     return frozenset(words & MARKS)
 
 
+def _words(named: dict[str, str]) -> set[str]:
+    """Words of an element's class and identifier."""
+    return set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{named.get('class', '')} {named.get('id', '')}").lower()))
+
+
+def _said(node: Node) -> bool:
+    """Whether an element looks like what one reader wrote: somebody is named, and there is a date or a way to reply."""
+    name, when, todo, seen = False, False, [node], 0
+    while todo and seen < 60:
+        n = todo.pop()
+        seen += 1
+        if isinstance(n, str):
+            when = when or bool(DATES.search(n[:200]) or len(n) < 40 and REPLY.search(n))
+            continue
+        words = _words(n.named())
+        name = name or bool(words & NAMES) or n.tag == "cite"
+        when = when or n.tag == "time" or bool(words & {"date", "time", "timestamp", "posted", "ago"})
+        todo += reversed(n.children)
+    return name and when
+
+
+def _thread(node: Node, before: bool) -> bool:
+    """Whether an element's children are a thread of comments that follows some text."""
+    own = [c for c in node.children if isinstance(c, Node)]
+    if not before or len(own) < ALIKE or node.tag in ("html", "body", "#root"):
+        return False
+    shapes: dict[tuple, list[Node]] = {}
+    for c in own:
+        shapes.setdefault((c.tag, c.named().get("class", "").split(" ")[0]), []).append(c)
+    alike = max(shapes.values(), key=len)
+    if len(alike) < ALIKE or 5 * len(alike) < 4 * len(own) or sum(c.size for c in alike) < 2 * (node.size - sum(c.size for c in alike)):
+        return False
+    return 5 * sum(map(_said, alike)) >= 4 * len(alike)
+
+
 class Held(NamedTuple):
     """What an element holds outside of marked elements: an article (2) or a main element (1) with text, characters of paragraphs, a first heading."""
 
@@ -189,13 +237,20 @@ def _prune(root: Node) -> None:
     that is missing beside them; what is marked in it is judged anew.
     """
     marks: dict[int, frozenset[str]] = {}
-    order, todo = [], [root]
+    order, todo, before = [], [root], 0
     while todo:
         order.append(n := todo.pop())
         found = {id(c): _marks(c) for c in n.children if isinstance(c, Node)}
         n.children = [c for c in n.children if isinstance(c, str) or found[id(c)] is not None]
+        for c in n.children:
+            if isinstance(c, Node) and c.tag not in BLOCK and found[id(c)] and found[id(c)] <= SOFT and c.size - c.links >= LEAST and 2 * c.links < c.size:
+                found[id(c)] = frozenset()
+        if not marks.get(id(n)) and _thread(n, before >= LEAST):
+            marks[id(n)] = frozenset(("comments",))
         marks |= {k: m for k, m in found.items() if m}
-        todo += [c for c in n.children if isinstance(c, Node)]
+        # Nodes come in page order, so this is the text before the next one.
+        before += sum(len(c) for c in n.children if isinstance(c, str) and not c.isspace()) if n.tag != "a" else 0
+        todo += [c for c in reversed(n.children) if isinstance(c, Node)]
     # held: outside of marked elements; best: there or in a marked element below that isn't the readers'.
     held: dict[int, Held] = {}
     best: dict[int, Held] = {}
@@ -236,9 +291,9 @@ def _prune(root: Node) -> None:
             scopes.append(first)
         else:
             first = None
-        for c in marked:
-            if c is not first:
-                c.parent.children = [x for x in c.parent.children if x is not c]
+        cut = {id(c) for c in marked if c is not first}
+        for parent in {id(c.parent): c.parent for c in marked}.values():
+            parent.children = [x for x in parent.children if id(x) not in cut]
 
 
 def _blocks(nodes: list[Node]) -> Iterator[tuple[Node, str]]:
@@ -310,10 +365,19 @@ def _around(best: Node, scored: Iterable[Node], rank: Callable[[Node], float], l
         if n is best or id(n) not in path:
             kept.append(n)
             continue
-        own = []
-        for c in n.children:
-            if isinstance(c, str):
+        own, loose = [], Node("p", "", None)
+        for c in [*n.children, None]:
+            if c is not None and (isinstance(c, str) or c.tag not in BLOCK and id(c) not in path):
+                loose.children.append(c)
                 continue
+            # Text in no block of its own, beside the container: prose is kept, as a block.
+            if loose.children:
+                _measure(loose)
+                if loose.size >= LEAST and 4 * loose.links < loose.size:
+                    own.append(loose)
+                loose = Node("p", "", None)
+            if c is None:
+                break
             if id(c) in path:
                 own.append(c)
             elif c.tag in BLOCK:

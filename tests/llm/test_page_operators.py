@@ -58,6 +58,54 @@ def test_long_threads_go(article, thread):
         assert htmltree.extract(f"<body>{inside}</body>") == want
 
 
+def replies(n, shape="<li class=x><cite>Ann</cite> <time>2024-03-0{k}</time><p>{text}</p><a href=r>Reply</a></li>"):
+    return "".join(shape.format(k=k % 9 + 1, text=t) for k, t in enumerate(paragraphs("Said", n)))
+
+
+@pytest.mark.parametrize("thread", [
+    "<ol class=commentlist>{}</ol>", "<div class=discussion-thread>{}</div>", "<div class=user-reviews>{}</div>", "<div id=feedback>{}</div>", "<ul class=xk3>{}</ul>", "<section><h2>What you say</h2><ul class=b>{}</ul></section>",
+])
+@pytest.mark.parametrize("article", ["<main><article>{}</article>{}</main>", "<main><h1>Title</h1>{}{}</main>", "<div class=story><h1>Title</h1>{}</div>{}"])
+def test_comments_go_by_name_and_by_structure(article, thread):
+    own = paragraphs("Own", 3)
+    want = ("Title " if "Title" in article else "") + " ".join(own)
+    got = htmltree.extract(f"<body>{article.format(as_p(own), thread.format(replies(12)))}</body>")
+    assert "Said" not in got and got.replace("What you say", "").strip() == want
+
+
+def test_lists_with_dates_in_an_article_stay():
+    items = [f"In version {i}, of 2024-03-0{i + 1}, the parser got faster, and smaller." for i in range(5)]
+    page = f"<body><article>{as_p(paragraphs('Own', 2))}<ul>{''.join(f'<li>{t}</li>' for t in items)}</ul></article></body>"
+    assert htmltree.extract(page) == " ".join(paragraphs("Own", 2) + items)
+
+
+def test_notices_in_compound_words_go_and_prose_stays():
+    own = paragraphs("Own", 4)
+    assert htmltree.extract(f"<body><div class=story>{as_p(own)}</div><div class=cookieconsent><p>{paragraphs('Cookie', 1)[0]}</p></div></body>") == " ".join(own)
+    prose = "This sentence, in a span that is named for sharing, belongs to the text."
+    assert htmltree.extract(f"<body><article><p>{own[0]} <span class=share>{prose}</span> {own[1]}</p><p>Tail. <span class=share><a href=x>Share, this</a></span></p></article></body>") == f"{own[0]} {prose} {own[1]} Tail."
+    loose = "Some loose text stands between the two containers, and it is prose as well."
+    page = f"<body><nav><a href=x>Menu</a></nav><div><div>{as_p(own[:2])}</div>{loose}<div>{as_p(own[2:])}</div></div></body>"
+    assert htmltree.extract(page) == " ".join([*own[:2], loose, *own[2:]])
+
+
+def test_many_marked_siblings_take_linear_time():
+    import time
+
+    own = paragraphs("Own", 3)
+    page = f"<body><article>{as_p(own)}</article>{'<div class=ad>Buy</div>' * 20_000}</body>"
+    began = time.process_time()
+    assert htmltree.extract(page) == " ".join(own)
+    assert time.process_time() - began < 3
+
+
+def test_pages_null_repeated_and_none(spark):
+    rows = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<p>a, b</p>"), (3, "v", "<p>a, b</p>")], "page_id long, url string, html string")
+    found = htmltree.main_text(rows)
+    assert sorted((r.page_id, r.text, r.n_chars) for r in found.collect()) == [(1, "", 0), (2, "", 0), (3, "a, b", 4), (3, "a, b", 4)]
+    assert htmltree.main_text(rows.where("false")).collect() == []
+
+
 @pytest.mark.parametrize("wrapper", ["<div class='layout has-sidebar'>{}</div>", "<div id=menu-page><div class=sidebar-left>{}</div></div>", "<main><div class=with-comments>{}</div></main>"])
 def test_layout_wrappers_stay(wrapper):
     own = paragraphs("Own", 6)
@@ -125,6 +173,19 @@ def test_split_url(url, parts):
     assert urltrie.split_url(url) == parts
 
 
+def test_many_rules_of_a_host_and_paths_without_a_slash():
+    import time
+
+    rules = [("block", "big.org", f"/p{i:x}" + "q" * (i % 50)) for i in range(100_000)] + [("block", "big.org", "en"), ("allow", "big.org", "/p1")]
+    trie = urltrie.Trie(rules)
+    assert trie.find("big.org", "/zz") is None and trie.find("big.org", "/en") is None
+    urls = [f"/p{i:x}" + "q" * (i % 50) + "/rest" for i in range(0, 100_000, 50)]
+    began = time.process_time()
+    found = [trie.find("x.big.org", u) for u in urls]
+    assert (time.process_time() - began) / len(urls) < 0.0005
+    assert all(f[3].startswith("big.org/p") and u.startswith(f[3].removeprefix("big.org")) for f, u in zip(found, urls))
+
+
 def test_rules_beyond_one_trie(spark):
     urls = spark.createDataFrame([(1, "http://a.example.com/en/7817"), (2, "http://x.com/en/9"), (3, None), (4, "http://z.net/de/x")], "page_id long, url string").withColumn("host", F.lit(0))
     want = [tuple(r["__judged"]) for r in urltrie.judge(urls, queries.URL_RULES).orderBy("page_id").collect()]

@@ -633,6 +633,30 @@ def test_secrets_after_the_plain_words(form):
     assert base or found == [(at, 3, at + len(own))]
 
 
+ORDINARY = [
+    "user_profile_settings_page_2", "internationalization_module_v2", "com/articles/2024/some-long-article-name-12", "conference-room-booking-2024", "billing_report_january_2023",
+    "ContentDeliveryNetwork2", "shopping-cart-checkout-page-3", "static/images/header-background-2", "customer_address_validation_v3", "WeeklyNewsletterTemplate4",
+]
+
+
+def test_ordinary_identifiers_of_the_corpus_are_no_secrets(spark):
+    rng = random.Random(11)
+    words = sorted({w.lower() for o in ORDINARY for w in re.findall("[A-Z]?[a-z]{3,}", o)})
+    prose = [(i, " ".join(rng.choices(words, k=60)), "x") for i in range(40)]
+    docs = spark.createDataFrame(prose, "doc_id long, text string, word string")
+    judge = novelty.Novelty(novelty.dictionary(novelty.ordinary(docs)))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = ["".join(rng.choices(letters, k=n)) for n in (16, 20, 24, 32, 40, 64) for _ in range(20)] + ["".join(rng.choices("abcdefghijklmnop0123456789", k=24)) for _ in range(20)]
+    for word in ("session", "cookie", "the client id", "signature"):
+        said = lambda own: novelty.novel_spans(f"We kept it in the {word} {own} and went on.", [], judge)
+        assert [o for o in ORDINARY if said(o)] == []
+        kept = [k for k in keys if re.search("[0-9]", k) and re.search("[A-Za-z]", k)]
+        assert sum(bool(said(k)) for k in kept) >= 0.98 * len(kept)
+    text = "the key is AIzaSyD3x9Qw7Lk2Pm5Vb8Nc and a monkey goes free"
+    assert novelty.novel_spans(text, [], judge) == [(11, 3, 35)]
+    assert novelty.ordinary(docs.where("false")) == []
+
+
 def plain_novel(text, base, judge):
     """Novel spans by reading each string anew for each word before it, and each base span for each string."""
     key = lambda c: c.isascii() and (c.isalnum() or c in "+/_=-")
