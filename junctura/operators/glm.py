@@ -4,10 +4,12 @@ log mu = X beta + log(total + 0.5). Three distributed passes over a table of one
 row per intron, with a small step on the driver between them:
 
 1. per intron, the adjusted profile likelihood (Cox-Reid) over a grid of
-   dispersions, which is kept; its sums by abundance give the common and trended
-   dispersion, and with them weighted into it an intron's own (tagwise) one;
+   dispersions, which is kept. Its sums by abundance are fitted locally, by lines
+   with tricube weights around knots that each have as many introns, and give the
+   common and trended dispersion, and with them weighted into it an intron's own
+   (tagwise) one;
 2. per intron, the quasi-likelihood dispersion at the trend. Its prior follows
-   abundance and is robust: degrees of freedom are matched to winsorised moments,
+   abundance, fitted likewise, and is robust: degrees of freedom are matched to winsorised moments,
    and introns far out in the tail get fewer of them;
 3. per intron, the dispersion squeezed towards the prior and an F test of every
    contrast.
@@ -34,8 +36,9 @@ from junctura.operators.fdr import bh_fdr, flag_significant
 from junctura.operators.samples import contrast_label, parse_contrast, valid_name
 
 GRID = np.exp(np.linspace(np.log(1e-4), np.log(8.0), 25))
-BINS = 24
-CENTERS = np.arange(BINS) - 3.5  # abundance at the middle of each bin
+FINE, FINEST = 16, 640  # bins of abundance, a unit of log2 each, in which sums are taken, and the number of the last on either side
+KNOTS = 48  # bins put together so that each has as many introns
+SPAN = 0.4  # of all introns, that a local fit reaches
 WINSOR = (0.05, 0.1)  # shares of the residuals at both ends that count as the value where they begin
 TAILS, PER_DECADE = 4096, 128  # buckets of tail probabilities
 MOST_DF = 1e6  # degrees of freedom that stand for infinity
@@ -149,9 +152,67 @@ def peak(likelihood: np.ndarray) -> float:
     return float(GRID[k])
 
 
-def along(level: np.ndarray, by_bin: np.ndarray) -> np.ndarray:
-    """A positive quantity given by bin, at each abundance: its logarithm is linear between the bins' middles."""
-    return np.exp(np.interp(level, CENTERS, np.log(by_bin)))
+def fine_bin(level: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(level * FINE), -FINEST, FINEST).astype(int)
+
+
+@dataclass
+class Knots:
+    """Means of quantities at abundances, from sums by fine bin."""
+
+    at: np.ndarray  # mean abundance of each knot, ascending
+    n: np.ndarray
+    means: np.ndarray
+
+    @classmethod
+    def of(cls, sums: np.ndarray, levels: np.ndarray, n: np.ndarray) -> Knots:
+        """Put fine bins, in order, together to ``KNOTS`` at most, by the place of their middle among all introns."""
+        if not len(n):
+            return cls(np.zeros(1), np.ones(1), np.zeros((1, sums.shape[1])))
+        which = np.unique(np.floor((np.cumsum(n) - n / 2) / n.sum() * KNOTS), return_inverse=True)[1]
+        many = which.max() + 1
+        add = lambda x: np.stack([np.bincount(which, c, many) for c in np.atleast_2d(x.T)], axis=1)
+        count = add(n)[:, 0]
+        return cls(add(levels)[:, 0] / count, count, add(sums) / count[:, None])
+
+    def smooth(self) -> np.ndarray:
+        """At each knot the value there of a line fitted around it, weighted by introns and by a tricube of the distance."""
+        out = np.empty_like(self.means)
+        for k, at in enumerate(self.at):
+            far = np.abs(self.at - at)
+            order = np.argsort(far, kind="stable")
+            reach = int(np.searchsorted(np.cumsum(self.n[order]), SPAN * self.n.sum()))
+            # Two neighbours at least are within reach, where there are any.
+            width = far[order[min(max(reach, 2), len(far) - 1)]] * (1 + 1e-6) + 1e-9
+            w = self.n * np.maximum(0, 1 - (far / width) ** 3) ** 3
+            d = self.at - at
+            total, first, second = w.sum(), w @ d, w @ (d * d)
+            free = total * second - first * first
+            line = (second * w - first * w * d) / free if free > 1e-9 * total * total else w / total
+            out[k] = line @ self.means
+        return out
+
+    def between(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The knot below each level, and the part of the way to the next one; levels beyond the ends are at the ends."""
+        low = np.clip(np.searchsorted(self.at, level, "right") - 1, 0, max(0, len(self.at) - 2))
+        high = np.minimum(low + 1, len(self.at) - 1)
+        gap = self.at[high] - self.at[low]
+        return low, np.clip(np.where(gap > 0, (level - self.at[low]) / np.where(gap > 0, gap, 1), 0), 0, 1)
+
+    def along(self, level: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Positive ``values`` at the knots, at each abundance: their logarithm is linear between knots."""
+        low, part = self.between(level)
+        logs = np.log(values)
+        return np.exp((1 - part) * logs[low] + part * logs[np.minimum(low + 1, len(logs) - 1)])
+
+
+def collected(rows: DataFrame, level: str, values: list) -> Knots:
+    """Knots of sums by fine bin; the driver gets a row a fine bin."""
+    bins = F.least(F.greatest(F.floor(F.col(level) * FINE), F.lit(-FINEST)), F.lit(FINEST)).cast("int").alias("b")
+    sums = [F.sum(v).alias(f"s{i}") for i, v in enumerate(values)]
+    found = sorted(rows.groupBy(bins).agg(F.count("*").alias("n"), F.sum(level).alias("l"), *sums).collect())
+    table = np.array([list(r) for r in found], float).reshape(len(found), 3 + len(values))
+    return Knots.of(table[:, 3:], table[:, 2], table[:, 1])
 
 
 def winsorised(df1: float, df2: float) -> tuple[float, float]:
@@ -171,8 +232,9 @@ def winsorised(df1: float, df2: float) -> tuple[float, float]:
 
 @dataclass
 class Prior:
-    """Prior of the quasi-likelihood dispersion: its scale by bin, its degrees of freedom, and those by bucket of the tail probability."""
+    """Prior of the quasi-likelihood dispersion: its scale at knots of abundance, its degrees of freedom, and those by bucket of the tail probability."""
 
+    knots: Knots
     scale: np.ndarray
     df: float
     by_tail: np.ndarray
@@ -197,20 +259,15 @@ def robust_prior(squares: DataFrame, df: int) -> Prior:
     the middle of its distribution. The tail probabilities are counted in buckets,
     so no order over all introns is needed.
     """
-    bins = F.least(F.greatest(F.floor(F.col("level") + 4), F.lit(0)), F.lit(BINS - 1)).cast("int")
-    sums = np.zeros((BINS, 2))
-    for r in squares.groupBy(bins.alias("b")).agg(F.sum("z").alias("z"), F.count("*").alias("n")).collect():
-        sums[r.b] = r.z, r.n
-    n = int(sums[:, 1].sum())
+    knots = collected(squares, "level", [F.col("z")])
+    n = int(knots.n.sum())
     if n < 3:
-        return Prior(np.ones(BINS), MOST_DF, np.full(TAILS, MOST_DF))
-    near = np.exp(-0.5 * (np.arange(BINS)[:, None] - np.arange(BINS)[None, :]) ** 2) + 1e-12
-    smooth = near @ sums
-    trend = smooth[:, 0] / smooth[:, 1]
+        return Prior(knots, np.ones(len(knots.at)), MOST_DF, np.full(TAILS, MOST_DF))
+    trend = knots.smooth()[:, 0]
 
     def residuals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"r": pdf["z"] - np.interp(pdf["level"], CENTERS, trend)})
+            yield pd.DataFrame({"r": pdf["z"] - np.interp(pdf["level"], knots.at, trend)})
 
     rest = squares.mapInPandas(residuals, "r double")
     low, high = rest.agg(F.percentile_approx("r", [WINSOR[0], 1 - WINSOR[1]], 10_000).alias("q")).first().q
@@ -255,7 +312,7 @@ def robust_prior(squares: DataFrame, df: int) -> Prior:
         own[: first + 1] = running[first]
         own = np.maximum.accumulate(own)
         by_tail = np.interp(np.arange(TAILS), [r.b for r in reversed(order)], own[::-1])
-    return Prior(scale, prior, by_tail)
+    return Prior(knots, scale, prior, by_tail)
 
 
 def _poisson_p(y: np.ndarray, offset: np.ndarray, x: np.ndarray, free: np.ndarray) -> np.ndarray:
@@ -294,8 +351,9 @@ class Fitted:
     plan: Design
     library: np.ndarray
     common: float
-    trend: np.ndarray  # dispersion by bin
-    shared: np.ndarray  # mean log likelihood over the grid by bin
+    knots: Knots
+    trend: np.ndarray  # dispersion at the knots
+    shared: np.ndarray  # mean log likelihood over the grid at the knots
     df: int
     prior: Prior
 
@@ -305,18 +363,17 @@ class Fitted:
     def fitted(self, y: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
         """Level, trended dispersion, coefficients, means, deviance, prior degrees of freedom and squeezed quasi-likelihood dispersion."""
         level = self.abundance(y)
-        phi = along(level, self.trend)
+        phi = self.knots.along(level, self.trend)
         beta, mu = fit(y, offset, self.plan.matrix, phi)
         dev = deviance(y, mu, phi[:, None])
-        scale = along(level, self.prior.scale)
+        scale = self.prior.knots.along(level, self.prior.scale)
         more = self.prior.of(dev / self.df / scale, self.df)
         return level, phi, beta, mu, dev, more, (more * scale + dev) / (more + self.df)
 
     def tagwise(self, level: np.ndarray, own: np.ndarray) -> np.ndarray:
         """An intron's own dispersion: the top of its log likelihood and the shared one, which weighs as the prior's degrees of freedom."""
-        low = np.clip(np.floor(level - CENTERS[0]), 0, BINS - 2).astype(int)
-        part = np.clip(level - CENTERS[low], 0, 1)[:, None]
-        shared = (1 - part) * self.shared[low] + part * self.shared[low + 1]
+        low, part = self.knots.between(level)
+        shared = (1 - part)[:, None] * self.shared[low] + part[:, None] * self.shared[np.minimum(low + 1, len(self.shared) - 1)]
         return np.array([peak(row) for row in own + self.prior.df / self.df * shared])
 
     def parameters(self) -> DataFrame:
@@ -378,10 +435,6 @@ def _abundance(y: np.ndarray, library: np.ndarray) -> np.ndarray:
     return np.log2(((y + 0.5) / (library + 1) * 1e6).mean(axis=1))
 
 
-def _bin_of(level: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(level + 4), 0, BINS - 1).astype(int)
-
-
 def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", batch: str | None = None) -> Fitted:
     """Dispersions and their prior from long counts with shared_total, in two passes over a table of one row per intron."""
     plan = design(metadata, group, batch)
@@ -396,31 +449,24 @@ def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", bat
     def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             y, offset = _arrays(pdf)
-            yield pdf.assign(bin=_bin_of(_abundance(y, library)), profile=list(profile(y, offset, x)))
-
-    rows = checkpointed(rows.mapInPandas(profiles, "intron_id string, counts array<double>, offsets array<double>, bin int, profile array<double>"))
-    # The driver gets BINS rows.
-    total = [F.sum(F.col("profile")[k]).alias(f"s{k}") for k in range(len(GRID))]
-    found = rows.groupBy("bin").agg(*total, F.count("*").alias("n")).collect()
-    by_bin = np.zeros((BINS, len(GRID) + 1))
-    for r in found:
-        by_bin[r.bin] = list(r)[1:]
-    near = np.exp(-0.5 * (np.arange(BINS)[:, None] - np.arange(BINS)[None, :]) ** 2)
-    smooth = near @ by_bin
-    common = peak(by_bin[:, :-1].sum(axis=0)) if len(found) else 0.1
-    trend = np.array([peak(s[:-1]) if s[-1] > 0.5 else common for s in smooth])
-    shared = smooth[:, :-1] / np.maximum(smooth[:, -1:], 1e-9)
+            yield pdf.assign(level=_abundance(y, library), profile=list(profile(y, offset, x)))
+
+    rows = checkpointed(rows.mapInPandas(profiles, "intron_id string, counts array<double>, offsets array<double>, level double, profile array<double>"))
+    knots = collected(rows, "level", [F.col("profile")[k] for k in range(len(GRID))])
+    common = peak(knots.n @ knots.means)
+    shared = knots.smooth()
+    trend = np.array([peak(s) for s in shared])
 
     def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             y, offset = _arrays(pdf)
             level = _abundance(y, library)
-            phi = along(level, trend)
+            phi = knots.along(level, trend)
             _, mu = fit(y, offset, x, phi)
             yield pd.DataFrame({"level": level, "z": np.log(np.maximum(deviance(y, mu, phi[:, None]) / df, 1e-6))})
 
     prior = robust_prior(checkpointed(rows.drop("profile").mapInPandas(squares, "level double, z double")), df)
-    return Fitted(rows, plan, library, common, trend, shared, df, prior)
+    return Fitted(rows, plan, library, common, knots, trend, shared, df, prior)
 
 
 def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:

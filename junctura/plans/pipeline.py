@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from junctura.operators import annotate, clusters, counts, fdr, filters, glm, psi, samples
+from junctura.operators import annotate, clusters, counts, fdr, filters, glm, plots, psi, samples
 from junctura.sources import annotation, files, readers, writers
 
 
@@ -143,9 +143,13 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     writers.write_tsv(table, f"{output}/psi_values")
     if "psi_filtered" in found:
         writers.write_tsv(psi.with_psi(found["psi_filtered"], table), f"{output}/psi_filtered")
-    writers.write_tsv(fdr.volcano(results), f"{output}/diagnostics_volcano")
-    writers.write_tsv(results.select("intron_id", "contrast", "logCPM", "logFC", "significant"), f"{output}/diagnostics_mean_difference")
-    writers.write_tsv(glm.dispersion_points(found["fits"]), f"{output}/diagnostics_dispersion")
+    hits = {"n_significant": F.count_if("significant")}
+    shown = {"volcano": (fdr.volcano(results), "logFC", "neg_log10_p", ("contrast",), hits), "mean_difference": (results, "logCPM", "logFC", ("contrast",), hits)}
+    points = glm.dispersion_points(found["fits"])
+    shown |= {"dispersion": (points, "logCPM", "bcv", (), {"trended_bcv": F.avg("trended_bcv")}), "ql_dispersion": (points, "logCPM", "root_ql_raw", (), {"root_ql_squeezed": F.avg("root_ql_squeezed")})}
+    for name, (rows, x, y, by, more) in shown.items():
+        writers.write_tsv(plots.hexagons(rows, x, y, by, **more), f"{output}/diagnostics_{name}")
+        writers.write_tsv(plots.apart(rows, x, y, by).select(*[c for c in ("intron_id", *by, x, y) if c in rows.columns]), f"{output}/diagnostics_{name}_apart")
     found["fits"].write.mode("overwrite").parquet(f"{output}/fits")
     return found
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from junctura.functions import introns as I
 from junctura.functions import pvalues
-from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, psi, samples
+from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, plots, psi, samples
 from junctura.plans import adapter as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,9 +336,9 @@ def psi_delta(spark, d):
     return _delta(spark, d).select("intron_id", *(r9(c).alias(c) for c in ("mean_first", "mean_other", "delta_psi")))
 
 
-@query("SELECT count(*) AS n_introns, count(*) FILTER (WHERE abs(round(mean_first - mean_other, 9)) > 0.1) AS n_high FROM delta", delta=_DELTA)
+@query("SELECT count(*) AS n_introns, count(*) FILTER (WHERE abs(mean_first - mean_other) > 0.1) AS n_high FROM delta", delta=_DELTA)
 def psi_high_delta(spark, d):
-    return psi.high_delta(_delta(spark, d).withColumn("delta_psi", r9("delta_psi")))
+    return psi.high_delta(_delta(spark, d))
 
 
 # Multiple testing.
@@ -389,6 +389,30 @@ def volcano_data(spark, d):
     return fdr.volcano(_tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
 
 
+_PLOT = _FLAG | {
+    "point": 'SELECT intron_id, contrast, "logFC", round(-log10("PValue"), 9) AS p, significant FROM tested WHERE "PValue" IS NOT NULL',
+    "size": 'SELECT min("logFC") AS lx, (max("logFC") - min("logFC")) / 80 AS dx, min(p) AS ly, (max(p) - min(p)) / 80 * sqrt(3.0::DOUBLE) AS dy FROM point',
+    "unit": 'SELECT *, ("logFC" - lx) / dx AS u, (p - ly) / dy AS v FROM point, size',
+    "side": "SELECT *, (u - floor(u + 0.5)) ** 2 + 3 * (v - floor(v + 0.5)) ** 2 < (u - floor(u) - 0.5) ** 2 + 3 * (v - floor(v) - 0.5) ** 2 AS one FROM unit",
+    "hexed": "SELECT *, CASE WHEN one THEN floor(u + 0.5) ELSE floor(u) + 0.5 END AS a, CASE WHEN one THEN floor(v + 0.5) ELSE floor(v) + 0.5 END AS b FROM side",
+}
+
+
+def _points(spark, d):
+    return fdr.volcano(_tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
+
+
+@query("SELECT contrast, round(a * dx + lx, 6) AS hex_x, round(b * dy + ly, 6) AS hex_y, count(*) AS n, count(*) FILTER (WHERE significant) AS n_significant FROM hexed GROUP BY ALL", **_PLOT)
+def volcano_hexagons(spark, d):
+    found = plots.hexagons(_points(spark, d), "logFC", "neg_log10_p", ("contrast",), n_significant=F.count_if("significant"))
+    return found.withColumns({c: F.round(c, 6) for c in ("hex_x", "hex_y")})
+
+
+@query('SELECT intron_id, contrast, "logFC", p AS neg_log10_p FROM (SELECT *, count(*) OVER (PARTITION BY contrast, a, b) AS n FROM hexed) WHERE n <= 2', **_PLOT)
+def volcano_apart(spark, d):
+    return plots.apart(_points(spark, d), "logFC", "neg_log10_p", ("contrast",)).select("intron_id", "contrast", "logFC", "neg_log10_p")
+
+
 _JOINED = {"delta": _DELTA, **_FLAG, "with_psi": "SELECT t.*, round(x.mean_first - x.mean_other, 9) AS delta_psi FROM tested t LEFT JOIN delta x USING (intron_id)"}
 
 
@@ -485,18 +509,18 @@ def cluster_genes(spark, d):
 
 
 @query(
-    'SELECT t.intron_id, t.contrast, t.cluster, round(log10(c.cluster_pvalue), 8) AS log10_p, c.dominant_direction FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE round(c.fdr, 9) < 0.05',
+    'SELECT t.intron_id, t.contrast, t.cluster, round(log10(c.cluster_pvalue), 8) AS log10_p, c.dominant_direction FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE c.fdr < 0.05',
     **_AGG,
 )
 def sig_cluster_introns(spark, d):
     rows = _tested(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
-    found = _aggregated(spark, d).withColumn("cluster_FDR", r9("cluster_FDR")).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
+    found = _aggregated(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
     return clusterstats.significant_cluster_introns(rows, found, "key").select("intron_id", "contrast", "cluster", log10p(F.col("cluster_pvalue")).alias("log10_p"), "dominant_direction")
 
 
-@query("SELECT dominant_direction, count(*) AS n_clusters FROM with_fdr WHERE round(fdr, 9) < 0.05 GROUP BY 1", **_AGG)
+@query("SELECT dominant_direction, count(*) AS n_clusters FROM with_fdr WHERE fdr < 0.05 GROUP BY 1", **_AGG)
 def cluster_summary(spark, d):
-    return clusterstats.cluster_summary(_aggregated(spark, d).withColumn("cluster_FDR", r9("cluster_FDR")))
+    return clusterstats.cluster_summary(_aggregated(spark, d))
 
 
 # Annotation.

@@ -123,8 +123,8 @@ def test_pipeline_resumes(spark, tmp_path):
     assert read("clustered_matrix").columns == ["intron_id", "A1", "A2", "A3", "B1", "B2", "B3", "donor_cluster", "acceptor_cluster"]
     assert read("shared_offsets").count() == read("clustered_matrix").count() == 60 and read("model_counts").count() == read("filtered_matrix").count()
     assert {"A_mean_PSI", "B_std_PSI", "delta_PSI", "A1_PSI"} <= set(read("psi_values").columns) and "A_median_PSI" in read("results_with_psi.intron_results").columns
-    assert read("results_by_contrast/file=A_vs_B").count() == 60 and "bcv" in read("diagnostics_dispersion").columns
-    assert read("diagnostics_mean_difference").count() == 60
+    assert read("results_by_contrast/file=A_vs_B").count() == 60 and "trended_bcv" in read("diagnostics_dispersion").columns
+    assert read("diagnostics_mean_difference").agg({"n": "sum"}).first()[0] == 60 and "bcv" in read("diagnostics_dispersion_apart").columns
     assert len(results) == 60 and set(results["contrast"]) == {"A_vs_B"}
     assert (found["psi_filtered"].toPandas()["delta_psi"].abs() >= 0.05).all()
     engine = SpliceEngine(spark, Parameters(min_delta_psi=0.05), f"{tmp_path}/out/stages")

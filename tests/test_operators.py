@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from junctura.functions import introns as I
 from junctura.functions import pvalues, special
-from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, ordered, psi, samples
+from junctura.operators import annotate, clusters, clusterstats, counts, fdr, filters, glm, integrate, ordered, plots, psi, samples
 
 IDS = [
     ("chr1:100-900^GT--AG^OK", [5, 0, 7]), ("chr1:100-800^GT--AG^OK", [1, 0, 3]), ("chr1:100-700^AA--TT^NON", [9, 9, 9]),
@@ -251,8 +251,8 @@ def test_robust_prior_sets_outliers_apart(spark):
     s2[:40] *= 60
     found = glm.robust_prior(spark.createDataFrame(pd.DataFrame({"level": level, "z": np.log(s2)})), df)
     assert 8 < found.df < 18
-    assert np.allclose(glm.along(np.array([2.0, 6.0, 10.0]), found.scale), np.exp([0.2, 0.6, 1.0]), rtol=0.15)
-    own = found.of(s2 / glm.along(level, found.scale), df)
+    assert np.allclose(found.knots.along(np.array([2.0, 6.0, 10.0]), found.scale), np.exp([0.2, 0.6, 1.0]), rtol=0.15)
+    own = found.of(s2 / found.knots.along(level, found.scale), df)
     assert np.median(own[:40]) < 0.5 * found.df and np.median(own[40:]) > 0.9 * found.df
     mean, spread = glm.winsorised(df, prior)
     z = np.log((rng.chisquare(df, 200_000) / df) / (rng.chisquare(prior, 200_000) / prior))
@@ -260,6 +260,56 @@ def test_robust_prior_sets_outliers_apart(spark):
     assert abs(z.mean() - mean) < 0.01 and abs(z.var() - spread) < 0.01
 
 
+def plain_smooth(level, value, span):
+    """Local lines at knots, from the rows themselves."""
+    bins = np.clip(np.floor(level * glm.FINE), -glm.FINEST, glm.FINEST)
+    order = sorted(set(bins))
+    n = np.array([(bins == b).sum() for b in order])
+    which = [math.floor((n[:i].sum() + n[i] / 2) / n.sum() * glm.KNOTS) for i in range(len(order))]
+    groups = [np.isin(bins, [b for b, w in zip(order, which) if w == k]) for k in sorted(set(which))]
+    at, many, mean = (np.array([f(g) for g in groups]) for f in (lambda g: level[g].mean(), lambda g: g.sum(), lambda g: value[g].mean()))
+    out = []
+    for a in at:
+        far = np.abs(at - a)
+        near = np.argsort(far, kind="stable")
+        k = next(i for i in range(len(at)) if many[near[: i + 1]].sum() >= span * many.sum() or i == len(at) - 1)
+        width = far[near[min(max(k, 2), len(at) - 1)]] * (1 + 1e-6) + 1e-9
+        w = np.sqrt(many * np.maximum(0, 1 - (far / width) ** 3) ** 3)
+        out.append(np.linalg.lstsq(np.c_[w, w * (at - a)], w * mean, rcond=None)[0][0])
+    return at, np.array(out)
+
+
+@pytest.mark.parametrize("shape", ["even", "sparse", "one"])
+def test_trend_is_the_plain_local_regression(spark, shape):
+    rng = np.random.default_rng(6)
+    level = {"even": rng.uniform(-2, 14, 900), "sparse": np.r_[rng.normal(3, 0.2, 600), rng.uniform(-5, 19, 12)], "one": np.full(30, 4.25)}[shape]
+    value = np.sin(level) + 0.1 * rng.normal(size=len(level))
+    rows = spark.createDataFrame(pd.DataFrame({"level": level, "z": value}))
+    found = glm.collected(rows, "level", [F.col("z")])
+    at, smooth = plain_smooth(level, value, glm.SPAN)
+    assert np.allclose(found.at, at, rtol=1e-9) and len(at) <= glm.KNOTS
+    assert np.allclose(found.smooth()[:, 0], smooth, rtol=1e-6, atol=1e-6)
+    own = found.along(level, np.exp(found.smooth()[:, 0]))
+    assert np.allclose(np.log(own), np.interp(level, found.at, found.smooth()[:, 0]))
+
+
+def test_hexagons_are_bounded_and_nearest(spark):
+    rng = np.random.default_rng(10)
+    pdf = pd.DataFrame({"i": range(5000), "x": rng.normal(size=5000), "y": rng.exponential(size=5000), "g": ["a", "b"] * 2500})
+    pdf.loc[:2, "x"] = [np.nan, np.inf, 9.0]
+    points = spark.createDataFrame(pdf)
+    found = plots.hexagons(points, "x", "y", ("g",), 20).toPandas()
+    assert found["n"].sum() == 4998 and len(found) < 2 * 20 * 40
+    kept = pdf[np.isfinite(pdf["x"])]
+    dx, dy = np.ptp(kept["x"]) / 20, np.ptp(kept["y"]) / 20 * 3**0.5
+    placed = plots._placed(points, "x", "y", 20).toPandas()
+    assert (((placed["x"] - placed["hex_x"]) / dx).abs() <= 0.5 + 1e-9).all() and (((placed["y"] - placed["hex_y"]) / dy).abs() <= 1 / 3 + 1e-9).all()
+    few = found[found["n"] <= plots.ALONE]
+    got = plots.apart(points, "x", "y", ("g",), 20).toPandas()
+    assert len(got) == few["n"].sum() and 2 in set(got["i"]) and list(got.columns) == ["i", "x", "y", "g"]
+    assert plots.hexagons(points.where("false"), "x", "y").collect() == []
+
+
 def test_tagwise_lies_between_its_own_and_the_trend(spark):
     rng = np.random.default_rng(4)
     rows = []
