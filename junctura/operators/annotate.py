@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from junctura.checkpoints import checkpointed
 from junctura.functions import introns as I
 
 LEAST_BIN, STEP, LEVELS = 14, 2, 10  # bins of 2^14 bases, four times as many at each level; beyond 2^32 bases there is one for all
@@ -70,13 +71,16 @@ def gene_index(genes: DataFrame, spans: DataFrame | None = None) -> DataFrame:
 
 
 def bin_of(start: Column, end: Column) -> Column:
-    """The smallest bin that holds an interval whole, as struct (level, bin)."""
-    found = F.struct(F.lit(LEVELS).alias("level"), F.lit(0).cast("long").alias("bin"))
-    for k in reversed(range(LEVELS)):
-        shift = LEAST_BIN + STEP * k
-        low, high = F.shiftright(start.cast("long"), shift), F.shiftright(end.cast("long"), shift)
-        found = F.when(low == high, F.struct(F.lit(k).alias("level"), low.alias("bin"))).otherwise(found)
-    return found
+    """The smallest bin that holds an interval whole, as struct (level, bin).
+
+    The bits in which its ends differ say the level. Each end is named but a few
+    times, as its expression may be put in place of each.
+    """
+    bits = F.length(F.bin(start.cast("long").bitwiseXOR(end.cast("long"))))
+    level = F.least(F.lit(LEVELS), F.ceil((F.greatest(bits, F.lit(LEAST_BIN)) - LEAST_BIN) / STEP)).cast("int")
+    told = F.transform(F.array(F.struct(level.alias("level"), start.cast("long").alias("at"))), lambda x: F.struct(
+        x["level"].alias("level"), F.when(x["level"] == LEVELS, F.lit(0).cast("long")).otherwise(F.call_function("shiftright", x["at"], x["level"] * STEP + LEAST_BIN)).alias("bin")))
+    return F.get(told, F.lit(0))
 
 
 def _upwards(own: Column, with_own: bool) -> Column:
@@ -106,6 +110,15 @@ def interval_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame
     return low.unionByName(high).drop("__bin")
 
 
+def parsed(introns: DataFrame) -> DataFrame:
+    """Distinct introns (intron_id) with chrom, start, end and strand, null where an identifier can't be read.
+
+    Written once: joins read it several times, and what they ask of its columns
+    would else be asked, parsing and all, of every row that the introns come from.
+    """
+    return checkpointed(introns.select("intron_id").distinct().withColumn("__p", I.parse_lenient(F.col("intron_id"))).select("intron_id", "__p.*"))
+
+
 def annotate(introns: DataFrame, annotated: DataFrame, index: DataFrame) -> DataFrame:
     """gene_name, intron_status and overlapping_genes of introns (intron_id).
 
@@ -114,7 +127,7 @@ def annotate(introns: DataFrame, annotated: DataFrame, index: DataFrame) -> Data
     """
     if "intron_status" in introns.columns:
         return introns
-    names = introns.select("intron_id").distinct().withColumn("__p", I.parse_lenient(F.col("intron_id"))).select("intron_id", "__p.*")
+    names = parsed(introns)
     names = names.join(annotated.withColumn("__known", F.lit(True)), PLACE, "left")
     open_ones = names.where("__known is null and chrom is not null").select("intron_id", *PLACE)
     over = interval_join(open_ones, index, ["chrom", "strand"]).groupBy("intron_id").agg(F.array_sort(F.collect_set("gene_name")).alias("__over"))

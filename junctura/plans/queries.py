@@ -560,7 +560,7 @@ def known_novel(spark, d):
 @query("SELECT intron_id, array_to_string(genes, ',') AS genes FROM over")
 def overlap_genes(spark, d):
     index = annotate.gene_index(annotate.gene_map(A.genes(spark, d)), annotate.transcript_spans(A.exons(spark, d)))
-    names = parse_intron_lenient(spark, d)
+    names = annotate.parsed(A.cells(spark, d))
     met = annotate.interval_join(names, index, ["chrom", "strand"])
     return met.groupBy("intron_id").agg(F.concat_ws(",", F.array_sort(F.collect_set("gene_name"))).alias("genes"))
 
