@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from junctura.llm.common import checkpointed, components
 from junctura.llm.simhash import _binary, _merge
 
-SAMPLE = 20_000  # vectors that fit the principal axes
+SAMPLE, SAMPLE_BYTES = 20_000, 64 << 20  # vectors that fit the principal axes, and their bytes in double precision
 CELLS = 4  # axes of the sort order
 AXES = 16  # axes of the bounding boxes
 LEAF = 512
@@ -156,7 +156,7 @@ def _linked(rows: DataFrame, size: int, kind: str, cosine: float) -> DataFrame:
     total = nodes.count()
     most = max(1, min(MOST, INTERVAL_BYTES // (size * np.dtype(kind).itemsize)))
     interval = min(most, max(LEAST, -(-total // INTERVALS)))
-    sample = units([bytes(r.raw) for r in nodes.orderBy("node").limit(SAMPLE).select("raw").collect()], size, kind)
+    sample = units([bytes(r.raw) for r in nodes.orderBy("node").limit(max(2, min(SAMPLE, SAMPLE_BYTES // (8 * size)))).select("raw").collect()], size, kind)
     centred = sample - sample.mean(axis=0) if len(sample) else np.zeros((1, size))
     axes = np.linalg.eigh(centred.T @ centred)[1][:, ::-1][:, : min(AXES, size)].copy()
 
