@@ -1,4 +1,4 @@
-"""Command line: ``python -m junctura {run,count,matrix,cluster,filter,offsets,psi,aggregate,integrate} ...``; without a command, run."""
+"""Command line: ``python -m junctura {run,count,matrix,cluster,filter,offsets,psi,aggregate,integrate,combine} ...``; without a command, run."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from junctura.plans.pipeline import Parameters, noted, read_clustered, run_files
 from junctura.shipping import ship
 from junctura.sources import annotation, bam, readers, writers
 
-COMMANDS = ("run", "count", "matrix", "cluster", "filter", "offsets", "psi", "aggregate", "integrate")
+COMMANDS = ("run", "count", "matrix", "cluster", "filter", "offsets", "psi", "aggregate", "integrate", "combine")
 
 
 def _thresholds(parser: argparse.ArgumentParser, base: Parameters) -> None:
@@ -94,6 +94,10 @@ def _parser() -> argparse.ArgumentParser:
     both.add_argument("--output", required=True)
     both.add_argument("--gtf")
     both.add_argument("--fdr_threshold", type=float, help="judge significance by this instead of the results' own column")
+
+    combined = sub.add_parser("combine", help="results of several contrasts to one table")
+    combined.add_argument("--results", nargs="+", required=True)
+    combined.add_argument("--output", required=True)
     return told
 
 
@@ -162,15 +166,17 @@ def main(argv: list[str] | None = None) -> None:
         if not names:
             raise ValueError("matrix and metadata share no sample")
         found = clusters.assign_clusters(counts.densify(cells, names))
-        writers.write_wide(found, names, a["output"], noted=noted(found))
+        writers.write_wide(found, names, a["output"], **noted(found))
     elif command == "filter":
         limits = [a[k] for k in ("min_intron_count", "min_intron_samples", "min_cluster_count", "min_cluster_samples", "keep_noncanonical", "cluster_type")]
         cells = filters.chain(read_clustered(spark, a["matrix"]), *limits)
-        writers.write_wide(cells, counts.sample_names(cells), a["output"], noted=noted(cells))
+        writers.write_wide(cells, counts.sample_names(cells), a["output"], **noted(cells))
     elif command == "offsets":
         _offsets(spark, a)
     elif command == "psi":
         _psi(spark, a)
+    elif command == "combine":
+        writers.write_tsv(readers.read_combined(spark, a["results"]), a["output"])
     elif command == "aggregate":
         results = readers.read_results(spark, a["results"])
         found = clusterstats.aggregate_clusters(results, a["method"], a["cluster_col"])

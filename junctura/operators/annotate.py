@@ -141,6 +141,18 @@ def annotate(introns: DataFrame, annotated: DataFrame, index: DataFrame) -> Data
     return introns.join(names, "intron_id", "left")
 
 
+NOTES = ("gene_name", "intron_status", "overlapping_genes")
+
+
+def to_results(results: DataFrame, notes: DataFrame) -> DataFrame:
+    """Results with what ``notes`` (intron_id and some of ``NOTES``) say of their introns, behind intron_id."""
+    named = [c for c in NOTES if c in notes.columns and c not in results.columns]
+    if not named:
+        return results
+    found = results.join(notes.select("intron_id", *named).distinct(), "intron_id", "left")
+    return found.select("intron_id", *named, *[c for c in results.columns if c != "intron_id"])
+
+
 def annotation_summary(introns: DataFrame) -> DataFrame:
     """Introns by status, and how many of them have a gene."""
     return introns.groupBy("intron_status").agg(F.count("*").alias("n_introns"), F.count_if(F.col("gene_name") != ".").alias("n_with_gene"))

@@ -71,3 +71,10 @@ def breakdown(cells: DataFrame, min_count: int = 20, min_samples: int = 3) -> Da
         F.count("*").alias("n_before"), F.count_if(F.expr("d or a")).alias("n_kept"), F.count_if(F.expr("not (d or a)")).alias("n_removed"),
         F.count_if(F.expr("d and a")).alias("n_both"), F.count_if(F.expr("d and not a")).alias("n_donor_only"), F.count_if(F.expr("a and not d")).alias("n_acceptor_only"),
     )
+
+
+def cluster_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: distinct clusters of each kind before and after a filter."""
+    kinds = ("donor", "acceptor")
+    counted = [x.agg(*[F.count_distinct(f"{k}_cluster").alias(f"{k}_{when}") for k in kinds]) for x, when in ((before, "before"), (after, "after"))]
+    return counted[0].join(counted[1], how="left").select(*[f"{k}_{when}" for k in kinds for when in ("before", "after")])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from junctura.checkpoints import checkpointed
 from junctura.functions.special import f_tail, lgamma
 from junctura.operators.fdr import bh_fdr, flag_significant
-from junctura.operators.samples import contrast_label, parse_contrast, valid_name
+from junctura.operators.samples import contrast_label, first_contrast, parse_contrast, valid_name
 
 GRID = np.exp(np.linspace(np.log(1e-4), np.log(8.0), 25))
 FINE, FINEST = 16, 640  # bins of abundance, a unit of log2 each, in which sums are taken, and the number of the last on either side
@@ -396,8 +396,12 @@ class Fitted:
         """Itself without the DataFrame, to send to workers."""
         return replace(self, rows=None)
 
-    def test(self, contrasts: list[str], fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
-        """logFC, logCPM, F, PValue, FDR (within the contrast) and significant of each intron and contrast, in one pass."""
+    def test(self, contrasts: list[str] | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
+        """logFC, logCPM, F, PValue, FDR (within the contrast) and significant of each intron and contrast, in one pass.
+
+        Without contrasts the first group is set against the second.
+        """
+        contrasts = contrasts or [first_contrast(self.plan.groups)]
         x, vectors = self.plan.matrix, {contrast_label(c): contrast_vector(self.plan, c) for c in contrasts}
         self_ = self._local()
 
@@ -469,6 +473,6 @@ def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", bat
     return Fitted(rows, plan, library, common, knots, trend, shared, df, prior)
 
 
-def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str], group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
+def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str] | None = None, group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
     """Estimate once and test all contrasts."""
     return estimate(cells, metadata, group, batch).test(contrasts, fdr, min_log_fc)

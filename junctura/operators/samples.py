@@ -78,6 +78,13 @@ def contrasts(names: list[str], contrast: str | None = None, controls: list[str]
     return [contrast] if contrast else control_contrasts(names, controls) if controls else pairwise_contrasts(names)
 
 
+def first_contrast(names: list[str]) -> str:
+    """The first group against the second, as tested where no contrast is given."""
+    if len(names) < 2:
+        raise ValueError("a contrast needs two groups at least")
+    return "-".join(sorted(names)[:2])
+
+
 def parse_contrast(contrast: str, names: list[str]) -> tuple[str, list[str]]:
     """First group and the groups it is set against; an error unless each is known."""
     sides = contrast.split("-")

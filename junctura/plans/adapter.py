@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from junctura.functions import introns as I
 from junctura.operators import clusters, counts
 
+PARTS, SUPPLIERS = 2000, 100  # keys a million bases, those of a scale of 0.01
 SAMPLES = [f"S{i}" for i in range(1, 8)]
 GROUPS = {s: "A" if i < 3 else "B" for i, s in enumerate(SAMPLES)}
 #: Thresholds at which each filter removes something at a scale of 0.01.
@@ -28,14 +29,20 @@ def _motif(m: F.Column) -> F.Column:
     )
 
 
+def _away(key: F.Column, many: int) -> F.Column:
+    """Bases by which what a key names lies away from the first: a million for each ``many`` keys, so that places grow with the tables."""
+    return F.floor(key / many) * 1_000_000
+
+
 def junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sample_id, intron, splice_pair, splice_flag, count: a row per line item."""
     c = F.col
+    away = _away(c("l_partkey"), PARTS)
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), c("l_linenumber")).alias("sample_id"),
         F.concat(
-            F.lit("chr"), c("l_suppkey") % 5 + 1, F.lit(":"), 100000 + (c("l_partkey") % 40) * 1000, F.lit("-"),
-            500000 + (c("l_partkey") % 7) * 1000 + (c("l_suppkey") % 4) * 100,
+            F.lit("chr"), c("l_suppkey") % 5 + 1, F.lit(":"), away + 100000 + (c("l_partkey") % 40) * 1000, F.lit("-"),
+            away + 500000 + (c("l_partkey") % 7) * 1000 + (c("l_suppkey") % 4) * 100,
         ).alias("intron"),
         _motif((c("l_partkey") % 40 + c("l_partkey") % 7) % 10).alias("splice_pair"), c("l_quantity").cast("long").alias("count"),
     )
@@ -68,7 +75,7 @@ def wild_metadata(spark: SparkSession) -> DataFrame:
 def genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chrom, start, end, strand, gene_name, ord of a gene for each supplier."""
     k = F.col("s_suppkey")
-    start = 100000 + k * 7919 % 400000
+    start = _away(k, SUPPLIERS) + 100000 + k * 7919 % 400000
     return table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("chr"), k % 5 + 1).alias("chrom"), start.alias("start"), (start + 1000 + k * 104729 % 30000).alias("end"),
         F.when(k % 2 == 0, "+").otherwise("-").alias("strand"), F.concat(F.lit("G"), k % 60).alias("gene_name"), k.alias("ord"),
@@ -79,16 +86,17 @@ def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exon rows: two on the sides of an intron of the matrix, or several by transcript."""
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
     k = F.col("k")
-    istart, iend = 100000 + k % 40 * 1000, 500000 + k % 7 * 1000 + k % 4 * 100
+    away = _away(k, PARTS)
+    istart, iend = away + 100000 + k % 40 * 1000, away + 500000 + k % 7 * 1000 + k % 4 * 100
     strand = I.strand_of(_motif((k % 40 + k % 7) % 10))
     around = part.where(k % 3 == 0).select(
         F.concat(F.lit("chr"), k % 5 + 1).alias("chrom"), strand.alias("strand"), F.concat(F.lit("K"), k).alias("transcript_id"), F.concat(F.lit("G"), k % 60).alias("gene_name"),
         F.explode(F.array(F.struct((istart - 100).alias("start"), (istart - 1).alias("end"), (2 * k).alias("ord")), F.struct((iend + 1).alias("start"), (iend + 200).alias("end"), (2 * k + 1).alias("ord")))).alias("e"),
     ).select("chrom", "strand", "transcript_id", "gene_name", "e.*")
     t = k % 50
-    start = 100000 + k * 977 % 400000
+    start = away + 100000 + k * 977 % 400000
     several = part.where(k % 3 == 1).select(
-        F.concat(F.lit("chr"), t % 5 + 1).alias("chrom"), F.when(t % 2 == 0, "+").otherwise("-").alias("strand"), F.concat(F.lit("T"), t).alias("transcript_id"),
+        F.concat(F.lit("chr"), t % 5 + 1).alias("chrom"), F.when(t % 2 == 0, "+").otherwise("-").alias("strand"), F.concat(F.lit("T"), t, F.when(away > 0, F.concat(F.lit("/"), away)).otherwise("")).alias("transcript_id"),
         F.concat(F.lit("G"), t % 40).alias("gene_name"), start.alias("start"), (start + 50 + k % 100).alias("end"), (2 * k).alias("ord"),
     )
     return around.unionByName(several)
@@ -111,7 +119,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The frames above in SQL, each building on those before it.
 CTES = {
     "junction": """SELECT 'S' || l_linenumber AS sample_id,
-        'chr' || (l_suppkey % 5 + 1) || ':' || (100000 + (l_partkey % 40) * 1000) || '-' || (500000 + (l_partkey % 7) * 1000 + (l_suppkey % 4) * 100) AS intron,
+        'chr' || (l_suppkey % 5 + 1) || ':' || (l_partkey // 2000 * 1000000 + 100000 + (l_partkey % 40) * 1000) || '-' || (l_partkey // 2000 * 1000000 + 500000 + (l_partkey % 7) * 1000 + (l_suppkey % 4) * 100) AS intron,
         CASE WHEN (l_partkey % 40 + l_partkey % 7) % 10 <= 2 THEN 'GT--AG' WHEN (l_partkey % 40 + l_partkey % 7) % 10 <= 5 THEN 'CT--AC'
              WHEN (l_partkey % 40 + l_partkey % 7) % 10 = 6 THEN 'GC--AG' WHEN (l_partkey % 40 + l_partkey % 7) % 10 = 7 THEN 'CT--GC'
              WHEN (l_partkey % 40 + l_partkey % 7) % 10 = 8 THEN 'GT--AT' ELSE 'AA--TT' END AS splice_pair,
@@ -140,13 +148,14 @@ CTES = {
     "result": """SELECT intron_id, CASE WHEN c = 0 THEN 'A_vs_B' ELSE 'A_vs_C' END AS contrast, CASE WHEN s % 97 <> 0 THEN u * u * u END AS "PValue",
         ((s * 31 + c * 7) % 401 - 200) / 50.0::DOUBLE AS "logFC", s, k, regexp_extract(intron_id, '^([^-]+)-', 1) AS cluster,
         CASE WHEN s % 5 <> 0 THEN 'G' || (s % 30) END AS gene_name FROM made""",
-    "gene": """SELECT 'chr' || (s_suppkey % 5 + 1) AS chrom, 100000 + s_suppkey * 7919 % 400000 AS "start", 100000 + s_suppkey * 7919 % 400000 + 1000 + s_suppkey * 104729 % 30000 AS "end",
+    "gene": """SELECT 'chr' || (s_suppkey % 5 + 1) AS chrom, s_suppkey // 100 * 1000000 + 100000 + s_suppkey * 7919 % 400000 AS "start", s_suppkey // 100 * 1000000 + 100000 + s_suppkey * 7919 % 400000 + 1000 + s_suppkey * 104729 % 30000 AS "end",
         CASE WHEN s_suppkey % 2 = 0 THEN '+' ELSE '-' END AS strand, 'G' || (s_suppkey % 60) AS gene_name, s_suppkey AS ord FROM supplier""",
-    "around": """SELECT p_partkey AS k, 100000 + p_partkey % 40 * 1000 AS istart, 500000 + p_partkey % 7 * 1000 + p_partkey % 4 * 100 AS iend, (p_partkey % 40 + p_partkey % 7) % 10 AS m FROM part WHERE p_partkey % 3 = 0""",
+    "around": """SELECT p_partkey AS k, p_partkey // 2000 * 1000000 + 100000 + p_partkey % 40 * 1000 AS istart, p_partkey // 2000 * 1000000 + 500000 + p_partkey % 7 * 1000 + p_partkey % 4 * 100 AS iend, (p_partkey % 40 + p_partkey % 7) % 10 AS m FROM part WHERE p_partkey % 3 = 0""",
     "exon": """SELECT 'chr' || (k % 5 + 1) AS chrom, CASE WHEN m <= 2 OR m = 6 THEN '+' WHEN m <= 8 THEN '-' ELSE '?' END AS strand, 'K' || k AS transcript_id, 'G' || (k % 60) AS gene_name,
             CASE WHEN side = 0 THEN istart - 100 ELSE iend + 1 END AS "start", CASE WHEN side = 0 THEN istart - 1 ELSE iend + 200 END AS "end", 2 * k + side AS ord FROM around CROSS JOIN range(0, 2) AS r(side)
-        UNION ALL SELECT 'chr' || (p_partkey % 50 % 5 + 1), CASE WHEN p_partkey % 50 % 2 = 0 THEN '+' ELSE '-' END, 'T' || (p_partkey % 50), 'G' || (p_partkey % 50 % 40),
-            100000 + p_partkey * 977 % 400000, 100000 + p_partkey * 977 % 400000 + 50 + p_partkey % 100, 2 * p_partkey FROM part WHERE p_partkey % 3 = 1""",
+        UNION ALL SELECT 'chr' || (p_partkey % 50 % 5 + 1), CASE WHEN p_partkey % 50 % 2 = 0 THEN '+' ELSE '-' END,
+            'T' || (p_partkey % 50) || CASE WHEN p_partkey >= 2000 THEN '/' || (p_partkey // 2000 * 1000000) ELSE '' END, 'G' || (p_partkey % 50 % 40),
+            p_partkey // 2000 * 1000000 + 100000 + p_partkey * 977 % 400000, p_partkey // 2000 * 1000000 + 100000 + p_partkey * 977 % 400000 + 50 + p_partkey % 100, 2 * p_partkey FROM part WHERE p_partkey % 3 = 1""",
     "paired": """SELECT chrom, strand, transcript_id, "end" + 1 AS istart, lead("start") OVER (PARTITION BY transcript_id ORDER BY "start", ord) - 1 AS iend,
         lead(chrom) OVER (PARTITION BY transcript_id ORDER BY "start", ord) AS next_chrom, first_value(gene_name) OVER (PARTITION BY transcript_id ORDER BY ord) AS gene_name FROM exon""",
     "exon_intron": """SELECT chrom, istart AS "start", iend AS "end", strand, transcript_id, gene_name FROM paired WHERE istart < iend AND chrom = next_chrom""",

@@ -6,18 +6,24 @@ Files lie below the session's checkpoint folder, which all executors share.
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from junctura.checkpoints import checkpoint_folder
-from junctura.operators import annotate, clusters, counts, filters, psi
+from junctura.operators import annotate, clusters, clusterstats, counts, filters, psi
 from junctura.plans import adapter as A
 from junctura.plans import queries as Q
 from junctura.plans.pipeline import NOTES, noted, read_clustered, write_model_input
 from junctura.sources import annotation, bam, readers, writers
 
 
+_SIDE = "SELECT intron_id, avg(psi) FILTER (WHERE grp = 'A') AS mean_a, avg(psi) FILTER (WHERE grp = 'B') AS mean_b FROM psi GROUP BY 1"
+_STATS_OF = 'round(mean_a, 9) AS "A_mean_PSI", round(mean_b, 9) AS "B_mean_PSI"'
+
+
 def _place(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/files-{uuid.uuid4().hex}/{name}"
 
@@ -196,7 +202,7 @@ def file_clustered_matrix(spark, d):
     """A clustered matrix, read with the clusters that it holds."""
     path = _place(spark, "clustered")
     cells = A.dense(spark, d)
-    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    writers.write_wide(cells, A.SAMPLES, path, **noted(cells))
     return readers.read_cells(spark, path, other=clusters.CLUSTERS).select("intron_id", "sample_id", "count", *clusters.CLUSTERS)
 
 
@@ -204,7 +210,7 @@ def file_clustered_matrix(spark, d):
 def file_filtered_matrix(spark, d):
     path = _place(spark, "filtered")
     cells = filters.chain(A.dense(spark, d), **A.LIMITS)
-    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    writers.write_wide(cells, A.SAMPLES, path, **noted(cells))
     return read_clustered(spark, path).select("intron_id", "sample_id", "count", *clusters.CLUSTERS)
 
 
@@ -213,10 +219,83 @@ def file_annotated_matrix(spark, d):
     path = _place(spark, "annotated")
     notes = Q.annotated(spark, d).select("intron_id", *NOTES[2:])
     cells = A.dense(spark, d).join(notes, "intron_id")
-    writers.write_wide(cells, A.SAMPLES, path, noted=noted(cells))
+    writers.write_wide(cells, A.SAMPLES, path, **noted(cells))
     return read_clustered(spark, path).select("intron_id", "sample_id", "count", *NOTES[2:])
 
 
+@Q.query(
+    f'SELECT r.intron_id, contrast, "PValue", "logFC", {_STATS_OF}, round(mean_a - mean_b, 9) AS "delta_PSI" FROM result r JOIN side USING (intron_id)', side=_SIDE,
+)
+def file_results_with_psi(spark, d):
+    """Results with the summaries of PSI, without those of samples."""
+    path = _place(spark, "with_psi")
+    table = psi.psi_table(psi.psi_values(A.totals(spark, d)), A.metadata(spark), A.SAMPLES)
+    writers.write_results(psi.with_psi(A.results(spark, d).withColumn("significant", F.lit(False)), table), path)
+    found = readers.read_results(spark, f"{path}.intron_results")
+    return found.select("intron_id", "contrast", "PValue", "logFC", *[Q.r9(c).alias(c) for c in ("A_mean_PSI", "B_mean_PSI", "delta_PSI")])
+
+
+@Q.query('SELECT contrast, cluster, n_introns, n_significant_introns, dominant_direction, round(log10(cluster_pvalue), 8) AS log10_p FROM with_fdr', **Q.AGG)
+def file_clusters(spark, d):
+    path = _place(spark, "clusters")
+    writers.write_tsv(Q.aggregated(spark, d).orderBy(F.asc_nulls_last("cluster_pvalue")), path)
+    found = readers.read_results(spark, path)
+    counted = [F.col(c).cast("long").alias(c) for c in ("n_introns", "n_significant_introns")]
+    return found.select("contrast", "cluster", *counted, "dominant_direction", Q.log10p(F.col("cluster_pvalue")).alias("log10_p"))
+
+
+@Q.query('SELECT intron_id, contrast, tested_in, significant_in, best_analysis, "best_FDR", "donor_PValue", "acceptor_PValue" FROM judged', **Q.SIDES)
+def file_integrated(spark, d):
+    path = _place(spark, "integrated")
+    writers.write_tsv(Q.integrated(spark, d).orderBy("contrast", "best_FDR"), path)
+    return readers.read_results(spark, path).select("intron_id", "contrast", "tested_in", "significant_in", "best_analysis", "best_FDR", "donor_PValue", "acceptor_PValue")
+
+
+def _descents(rows: DataFrame, kind: str, *keys: str) -> DataFrame:
+    """Lines of a file, and how many of them come before where a sort by ``keys``, nulls last, has them."""
+    place = F.struct(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))]).alias("k")
+    seen = rows.select(place, readers.in_order().alias("ord"))
+    within = seen.withColumn("falls", F.lag("k").over(Window.partitionBy("ord.path", "ord.start").orderBy("ord")) > F.col("k"))
+    parts = within.groupBy("ord.path", "ord.start").agg(F.count("*").alias("n"), F.count_if("falls").alias("falls"), F.min("k").alias("low"), F.max("k").alias("high"))
+    before = F.max("high").over(Window.orderBy("path", "start").rowsBetween(Window.unboundedPreceding, -1))  # a row a split
+    return parts.withColumn("between", before > F.col("low")).agg(F.sum("n").alias("n_lines"), (F.sum("falls") + F.count_if("between")).alias("n_descents")).select(F.lit(kind).alias("kind"), "n_lines", "n_descents")
+
+
+@Q.query(
+    """SELECT 'results' AS kind, count(*) AS n_lines, 0::BIGINT AS n_descents FROM result UNION ALL SELECT 'clusters', count(*), 0 FROM with_fdr
+    UNION ALL SELECT 'cluster_introns', count(*), 0 FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE c.fdr < 0.05
+    UNION ALL SELECT 'integrated', count(*), 0 FROM judged""",
+    **Q.AGG, **{k: v for k, v in Q.SIDES.items() if k not in Q.AGG},
+)
+def file_orders(spark, d):
+    """Files of results, clusters, introns of significant clusters and integrated results are in their orders from line to line."""
+    place = _place(spark, "orders")
+    writers.write_results(A.results(spark, d).withColumn("significant", F.lit(False)), f"{place}/results")
+    found = Q.aggregated(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
+    writers.write_tsv(found.orderBy(F.asc_nulls_last("cluster_pvalue")), f"{place}/clusters")
+    rows = Q.tested(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
+    writers.write_tsv(clusterstats.significant_cluster_introns(rows, found, "key").orderBy("cluster_FDR", F.asc_nulls_last("PValue")), f"{place}/introns")
+    writers.write_tsv(Q.integrated(spark, d).orderBy("contrast", F.asc_nulls_last("best_FDR")), f"{place}/integrated")
+    read = lambda name: readers.read_results(spark, f"{place}/{name}")
+    out = [_descents(read("results.intron_results"), "results", "PValue"), _descents(read("clusters"), "clusters", "cluster_pvalue")]
+    out += [_descents(read("introns"), "cluster_introns", "cluster_FDR", "PValue"), _descents(read("integrated"), "integrated", "contrast", "best_FDR")]
+    return out[0].union(out[1]).union(out[2]).union(out[3])
+
+
+@Q.query("SELECT contrast, count(*) AS n, count(gene_name) AS n_named FROM result GROUP BY 1")
+def file_combined(spark, d):
+    """Tables of single contrasts, one without a column and one that is absent, put together by name."""
+    place, rows = _place(spark, "combined"), A.results(spark, d).select("intron_id", "contrast", "PValue", "gene_name")
+    writers.write_tsv(rows.where("contrast = 'A_vs_B'").drop("gene_name"), f"{place}/one")
+    writers.write_tsv(rows.where("contrast = 'A_vs_C'"), f"{place}/two")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        found = readers.read_combined(spark, [f"{place}/{n}" for n in ("one", "absent", "two")])
+    named = rows.where("contrast = 'A_vs_B'").select("intron_id", "contrast", F.col("gene_name").alias("__name"))
+    found = found.join(named, ["intron_id", "contrast"], "left").withColumn("gene_name", F.coalesce("gene_name", "__name"))
+    return found.groupBy("contrast").agg(F.count("*").alias("n"), F.count("gene_name").alias("n_named"))
+
+
 _VALUES = ", ".join(f"round(max(psi) FILTER (WHERE sample_id = '{s}'), 9) AS \"{s}_PSI\"" for s in A.SAMPLES)
 _STATS = ", ".join(
     f"round({f}(psi) FILTER (WHERE grp = '{g}'), 9) AS \"{g}_{n}_PSI\"" for g in ("A", "B") for f, n in (("avg", "mean"), ("median", "median"), ("stddev_samp", "std"))

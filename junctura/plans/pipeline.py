@@ -97,9 +97,7 @@ class SpliceEngine:
         tested = self._stage("tested", key, lambda: estimate().test(wanted, p.fdr_threshold, p.min_logFC))
         fits = self._stage("fits", key, lambda: estimate().parameters())
 
-        named = [c for c in ("gene_name", "intron_status", "overlapping_genes") if c in filtered.columns]
-        if named:
-            tested = tested.join(filtered.select("intron_id", *named).distinct(), "intron_id", "left")
+        tested = annotate.to_results(tested, filtered)
         if p.compat:
             delta = psi.compatible_delta(values, present, p.contrast)
             results = tested.join(delta, "intron_id", "left") if delta is not None else tested
@@ -108,7 +106,7 @@ class SpliceEngine:
             sides = {samples.contrast_label(c): samples.parse_contrast(c, names) for c in wanted}
             results = tested.join(psi.contrast_deltas(values, present, sides), ["intron_id", "contrast"], "left")
         table = psi.psi_table(values, present, sorted(local["sample_id"]), p.contrast)
-        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "psi_table": table, "results": results, "fits": fits}
+        out = {"clustered": clustered, "filtered": filtered, "psi": values, "group_stats": psi.group_stats(values, present), "psi_table": table, "results": results, "fits": fits, "contrasts": wanted}
         if p.min_delta_psi and "delta_psi" in results.columns:
             out["psi_filtered"] = fdr.refilter(results, p.min_delta_psi)
         return out
@@ -132,11 +130,11 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     results, table = found["results"], found["psi_table"]
     writers.write_results(results, f"{output}/results")
     writers.write_results(psi.with_psi(results, table), f"{output}/results_with_psi")
-    writers.write_by_contrast(results, f"{output}/results_by_contrast")
+    writers.write_by_contrast(results, f"{output}/results_by_contrast", {samples.contrast_label(c): samples.contrast_file(c) for c in found["contrasts"]})
     kept, whole = found["filtered"], found["clustered"]
     names = counts.sample_names(whole)
-    writers.write_wide(whole, names, f"{output}/clustered_matrix", noted=noted(whole))
-    writers.write_wide(kept, names, f"{output}/filtered_matrix", noted=noted(kept))
+    writers.write_wide(whole, names, f"{output}/clustered_matrix", **noted(whole))
+    writers.write_wide(kept, names, f"{output}/filtered_matrix", **noted(kept))
     # Totals, not their logarithms, of all introns, also of those that the filters drop.
     writers.write_wide(whole, names, f"{output}/shared_offsets", "shared_total", absent="NA")
     write_model_input(kept, names, f"{output}/model")
@@ -154,11 +152,14 @@ def run_files(spark: SparkSession, matrix: str, metadata: str, output: str, gtf:
     return found
 
 
+LEADING = ("gene_name", "intron_status")
 NOTES = ("donor_cluster", "acceptor_cluster", "gene_name", "intron_status", "overlapping_genes")
 
 
-def noted(cells: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in NOTES if c in cells.columns)
+def noted(cells: DataFrame) -> dict[str, tuple[str, ...]]:
+    """Where a matrix has its notes: names and status of genes before the samples, the others behind."""
+    there = [c for c in NOTES if c in cells.columns]
+    return {"leading": tuple(c for c in there if c in LEADING), "noted": tuple(c for c in there if c not in LEADING)}
 
 
 def read_clustered(spark: SparkSession, path: str, notes: tuple[str, ...] = NOTES[2:]) -> DataFrame:

@@ -302,6 +302,15 @@ def filter_breakdown(spark, d):
     return filters.breakdown(_survivors(spark, d), *_CLUSTER)
 
 
+@query(
+    """SELECT count(DISTINCT donor_cluster) AS donor_before, count(DISTINCT donor_cluster) FILTER (WHERE d OR a) AS donor_after,
+    count(DISTINCT acceptor_cluster) AS acceptor_before, count(DISTINCT acceptor_cluster) FILTER (WHERE d OR a) AS acceptor_after FROM flagged"""
+)
+def cluster_counts(spark, d):
+    before = _survivors(spark, d)
+    return filters.cluster_counts(before, filters.either_cluster(before, *_CLUSTER))
+
+
 # PSI.
 
 
@@ -356,7 +365,7 @@ _BY = _bh("adjusted", "result", "contrast")
 _FLAG = _BY | {"tested": 'SELECT *, fdr < 0.2 AND abs("logFC") >= 0.5 AS significant FROM adjusted'}
 
 
-def _tested(spark, d):
+def tested(spark, d):
     return fdr.flag_significant(fdr.bh_fdr(A.results(spark, d), "PValue", ("contrast",)), 0.2, 0.5)
 
 
@@ -372,7 +381,7 @@ def bh_fdr_pooled(spark, d):
 
 @query('SELECT intron_id, contrast, significant FROM tested', **_FLAG)
 def significance_flags(spark, d):
-    return _tested(spark, d).select("intron_id", "contrast", "significant")
+    return tested(spark, d).select("intron_id", "contrast", "significant")
 
 
 @query(
@@ -381,12 +390,12 @@ def significance_flags(spark, d):
     **_FLAG,
 )
 def result_summary(spark, d):
-    return fdr.result_summary(_tested(spark, d))
+    return fdr.result_summary(tested(spark, d))
 
 
 @query('SELECT intron_id, contrast, "logFC", round(-log10("PValue"), 9) AS neg_log10_p, significant FROM tested', **_FLAG)
 def volcano_data(spark, d):
-    return fdr.volcano(_tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
+    return fdr.volcano(tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
 
 
 _PLOT = _FLAG | {
@@ -399,7 +408,7 @@ _PLOT = _FLAG | {
 
 
 def _points(spark, d):
-    return fdr.volcano(_tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
+    return fdr.volcano(tested(spark, d)).withColumn("neg_log10_p", r9("neg_log10_p"))
 
 
 @query("SELECT contrast, round(a * dx + lx, 6) AS hex_x, round(b * dy + ly, 6) AS hex_y, count(*) AS n, count(*) FILTER (WHERE significant) AS n_significant FROM hexed GROUP BY ALL", **_PLOT)
@@ -417,7 +426,7 @@ _JOINED = {"delta": _DELTA, **_FLAG, "with_psi": "SELECT t.*, round(x.mean_first
 
 
 def _with_psi(spark, d):
-    return _tested(spark, d).join(_delta(spark, d).select("intron_id", r9("delta_psi").alias("delta_psi")), "intron_id", "left")
+    return tested(spark, d).join(_delta(spark, d).select("intron_id", r9("delta_psi").alias("delta_psi")), "intron_id", "left")
 
 
 @query('SELECT intron_id, contrast, "PValue", "logFC", delta_psi FROM with_psi', **_JOINED)
@@ -471,7 +480,7 @@ def cauchy_weighted(spark, d):
 
 
 _SURE = "coalesce(significant, FALSE)"
-_AGG = _FLAG | {
+AGG = _FLAG | {
     "clustered": f"""SELECT contrast, cluster, count(*) AS n_introns, count(*) FILTER (WHERE {_SURE}) AS n_significant_introns, {_CAUCHY} AS cluster_pvalue,
         count(*) FILTER (WHERE {_SURE} AND "logFC" > 0) AS n_increased, count(*) FILTER (WHERE {_SURE} AND "logFC" < 0) AS n_decreased,
         coalesce(max(abs("logFC")) FILTER (WHERE {_SURE}), 0.0::DOUBLE) AS "max_abs_logFC", coalesce(avg("logFC") FILTER (WHERE {_SURE}), 0.0::DOUBLE) AS "mean_logFC" FROM tested GROUP BY 1, 2""",
@@ -480,15 +489,15 @@ _AGG = _FLAG | {
 }
 
 
-def _aggregated(spark, d):
-    rows = _tested(spark, d).drop("gene_name")
+def aggregated(spark, d):
+    rows = tested(spark, d).drop("gene_name")
     found = clusterstats.aggregate_clusters(rows, "cauchy", by=("contrast",)).drop("cluster_FDR")
     return fdr.bh_fdr(found, "cluster_pvalue", ("contrast",), "cluster_FDR")
 
 
-@query('SELECT * EXCLUDE (fdr, cluster_pvalue, "mean_logFC"), round(log10(cluster_pvalue), 8) AS log10_p, round("mean_logFC", 9) AS "mean_logFC", round(log10(fdr), 8) AS log10_fdr FROM with_fdr', **_AGG)
+@query('SELECT * EXCLUDE (fdr, cluster_pvalue, "mean_logFC"), round(log10(cluster_pvalue), 8) AS log10_p, round("mean_logFC", 9) AS "mean_logFC", round(log10(fdr), 8) AS log10_fdr FROM with_fdr', **AGG)
 def cluster_aggregate(spark, d):
-    rows = _aggregated(spark, d).withColumn("log10_p", log10p(F.col("cluster_pvalue"))).withColumn("log10_fdr", log10p(F.col("cluster_FDR")))
+    rows = aggregated(spark, d).withColumn("log10_p", log10p(F.col("cluster_pvalue"))).withColumn("log10_fdr", log10p(F.col("cluster_FDR")))
     return rows.withColumn("mean_logFC", r9("mean_logFC")).drop("cluster_pvalue", "cluster_FDR")
 
 
@@ -498,29 +507,29 @@ def cluster_aggregate(spark, d):
     **_JOINED, raw_psi="SELECT t.*, x.mean_first - x.mean_other AS delta_psi FROM tested t LEFT JOIN delta x USING (intron_id)",
 )
 def cluster_psi_stats(spark, d):
-    rows = _tested(spark, d).join(_delta(spark, d).select("intron_id", "delta_psi"), "intron_id", "left")
+    rows = tested(spark, d).join(_delta(spark, d).select("intron_id", "delta_psi"), "intron_id", "left")
     found = clusterstats.aggregate_clusters(rows, "cauchy", by=("contrast",))
     return found.select("contrast", "cluster", r9("mean_delta_psi").alias("mean_delta_psi"), r9("max_abs_delta_psi").alias("max_abs_delta_psi"))
 
 
 @query("SELECT contrast, cluster, coalesce(array_to_string(list_sort(list(DISTINCT gene_name) FILTER (WHERE gene_name IS NOT NULL)), ', '), '') AS gene_name FROM result GROUP BY 1, 2")
 def cluster_genes(spark, d):
-    return clusterstats.aggregate_clusters(_tested(spark, d), "cauchy", by=("contrast",)).select("contrast", "cluster", "gene_name")
+    return clusterstats.aggregate_clusters(tested(spark, d), "cauchy", by=("contrast",)).select("contrast", "cluster", "gene_name")
 
 
 @query(
     'SELECT t.intron_id, t.contrast, t.cluster, round(log10(c.cluster_pvalue), 8) AS log10_p, c.dominant_direction FROM tested t JOIN with_fdr c ON t.contrast = c.contrast AND t.cluster = c.cluster WHERE c.fdr < 0.05',
-    **_AGG,
+    **AGG,
 )
 def sig_cluster_introns(spark, d):
-    rows = _tested(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
-    found = _aggregated(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
+    rows = tested(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
+    found = aggregated(spark, d).withColumn("key", F.concat_ws("/", "contrast", "cluster"))
     return clusterstats.significant_cluster_introns(rows, found, "key").select("intron_id", "contrast", "cluster", log10p(F.col("cluster_pvalue")).alias("log10_p"), "dominant_direction")
 
 
-@query("SELECT dominant_direction, count(*) AS n_clusters FROM with_fdr WHERE fdr < 0.05 GROUP BY 1", **_AGG)
+@query("SELECT dominant_direction, count(*) AS n_clusters FROM with_fdr WHERE fdr < 0.05 GROUP BY 1", **AGG)
 def cluster_summary(spark, d):
-    return clusterstats.cluster_summary(_aggregated(spark, d))
+    return clusterstats.cluster_summary(aggregated(spark, d))
 
 
 # Annotation.
@@ -585,9 +594,16 @@ def gtf_attributes(spark, d):
     return rows.select("p_partkey", *(annotate.attribute(F.col("attributes"), c).alias(c) for c in ("gene_id", "gene_name", "tag")))
 
 
+@query('SELECT r.intron_id, contrast, "PValue", a.gene_name, intron_status, overlapping_genes FROM result r LEFT JOIN annotated a USING (intron_id)')
+def results_annotated(spark, d):
+    rows = A.results(spark, d).drop("gene_name")
+    found = annotate.to_results(rows, annotated(spark, d))
+    return found.select("intron_id", "contrast", "PValue", "gene_name", "intron_status", "overlapping_genes")
+
+
 # Integration.
 
-_SIDES = {
+SIDES = {
     **_FLAG,
     "donor": """SELECT intron_id, contrast, gene_name, "PValue" AS "donor_PValue", round(fdr, 12) AS "donor_FDR", "logFC" AS "donor_logFC", significant AS donor_significant FROM tested WHERE s % 3 <> 0""",
     "acceptor": """SELECT intron_id, contrast, gene_name, "PValue" AS "acceptor_PValue", round(fdr, 12) AS "acceptor_FDR", CASE WHEN k % 2 = 0 THEN "logFC" ELSE -"logFC" END AS "acceptor_logFC", significant AS acceptor_significant FROM tested WHERE s % 4 <> 1""",
@@ -603,29 +619,29 @@ _SIDES = {
 
 
 def _sides(spark, d):
-    rows = _tested(spark, d).withColumn("FDR", F.round("FDR", 12))
+    rows = tested(spark, d).withColumn("FDR", F.round("FDR", 12))
     columns = ["intron_id", "contrast", "gene_name", "PValue", "FDR", "logFC", "significant"]
     other = rows.where("s % 4 <> 1").withColumn("logFC", F.when(F.col("k") % 2 == 0, F.col("logFC")).otherwise(-F.col("logFC")))
     return rows.where("s % 3 <> 0").select(columns), other.select(columns)
 
 
-def _integrated(spark, d):
+def integrated(spark, d):
     return integrate.integrate(*_sides(spark, d))
 
 
-@query('SELECT intron_id, contrast, gene_name, "donor_PValue", "acceptor_PValue", "donor_logFC", "acceptor_logFC" FROM judged', **_SIDES)
+@query('SELECT intron_id, contrast, gene_name, "donor_PValue", "acceptor_PValue", "donor_logFC", "acceptor_logFC" FROM judged', **SIDES)
 def integrate_outer(spark, d):
-    return _integrated(spark, d).select("intron_id", "contrast", "gene_name", "donor_PValue", "acceptor_PValue", "donor_logFC", "acceptor_logFC")
+    return integrated(spark, d).select("intron_id", "contrast", "gene_name", "donor_PValue", "acceptor_PValue", "donor_logFC", "acceptor_logFC")
 
 
-@query("SELECT intron_id, contrast, tested_in, significant_in, direction_consistent FROM judged", **_SIDES)
+@query("SELECT intron_id, contrast, tested_in, significant_in, direction_consistent FROM judged", **SIDES)
 def integrate_status(spark, d):
-    return _integrated(spark, d).select("intron_id", "contrast", "tested_in", "significant_in", "direction_consistent")
+    return integrated(spark, d).select("intron_id", "contrast", "tested_in", "significant_in", "direction_consistent")
 
 
-@query('SELECT intron_id, contrast, best_analysis, "best_FDR", "best_logFC" FROM judged', **_SIDES)
+@query('SELECT intron_id, contrast, best_analysis, "best_FDR", "best_logFC" FROM judged', **SIDES)
 def integrate_best(spark, d):
-    return _integrated(spark, d).select("intron_id", "contrast", "best_analysis", "best_FDR", "best_logFC")
+    return integrated(spark, d).select("intron_id", "contrast", "best_analysis", "best_FDR", "best_logFC")
 
 
 def _counters() -> str:
@@ -636,14 +652,14 @@ def _counters() -> str:
     return ", ".join(parts)
 
 
-@query(f"SELECT {_counters()} FROM judged", **_SIDES)
+@query(f"SELECT {_counters()} FROM judged", **SIDES)
 def integrate_summary(spark, d):
-    return integrate.summary(_integrated(spark, d))
+    return integrate.summary(integrated(spark, d))
 
 
-@query("SELECT intron_id, contrast, significant_in FROM judged WHERE significant_in <> 'neither'", **_SIDES)
+@query("SELECT intron_id, contrast, significant_in FROM judged WHERE significant_in <> 'neither'", **SIDES)
 def significant_integrated(spark, d):
-    return integrate.significant(_integrated(spark, d)).select("intron_id", "contrast", "significant_in")
+    return integrate.significant(integrated(spark, d)).select("intron_id", "contrast", "significant_in")
 
 
 # The model.
@@ -666,6 +682,13 @@ def _meta(batch: bool = False, pooled: bool = False) -> pd.DataFrame:
     return meta.assign(batch=[f"b{i % 2}" for i in range(len(meta))]) if batch else meta
 
 
+@query("SELECT intron_id, CAST(row_number() OVER (PARTITION BY intron_id ORDER BY sample_id) - 1 AS INTEGER) AS place, CAST(count AS DOUBLE) AS count, round(ln(shared_total + 0.5::DOUBLE), 9) AS \"offset\" FROM total")
+def glm_sample_order(spark, d):
+    """Counts and offsets as arrays in the order of the design's samples."""
+    rows = glm.model_input(A.totals(spark, d), glm.design(_meta()))
+    return rows.select("intron_id", F.posexplode(F.arrays_zip("counts", "offsets")).alias("place", "x")).select("intron_id", "place", F.col("x.counts").alias("count"), r9("x.offsets").alias("offset"))
+
+
 @query()
 def glm_ql_test(spark, d):
     return glm.test(A.totals(spark, d), _meta(), ["A-B"])

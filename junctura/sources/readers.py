@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql.window import Window
 
 from junctura.checkpoints import checkpointed
 from junctura.operators.counts import TILE
+from junctura.sources.files import changed
 
 JUNCTION = {"intron": "string", "splice_pair": "string", "splice_flag": "string", "count": "int"}
 RUN = 1 << 15  # bases of a row of a split
@@ -218,3 +220,16 @@ def read_tiles(spark: SparkSession, path: str | list[str], tile: int = TILE) ->
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Result tables with a header; NA is null."""
     return spark.read.csv(path, sep="\t", header=True, inferSchema=True, nullValue="NA")
+
+
+def read_combined(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Result tables of several contrasts in one, columns by name; absent ones are warned of, none at all is an error."""
+    there = [p for p in paths if changed(spark, p) is not None]
+    if absent := [p for p in paths if p not in there]:
+        warnings.warn(f"no results at {', '.join(absent[:5])}{'...' if len(absent) > 5 else ''}", stacklevel=2)
+    if not there:
+        raise ValueError("there are no results of any contrast")
+    found = read_results(spark, there[0])
+    for p in there[1:]:
+        found = found.unionByName(read_results(spark, p), allowMissingColumns=True)
+    return found

@@ -11,8 +11,8 @@ def write_tsv(rows: DataFrame, path: str, compression: str | None = None) -> Non
     (writer.option("compression", compression) if compression else writer).csv(path)
 
 
-def write_wide(cells: DataFrame, names: list[str], path: str, column: str = "count", noted: tuple[str, ...] = (), absent: str = "0") -> None:
-    """Cells (intron_id, sample_id, ``column``) as a wide matrix: a line for each intron, a field for each of ``names``, then ``noted``.
+def write_wide(cells: DataFrame, names: list[str], path: str, column: str = "count", noted: tuple[str, ...] = (), absent: str = "0", leading: tuple[str, ...] = ()) -> None:
+    """Cells (intron_id, sample_id, ``column``) as a wide matrix: a line for each intron, columns ``leading``, a field for each of ``names``, then ``noted``.
 
     A line is put together from the array of its cells in the samples' order, so
     a sample is neither a column nor an expression. Absent cells are ``absent``,
@@ -21,17 +21,17 @@ def write_wide(cells: DataFrame, names: list[str], path: str, column: str = "cou
     places = cells.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "sample_id string, place int")
     shown = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("NA"))
     own = cells.join(F.broadcast(places), "sample_id")  # a row a sample
-    held = own.groupBy("intron_id", *noted).agg(F.array_sort(F.collect_list(F.struct("place", shown.alias("told")))).alias("held"))
+    held = own.groupBy("intron_id", *leading, *noted).agg(F.array_sort(F.collect_list(F.struct("place", shown.alias("told")))).alias("held"))
     gap = lambda n: F.repeat(F.lit(f"{absent}\t"), n)
     once = F.filter("held", lambda x, i: F.coalesce(F.get("held", i + 1)["place"] != x.place, F.lit(True)))
-    before = lambda i: F.coalesce(F.get("held", i - 1)["place"], F.lit(-1))
-    fields = F.transform("held", lambda x, i: F.concat(gap(x.place - before(i) - 1), x.told))
+    last = lambda i: F.coalesce(F.get("held", i - 1)["place"], F.lit(-1))
+    fields = F.transform("held", lambda x, i: F.concat(gap(x.place - last(i) - 1), x.told))
     rest = F.repeat(F.lit(f"\t{absent}"), F.lit(len(names) - 1) - F.element_at("held", -1)["place"])
     line = F.concat(F.array_join(fields, "\t"), rest)
-    notes = [F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("NA")) for n in noted]
-    told = F.concat_ws("\t", "intron_id", line, *notes)
+    before, notes = ([F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("NA")) for n in some] for some in (leading, noted))
+    told = F.concat_ws("\t", "intron_id", *before, line, *notes)
     # One column whose name is the header; no sign parts or quotes it.
-    held.withColumn("held", once).select(told.alias("\t".join(["intron_id", *names, *noted]))).write.mode("overwrite").option("sep", "\x01").option("quote", "").option("header", True).option(
+    held.withColumn("held", once).select(told.alias("\t".join(["intron_id", *leading, *names, *noted]))).write.mode("overwrite").option("sep", "\x01").option("quote", "").option("header", True).option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -49,9 +49,15 @@ def write_results(results: DataFrame, path: str) -> None:
         write_tsv(hits, f"{path}.significant_introns")
 
 
-def write_by_contrast(results: DataFrame, path: str) -> None:
-    """Results dealt by contrast in one pass: a folder ``file=A_vs_B`` for each, by p-value within."""
-    named = results.withColumn("file", F.col("contrast")).repartition("contrast").sortWithinPartitions("file", F.asc_nulls_last("PValue"))
+def write_by_contrast(results: DataFrame, path: str, files: dict[str, str] | None = None) -> None:
+    """Results dealt by contrast in one pass: a folder ``file=A_vs_B`` for each, by p-value within.
+
+    ``files`` says the names of contrasts whose files are called otherwise.
+    """
+    name = F.col("contrast")
+    for contrast, file in (files or {}).items():
+        name = F.when(F.col("contrast") == contrast, file).otherwise(name)
+    named = results.withColumn("file", name).repartition("contrast").sortWithinPartitions("file", F.asc_nulls_last("PValue"))
     named.write.mode("overwrite").partitionBy("file").option("sep", "\t").option("header", True).option("nullValue", "NA").csv(path)
 
 
