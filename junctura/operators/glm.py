@@ -473,6 +473,20 @@ def estimate(cells: DataFrame, metadata: pd.DataFrame, group: str = "group", bat
     return Fitted(rows, plan, library, common, knots, trend, shared, df, prior)
 
 
+def fixed(cells: DataFrame, metadata: pd.DataFrame, dispersion: float, group: str = "group", batch: str | None = None) -> DataFrame:
+    """Coefficients of every intron at a given dispersion, one pass and no estimate: intron_id, coefficients in the order of the design, and deviance."""
+    plan = design(metadata, group, batch)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            y, offset = _arrays(pdf)
+            phi = np.full(len(y), dispersion)
+            beta, mu = fit(y, offset, plan.matrix, phi, 100)
+            yield pd.DataFrame({"intron_id": pdf["intron_id"], "coefficients": list(beta), "deviance": deviance(y, mu, phi[:, None])})
+
+    return model_input(cells, plan).mapInPandas(run, "intron_id string, coefficients array<double>, deviance double")
+
+
 def test(cells: DataFrame, metadata: pd.DataFrame, contrasts: list[str] | None = None, group: str = "group", batch: str | None = None, fdr: float = 0.05, min_log_fc: float = 0.0) -> DataFrame:
     """Estimate once and test all contrasts."""
     return estimate(cells, metadata, group, batch).test(contrasts, fdr, min_log_fc)

@@ -689,6 +689,34 @@ def glm_sample_order(spark, d):
     return rows.select("intron_id", F.posexplode(F.arrays_zip("counts", "offsets")).alias("place", "x")).select("intron_id", "place", F.col("x.counts").alias("count"), r9("x.offsets").alias("offset"))
 
 
+_PHI, _NEWTON = 0.1, 40
+
+
+def _newton() -> dict[str, str]:
+    """Scoring steps for the mean of each intron and group, one after another."""
+    out = {"cellwise": """SELECT intron_id, grp, CAST(count AS DOUBLE) AS y, ln(shared_total + 0.5::DOUBLE) AS o FROM total
+        WHERE intron_id IN (SELECT intron_id FROM (SELECT intron_id, grp, sum(count) AS n FROM total GROUP BY 1, 2) GROUP BY 1 HAVING min(n) >= 100)""",
+        "step0": "SELECT intron_id, grp, avg(ln(y + 0.5) - o) AS b FROM cellwise GROUP BY 1, 2"}
+    for k in range(_NEWTON):
+        out[f"step{k + 1}"] = f"""SELECT c.intron_id, c.grp, any_value(b) + sum((y - exp(b + o)) / (1 + {_PHI}::DOUBLE * exp(b + o))) / sum(exp(b + o) / (1 + {_PHI}::DOUBLE * exp(b + o))) AS b
+            FROM cellwise c JOIN step{k} s ON c.intron_id = s.intron_id AND c.grp = s.grp GROUP BY 1, 2"""
+    return out
+
+
+@query(
+    f"""SELECT c.intron_id, round(max(b) FILTER (WHERE c.grp = 'A'), 5) AS beta_a, round(max(b) FILTER (WHERE c.grp = 'B'), 5) AS beta_b,
+    round(2 * sum(CASE WHEN y > 0 THEN y * ln(y / exp(b + o)) ELSE 0 END - (y + {1 / _PHI}::DOUBLE) * ln((y + {1 / _PHI}::DOUBLE) / (exp(b + o) + {1 / _PHI}::DOUBLE))), 5) AS deviance
+    FROM cellwise c JOIN step{_NEWTON} s ON c.intron_id = s.intron_id AND c.grp = s.grp GROUP BY 1""",
+    **_newton(),
+)
+def glm_fixed_dispersion(spark, d):
+    """Coefficients and deviances at a given dispersion, of introns with reads enough in both groups."""
+    cells = A.totals(spark, d).join(A.metadata(spark), "sample_id")
+    kept = cells.groupBy("intron_id", "group").agg(F.sum("count").alias("n")).groupBy("intron_id").agg(F.min("n").alias("n")).where("n >= 100")
+    found = glm.fixed(cells.join(kept.select("intron_id"), "intron_id", "left_semi"), _meta(), _PHI)
+    return found.select("intron_id", F.round(F.col("coefficients")[0], 5).alias("beta_a"), F.round(F.col("coefficients")[1], 5).alias("beta_b"), F.round("deviance", 5).alias("deviance"))
+
+
 @query()
 def glm_ql_test(spark, d):
     return glm.test(A.totals(spark, d), _meta(), ["A-B"])
