@@ -27,6 +27,7 @@ import os
 import uuid
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,12 @@ class Tokenizers:
         return found[0], found[1]
 
 
+@lru_cache(maxsize=1)
+def loaded(byte_path: str, piece_path: str) -> Tokenizers:
+    """Both tokenizers, kept for all tasks of a worker."""
+    return Tokenizers(byte_path, piece_path)
+
+
 def _ids(found: list[int]) -> array:
     return array("i", found)
 
@@ -351,14 +358,12 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
     ``a1,a2|b1;a3|b2,b3``, and the linked pairs of ids (a times the size of B's vocabulary, plus b) with how often each is linked.
     """
     small_batches(docs.sparkSession, 8000)
-    kept: dict[str, Tokenizers] = {}
-
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         tokenizers = None
         for batch in batches:
-            tokenizers = tokenizers or kept.setdefault(byte_path, Tokenizers(byte_path, piece_path))
+            tokenizers = tokenizers or loaded(byte_path, piece_path)
             size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
             for i, j in _runs(size, SLICE):
                 rows = pa.array(np.arange(number, number + j - i))
@@ -396,7 +401,7 @@ def link_counts(docs: DataFrame, byte_path: str, piece_path: str, id_col: str =
     pairs of its id of A; ``count_sum`` is the sum of the counts over links.
     """
     spark = docs.sparkSession
-    many_b = len(Tokenizers(byte_path, piece_path).spelled_b)
+    many_b = len(loaded(byte_path, piece_path).spelled_b)
     found = alignments(docs, byte_path, piece_path, id_col, text_col)
     digest = F.when(F.col("groups") != "", F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
     rows = _stored(found.withColumn("groups_sha256", digest).drop("groups"), "rows")
