@@ -8,9 +8,8 @@ held against what random strings of the same kinds of characters and the same
 length add in the same place: strings that compress hardly better are reported as
 ``novel`` beside the spans of the fixed patterns, which always stay.
 
-The dictionary's words are the most frequent ones, ``WORDS`` at most, in some
-``SAMPLE`` documents chosen by a hash of the identifier; that sample says only
-what is ordinary, every document is scanned whole.
+The dictionary's words are those that most documents hold, counted over all of
+them, ``WORDS`` at most, as many as a dictionary has room for.
 
 Defined results: null and empty texts have no spans; whole texts are read, with
 positions in code points; repeated rows are repeated.
@@ -45,7 +44,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 64  # code points after a sensitive word in which a candidate may begin
 AROUND = 200  # code points of surrounding text that prime the compressor
 NOVEL = 0.75  # of the bytes that a random string adds
-SAMPLE, WORDS, DICTIONARY_BYTES = 5000, 8192, 1 << 16
+WORDS, DICTIONARY_BYTES = 8192, 1 << 16
 KINDS_OF_CHARACTERS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "+/_=-")
 DRAWS = 3  # random strings that a candidate is held against
 
@@ -157,21 +156,18 @@ def _said(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def ordinary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """Words of three letters or more in the sampled documents, by how many hold them; parts of identifiers are words."""
-    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    every = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64(id_.cast("string")), F.lit(every)) == 0)
-    apart = F.regexp_replace(text, "([a-z])([A-Z])", "$1 $2")
+def ordinary(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """Words of three letters or more in all documents, by how many hold them; parts of identifiers are words."""
+    apart = F.regexp_replace(F.col(f"`{text_col}`"), "([a-z])([A-Z])", "$1 $2")
     words = F.array_distinct(F.transform(F.regexp_extract_all(apart, F.lit("[A-Za-z]{3,20}"), F.lit(0)), F.lower))
-    met = some.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    met = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return [r.word for r in met.where("n > 1").orderBy(F.desc("n"), "word").limit(WORDS).collect()]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256 (digest of the base spans) and spans (all of them)."""
     small_batches(docs.sparkSession)
-    primer = dictionary(ordinary(docs, id_col, text_col))
+    primer = dictionary(ordinary(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty(primer)

@@ -771,3 +771,9 @@ def test_license_plan_is_native(spark):
 ])
 def test_empty_table(empty, apply):
     assert apply(empty).collect() == []
+
+
+def test_ordinary_words_are_counted_over_all_documents(spark):
+    docs = spark.range(15_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "evenWord").otherwise("odd things").alias("text"))
+    rare = spark.createDataFrame([(20_000 + i, "seldom") for i in range(2)], "doc_id long, text string")
+    assert novelty.ordinary(docs.union(rare)) == ["even", "odd", "things", "word", "seldom"]
