@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from junctura.checkpoints import checkpointed
+
 COLUMNS = 80  # hexagons across the plot
 ALONE = 2  # points of a hexagon, at most, that are shown themselves
 
@@ -16,7 +18,8 @@ def _placed(points: DataFrame, x: str, y: str, columns: int) -> DataFrame:
     step. Their size comes from the range of all points, whatever group they are of.
     """
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    own = points.where(finite(x) & finite(y))
+    # Read for the range, for the counts, and once more for the points that lie apart.
+    own = checkpointed(points.where(finite(x) & finite(y)))
     low_x, high_x, low_y, high_y = own.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     wide = lambda low, high: (high - low) / columns if low is not None and high > low else 1.0
     dx, dy = wide(low_x, high_x), wide(low_y, high_y) * 3**0.5

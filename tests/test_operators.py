@@ -404,3 +404,16 @@ def test_adjusted_values_of_sums_that_differ_when_computed_again(spark):
 
     found = clusterstats.aggregate_clusters(rows.mapInPandas(shaken, rows.schema), by=("contrast",)).collect()
     assert len(found) == 200 and all(r.cluster_FDR is not None and r.cluster_FDR >= r.cluster_pvalue for r in found)
+
+
+def test_points_of_a_plot_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    points = spark.range(300).select(F.lit("k").alias("contrast"), (F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 23).cast("double").alias("y"))
+    plots.apart(points.mapInPandas(counted, points.schema), "x", "y", ("contrast",)).collect()
+    assert seen.value == 300
