@@ -373,3 +373,14 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
     with pytest.raises(RuntimeError):
         checkpoints.checkpoint_folder(Session(None))
     assert checkpoints.checkpoint_folder(Session("hdfs://x/y")) == "hdfs://x/y"
+
+
+def test_heads_are_found_without_a_sort_of_all_lines(spark, tmp_path):
+    head = "count\tsplice_pair\tintron\tsplice_flag"
+    for name, lines in (("one.introns", [head, "3\tGT--AG\tchr1:1-9\tOK"]), ("two.introns", ["x\t" + head, "-\t4\tGT--AG\tchr1:1-9\tOK", "intron"])):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    rows = spark.read.text(str(tmp_path)).select("value", readers.in_order().alias("ord"))
+    found = readers.likely_heads(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert sorted(r.head for r in found.collect() if r.head) == sorted([head, "x\t" + head])
