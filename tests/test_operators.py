@@ -417,3 +417,35 @@ def test_points_of_a_plot_are_computed_once(spark):
     points = spark.range(300).select(F.lit("k").alias("contrast"), (F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 23).cast("double").alias("y"))
     plots.apart(points.mapInPandas(counted, points.schema), "x", "y", ("contrast",)).collect()
     assert seen.value == 300
+
+
+@pytest.fixture(scope="module")
+def packed(spark):
+    rows = [(i, f"S{k}", n) for i, ns in IDS for k, n in enumerate(ns, 1) if n]
+    sparse = spark.createDataFrame(rows, "intron_id string, sample_id string, count long")
+    return clusters.packed_clusters(sparse, ["S1", "S2", "S3"])
+
+
+def test_packed_introns_have_the_totals_of_cells(packed, cells):
+    want = clusters.add_totals(cells)
+    got = clusters.dense_totals(packed, ["S1", "S2", "S3"]).select(*[f"`{c}`" for c in want.columns])
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    one = clusters.dense_totals(packed, ["S1", "S2", "S3"], ("donor_cluster",))
+    assert one.where("shared_total <> donor_total").isEmpty() and "acceptor_total" not in one.columns
+
+
+@pytest.mark.parametrize("kind", ["both", "donor", "acceptor"])
+def test_packed_introns_are_filtered_as_cells(packed, cells, kind):
+    for noncanonical in (False, True):
+        limits = (4, 2, 6, 1, noncanonical, kind)
+        want = filters.chain(cells, *limits).select("intron_id", "sample_id", "count")
+        got = counts.unpacked(filters.chain(packed, *limits), ["S1", "S2", "S3"]).select("intron_id", "sample_id", "count")
+        assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+    assert filters.breakdown(packed, 6, 1).collect() == filters.breakdown(cells, 6, 1).collect()
+
+
+def test_cells_are_not_dealt_by_sample(spark, cells):
+    """Samples are few, so all cells would meet in as many tasks."""
+    meta = spark.createDataFrame([("S1", "A"), ("S2", "B"), ("S3", "B")], "sample_id string, `group` string")
+    plan = psi.grouped(psi.psi_values(clusters.add_totals(cells)), meta)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(sample_id" not in plan
