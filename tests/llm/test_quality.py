@@ -122,3 +122,29 @@ def test_without_lessons(spark):
         assert {r.score for r in quality.score(docs, quality.train(docs, labels)).collect()} == {want}
     docs, labels = frames(spark, rows, [(1, 1, None)])
     assert quality.score(docs.where("false"), quality.train(docs.where("false"), labels)).collect() == []
+
+
+def test_every_labelled_document_counts(spark, monkeypatch):
+    """In many groups as in one, and none of them left out."""
+    texts, y = sample(["a", "b"], list(JUNK), 150, 8)
+    docs, marks = frames(spark, list(enumerate(texts)), [(i, int(q), None) for i, q in enumerate(y)])
+    seen, sums = [], quality.Lessons.sums
+    monkeypatch.setattr(quality.Lessons, "sums", lambda self, run, join=np.add: seen.append(self.rows) or sums(self, run, join))
+    monkeypatch.setattr(quality, "GROUP", 20)
+    monkeypatch.setattr(quality, "RARE", 4)
+    monkeypatch.setattr(quality, "FAN", 2)
+    model = quality.train(docs, marks)
+    assert {r.id for r in seen[0].collect()} == {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5}
+    assert seen[0].rdd.getNumPartitions() > 2
+    right = (model.scores(texts) >= quality.CUT) == (y == 1)
+    assert right.mean() >= 0.95
+
+
+def test_quantile_of_spread_scores(spark):
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=(500, len(quality.MEASURES))), rng.integers(0, 2, 500)
+    rows = spark.createDataFrame([(i, int(b), a.tolist()) for i, (a, b) in enumerate(zip(x, y))], "id long, label int, x array<double>").repartition(7)
+    each = np.array([0.3, 0.7]) / np.bincount(y)
+    for share in (0.01, 0.3, 0.999, 1.0):
+        got = quality.spread_quantile(quality.Lessons(rows), lambda a, b: a[:, 2], each, share)
+        assert abs(got - quality.quantile(x[:, 2], each[y], share)) < 1e-9
