@@ -293,8 +293,9 @@ def features(lessons: Lessons) -> Model:
 
 
 def slopes(model: Model, weights: list[np.ndarray], open_ones: list[int], x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-    """Of each model, the last of which sees all parts: gradient, curvature and number of its pairs in a group."""
+    """Of each model, the last of which sees all parts: gradient, upper half of the curvature and number of its pairs in a group."""
     wide, turn, many, out = model.wide(x), _turns(y), len(model.mean) * BINS, []
+    half = np.triu_indices(many)
     for k in open_ones:
         seen = turn != k
         better, worse = pairs(np.flatnonzero(seen & (y == 1)), np.flatnonzero(seen & (y == 0)), max(PAIRS, 4 * len(y))) if 0 < y[seen].sum() < seen.sum() else (np.zeros(0, int),) * 2
@@ -305,7 +306,7 @@ def slopes(model: Model, weights: list[np.ndarray], open_ones: list[int], x: np.
             p = 1 / (1 + np.exp(np.clip(z[a] - z[b], -30, 30)))
             g -= d.T @ p
             h += (d * (p * (1 - p))[:, None]).T @ d
-        out += [g, h, np.array([len(better)])]
+        out += [g, h[half], np.array([len(better)])]
     return out
 
 
@@ -313,13 +314,17 @@ def learnt(lessons: Lessons, share: float) -> Model:
     """Learn from all lessons; ``share`` of all labels are poor."""
     model = features(lessons)
     many = len(model.weight)
+    half = np.triu_indices(many)
     weights, open_ones = [np.zeros(many) for _ in range(PARTS + 1)], list(range(PARTS + 1))
     for _ in range(STEPS):
         now = [w.copy() for w in weights]
         found = lessons.sums(lambda x, y, now=now, some=open_ones: slopes(model, now, some, x, y))
         steps = {}
         for i, k in enumerate(open_ones):
-            g, h, n = found[3 * i : 3 * i + 3]
+            g, upper, n = found[3 * i : 3 * i + 3]
+            h = np.zeros((many, many))
+            h[half] = upper
+            h = np.triu(h) + np.triu(h, 1).T
             steps[k] = np.linalg.solve(h / max(n[0], 1) + RIDGE * np.eye(many), g / max(n[0], 1) + RIDGE * weights[k])
         table = np.stack(list(steps.values()), axis=1)
         far = lessons.sums(lambda x, y, table=table: [np.abs(model.wide(x) @ table).max(axis=0, initial=0.0)], np.maximum)[0]
@@ -392,7 +397,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     own = text.where(fold(F.col("id")) != HELD_OUT).join(key, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
     rows = own.mapInArrow(measured, "id long, label int, x array<double>")
     groups = max(1, min(-(-sum(count.values()) // GROUP), min(count.values()) // RARE))
-    rows = checkpointed(rows.repartition(groups, F.xxhash64("id")))
+    # A session may deal into more parts than it is asked for; each step writes the sums of each.
+    rows = checkpointed(rows.repartition(groups, F.xxhash64("id"))).coalesce(groups)
     there = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(there) < 2:
         return Constant(float(next(iter(there))) if there else CUT)

@@ -140,6 +140,18 @@ def test_every_labelled_document_counts(spark, monkeypatch):
     assert right.mean() >= 0.95
 
 
+def test_sums_of_few_groups_where_a_session_deals_into_many_parts(spark, monkeypatch):
+    texts, y = sample(["a", "b"], list(JUNK), 150, 8)
+    docs, marks = frames(spark, list(enumerate(texts)), [(i, int(q), None) for i, q in enumerate(y)])
+    kind, groups, found = type(docs), [], quality.Lessons.__init__
+    deal = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *keys: deal(self, max(n, 23) if keys else n, *keys))
+    monkeypatch.setattr(quality.Lessons, "__init__", lambda self, rows: found(self, rows) or groups.append((self.groups, rows.count())))
+    model = quality.train(docs, marks)
+    assert groups == [(1, sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(len(texts))))]
+    assert ((model.scores(texts) >= quality.CUT) == (y == 1)).mean() >= 0.95
+
+
 def test_quantile_of_spread_scores(spark):
     rng = np.random.default_rng(9)
     x, y = rng.normal(size=(500, len(quality.MEASURES))), rng.integers(0, 2, 500)
