@@ -449,3 +449,18 @@ def test_cells_are_not_dealt_by_sample(spark, cells):
     meta = spark.createDataFrame([("S1", "A"), ("S2", "B"), ("S3", "B")], "sample_id string, `group` string")
     plan = psi.grouped(psi.psi_values(clusters.add_totals(cells)), meta)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(sample_id" not in plan
+
+
+def test_fit_of_a_row_does_not_depend_on_its_batch():
+    """Introns without reads in a group, whose coefficients run away, keep no other row going, nor do others keep them going."""
+    rng = np.random.default_rng(4)
+    x = np.zeros((7, 2))
+    x[:3, 0] = x[3:, 1] = 1
+    total = rng.integers(50, 4000, (60, 7))
+    y = rng.binomial(total, rng.random((60, 1))).astype(float)
+    y[::3, :3] = 0
+    offset, phi = np.log(total + 0.5), np.full(60, 0.1)
+    beta, mu = glm.fit(y, offset, x, phi)
+    alone = [glm.fit(y[i : i + 1], offset[i : i + 1], x, phi[i : i + 1]) for i in range(60)]
+    assert np.allclose(beta, np.concatenate([b for b, _ in alone]), atol=1e-9)
+    assert np.allclose(mu, np.concatenate([m for _, m in alone]), rtol=1e-9)
