@@ -6,7 +6,9 @@ import ctypes
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,20 +91,57 @@ def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the parts of label that pairs (a, b) link; label[i] <= i stays a root's index."""
+    while len(a):
+        x, y = label[a], label[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := label[label], label):
+            label[:] = up
+
+
+@frugal
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of a task as stars, v the least node of each of their parts."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    edges = pa.Table.from_batches(held)
+    both = pa.chunked_array([*edges.column("u").chunks, *edges.column("v").chunks])
+    names = pc.unique(both)
+    names = names.take(pc.sort_indices(names))
+    at, label = pc.index_in(both, names).to_numpy(), np.arange(len(names))
+    merge(label, at[: edges.num_rows], at[edges.num_rows :])
+    leaves = np.flatnonzero(label != np.arange(len(names)))
+    yield pa.RecordBatch.from_arrays([names.take(pa.array(leaves)), names.take(pa.array(label[leaves]))], ["u", "v"])
+
+
+def _contracted(edges: DataFrame, rows: int) -> DataFrame:
+    """Edges dealt in parts of about ``ROWS_A_FILE`` rows, each of which a task turns into stars, written out."""
+    kinds = ", ".join(f"{c} {kind}" for c, kind in edges.dtypes)
+    return checkpointed(edges.repartition(1 + rows // ROWS_A_FILE).mapInArrow(_contract, kinds))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b) as rows (node, label).
 
-    Alternating large-star and small-star steps; the label is the least node of
-    the component. Nodes without an edge are absent. Nothing but two numbers a
-    round reaches the driver.
+    Parts of the edges are turned into stars, which leaves at most an edge a node
+    of each; edges of several parts go on by alternating large-star and small-star
+    steps. The label is the least node of the component. Nodes without an edge
+    are absent. Nothing but two numbers a round reaches the driver.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = checkpointed(edges), None
-    while True:
+    edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    rows, before = edges.count(), None
+    edges = _contracted(edges, rows)
+    # Stars of one part are the components; no step of a node's least neighbour rises, so a round that changes nothing is the last.
+    while rows >= ROWS_A_FILE:
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == before or now[0] == 0:
+        if now == before:
             break
-        edges, before = checkpointed(_star(_star(edges, True, now[0]), False, now[0]), now[0]), now
+        edges, before = _contracted(_star(_star(edges, True, now[0]), False, now[0]), now[0]), now
+        rows = now[0]
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

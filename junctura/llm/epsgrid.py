@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from junctura.llm.common import checkpointed, components
-from junctura.llm.simhash import _binary, _merge
+from junctura.llm.common import checkpointed, components, merge
+from junctura.llm.simhash import _binary
 
 SAMPLE, SAMPLE_BYTES = 20_000, 64 << 20  # vectors that fit the principal axes, and their bytes in double precision
 CELLS = 4  # axes of the sort order
@@ -116,7 +116,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], size: int, kind: str, axes: np.nda
             for a, b in _join(x, y, (0, m), (0, m) if same else (m, len(x)), least, eps):
                 np.add.at(links, a, counts[b])
                 np.add.at(links, b, counts[a])
-                _merge(label, a, b)
+                merge(label, a, b)
             hit = np.flatnonzero(links)
             if len(hit):
                 yield pa.RecordBatch.from_arrays([_binary(nodes[hit]), _binary(nodes[label[hit]]), pa.array(links[hit])], ["a", "b", "links"])

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from junctura.llm.common import checkpointed, components, small_batches
+from junctura.llm.common import checkpointed, components, merge, small_batches
 from junctura.llm.contentsort import LOWER
 
 SEED = 42
@@ -137,17 +137,6 @@ def _roots(n: int) -> np.ndarray:
     return np.arange(n)
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Join the parts of label that pairs (a, b) link; label[i] <= i stays a root's index."""
-    while len(a):
-        x, y = label[a], label[b]
-        apart = x != y
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-        while not np.array_equal(up := label[label], label):
-            label[:] = up
-
-
 def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
     """Root of every row under links within runs of equal (sorted) keys."""
     n = len(key)
@@ -180,7 +169,7 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             break
         a = a[(np.abs(table[a] - table[a + d]) <= radius).all(axis=1)]
         a = a[close(a, a + d)]
-        _merge(label, a, a + d)
+        merge(label, a, a + d)
     for s, m in zip(start[count > 32], count[count > 32]):
         order = np.argsort(table[s : s + m, 0], kind="stable")
         own, place = words[s + order], table[s + order]
@@ -201,7 +190,7 @@ def _links(key: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
             for k in range(0, len(a), PAIRS):
                 x, y = a[k : k + PAIRS], b[k : k + PAIRS]
                 linked = close(x, y)
-                _merge(label, x[linked], y[linked])
+                merge(label, x[linked], y[linked])
     return label
 
 

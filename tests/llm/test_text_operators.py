@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from junctura.llm import contentsort, grams, licences, mixing, novelty, packing, queries, shingles, simhash, toxicity
+from junctura.llm import common, contentsort, grams, licences, mixing, novelty, packing, queries, shingles, simhash, toxicity
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 UPPER = {65 + i: 97 + i for i in range(26)}
@@ -273,6 +273,35 @@ def test_near_dedup_of_odd_texts(spark):
     assert simhash.near_dedup(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("rows", [50_000, 300, 7])
+def test_components_of_chains_and_crowds(spark, monkeypatch, rows):
+    """Edges in one part and in many; a part alone needs no join and no round."""
+    monkeypatch.setattr(common, "ROWS_A_FILE", rows)
+    rng = random.Random(4)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(i, i ^ 1) for i in range(2000, 2100)] + [(5, 5)]
+    pairs += [(rng.randrange(3000, 3400), rng.randrange(3000, 3400)) for _ in range(150)]
+    rng.shuffle(pairs)
+    name = {i: rng.randbytes(8) for i in sorted({x for p in pairs for x in p})}
+    root = {i: i for i in name}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b, key=name.get)] = min(a, b, key=name.get)
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    want = {name[i]: name[find(i)] for i in linked}
+    frame = spark.createDataFrame([(bytearray(name[a]), bytearray(name[b])) for a, b in pairs], "a binary, b binary").repartition(6)
+    starred = []
+    monkeypatch.setattr(common, "_star", lambda *a, f=common._star: starred.append(a) or f(*a))
+    got = common.components(frame).collect()
+    assert len(got) == len(want) and {bytes(r.node): bytes(r.label) for r in got} == want
+    assert bool(starred) == (rows < 50_000)
+
+
 # Mixing.
 
 
