@@ -6,7 +6,11 @@ import duckdb
 import pandas as pd
 import pytest
 
-from junctura.plans import filequeries  # noqa: F401  registers its queries
+from junctura.operators import annotate
+from junctura.plans import (
+    adapter,
+    filequeries,  # noqa: F401  registers its queries
+)
 from junctura.plans import queries as engine
 
 TABLES = "/root/testdata/sf0.001"
@@ -35,3 +39,12 @@ def test_same_as_sql(spark, tables, name):
 
 def test_every_query_without_sql_is_the_model():
     assert {n for n in engine.QUERIES if n not in engine.ORACLE} == {"glm_ql_test", "glm_pooled_controls", "glm_batch"}
+
+
+@pytest.mark.parametrize("name", ["annotation_summary"])
+def test_annotation_moves_places_alone_and_reads_junctions_once(spark, monkeypatch, name):
+    met, read = [], []
+    monkeypatch.setattr(annotate, "interval_join", lambda a, *rest, f=annotate.interval_join: met.append(a.columns) or f(a, *rest))
+    monkeypatch.setattr(adapter, "junctions", lambda *a, f=adapter.junctions: read.append(a) or f(*a))
+    assert engine.QUERIES[name](spark, TABLES).count() > 0
+    assert met == [annotate.PLACE] and len(read) == 1
