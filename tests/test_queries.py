@@ -41,7 +41,7 @@ def test_every_query_without_sql_is_the_model():
     assert {n for n in engine.QUERIES if n not in engine.ORACLE} == {"glm_ql_test", "glm_pooled_controls", "glm_batch"}
 
 
-@pytest.mark.parametrize("name", ["annotation_summary"])
+@pytest.mark.parametrize("name", ["annotation_summary", "file_annotated_matrix"])
 def test_annotation_moves_places_alone_and_reads_junctions_once(spark, monkeypatch, name):
     met, read = [], []
     monkeypatch.setattr(annotate, "interval_join", lambda a, *rest, f=annotate.interval_join: met.append(a.columns) or f(a, *rest))
