@@ -1,13 +1,18 @@
-"""Near copies by the exact Jaccard similarity of their word shingles.
+"""Near copies by SimHash and pivot distance tables, verified by the exact Jaccard similarity of their word shingles.
 
 1. Every text becomes the set of its hashed shingles (64 bits each). Equal sets
-   fold into one node, which keeps a sketch: the set's size and 8 bits of each of
-   ``BANDS * ROWS`` minima over hash functions.
+   fold into one node, which keeps a sketch: the set's size, 24 bits of each
+   band's key, and the set's fingerprint (SimHash, ``BITS`` bits).
 2. Bands of ``ROWS`` minima deal the nodes into buckets. Two sets with similarity
    0.8 share none of the 24 buckets with probability 3 in a million, whatever
    their sizes; more similar ones are missed less.
-3. A pair is compared if its sketches don't rule it out: the sizes, and fewer
-   than ``AGREE`` equal minima, which has a probability of 2 in 10 million at 0.8.
+3. In every bucket a pivot distance table holds the Hamming distances of the
+   fingerprints to ``PIVOTS`` references, which are fingerprints of the bucket
+   itself. Pairs that differ by more than the radius in some coordinate are
+   discarded (triangle inequality), then those whose fingerprints do, and those
+   whose sizes rule the similarity out. At 0.8 a link's fingerprints are beyond
+   the radius with a probability of 3 in 10 million at most (calculated for all
+   small sets and in the limit), whatever the sets' sizes.
 4. First each node of a bucket is paired with the next one alone, which joins
    large groups of near copies by few pairs.
 5. In buckets that still hold several parts, all pairs follow whose nodes aren't
@@ -17,13 +22,17 @@
 6. Sets are compared whole; a pair is a link if the shared part of its union
    reaches the similarity, and not otherwise. Star contraction joins the links.
 
-Sketches only say what is compared, never what is linked. Texts of fewer words
+Step 2 stands before the pivots since blocks of bit positions that miss as few
+pairs at this radius, a quarter of all bits, would be four times as many and hold
+thousands of unrelated rows each. Buckets and fingerprints only say what is
+compared, never what is linked. Texts of fewer words
 than a shingle are one shingle; those without words are all equal.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from junctura.llm.common import checkpointed, components, frugal, small_batches
-from junctura.llm.simhash import SEED, _binary, _matrix, _mix, hashed_shingles
+from junctura.llm.simhash import PIVOTS, SEED, _binary, _matrix, _mix, hashed_shingles, majority
 
 BANDS, ROWS = 24, 4
-AGREE = 54  # of BANDS * ROWS minima, for a similarity of 0.8
+BITS, KEY = 512, 3  # bits of a fingerprint; bytes of a band's key in a sketch
+WIDTH = 4 + KEY * BANDS + BITS // 8  # bytes of a sketch
+# Sets under SMALL shingles may differ in more bits than the angle between sets says: by a quarter at most, others by a fourteenth.
+SMALL, SPREAD, DEVIATIONS = 12, (1.25, 1.07), 5.2
 CHUNK = 512  # shingles whose minima are taken at once
 NEXT = 64  # rows of a bucket whose pairs are looked through in the first pass
-BLOCK = 1 << 13  # pairs of sketches compared at once
+BLOCK = 1 << 13  # pairs of fingerprints compared at once
 CELL_ROWS, CELL_BYTES = 1 << 13, 32 << 20
 FEW = 200_000  # nodes that are broadcast, of 16 bytes each, to pick texts without moving all of them
 _ODD = np.random.default_rng(SEED).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,11 +83,13 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Re
         with np.errstate(over="ignore"):
             for r in range(ROWS):
                 key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + least[:, r::ROWS])
-            bits = (_mix(least) & np.uint64(255)).astype(np.uint8)
+        own = np.ascontiguousarray(key).view(np.uint8)
+        bands = own.reshape(-1, BANDS, 8)[:, :, 8 - KEY :].reshape(-1, KEY * BANDS)
+        prints = np.frombuffer(b"".join(majority(s, BITS) for s in sets), np.uint8).reshape(-1, BITS // 8)
         size = np.array([len(s) for s in sets], np.uint32)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array([_node(s) for s in sets], pa.binary()),
-             _binary(np.c_[size.view(np.uint8).reshape(-1, 4), bits]), _binary(np.ascontiguousarray(key).view(np.uint8))],
+             _binary(np.c_[size.view(np.uint8).reshape(-1, 4), bands, prints]), _binary(own)],
             ["doc_id", "digest", "node", "sketch", "bands"],
         )
 
@@ -117,21 +131,45 @@ def _buckets(batches: Iterator[pa.RecordBatch], by: str = "key") -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
+def radii(similarity: float) -> tuple[int, int]:
+    """Bits in which fingerprints of sets with the similarity differ at most: where one has under ``SMALL`` shingles, and otherwise."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return tuple(math.ceil(BITS * p + DEVIATIONS * (BITS * p * (1 - p)) ** 0.5) for p in (min(0.5, share * more) for more in SPREAD))
+
+
+def pivot_table(words: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hamming distances of fingerprints to ``PIVOTS`` references of their bucket.
+
+    References lie evenly in a bucket; its order, by digest, is as good as random.
+    """
+    table = np.empty((len(words), PIVOTS), np.int16)
+    for k in range(PIVOTS):
+        table[:, k] = np.bitwise_count(words ^ words[np.repeat(start + count * k // PIVOTS, count)]).sum(axis=1)
+    return table
+
+
 class Sketches:
-    """Sketches of some rows, to say which pairs are worth a comparison."""
+    """Fingerprints of rows in buckets with their pivot distance table, to say which pairs are worth a comparison."""
 
-    def __init__(self, column: pa.ChunkedArray, similarity: float) -> None:
-        rows = _matrix(column, 4 + BANDS * ROWS)
-        self.size, self.bits = np.ascontiguousarray(rows[:, :4]).view(np.uint32)[:, 0].astype(np.float64), rows[:, 4:]
-        self.similarity, self.agree = similarity, AGREE - (0.8 - similarity) * BANDS * ROWS
+    def __init__(self, column: pa.ChunkedArray, similarity: float, start: np.ndarray, count: np.ndarray) -> None:
+        rows = _matrix(column, WIDTH)
+        self.size, self.bands = np.ascontiguousarray(rows[:, :4]).view(np.uint32)[:, 0].astype(np.float64), rows[:, 4 : 4 + KEY * BANDS]
+        self.words = np.ascontiguousarray(rows[:, 4 + KEY * BANDS :]).view(np.uint64)
+        self.table = pivot_table(self.words, start, count)
+        self.similarity, self.radii = similarity, radii(similarity)
 
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = np.empty(len(a), bool)
-        for i in range(0, len(a), BLOCK):
-            x, y = a[i : i + BLOCK], b[i : i + BLOCK]
-            out[i : i + BLOCK] = (self.bits[x] == self.bits[y]).sum(axis=1) >= self.agree
         small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
-        return out & (small >= self.similarity * large - 1e-6)
+        out, radius = small >= self.similarity * large - 1e-6, np.where(small < SMALL, *self.radii)
+        left = np.flatnonzero(out)
+        for i in range(0, len(left), BLOCK):
+            some = left[i : i + BLOCK]
+            x, y, most = a[some], b[some], radius[some]
+            close = np.abs(self.table[x] - self.table[y]).max(axis=1) <= most
+            x, y = x[close], y[close]
+            close[close] = np.bitwise_count(self.words[x] ^ self.words[y]).sum(axis=1) <= most[close]
+            out[some] = close
+        return out
 
 
 ROW = "key long, node binary, other binary, sketch binary"
@@ -147,7 +185,7 @@ def _first(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
         count = np.diff(np.r_[start, len(key)])
         if count.max() < 2:
             continue
-        sketches, more = Sketches(table.column("sketch"), similarity), np.repeat(count > NEXT, count)
+        sketches, more = Sketches(table.column("sketch"), similarity, start, count), np.repeat(count > NEXT, count)
         few = np.repeat((count <= NEXT) & (count > 2), count)
         for d in range(1, min(NEXT, int(count.max()))):
             a = np.flatnonzero((few[:-d] if d > 1 else True) & (key[d:] == key[:-d]))
@@ -169,19 +207,19 @@ class Cell:
     """Rows of one bucket, or of two chunks of one, that may hold links between parts."""
 
     def __init__(self, table: pa.Table, similarity: float) -> None:
-        self.sketches = Sketches(table.column("sketch"), similarity)
+        self.sketches = Sketches(table.column("sketch"), similarity, np.zeros(1, np.int64), np.array([table.num_rows]))
         self.band = int(table.column("key")[0].as_py()) & 31
         self.label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy().copy()
         self.part = np.arange(int(self.label.max()) + 1)
 
     def near(self, i: int) -> np.ndarray:
-        """Later rows of other parts that the sketches don't rule out, if this is the first bucket that the pair shares."""
+        """Later rows of other parts that neither pivots nor fingerprints rule out, if this is the first bucket that the pair shares."""
         own = self.part[self.label]
         b = np.flatnonzero(own[i + 1 :] != own[i]) + i + 1
         b = b[self.sketches.near(np.full(len(b), i), b)]
         if len(b) and self.band:
-            bits = self.sketches.bits
-            shared = (bits[b, : 4 * self.band] == bits[i, : 4 * self.band]).reshape(len(b), self.band, ROWS).all(axis=2).any(axis=1)
+            bands = self.sketches.bands[:, : KEY * self.band]
+            shared = (bands[b] == bands[i]).reshape(len(b), self.band, KEY).all(axis=2).any(axis=1)
             b = b[~shared]
         return b
 

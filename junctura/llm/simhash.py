@@ -68,17 +68,8 @@ def hashed_shingles(text: bytes, shingle: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, (body[a:b] for a, b in zip(starts, ends)), repeat(SEED)), np.uint64, n)
 
 
-def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool = False) -> bytes:
-    """Fingerprint of a text in UTF-8, most significant bit first.
-
-    The first 64 bits come from XXH64 with seed 42 itself; further lanes are
-    mixed from it. Repeated shingles count as often as they occur unless
-    ``distinct``.
-    """
-    hashed = hashed_shingles(text, shingle)
-    if not len(hashed):
-        return bytes(bits // 8)
-    hashed = np.unique(hashed) if distinct else hashed
+def majority(hashed: np.ndarray, bits: int = 64) -> bytes:
+    """Bits that are set in over half of some hashes; lanes beyond the first 64 bits are mixed from them."""
     counts = np.zeros(bits, np.int64)
     for i in range(0, len(hashed), CHUNK):
         h = hashed[i : i + CHUNK]
@@ -87,10 +78,23 @@ def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool =
         with np.errstate(over="ignore"):
             for k in range(1, bits // 64):
                 lanes[:, k] = _mix(h + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1)))
-        counts += np.unpackbits(lanes.view(np.uint8).reshape(len(h), -1), axis=1).sum(axis=0, dtype=np.int64)
+        rows = np.unpackbits(lanes.view(np.uint8).reshape(len(h), -1), axis=1)
+        for j in range(0, len(rows), 255):  # as many as a byte counts
+            counts += rows[j : j + 255].sum(axis=0, dtype=np.uint8)
     return np.packbits(2 * counts > len(hashed)).tobytes()
 
 
+def fingerprint(text: bytes, shingle: int = 3, bits: int = 64, distinct: bool = False) -> bytes:
+    """Fingerprint of a text in UTF-8, most significant bit first.
+
+    The first 64 bits come from XXH64 with seed 42 itself; further lanes are
+    mixed from it. Repeated shingles count as often as they occur unless
+    ``distinct``.
+    """
+    hashed = hashed_shingles(text, shingle)
+    return majority(np.unique(hashed) if distinct else hashed, bits)
+
+
 def exact_tables(bits: int = 64, radius: int = 3) -> list[list[int]]:
     """Sets of positions such that any two within ``radius`` agree on one of them.
 

@@ -1,6 +1,7 @@
 """Operators on documents against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -8,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -273,6 +275,44 @@ def test_near_dedup_of_odd_texts(spark):
     assert simhash.near_dedup(frame.where("false")).count() == 0
 
 
+def test_links_lie_within_the_radius():
+    """Of all pairs of small sets at 0.8, calculated from the binomial distribution, and in the limit of large ones."""
+    chance = lambda n: np.array([math.comb(n, i) / 2**n for i in range(n + 1)])
+
+    def beyond(share, most):
+        n = shingles.BITS
+        return sum(math.comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(most + 1, n + 1))
+
+    small, large = shingles.radii(0.8)
+    assert beyond(math.acos(2 * 0.8 / 1.8) / math.pi, large) < 3e-7
+    for s in range(1, 49):
+        c = np.arange(s + 1)[:, None, None]
+        for x in range(s // 4 + 1):
+            for y in range(x, s // 4 + 1 - x):
+                one = 2 * (c + np.arange(x + 1)[None, :, None]) > s + x
+                two = 2 * (c + np.arange(y + 1)[None, None, :]) > s + y
+                share = ((one != two) * chance(s)[:, None, None] * chance(x)[None, :, None] * chance(y)[None, None, :]).sum()
+                assert beyond(share, small if s + x < shingles.SMALL else large) < 3e-7
+
+
+def test_pivots_and_fingerprints_discard_within_a_bucket():
+    """Three crowds in one bucket whose sizes and band keys agree: links stay, pairs of two crowds go, most of them by a pivot alone."""
+    rng = np.random.default_rng(8)
+    sets, crowd = [], np.repeat(np.arange(3), 12)
+    for _ in range(3):
+        base = rng.integers(0, 2**63, 200, np.uint64)
+        sets += [np.unique(np.r_[base[rng.permutation(200)[:190]], rng.integers(0, 2**63, 10, np.uint64)]) for _ in range(12)]
+    order = rng.permutation(len(sets))
+    sets, crowd = [sets[i] for i in order], crowd[order]
+    rows = [len(s).to_bytes(4, "little") + bytes(shingles.KEY * shingles.BANDS) + simhash.majority(s, shingles.BITS) for s in sets]
+    sketches = shingles.Sketches(pa.chunked_array([pa.array(rows, pa.binary())]), 0.8, np.zeros(1, np.int64), np.array([len(rows)]))
+    a, b = np.triu_indices(len(rows), 1)
+    similar = np.array([len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    near, apart = sketches.near(a, b), crowd[a] != crowd[b]
+    assert (similar >= 0.8).any() and near[similar >= 0.8].all() and not near[apart].any()
+    assert (np.abs(sketches.table[a] - sketches.table[b]).max(axis=1) > shingles.radii(0.8)[1])[apart].mean() > 0.9
+
+
 @pytest.mark.parametrize("rows", [50_000, 300, 7])
 def test_components_of_chains_and_crowds(spark, monkeypatch, rows):
     """Edges in one part and in many; a part alone needs no join and no round."""
